@@ -6,7 +6,9 @@ import atexit
 import shutil
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -15,6 +17,7 @@ from pyspark.sql import functions as F
 #: Rows and bytes handed to a Python worker at once; texts are long, so the default row count is too many.
 BATCH_ROWS, BATCH_BYTES = 512, 8 << 20
 _local_dir: list[str] = []
+_shipped: set[str] = set()
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -40,8 +43,23 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def shipped(spark: SparkSession) -> None:
+    """Send this package to the executors, once for each application."""
+    if (app := spark.sparkContext.applicationId) in _shipped:
+        return
+    top = Path(__file__).resolve().parents[1]
+    folder = tempfile.mkdtemp(prefix="quillgraph-")  # the driver's own; Spark serves the file from there
+    atexit.register(shutil.rmtree, folder, True)
+    with zipfile.ZipFile(f"{folder}/{top.name}.zip", "w", zipfile.ZIP_DEFLATED) as out:
+        for file in sorted(top.rglob("*.py")):
+            out.write(file, file.relative_to(top.parent))
+    spark.sparkContext.addPyFile(f"{folder}/{top.name}.zip")
+    _shipped.add(app)
+
+
 def batched(spark: SparkSession) -> None:
-    """Keep Arrow batches of texts small, so that a worker's memory stays bounded."""
+    """Send the package to the workers, and keep Arrow batches small, so that a worker's memory stays bounded."""
+    shipped(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 

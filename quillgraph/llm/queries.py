@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillgraph.llm import bpe, packing, simhash, token_store
+from quillgraph.llm import bpe, packing, quality, resharding, simhash, token_store, topk
 from quillgraph.llm.common import documents
 
 
@@ -22,10 +22,40 @@ def op4_token_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.read_back(spark, token_store.written(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json")))
 
 
+def op5_resharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = resharding.balanced(documents(spark, sf_dir))
+    return rows.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "labels"))
+    return quality.judged(docs, labels)
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(documents(spark, sf_dir))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op1_byte_bpe, op3_packing, op4_token_index, op9_simhash)}
-ORACLE_SQL: dict[str, str] = {}
+def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), F.col("vec_id") % 50 == 0)
+
+
+QUERIES = {f.__name__: f for f in (op1_byte_bpe, op3_packing, op4_token_index, op5_resharding, op6_quality, op9_simhash, op10_top_k)}
+ORACLE_SQL: dict[str, str] = {
+    "op10_top_k": """
+        WITH v AS (
+            SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e
+            FROM embeddings
+            WHERE embedding IS NOT NULL AND len(embedding) > 0
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), s AS (
+            SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e)::BIGINT AS score
+            FROM v q JOIN v c ON c.vec_id <> q.vec_id AND len(c.e) = len(q.e)
+            WHERE q.vec_id % 50 = 0
+        ), r AS (
+            SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM s
+        )
+        SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
+    """,
+}
