@@ -177,7 +177,7 @@ class ShardStore:
             goes = F.col("shard")
             for block, parts in sorted(plan.cut.items()):
                 for upto, shard in reversed(parts):
-                    goes = F.when((F.col("block") == block) & (F.col("before") < upto), F.lit(shard)).otherwise(goes)
+                    goes = F.when((F.col("block") == block) & (F.col("before") + F.col("size") / 2 < upto), F.lit(shard)).otherwise(goes)
             rows = rows.where(~some).unionByName(inside.withColumn("shard", goes).drop("before"))
         path = scratch_path(self.spark, "shards")
         moved = ShardStore(self.spark, [(path, None)], len(capacities), self.runs)
@@ -204,7 +204,7 @@ def balanced(docs: DataFrame, n_shards: int = 8) -> DataFrame:
     """``doc_id, size, text_crc32, shard, slot`` of every row, from shard files of near equal bytes.
 
     A row's size is its text's UTF-8 bytes (null: none) and one.  Shards differ
-    from equal parts by no more than a document for each transfer.  Rows with
+    from equal parts by no more than half a document for each transfer.  Rows with
     the same ``doc_id`` share a block, and equal texts aren't kept together, as
     one group may hold more than a shard.  Null texts and ids are kept as they
     are; other columns are dropped; an empty table gives no rows.
