@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillgraph.llm import bpe, packing, quality, resharding, simhash, token_store, topk
+from quillgraph.llm import bpe, packing, quality, resharding, simhash, substring, token_store, topk
 from quillgraph.llm.common import documents
 
 
@@ -32,6 +32,10 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judged(docs, labels)
 
 
+def op7_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.removals(documents(spark, sf_dir))
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(documents(spark, sf_dir))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
@@ -41,8 +45,30 @@ def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), F.col("vec_id") % 50 == 0)
 
 
-QUERIES = {f.__name__: f for f in (op1_byte_bpe, op3_packing, op4_token_index, op5_resharding, op6_quality, op9_simhash, op10_top_k)}
+QUERIES = {f.__name__: f for f in (op1_byte_bpe, op3_packing, op4_token_index, op5_resharding, op6_quality, op7_substring, op9_simhash, op10_top_k)}
 ORACLE_SQL: dict[str, str] = {
+    "op7_substring": r"""
+        WITH d AS (
+            SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+        ), win AS (
+            SELECT doc_id, s, array_to_string(w[s : s + 19], ' ') AS words
+            FROM (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS s FROM d WHERE len(w) >= 20)
+        ), again AS (
+            SELECT doc_id, s FROM (
+                SELECT doc_id, s, row_number() OVER (PARTITION BY words ORDER BY doc_id, s) AS n FROM win
+            ) WHERE n > 1
+        ), gone AS (
+            SELECT DISTINCT doc_id, unnest(range(s, s + 20)) AS place FROM again
+        ), one AS (
+            SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS place FROM d
+        ), kept AS (
+            SELECT doc_id, string_agg(word, ' ' ORDER BY place) AS text, count(*) AS n
+            FROM one ANTI JOIN gone USING (doc_id, place) GROUP BY doc_id
+        )
+        SELECT d.doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(k.n, 0))::BIGINT AS n_removed,
+               sha256(coalesce(k.text, '')) AS kept_sha256
+        FROM d LEFT JOIN kept k USING (doc_id)
+    """,
     "op10_top_k": """
         WITH v AS (
             SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e
