@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillgraph.llm import bpe, packing, quality, resharding, simhash, substring, token_store, topk
+from quillgraph.llm import bpe, packing, pii, quality, resharding, simhash, substring, token_store, topk
 from quillgraph.llm.common import documents
 
 
@@ -36,6 +36,10 @@ def op7_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.removals(documents(spark, sf_dir))
 
 
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digests(documents(spark, sf_dir))
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(documents(spark, sf_dir))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
@@ -45,7 +49,7 @@ def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), F.col("vec_id") % 50 == 0)
 
 
-QUERIES = {f.__name__: f for f in (op1_byte_bpe, op3_packing, op4_token_index, op5_resharding, op6_quality, op7_substring, op9_simhash, op10_top_k)}
+QUERIES = {f.__name__: f for f in (op1_byte_bpe, op3_packing, op4_token_index, op5_resharding, op6_quality, op7_substring, op8_pii, op9_simhash, op10_top_k)}
 ORACLE_SQL: dict[str, str] = {
     "op7_substring": r"""
         WITH d AS (
