@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillgraph.llm import bpe, packing, pii, quality, resharding, simhash, substring, token_store, topk
+from quillgraph.llm import bpe, html_main, packing, pii, quality, resharding, simhash, substring, token_store, topk
 from quillgraph.llm.common import documents
 
 
@@ -14,6 +14,10 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
 
 
+def op2_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_main.extracted(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -49,7 +53,7 @@ def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), F.col("vec_id") % 50 == 0)
 
 
-QUERIES = {f.__name__: f for f in (op1_byte_bpe, op3_packing, op4_token_index, op5_resharding, op6_quality, op7_substring, op8_pii, op9_simhash, op10_top_k)}
+QUERIES = {f.__name__: f for f in (op1_byte_bpe, op2_main_text, op3_packing, op4_token_index, op5_resharding, op6_quality, op7_substring, op8_pii, op9_simhash, op10_top_k)}
 ORACLE_SQL: dict[str, str] = {
     "op7_substring": r"""
         WITH d AS (
