@@ -136,3 +136,39 @@ def judged(docs: DataFrame, labels: DataFrame, stratum: str = "lang") -> DataFra
     rows = measures.join(limits, "stratum", "left").withColumn("base_failed", base)
     kept = ~F.col("base_failed") & ~F.coalesce(over, F.lit(False))
     return rows.select("doc_id", *[c.split()[0] for c in COUNTS.split(", ")], "base_failed", kept.alias("kept"))
+
+
+#: Strata whose thresholds are sent to the workers at once: what is sent is bounded.
+STRATA_PER_PASS = 10_000
+
+
+def accepted(docs: DataFrame, labels: DataFrame, stratum: str = "lang") -> DataFrame:
+    """The rows of ``docs`` that ``judged`` keeps, with all their columns.
+
+    Only labelled texts are measured for the thresholds; then every row is
+    measured where it lies, and no text is shuffled but the labelled ones.
+    Thresholds are sent out for a bounded number of strata at a time; strata
+    beyond them are judged in further passes.
+    """
+    spark = docs.sparkSession
+    marked = docs.join(labels.select("doc_id").where("doc_id is not null").distinct(), "doc_id", "left_semi")
+    limits = stored(thresholds(features(marked, stratum), labels), "quality-limits").where(f"exists(limits, x -> x < {STEPS})")
+    columns = docs.columns
+    passes = max(1, -(-limits.count() // STRATA_PER_PASS))
+    rows = docs
+    for number in range(passes):
+        sent = spark.sparkContext.broadcast({r.stratum: r.limits for r in limits.where(F.pmod(F.xxhash64("stratum"), F.lit(passes)) == number).toLocalIterator()})
+
+        def make(sent=sent):
+            def one(batch: pa.RecordBatch) -> pa.RecordBatch:
+                keep = []
+                for name, text in zip(batch.column(stratum).to_pylist(), texts_of(batch), strict=True):
+                    (n, _, _, _, repeated), scores = measured(text)
+                    limit = sent.value.get("" if name is None else str(name))
+                    keep.append(n >= 50 and 100 * repeated <= 50 * n and not (limit is not None and any(s > t for s, t in zip(scores, limit, strict=True))))
+                return batch.filter(pa.array(keep, pa.bool_()))
+
+            return one
+
+        rows = arrow_map(rows.select(*columns), make, rows.schema)
+    return rows

@@ -43,17 +43,19 @@ def fingerprint(text: str, shingle: int = SHINGLE) -> int:
     return int(np.packbits(2 * total > n, bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame) -> DataFrame:
-    """``doc_id, fp`` (the 64 bits as a signed long) of every whole text; a null text has no words."""
+def fingerprints(docs: DataFrame, keep_key: bool = False) -> DataFrame:
+    """``doc_id, fp`` (the 64 bits as a signed long) of every whole text, and its hash if asked for; a null text has no words."""
+    names = ["doc_id", *["text_key"] * keep_key]
 
     def make():
         def one(batch: pa.RecordBatch) -> pa.RecordBatch:
             fps = np.array([fingerprint(t) for t in texts_of(batch)], np.uint64).view(np.int64)
-            return pa.record_batch([batch.column("doc_id"), pa.array(fps)], ["doc_id", "fp"])
+            return pa.record_batch([*[batch.column(n) for n in names], pa.array(fps)], [*names, "fp"])
 
         return one
 
-    return arrow_map(docs.select("doc_id", "text"), make, "doc_id long, fp long")
+    rows = docs.select("doc_id", "text", *[F.xxhash64("text").alias("text_key")] * keep_key)
+    return arrow_map(rows, make, ", ".join(f"{n} long" for n in [*names, "fp"]))
 
 
 def links(distinct: DataFrame, n_distinct: int) -> DataFrame:
@@ -127,8 +129,28 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     alone has a null id.  Other columns are dropped; an empty table gives none.
     """
     rows = stored(fingerprints(docs), "fingerprints")
+    return rows.join(_least(rows), "fp").select("doc_id", "fp", "component_id")
+
+
+def _least(rows: DataFrame) -> DataFrame:
+    """``fp, component_id`` of every distinct fingerprint of ``rows`` (``doc_id, fp``)."""
     groups = stored(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "fingerprint-groups")
     label = components(stored(links(groups, groups.count()), "fingerprint-links"))
     rooted = groups.join(label.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    return rows.join(rooted.join(least, "root").select("fp", "component_id"), "fp").select("doc_id", "fp", "component_id")
+    return rooted.join(least, "root").select("fp", "component_id")
+
+
+def representatives(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that stand for their components: those of the smallest ``doc_id``, with all columns.
+
+    Rows that share that ``doc_id`` are told apart by a hash of their texts, and
+    copies of one row stay as often as they come only if they are equal in both.
+    A component of null ids alone keeps the rows of its least text hash.
+    """
+    keyed = docs.withColumn("text_key", F.xxhash64("text"))
+    rows = stored(fingerprints(docs, keep_key=True), "fingerprints")
+    found = rows.join(_least(rows.select("doc_id", "fp")), "fp").where("doc_id <=> component_id")
+    # of a component's rows with the smallest id, the least text hash; rows are few where ids are unique
+    stay = found.groupBy("component_id", "fp").agg(F.min("text_key").alias("text_key")).groupBy(F.col("component_id").alias("stay_id")).agg(F.min("text_key").alias("stay_key"))
+    return keyed.join(stay.hint("shuffle_hash"), keyed.doc_id.eqNullSafe(stay.stay_id) & (keyed.text_key == stay.stay_key), "left_semi").drop("text_key")
