@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from quillgraph.plans import registry, retrieval, rows, scalars, tables, texts  # noqa: F401  (importing registers)
 
-def queries() -> dict:
-    return {}
 
+def queries() -> dict[str, registry.Query]:
+    return dict(registry.QUERIES)
 
-def oracle_sql() -> dict:
-    return {}
+
+def oracle_sql() -> dict[str, str]:
+    return dict(registry.ORACLE_SQL)
