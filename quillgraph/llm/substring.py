@@ -19,6 +19,7 @@ shard that holds every text around an anchor holds every copy of its windows.
 from __future__ import annotations
 
 import hashlib
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -52,11 +53,13 @@ def words_of(text: str) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").split()
 
 
-def segments(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def word_hashes(words: list[bytes]) -> np.ndarray:
+    return np.array(list(map(xxhash.xxh64_intdigest, words)), np.uint64)
+
+
+def segments(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """First window, number of windows, and anchor hash of each segment of a document of 20 words or more."""
-    digest = xxhash.xxh64_intdigest
-    hashes = np.array(list(map(digest, words)), np.uint64)
-    n = len(words) - SHINGLE + 1
+    n = len(hashes) - SHINGLE + 1
     shingles = np.zeros(n, np.uint64)
     for i in range(SHINGLE):
         shingles += hashes[i : i + n] * _FACTORS[i]
@@ -67,6 +70,17 @@ def segments(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return first, np.diff(np.append(first, len(place))), shingles[place[first]].view(np.int64)
 
 
+def segment_hashes(hashes: np.ndarray, first: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """A hash of the words of each segment, from sums of the words' hashes times odd powers."""
+    n = len(hashes)
+    powers = np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(n, _ROOT, np.uint64)]))
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(hashes * powers[:n])])
+    ends = first + count + WINDOW - 1
+    # (sum from start) * root^(n - start) doesn't depend on the start, but for root^n
+    shifted = (sums[ends] - sums[first]) * powers[n - first] * np.uint64(pow(pow(_ROOT, n, 2**64), -1, 2**64))
+    return _mix(shifted + count.astype(np.uint64)).view(np.int64)
+
+
 class WaveletMatrix:
     """Ranks of symbols in a sequence, from one packed bit vector for each bit of a symbol."""
 
@@ -187,7 +201,7 @@ def repeated_windows(texts: list[bytes], n_windows: np.ndarray) -> list[bytes]:
 def _anchors(docs: DataFrame) -> DataFrame:
     def make():
         def one(batch: pa.RecordBatch) -> pa.RecordBatch | None:
-            found = [segments(w)[2] for t in texts_of(batch) if len(w := words_of(t)) >= WINDOW]
+            found = [segments(word_hashes(w))[2] for t in texts_of(batch) if len(w := words_of(t)) >= WINDOW]
             return pa.record_batch([pa.array(np.concatenate(found))], ["anchor"]) if found else None
 
         return one
@@ -218,48 +232,54 @@ def _occurrences(docs: DataFrame, words_filter: np.ndarray, bits: int) -> DataFr
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         mask, shift = sent.value, np.uint64(64 - bits)
-        distinct: dict[tuple[int, int], list] = {}
+        distinct: dict[tuple[int, int], list] = {}  # (anchor, segment) -> [order, doc, windows, words, times]
         held = 0
 
-        def rows(columns: list) -> Iterator[pa.RecordBatch]:
-            for at in range(0, len(columns[0]), 4096):
-                yield pa.record_batch([pa.array(c[at : at + 4096], k) for c, k in zip(columns, kinds, strict=True)], names)
-
         def flush() -> Iterator[pa.RecordBatch]:
             nonlocal held
-            if distinct:
-                yield from rows([list(c) for c in zip(*[(v[0][1], v[0][3], v[0][2], v[1], a, s, v[2], v[3]) for (a, s), v in distinct.items()], strict=True)])
+            rows = [(v[1], v[0][2], v[0][3], v[2], a, s, v[3], v[4]) for (a, s), v in distinct.items()]
+            for at in range(0, len(rows), 8192):
+                yield pa.record_batch([pa.array(c, k) for c, k in zip(zip(*rows[at : at + 8192], strict=True), kinds, strict=True)], names)
             distinct.clear()
             held = 0
 
         for batch in batches:
-            out: list[tuple] = []
-            for doc, key, text in zip(batch.column("doc_id").to_pylist(), batch.column("text_key").to_pylist(), texts_of(batch), strict=True):
+            narrow: list[tuple[np.ndarray, ...]] = []
+            numbers: list[int] = []
+            for number, (doc, key, text) in enumerate(zip(batch.column("doc_id").to_pylist(), batch.column("text_key").to_pylist(), texts_of(batch), strict=True)):
                 words = words_of(text)
                 if len(words) < WINDOW:
                     continue
-                first, count, anchors = segments(words)
+                hashes = word_hashes(words)
+                first, count, anchors = segments(hashes)
                 place = anchors.view(np.uint64) >> shift
-                hit = np.flatnonzero((mask[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63))) & np.uint64(1))
-                for i in hit.tolist():
-                    start, n, anchor = int(first[i]), int(count[i]), int(anchors[i])
-                    passage = b" ".join(words[start : start + n + WINDOW - 1])
-                    segment = xxhash.xxh64_intdigest(passage) - (1 << 63)
-                    out.append((doc, key, start, n, anchor, segment, None, 1))
-                    # nulls first, as in the corpus order
-                    where = ((doc is not None, doc or 0, key, start), doc, start, key)
-                    known = distinct.get((anchor, segment))
+                hit = (mask[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63))) & np.uint64(1) == 1
+                if not hit.any():
+                    continue
+                first, count, anchors = first[hit], count[hit], anchors[hit]
+                passages = segment_hashes(hashes, first, count)
+                narrow.append((first, count, anchors, passages))
+                numbers.append(number)
+                known_doc = doc is not None  # nulls first, as in the corpus order
+                for start, n, anchor, passage in zip(first.tolist(), count.tolist(), anchors.tolist(), passages.tolist(), strict=True):
+                    known = distinct.get((anchor, passage))
                     if known is None:
-                        distinct[anchor, segment] = [where, n, passage, 1]
-                        held += len(passage) + 400
+                        text_part = b" ".join(words[start : start + n + WINDOW - 1])
+                        distinct[anchor, passage] = [(known_doc, doc or 0, key, start), doc, n, text_part, 1]
+                        held += len(text_part) + 400
                     else:
-                        known[3] += 1
-                        if where < known[0]:
-                            known[0] = where
+                        known[4] += 1
+                        if (where := (known_doc, doc or 0, key, start)) < known[0]:
+                            known[0], known[1] = where, doc
                 if held > COLLAPSE_BYTES:
                     yield from flush()
-            if out:
-                yield from rows([list(c) for c in zip(*out, strict=True)])
+            if narrow:
+                owner = pa.array(np.repeat(numbers, [len(x[0]) for x in narrow]))
+                first, count, anchors, passages = (np.concatenate(x) for x in zip(*narrow, strict=True))
+                columns = [batch.column("doc_id").take(owner), batch.column("text_key").take(owner), pa.array(first, pa.int32()), pa.array(count, pa.int32()), pa.array(anchors), pa.array(passages), pa.nulls(len(first), pa.binary()), pa.array(np.ones(len(first), np.int64))]
+                whole = pa.record_batch(columns, names)
+                for at in range(0, len(first), 8192):
+                    yield whole.slice(at, 8192)
         yield from flush()
 
     return docs.mapInArrow(run, _OCCURRENCE)
@@ -269,41 +289,56 @@ def _verdicts(shards: DataFrame) -> DataFrame:
     """Per distinct segment: its first place, and whether each of its windows is repeated there."""
     schema = "anchor long, segment long, first_doc long, first_key long, first_start int, verdict binary"
     names = [c.split()[0] for c in schema.split(", ")]
-    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        distinct: dict[tuple[int, int], list] = {}
-        for batch in batches:
-            for doc, key, start, n, anchor, segment, words, times in zip(*[c.to_pylist() for c in batch.columns], strict=True):
-                where = (doc is not None, doc or 0, key, start)
-                known = distinct.get((anchor, segment))
-                if known is None:
-                    distinct[anchor, segment] = [where, doc, n, words, times]
-                else:
-                    known[4] += times
-                    if where < known[0]:
-                        known[0], known[1] = where, doc
-        if not distinct:
+        got = [b for b in batches if b.num_rows]
+        if not got:
             return
-        order = sorted(distinct.items(), key=lambda x: x[1][0])
-        distinct.clear()
-        masks = repeated_windows([v[3] for _, v in order], np.array([v[2] for _, v in order]))
-        out = [(a, s, v[1], v[0][2], v[0][3], m) for ((a, s), v), m in zip(order, masks, strict=True) if v[4] > 1 or 1 in m]
-        for at in range(0, len(out), 4096):
-            yield pa.record_batch([pa.array(c, k) for c, k in zip(zip(*out[at : at + 4096], strict=True), kinds, strict=True)], names)
+        table = pa.Table.from_batches(got).combine_chunks()
+        del got
+        doc, key, start, windows, anchor, segment, times = (table.column(c).fill_null(0).to_numpy() for c in ("doc_id", "text_key", "start", "n_windows", "anchor", "segment", "times"))
+        dated = np.asarray(table.column("doc_id").is_valid())
+        # equal segments side by side, the first place of each in front
+        order = np.lexsort((start, key, doc, dated, segment, anchor))
+        new = np.ones(len(order), bool)
+        new[1:] = (anchor[order[1:]] != anchor[order[:-1]]) | (segment[order[1:]] != segment[order[:-1]])
+        every = np.add.reduceat(times[order], np.flatnonzero(new))
+        first = order[new]
+        in_turn = np.lexsort((start[first], key[first], doc[first], dated[first]))
+        first, every = first[in_turn], every[in_turn]
+        rows = table.take(pa.array(first))
+        del table, order
+        masks = repeated_windows(rows.column("words").to_pylist(), windows[first].astype(np.int64))
+        told = np.flatnonzero((every > 1) | np.array([1 in m for m in masks], bool))
+        rows = rows.take(pa.array(told))
+        out = pa.table([*[rows.column(c) for c in ("anchor", "segment", "doc_id", "text_key", "start")], pa.array([masks[i] for i in told.tolist()], pa.binary())], names)
+        yield from out.combine_chunks().to_batches(max_chunksize=8192)
 
     return shards.mapInArrow(run, schema)
 
 
-def _removed(words: list[bytes], marks: list[dict]) -> np.ndarray:
-    """Which words a repeated window covers."""
-    change = np.zeros(len(words) + 1, np.int32)
-    for m in marks:
-        verdict = np.ones(m["n_windows"], bool) if m["verdict"] is None else np.frombuffer(m["verdict"], np.uint8) == 1
-        at = m["start"] + np.flatnonzero(verdict)
-        np.add.at(change, at, 1)
-        np.add.at(change, at + WINDOW, -1)
-    return np.cumsum(change[:-1]) > 0
+def _removed(batch: pa.RecordBatch, lengths: list[int]) -> list[np.ndarray | None]:
+    """For each row of ``lengths`` words, which of them a repeated window covers; None if no window is."""
+    marks = batch.column("marks")
+    n_marks = np.array([n or 0 for n in marks.value_lengths().to_pylist()], np.int64)
+    base = np.concatenate([[0], np.cumsum(np.array(lengths, np.int64) + 1)])
+    change = np.zeros(int(base[-1]) + 1, np.int64)
+    flat = marks.flatten()
+    if len(flat):
+        start = np.repeat(base[:-1], n_marks) + flat.field("start").to_numpy(zero_copy_only=False)
+        windows, verdict = flat.field("n_windows").to_numpy(zero_copy_only=False), flat.field("verdict")
+        whole = ~np.asarray(verdict.is_valid())
+        np.add.at(change, start[whole], 1)
+        np.add.at(change, start[whole] + windows[whole] + WINDOW - 1, -1)
+        own = np.flatnonzero(~whole)
+        if len(own):
+            said = np.frombuffer(b"".join(verdict.take(pa.array(own)).to_pylist()), np.uint8)
+            at = np.repeat(start[own] - np.cumsum(windows[own]) + windows[own], windows[own]) + np.arange(len(said))
+            at = at[said == 1]
+            np.add.at(change, at, 1)
+            np.add.at(change, at + WINDOW, -1)
+    covered = np.cumsum(change) > 0
+    return [covered[b : b + n] if m else None for b, n, m in zip(base.tolist(), lengths, n_marks.tolist(), strict=False)]
 
 
 def marked(docs: DataFrame) -> DataFrame:
@@ -338,10 +373,9 @@ def removals(docs: DataFrame) -> DataFrame:
     def make():
         def one(batch: pa.RecordBatch) -> pa.RecordBatch:
             n_words, n_removed, digest = [], [], []
-            for text, marks in zip(texts_of(batch), batch.column("marks").to_pylist(), strict=True):
-                words = words_of(text)
-                gone = _removed(words, marks) if marks else np.zeros(0, bool)
-                kept = [w for w, g in zip(words, gone.tolist(), strict=True) if not g] if gone.any() else words
+            every = [words_of(t) for t in texts_of(batch)]
+            for words, gone in zip(every, _removed(batch, list(map(len, every))), strict=True):
+                kept = words if gone is None else list(itertools.compress(words, (~gone).tolist()))
                 n_words.append(len(words))
                 n_removed.append(len(words) - len(kept))
                 digest.append(hashlib.sha256(b" ".join(kept)).hexdigest())
@@ -363,11 +397,12 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column("text").to_pylist()
-            for i, marks in enumerate(batch.column("marks").to_pylist()):
-                if marks and texts[i]:
+            every = [words_of(t or "") for t in texts]
+            for i, gone_words in enumerate(_removed(batch, list(map(len, every)))):
+                if gone_words is not None:
                     data = texts[i].encode("utf-8", "surrogatepass")
-                    words, at, out = data.split(), 0, []
-                    for word, gone in zip(words, _removed(words, marks).tolist(), strict=True):
+                    at, out = 0, []
+                    for word, gone in zip(every[i], gone_words.tolist(), strict=True):
                         begin = data.index(word, at)
                         out += [data[at:begin], word] if not gone else [data[at:begin] if b"\n" in data[at:begin] else b""]
                         at = begin + len(word)
