@@ -6,18 +6,17 @@ import atexit
 import shutil
 import tempfile
 import uuid
-import zipfile
 from collections.abc import Callable, Iterator
-from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quillgraph.session import shipped
+
 #: Rows and bytes handed to a Python worker at once; texts are long, so the default row count is too many.
 BATCH_ROWS, BATCH_BYTES = 512, 8 << 20
 _local_dir: list[str] = []
-_shipped: set[str] = set()
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -43,20 +42,6 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def shipped(spark: SparkSession) -> None:
-    """Send this package to the executors, once for each application."""
-    if (app := spark.sparkContext.applicationId) in _shipped:
-        return
-    top = Path(__file__).resolve().parents[1]
-    folder = tempfile.mkdtemp(prefix="quillgraph-")  # the driver's own; Spark serves the file from there
-    atexit.register(shutil.rmtree, folder, True)
-    with zipfile.ZipFile(f"{folder}/{top.name}.zip", "w", zipfile.ZIP_DEFLATED) as out:
-        for file in sorted(top.rglob("*.py")):
-            out.write(file, file.relative_to(top.parent))
-    spark.sparkContext.addPyFile(f"{folder}/{top.name}.zip")
-    _shipped.add(app)
-
-
 def batched(spark: SparkSession) -> None:
     """Send the package to the workers, and keep Arrow batches small, so that a worker's memory stays bounded."""
     shipped(spark)
@@ -82,6 +67,18 @@ def texts_of(batch: pa.RecordBatch, column: str = "text") -> list[str]:
     return [x or "" for x in batch.column(column).to_pylist()]
 
 
+def carried(docs: DataFrame) -> DataFrame:
+    """``doc_id``, ``text``, and the other columns under names that no operator uses."""
+    others = [c for c in docs.columns if c not in ("doc_id", "text")]
+    return docs.select("doc_id", "text", *[F.col(f"`{c}`").alias(f"_carried{i}") for i, c in enumerate(others)])
+
+
+def restored(rows: DataFrame, docs: DataFrame) -> DataFrame:
+    """Rows of ``carried(docs)`` with the columns of ``docs`` again."""
+    others = [c for c in docs.columns if c not in ("doc_id", "text")]
+    return rows.select(*[c if c in ("doc_id", "text") else F.col(f"_carried{others.index(c)}").alias(c) for c in docs.columns])
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``doc_id`` and ``text`` of the documents table; other columns are not read."""
     return spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
@@ -90,8 +87,3 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 def parts_for(spark: SparkSession, rows: int, per_part: int) -> int:
     """Shuffle partitions so that each holds about ``per_part`` rows, and no fewer than the session's."""
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // per_part))
-
-
-def identity() -> list:
-    """Columns that tell rows apart where ``doc_id`` repeats or is null."""
-    return [F.col("doc_id"), F.xxhash64("text").alias("text_key")]

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillgraph.llm.common import arrow_map, batched, stored, texts_of
+from quillgraph.llm.common import arrow_map, batched, carried, restored, stored, texts_of
 
 KINDS = ("email", "ip", "card", "phone")
 _LOCAL = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-"
@@ -180,7 +180,7 @@ def found(docs: DataFrame) -> DataFrame:
     """``docs`` with ``spans``: (kind, start, end) in code points, end exclusive.
 
     Base spans come first, by kind and start, then ``term`` spans by start.  A
-    null or empty text has none.  All other columns stay.
+    null or empty text has none.  All other columns stay, but for one named ``spans``.
     """
     spark = docs.sparkSession
     batched(spark)
@@ -241,8 +241,9 @@ def digests(docs: DataFrame) -> DataFrame:
 
 def sanitised(docs: DataFrame) -> DataFrame:
     """``docs`` with every span of ``text`` replaced by its kind in angle brackets; other columns and rows stay."""
-    columns = docs.columns
-    rows = found(docs)
+    plain = carried(docs)
+    columns = plain.columns
+    rows = found(plain)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -257,4 +258,4 @@ def sanitised(docs: DataFrame) -> DataFrame:
                     texts[i] = "".join(out) + texts[i][at:]
             yield pa.record_batch([pa.array(texts, pa.string()) if c == "text" else batch.column(c) for c in columns], columns)
 
-    return rows.mapInArrow(run, docs.schema)
+    return restored(rows.mapInArrow(run, plain.schema), docs)

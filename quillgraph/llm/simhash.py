@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillgraph.llm.common import arrow_map, batched, parts_for, stored, texts_of
+from quillgraph.llm.common import arrow_map, batched, carried, parts_for, restored, stored, texts_of
 
 SHINGLE, SEED, RADIUS = 3, 42, 2
 #: Variants that one task of the meeting sorts in memory (16 bytes each).
@@ -148,9 +148,9 @@ def representatives(docs: DataFrame) -> DataFrame:
     copies of one row stay as often as they come only if they are equal in both.
     A component of null ids alone keeps the rows of its least text hash.
     """
-    keyed = docs.withColumn("text_key", F.xxhash64("text"))
+    keyed = carried(docs).withColumn("text_key", F.xxhash64("text"))
     rows = stored(fingerprints(docs, keep_key=True), "fingerprints")
     found = rows.join(_least(rows.select("doc_id", "fp")), "fp").where("doc_id <=> component_id")
     # of a component's rows with the smallest id, the least text hash; rows are few where ids are unique
     stay = found.groupBy("component_id", "fp").agg(F.min("text_key").alias("text_key")).groupBy(F.col("component_id").alias("stay_id")).agg(F.min("text_key").alias("stay_key"))
-    return keyed.join(stay.hint("shuffle_hash"), keyed.doc_id.eqNullSafe(stay.stay_id) & (keyed.text_key == stay.stay_key), "left_semi").drop("text_key")
+    return restored(keyed.join(stay.hint("shuffle_hash"), keyed.doc_id.eqNullSafe(stay.stay_id) & (keyed.text_key == stay.stay_key), "left_semi"), docs)

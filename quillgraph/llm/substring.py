@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillgraph.llm.common import arrow_map, batched, parts_for, scratch_path, stored, texts_of
+from quillgraph.llm.common import arrow_map, batched, carried, parts_for, restored, stored, texts_of
 
 WINDOW, SHINGLE = 20, 5
 _SPAN = WINDOW - SHINGLE + 1  # shingles of a window
@@ -342,7 +342,7 @@ def _removed(batch: pa.RecordBatch, lengths: list[int]) -> list[np.ndarray | Non
 
 
 def marked(docs: DataFrame) -> DataFrame:
-    """``docs`` (``doc_id, text``, and any others) with ``text_key`` and ``marks``: the segments with repeated windows."""
+    """``docs`` (``doc_id, text``, and others by unlike names) with ``text_key`` and ``marks``: the segments with repeated windows."""
     spark = docs.sparkSession
     batched(spark)
     keyed = docs.withColumn("text_key", F.xxhash64("text"))
@@ -391,8 +391,9 @@ def without_repeats(docs: DataFrame) -> DataFrame:
 
     A text that loses every word becomes empty; its row stays.
     """
-    columns = docs.columns
-    rows = marked(docs)
+    plain = carried(docs)
+    columns = plain.columns
+    rows = marked(plain)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -410,4 +411,4 @@ def without_repeats(docs: DataFrame) -> DataFrame:
             kept = [pa.array(texts, pa.string()) if c == "text" else batch.column(c) for c in columns]
             yield pa.record_batch(kept, columns)
 
-    return rows.select(*columns, "marks").mapInArrow(run, docs.schema)
+    return restored(rows.select(*columns, "marks").mapInArrow(run, plain.schema), docs)
