@@ -1,13 +1,12 @@
 """Exact top-k inner products by no-random-access aggregation over sorted component lists.
 
-A block of candidates has a list for each component, ordered by it; the ends of
-a list bound what an unread entry can add to a score.  For a query the lists
-are read in sequence, those of the widest remaining range first, and every
-candidate has a lower and an upper bound: what was read, plus the ends of the
-unread lists.  When few candidates can still reach the k-th best lower bound,
-reading stops for all others, and the rest of the few is resolved.  Components
-of dense vectors differ little, so a list is read as a whole; reading a whole
-list gives the same sums in any order, so several are read by one matrix product.
+A block of candidates has a list for each component, sorted by it and cut into
+runs.  A query reads every list from its better end, run after run, the runs
+first that leave most uncertain; no entry is looked up by candidate.  What was
+read of a candidate, with the unread lists' frontiers and ends, bounds its score
+from above and below.  When few candidates can still reach the k-th best bound,
+reading stops for all others, and the scores of the few are resolved.  The sums
+of runs, for many queries and candidates at once, are matrix products.
 """
 
 from __future__ import annotations
@@ -24,8 +23,8 @@ from quillgraph.llm.common import batched, stored
 #: Queries of one pass over the candidates: at most this many vectors are sent to the workers at once.
 QUERIES_PER_PASS = 8192
 BLOCK_ROWS, QUERY_ROWS = 4096, 512
-#: Parts of the lists read before each look at the bounds.
-READS = (0.7, 0.85, 1.0)
+#: Runs of a list, and shares of all runs read before each look at the bounds.
+RUNS, READS = 4, (0.7, 0.85, 1.0)
 #: Share of a block's candidates that may be left when reading stops.
 FEW = 0.02
 _EXACT = 2.0**53
@@ -55,6 +54,50 @@ def scaled_batch(column: pa.ListArray) -> list[tuple[int, np.ndarray, np.ndarray
     return out
 
 
+class SortedLists:
+    """The lists of a block: which run of each list a candidate is in, and the values where runs begin.
+
+    Runs are counted from the high end.  Single precision serves the bounds; ``slack`` covers its rounding.
+    """
+
+    def __init__(self, block: np.ndarray):
+        n, d = block.shape
+        order = np.argsort(-block, axis=0, kind="stable")
+        run = np.empty((n, d), np.int64)
+        np.put_along_axis(run, order, np.broadcast_to((np.arange(n) * RUNS // n)[:, None], (n, d)), axis=0)
+        ranked = np.take_along_axis(block, order, axis=0)
+        starts = np.searchsorted(np.arange(n) * RUNS // n, np.arange(RUNS + 1))
+        self.high = ranked[np.minimum(starts[:-1], n - 1)].T  # [list, run]: the first value of the run
+        self.low = ranked[np.maximum(starts[1:] - 1, 0)].T  # the last
+        member = run.T[:, None, :] == np.arange(RUNS)[None, :, None]
+        self.member = member.reshape(d * RUNS, n).astype(np.float32)
+        self.values = (member * block.T[:, None, :]).reshape(d * RUNS, n).astype(np.float32)
+        self.most = np.abs(block).max(initial=0)
+
+    def frontiers(self, q: np.ndarray) -> np.ndarray:
+        """[query, list, runs read]: the most that an entry beyond them can add; 0 past the end."""
+        out = np.zeros((*q.shape, RUNS + 1))
+        up = q > 0
+        out[:, :, :-1] = np.where(up[:, :, None], q[:, :, None] * self.high, q[:, :, None] * self.low[:, ::-1])
+        return out
+
+    def tails(self, q: np.ndarray) -> np.ndarray:
+        """[query, list]: the least that an entry can add."""
+        return np.where(q > 0, q * self.low[:, -1], q * self.high[:, 0])
+
+    def bound(self, q: np.ndarray, depth: np.ndarray, unread: np.ndarray) -> np.ndarray:
+        """[query, candidate]: what was read, and ``unread`` for each list where the candidate was not met."""
+        run = np.arange(RUNS)
+        met = np.where((q > 0)[:, :, None], run < depth[:, :, None], run >= RUNS - depth[:, :, None])
+        flat = (len(q), q.shape[1] * RUNS)
+        read = (met * q[:, :, None]).reshape(flat).astype(np.float32) @ self.values
+        return unread.sum(axis=1)[:, None] + read - (met * unread[:, :, None]).reshape(flat).astype(np.float32) @ self.member
+
+    def slack(self, q: np.ndarray) -> np.ndarray:
+        """More than single precision can lose in a bound: a rounding for each of its terms."""
+        return 2.4e-7 * (len(self.member) + 8) * (1 + np.abs(q).sum(axis=1) * self.most)
+
+
 class BoundedReader:
     """The best k of each query so far, over candidates that come in blocks."""
 
@@ -66,33 +109,32 @@ class BoundedReader:
     def read(self, keys: np.ndarray, block: np.ndarray) -> None:
         if np.abs(self.q).max(initial=0) * np.abs(block).max(initial=0) * block.shape[1] >= _EXACT:
             return self._resolve_exactly(keys, block)
-        high, low = block.max(axis=0), block.min(axis=0)
+        lists = SortedLists(block)
         for at in range(0, len(self.q), QUERY_ROWS):
-            self._some(slice(at, at + QUERY_ROWS), keys, block, high, low)
+            self._some(slice(at, at + QUERY_ROWS), keys, block, lists)
 
-    def _some(self, part: slice, keys: np.ndarray, block: np.ndarray, high: np.ndarray, low: np.ndarray) -> None:
-        q, own = self.q[part], self.ids[part]
-        most, least = np.maximum(q * high, q * low), np.minimum(q * high, q * low)
-        place = np.argsort(np.argsort(least - most, axis=1, kind="stable"), axis=1)  # the list's turn
-        sums, done = np.zeros((len(q), len(block))), 0
+    def _some(self, part: slice, keys: np.ndarray, block: np.ndarray, lists: SortedLists) -> None:
+        q, own, bar = self.q[part], self.ids[part], self.bar[part]
+        frontier, tail = lists.frontiers(q), lists.tails(q)
+        unsure = frontier[:, :, :-1] - tail[:, :, None]  # what reading a run, and those after it, can tell
         for share in READS:
-            upto = -(-int(share * 100) * q.shape[1] // 100)
-            now = (place >= done) & (place < upto)
-            sums += np.where(now, q, 0) @ block.T
-            done, unread = upto, place >= upto
-            above, below = (most * unread).sum(axis=1), (least * unread).sum(axis=1)
-            bar = self.bar[part]
-            if len(block) > self.k:  # one row of the block may be the query's own
-                bar = np.maximum(bar, np.partition(sums, len(block) - self.k - 1, axis=1)[:, len(block) - self.k - 1] + below)
-            able = sums + above[:, None] >= bar[:, None]
-            if able.sum() <= FEW * able.size or upto == q.shape[1]:
+            n = unsure[0].size
+            first_left = min(int(share * n), n - 1)
+            limit = -np.inf if share == 1 else np.partition(-unsure.reshape(len(q), n), first_left, axis=1)[:, first_left]
+            depth = (unsure > -np.reshape(limit, (-1, 1, 1)) if share < 1 else np.ones_like(unsure, bool)).sum(axis=2)
+            front = np.take_along_axis(frontier, depth[:, :, None], axis=2)[:, :, 0]
+            upper = lists.bound(q, depth, front)
+            if not np.isfinite(bar).all() and len(block) > self.k:  # one row of the block may be the query's own
+                lower = lists.bound(q, depth, tail)
+                bar = np.maximum(bar, np.partition(lower, len(block) - self.k - 1, axis=1)[:, len(block) - self.k - 1] - lists.slack(q))
+            able = upper + lists.slack(q)[:, None] >= bar[:, None]
+            if able.sum() <= FEW * able.size:
                 break
-        rest = np.where(unread, q, 0)
         for i in range(len(q)):
             rows = np.flatnonzero(able[i])
             rows = rows[keys[rows] != own[i]]
             if len(rows):
-                self._take(part.start + i, keys[rows], sums[i, rows] + block[rows] @ rest[i])
+                self._take(part.start + i, keys[rows], block[rows] @ q[i])
 
     def _resolve_exactly(self, keys: np.ndarray, block: np.ndarray) -> None:
         """Scores beyond what doubles hold exactly: whole numbers of any size."""
