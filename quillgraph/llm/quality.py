@@ -108,17 +108,16 @@ def thresholds(measures: DataFrame, labels: DataFrame, risk: float = RISK, loss:
     marked = measures.join(said, "doc_id").select("stratum", (F.col("quality") > 0).alias("good"), F.posexplode("scores").alias("rule", "score"))
     batched(measures.sparkSession)
     counts = marked.groupBy("stratum", "rule", "score").agg(F.count_if("good").alias("n_good"), F.count_if(~F.col("good")).alias("n_bad"))
-    strata = F.broadcast(counts.agg(F.count_distinct("stratum").alias("n_strata")))  # one row
+    counts = stored(counts, "quality-counts")
+    level = loss / (len(RULES) * max(1, counts.select("stratum").distinct().count()))
 
-    def of_stratum(rows: pd.DataFrame) -> pd.DataFrame:
-        limits, level = [], loss / (len(RULES) * max(1, int(rows.n_strata.iloc[0])))
-        for rule in range(len(RULES)):
-            mine = rows[rows.rule == rule]
-            good, bad = (np.bincount(mine.score, mine[c], STEPS + 1).astype(np.int64) for c in ("n_good", "n_bad"))
-            limits.append(choose(good, bad, level, risk))
-        return pd.DataFrame({"stratum": [rows.stratum.iloc[0]], "limits": [limits]})
+    def of_rule(rows: pd.DataFrame) -> pd.DataFrame:
+        good, bad = (np.bincount(rows.score, rows[c], STEPS + 1).astype(np.int64) for c in ("n_good", "n_bad"))
+        return pd.DataFrame({"stratum": rows.stratum.iloc[:1], "rule": rows.rule.iloc[:1], "limit": choose(good, bad, level, risk)})
 
-    return counts.crossJoin(strata).groupBy("stratum").applyInPandas(of_stratum, "stratum string, limits array<int>")
+    chosen = counts.groupBy("stratum", "rule").applyInPandas(of_rule, "stratum string, rule int, limit int")
+    by_rule = F.array_sort(F.collect_list(F.struct("rule", "limit")))
+    return chosen.groupBy("stratum").agg(F.transform(by_rule, lambda x: x["limit"]).alias("limits"))
 
 
 def judged(docs: DataFrame, labels: DataFrame, stratum: str = "lang") -> DataFrame:
