@@ -101,12 +101,12 @@ def referential_filter(spark: SparkSession, d: str) -> DataFrame:
     return R.referential(edges(spark, d), nodes, ["nation"])
 
 
-_CAND = "cand AS (SELECT c_custkey, s_suppkey, round(1 - abs(c_acctbal - s_acctbal) / 11000, 4) AS score FROM customer JOIN supplier ON c_nationkey = s_nationkey)"
+_CAND = "cand AS (SELECT c_custkey, s_suppkey, floor(10000 * (1 - abs(c_acctbal - s_acctbal) / 11000)) / 10000 AS score FROM customer JOIN supplier ON c_nationkey = s_nationkey)"
 
 
 def _candidates(spark: SparkSession, d: str) -> DataFrame:
     c, s = table(spark, d, "customer"), table(spark, d, "supplier")
-    score = F.round(1 - F.abs(F.col("c_acctbal") - F.col("s_acctbal")) / 11000, 4)
+    score = F.floor(10000 * (1 - F.abs(F.col("c_acctbal") - F.col("s_acctbal")) / 11000)) / 10000
     return c.join(s, F.col("c_nationkey") == F.col("s_nationkey")).select("c_custkey", "s_suppkey", score.alias("score"))
 
 
