@@ -19,8 +19,8 @@ from quillgraph.llm.common import scratch_path
 
 #: Hash blocks of a table: the most rows that the plan brings to the driver.
 BLOCKS = 1 << 16
-#: Bytes of texts in one file of a shard, about.
-FILE_BYTES = 64 << 20
+#: Bytes of texts in one file of a shard, about; and shuffle partitions for each file, so that few meet in a task.
+FILE_BYTES, SPREAD = 32 << 20, 3
 
 
 def minimum_cost_flow(supply: list[int], capacity: list[int], cost) -> dict[tuple[int, int], int]:
@@ -144,7 +144,7 @@ class ShardStore:
 
     def _write(self, rows: DataFrame, path: str) -> None:
         rows = rows.withColumn("run", self._run())
-        rows.repartition(self.n_shards * self.runs, "shard", "run").write.partitionBy("shard", "run").option("compression", "zstd").parquet(path)
+        rows.repartition(SPREAD * self.n_shards * self.runs, "shard", "run").write.partitionBy("shard", "run").option("compression", "zstd").parquet(path)
 
     def read(self) -> DataFrame:
         """``doc_id, text, block, size, shard, run`` of every row, from the files."""
@@ -183,7 +183,7 @@ class ShardStore:
         moved = ShardStore(self.spark, [(path, None)], len(capacities), self.runs)
         rows = rows.drop("run")
         rows = rows.withColumn("run", F.floor(F.pmod(F.col("block") * self.n_shards, F.lit(BLOCKS)) * self.runs / BLOCKS).cast("int"))
-        rows.repartition(max(1, len(touched)), "shard", "run").write.partitionBy("shard", "run").option("compression", "zstd").parquet(path)
+        rows.repartition(SPREAD * len(touched), "shard", "run").write.partitionBy("shard", "run").option("compression", "zstd").parquet(path)
         moved.paths = [(base, sorted(present - touched)), (path, None)]
         return moved
 
