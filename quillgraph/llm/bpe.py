@@ -23,8 +23,9 @@ from quillgraph.llm.common import arrow_map, texts_of
 
 #: The pattern that splits text before the merges (a fixed value of the vocabulary).
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-#: Entries of a worker's caches of words, of pattern matches and of token pairs, each emptied when full: at most some 300 MB.
-CACHE_WORDS, CACHE_PIECES, CACHE_PAIRS = 700_000, 500_000, 400_000
+#: Entries of a worker's caches of words, of pattern matches and of token pairs, each emptied when full (at most some 300 MB),
+#: and the longest word that is kept.
+CACHE_WORDS, CACHE_PIECES, CACHE_PAIRS, LONGEST_KEPT = 700_000, 500_000, 400_000, 64
 _NEVER = 1 << 60
 _WHITE_RUN = re.compile(r"\s\s|^\s|\s$")
 
@@ -163,9 +164,12 @@ class TextEncoder:
             if known is None:
                 if len(pieces) >= CACHE_PIECES:
                     pieces.clear()
-                known = pieces[piece] = array("I", self.bpe.encode_piece(piece.encode("utf-8", "surrogatepass"))).tobytes()
+                known = array("I", self.bpe.encode_piece(piece.encode("utf-8", "surrogatepass"))).tobytes()
+                if len(piece) <= LONGEST_KEPT:
+                    pieces[piece] = known
             ids += known
-        cache[word] = ids
+        if len(word) <= LONGEST_KEPT:
+            cache[word] = ids
         return ids
 
     def encode(self, text: str) -> array:
