@@ -2,8 +2,9 @@
 
 White space ends a match in both public vocabularies used here, so a text is cut
 into words, and the library's own merge model encodes each distinct piece of a
-word once.  Words with characters beyond Latin-1 (where normalisation matters)
-and texts where white space runs together go through the whole library.
+word once.  A word keeps the line feed before it, or else stands for itself and
+the space before it.  Words with characters beyond Latin-1 (where normalisation
+matters) and texts where white space runs together go through the whole library.
 """
 
 from __future__ import annotations
@@ -14,10 +15,10 @@ from array import array
 
 from tokenizers import Tokenizer
 
-CACHE_WORDS, CACHE_PIECES = 600_000, 500_000
-_WHITE_RUN = re.compile(r"\s\s|^\s|\s$")
+#: Entries of a worker's caches of words and of pieces, each emptied when full, and the longest word that is kept.
+CACHE_WORDS, CACHE_PIECES, LONGEST_KEPT = 600_000, 500_000, 64
 _BEYOND = re.compile("[^\\t\\n\\r -~¡-ÿ]")
-_SEPARATORS = re.compile("[\x1c-\x1f]")
+_SEPARATORS = ("\x1c", "\x1d", "\x1e", "\x1f")
 #: Letters, numbers and the rest among the characters up to U+00FF (fixed values of Unicode).
 _L, _N = "A-Za-zªµºÀ-ÖØ-öø-ÿ", "0-9²³¹¼-¾"
 _BYTE_LEVEL = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{_L}]+| ?[{_N}]+| ?[^\s{_L}{_N}]+|\s+(?!\S)|\s+")
@@ -48,12 +49,17 @@ class LibraryEncoder:
         self.inner: dict[str, bytes] = {}
         self.first: dict[str, bytes] = {}
         self.pieces: dict[str, bytes] = {}
-        self.line_feed = self._library("\n")
 
     def _library(self, text: str) -> bytes:
         return array("I", self.whole.encode(text, add_special_tokens=False).ids).tobytes()
 
-    def _add(self, cache: dict[str, bytes], word: str, before: str) -> bytes:
+    def _add(self, cache: dict[str, bytes], word: str, before: str) -> bytes | None:
+        """The ids of a word; None where its white space may run on into its neighbours."""
+        if self.spaced:
+            if word[:1] == "\n":
+                before = ""
+            if not word or word[-1].isspace() or word.removeprefix("\n")[0].isspace():
+                return None
         if len(cache) >= CACHE_WORDS:
             cache.clear()
         if _BEYOND.search(word):
@@ -66,36 +72,37 @@ class LibraryEncoder:
                     if len(pieces) >= CACHE_PIECES:
                         pieces.clear()
                     letters = piece.encode().decode("latin-1").translate(_LETTERS)
-                    known = pieces[piece] = array("I", [t.id for t in self.model.tokenize(letters)]).tobytes()
+                    known = array("I", [t.id for t in self.model.tokenize(letters)]).tobytes()
+                    if len(piece) <= LONGEST_KEPT:
+                        pieces[piece] = known
                 ids += known
-        cache[word] = ids
+        if len(word) <= LONGEST_KEPT:
+            cache[word] = ids
         return ids
 
     def encode(self, text: str) -> bytes:
         if not text:
             return b""
-        inner, add = self.inner, self._add
-        if not self.spaced:
-            if _SEPARATORS.search(text):
+        if self.spaced:
+            words = text.replace("\n", " \n").split(" ")
+            head = words[0]
+            begin = self.first.get(head)
+            if begin is None and (begin := self._add(self.first, head, "")) is None:
+                return self._library(text)
+            del words[0]
+        else:
+            if any(c in text for c in _SEPARATORS):
                 return self._library(text)  # str.split() parts words there, the library doesn't
-            words = text.split()
-            found = list(map(inner.get, words))
-            if None in found:
-                found = [add(inner, w, "") if f is None else f for f, w in zip(found, words, strict=True)]
-            return b"".join(found)
-        if _WHITE_RUN.search(text):
-            return self._library(text)
-        out = []
-        for n, line in enumerate(text.split("\n")):
-            if n:
-                out.append(self.line_feed)
-            head, *words = line.split(" ")
-            out.append(self.first.get(head) or add(self.first, head, ""))
-            found = list(map(inner.get, words))
-            if None in found:
-                found = [add(inner, w, " ") if f is None else f for f, w in zip(found, words, strict=True)]
-            out += found
-        return b"".join(out)
+            words, begin = text.split(), b""
+        found = list(map(self.inner.get, words))
+        if None in found:
+            at = -1
+            for _ in range(found.count(None)):
+                at = found.index(None, at + 1)
+                if (ids := self._add(self.inner, words[at], " ")) is None:
+                    return self._library(text)
+                found[at] = ids
+        return begin + b"".join(found)
 
 
 _encoders: dict[str, LibraryEncoder] = {}
