@@ -33,7 +33,7 @@ def json_files(spark: SparkSession, glob: str, schema: str) -> DataFrame:
 
 def front_matter(spark: SparkSession, glob: str) -> DataFrame:
     """Whole text files: the keys between two lines of three hyphens, quotes taken off, and the body after them."""
-    whole = spark.read.option("wholetext", True).text(glob).select("value", F.col("_metadata.file_path").alias("path"))
+    whole = spark.read.text(glob, wholetext=True).select("value", F.col("_metadata.file_path").alias("path"))
     head = F.regexp_extract("value", r"^---\n([\s\S]*?)\n---\n", 1)
     body = F.regexp_replace("value", r"^---\n[\s\S]*?\n---\n", "")
     pairs = F.filter(F.split(head, "\n"), lambda x: F.contains(x, F.lit(":")))
