@@ -35,7 +35,7 @@ _SPAN = WINDOW - SHINGLE + 1  # shingles of a window
 #: Bits of the filter of repeated anchors that is sent to the workers: between these bounds, 16 for each anchor.
 FILTER_BITS = (20, 28)
 #: Bytes of segments that a task collapses before it gives them out, and that one index holds, about.
-COLLAPSE_BYTES, SHARD_BYTES = 24 << 20, 12 << 20
+COLLAPSE_BYTES, SHARD_BYTES = 16 << 20, 8 << 20
 _M1, _M2, _ROOT = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), 0x9E3779B97F4A7C15
 
 
