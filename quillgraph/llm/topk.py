@@ -114,7 +114,8 @@ class BoundedReader:
             self._some(slice(at, at + QUERY_ROWS), keys, block, lists)
 
     def _some(self, part: slice, keys: np.ndarray, block: np.ndarray, lists: SortedLists) -> None:
-        q, own, bar = self.q[part], self.ids[part], self.bar[part]
+        q, bar = self.q[part], self.bar[part]
+        mine = keys[None, :] == self.ids[part][:, None]  # any number of rows may be the query's own
         frontier, tail = lists.frontiers(q), lists.tails(q)
         unsure = frontier[:, :, :-1] - tail[:, :, None]  # what reading a run, and those after it, can tell
         for share in READS:
@@ -124,15 +125,14 @@ class BoundedReader:
             depth = (unsure > -np.reshape(limit, (-1, 1, 1)) if share < 1 else np.ones_like(unsure, bool)).sum(axis=2)
             front = np.take_along_axis(frontier, depth[:, :, None], axis=2)[:, :, 0]
             upper = lists.bound(q, depth, front)
-            if not np.isfinite(bar).all() and len(block) > self.k:  # one row of the block may be the query's own
-                lower = lists.bound(q, depth, tail)
-                bar = np.maximum(bar, np.partition(lower, len(block) - self.k - 1, axis=1)[:, len(block) - self.k - 1] - lists.slack(q))
-            able = upper + lists.slack(q)[:, None] >= bar[:, None]
+            if not np.isfinite(bar).all() and len(block) >= self.k:
+                lower = np.where(mine, -np.inf, lists.bound(q, depth, tail))
+                bar = np.maximum(bar, np.partition(lower, len(block) - self.k, axis=1)[:, len(block) - self.k] - lists.slack(q))
+            able = (upper + lists.slack(q)[:, None] >= bar[:, None]) & ~mine
             if able.sum() <= FEW * able.size:
                 break
         for i in range(len(q)):
             rows = np.flatnonzero(able[i])
-            rows = rows[keys[rows] != own[i]]
             if len(rows):
                 self._take(part.start + i, keys[rows], block[rows] @ q[i])
 

@@ -303,6 +303,21 @@ def test_top_k_is_exact(scale):
             assert reader.best[i][1].tolist() == want and [int(s) for s in reader.best[i][0]] == [score[c] for c in want]
 
 
+def test_top_k_of_a_repeated_query():
+    rng = np.random.default_rng(4)
+    x = np.floor(256 * rng.standard_normal((400, 8)))
+    keys = np.arange(400)
+    keys[100:220], x[100:220] = 0, x[0]  # more than k copies of a query, which score best
+    keys[230:240], x[230:240] = 7, 3 * x[7]
+    reader = topk.BoundedReader(np.array([0, 7, 14]), x[[0, 7, 14]], 5)
+    for at in range(0, 400, 200):
+        reader.read(keys[at : at + 200], x[at : at + 200])
+    for i, q in enumerate((0, 7, 14)):
+        scores = x @ x[q]
+        want = sorted(((-s, c) for s, c in zip(scores, keys, strict=True) if c != q))[:5]
+        assert list(zip((-reader.best[i][0]).tolist(), reader.best[i][1].tolist(), strict=True)) == want
+
+
 def test_boosted_trees_learn():
     rng = np.random.default_rng(2)
     x = rng.standard_normal((2000, 5))
