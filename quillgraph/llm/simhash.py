@@ -133,12 +133,15 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def _least(rows: DataFrame) -> DataFrame:
-    """``fp, component_id`` of every distinct fingerprint of ``rows`` (``doc_id, fp``)."""
+    """``fp, root, component_id`` of every distinct fingerprint of ``rows`` (``doc_id, fp``).
+
+    ``root``, the smallest fingerprint, is a component's own; ids that are null or come with several texts may be shared.
+    """
     groups = stored(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "fingerprint-groups")
     label = components(stored(links(groups, groups.count()), "fingerprint-links"))
     rooted = groups.join(label.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    return rooted.join(least, "root").select("fp", "component_id")
+    return rooted.join(least, "root").select("fp", "root", "component_id")
 
 
 def representatives(docs: DataFrame) -> DataFrame:
@@ -146,11 +149,14 @@ def representatives(docs: DataFrame) -> DataFrame:
 
     Rows that share that ``doc_id`` are told apart by a hash of their texts, and
     copies of one row stay as often as they come only if they are equal in both.
-    A component of null ids alone keeps the rows of its least text hash.
+    A component of null ids alone keeps the rows of its least text hash.  Components
+    are told apart by their roots: those that share an id, or have none, each keep one.
     """
     keyed = carried(docs).withColumn("text_key", F.xxhash64("text"))
     rows = stored(fingerprints(docs, keep_key=True), "fingerprints")
     found = rows.join(_least(rows.select("doc_id", "fp")), "fp").where("doc_id <=> component_id")
     # of a component's rows with the smallest id, the least text hash; rows are few where ids are unique
-    stay = found.groupBy("component_id", "fp").agg(F.min("text_key").alias("text_key")).groupBy(F.col("component_id").alias("stay_id")).agg(F.min("text_key").alias("stay_key"))
+    least = found.groupBy("root", "fp").agg(F.min("component_id").alias("id"), F.min("text_key").alias("text_key"))
+    stay = least.groupBy("root").agg(F.min("id").alias("stay_id"), F.min("text_key").alias("stay_key"))
+    # equal texts are of one component, so id and text hash name its rows alone
     return restored(keyed.join(stay.hint("shuffle_hash"), keyed.doc_id.eqNullSafe(stay.stay_id) & (keyed.text_key == stay.stay_key), "left_semi"), docs)

@@ -154,6 +154,16 @@ def test_near_duplicates(odd, none):
     assert count(simhash.near_duplicates(none)) == 0 == count(simhash.representatives(none))
 
 
+def test_every_component_has_a_representative(spark, odd):
+    stay = [(r.doc_id, r.text) for r in simhash.representatives(odd).collect()]
+    assert (None, "a null id") in stay and (10, "same id, one text") in stay and (10, "same id, another text") in stay
+    words = [" ".join(f"{a}{i}" for i in range(30)) for a in "abcdefgh"]
+    rows = [(None, t) for t in words[:5]] + [(7, t) for t in words[5:]] + [(None, words[5]), (8, words[6]), (3, words[7]), (None, words[0].upper())]
+    got = [(r.doc_id, r.text) for r in simhash.representatives(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
+    assert len(got) == len(words) and {t.lower() for _, t in got} == {*words}  # one for each component
+    assert {(i, t) for i, t in got if i is not None} == {(7, words[5]), (7, words[6]), (3, words[7])}
+
+
 def test_components_of_a_long_chain(spark):
     words = [0]
     for i in range(60):
