@@ -1,11 +1,11 @@
 """Personal data by pattern, and the terms that give it away by co-occurrence.
 
 The patterns find e-mail and IP addresses, card and telephone numbers; each
-value found is a protected entity.  A term near an entity discloses it if
-seeing the term says much about the entity: of the texts with the term, a large
-part have it next to that entity, and the entity is far more likely there than
-in the corpus at large.  Such terms are marked wherever they stand, and
-``sanitised`` puts a general word in their place.
+value found is a protected entity.  A term that comes in one text with an entity
+discloses it if seeing the term says much about the entity: a large part of the
+texts with the term have the entity too, the term tells a large part of the
+entity's own surprisal, and chance doesn't explain it.  Such terms are marked
+wherever they stand, and ``sanitised`` puts a general word in their place.
 """
 
 from __future__ import annotations
@@ -29,16 +29,18 @@ _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _DIGIT, _NOT_DIGIT = re.compile("[0-9]"), re.compile("[^0-9]")
-_TERM = re.compile(r"[^\W\d_]{3,}")
-#: Terms on either side of an entity that are looked at.
-CONTEXT = 4
-#: A term is kept back if it stands near the entity in so many different texts, ...
+_TERM = re.compile(r"[^\W\d_]+")
+#: A term is kept back if it comes with the entity in so many different texts, ...
 LEAST_TEXTS = 3
-#: ... if at least this share of the texts with the term have it there (lower end of a 95 % interval), ...
+#: ... if at least this share of the texts with the term have the entity, ...
 LEAST_SHARE = 0.6
-#: ... and if it makes the entity likelier by this many bits.
+#: ... if it tells at least this part of the bits that the entity itself is worth, ...
+LEAST_PART = 0.5
+#: ... and if chance gives such a pair, among all pairs there are, with a probability of at most 2 to the power of minus this.
 LEAST_BITS = 6.0
-#: Buckets of the filter of candidate terms, and terms searched in one pass over the texts: what is sent out is bounded.
+#: Rows of pairs handed on at once, and words that a task counts before it hands them on.
+PAIR_ROWS, WORDS_HELD = 20_000, 200_000
+#: Buckets of the filters of entities and candidate terms, and terms searched in one pass over the texts: what is sent out is bounded.
 BUCKETS, TERMS_PER_PASS = 1 << 20, 1 << 18
 Span = tuple[int, int, int]  # kind, start, end
 
@@ -95,74 +97,145 @@ def term_word(term: str) -> int:
     return xxhash.xxh64_intdigest(term) - (1 << 63)
 
 
-def near_terms(text: str, spans: list[Span]) -> Iterator[tuple[str, int]]:
-    """(term, entity) of the terms around each entity, and ('', entity) for itself."""
-    for kind, start, end in spans:
-        entity = entity_of(kind, text[start:end])
-        yield "", entity
-        left = list(_TERM.finditer(text, max(0, start - 40 * CONTEXT), start))[-CONTEXT:]
-        right: list[re.Match] = []
-        for m in _TERM.finditer(text, end, end + 40 * CONTEXT):
-            right.append(m)
-            if len(right) == CONTEXT:
-                break
-        for m in [*left, *right]:
-            if outside(spans, *m.span()):
-                yield m[0].lower(), entity
+def terms_of(text: str) -> set[str]:
+    return {t.lower() for t in {*_TERM.findall(text)}}
 
 
-def _pairs(docs: DataFrame) -> DataFrame:
+def terms_beside(text: str, spans: list[Span]) -> set[str]:
+    """The terms of the whole text that no span touches."""
+    ends = sorted((a, b) for _, a, b in spans)
+    found, at, covered = set(), 0, 0
+    for m in _TERM.finditer(text):
+        while at < len(ends) and ends[at][0] < m.end():
+            covered = max(covered, ends[at][1])
+            at += 1
+        if covered <= m.start():
+            found.add(m[0])
+    return {t.lower() for t in found}
+
+
+def entities_of(text: str, spans: list[Span]) -> set[int]:
+    return {entity_of(kind, text[start:end]) for kind, start, end in spans}
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    return docs.select(F.xxhash64("text").alias("text_key"), "text")
+
+
+def _entities(docs: DataFrame) -> DataFrame:
+    """``entity, n_entity``: documents with each entity that is in enough different texts."""
+
     def make():
         def one(batch: pa.RecordBatch) -> pa.RecordBatch:
-            rows = [(term, entity, key) for key, text in zip(batch.column("text_key").to_pylist(), texts_of(batch), strict=True) for term, entity in sorted(set(near_terms(text, base_spans(text))))]
-            columns = list(zip(*rows, strict=True)) or [(), (), ()]
-            return pa.record_batch([pa.array(columns[0], pa.string()), pa.array(columns[1], pa.int64()), pa.array(columns[2], pa.int64())], ["term", "entity", "text_key"])
+            rows = [(entity, key) for key, text in zip(batch.column("text_key").to_pylist(), texts_of(batch), strict=True) for entity in entities_of(text, base_spans(text))]
+            columns = list(zip(*rows, strict=True)) or [(), ()]
+            return pa.record_batch([pa.array(c, pa.int64()) for c in columns], ["entity", "text_key"])
 
         return one
 
-    return arrow_map(docs.select(F.xxhash64("text").alias("text_key"), "text"), make, "term string, entity long, text_key long")
+    rows = arrow_map(_keyed(docs), make, "entity long, text_key long").groupBy("entity", "text_key").agg(F.count("*").alias("n"))
+    return rows.groupBy("entity").agg(F.sum("n").alias("n_entity"), F.count("*").alias("n_texts")).where(F.col("n_texts") >= LEAST_TEXTS).drop("n_texts")
 
 
-def _texts_with(docs: DataFrame, buckets: np.ndarray) -> DataFrame:
-    """``word, n``: texts with each term of the buckets, counted in batches."""
-    sent = docs.sparkSession.sparkContext.broadcast(np.packbits(buckets))
+def _pairs(docs: DataFrame, buckets: np.ndarray) -> DataFrame:
+    """``term, entity, n_both, n_texts``: documents and different texts with both, for the entities of the buckets.
 
-    def make():
+    With a null entity, ``n_both`` is the documents with the term and any of these entities.
+    """
+    spark = docs.sparkSession
+    batched(spark)
+    sent = spark.sparkContext.broadcast(np.packbits(buckets))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         wanted = np.unpackbits(sent.value).astype(bool)
+        held, n_held = [], 0
+        for batch in batches:
+            copies: dict[tuple[int, str], int] = {}
+            for key, text in zip(batch.column("text_key").to_pylist(), texts_of(batch), strict=True):
+                copies[key, text] = copies.get((key, text), 0) + 1
+            for (key, text), n in copies.items():
+                spans = base_spans(text)
+                entities = [e for e in entities_of(text, spans) if wanted[e & (BUCKETS - 1)]]
+                if not entities:
+                    continue
+                terms = pa.array(terms_beside(text, spans), pa.string())
+                for entity in [None, *entities]:
+                    which = pa.nulls(len(terms), pa.int64()) if entity is None else pa.array(np.full(len(terms), entity, np.int64))
+                    held.append(pa.record_batch([terms, which, *[pa.array(np.full(len(terms), x, np.int64)) for x in (0 if entity is None else key, n)]], ["term", "entity", "text_key", "n"]))
+                    n_held += len(terms)
+                    if n_held >= PAIR_ROWS:
+                        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+                        held, n_held = [], 0
+        if held:
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+
+    rows = _keyed(docs).mapInArrow(run, "term string, entity long, text_key long, n long").groupBy("term", "entity", "text_key").agg(F.sum("n").alias("n"))
+    return rows.groupBy("term", "entity").agg(F.sum("n").alias("n_both"), F.count("*").alias("n_texts"))
+
+
+def _buckets(hashes: DataFrame) -> np.ndarray:
+    """Which buckets the hashes fall into; the driver gets at most one row for each bucket."""
+    buckets = np.zeros(BUCKETS, bool)
+    column = hashes.columns[0]
+    buckets[[r.b for r in hashes.select(F.col(column).bitwiseAND(F.lit(BUCKETS - 1)).cast("int").alias("b")).distinct().collect()]] = True
+    return buckets
 
-        def one(batch: pa.RecordBatch) -> pa.RecordBatch:
-            found = []
-            for text in texts_of(batch):
-                words = np.array([xxhash.xxh64_intdigest(t) for t in {*_TERM.findall(text.lower())}], np.uint64)
-                found.append(words[wanted[(words & np.uint64(BUCKETS - 1)).astype(np.int64)]])
-            words, n = np.unique(np.concatenate(found), return_counts=True)
-            return pa.record_batch([pa.array((words ^ np.uint64(1 << 63)).view(np.int64)), pa.array(n.astype(np.int64))], ["word", "n"])
 
-        return one
+def _texts_with(docs: DataFrame, buckets: np.ndarray) -> DataFrame:
+    """``word, n_term``: texts with each term of the buckets, counted in tasks before they are shuffled."""
+    spark = docs.sparkSession
+    batched(spark)
+    sent = spark.sparkContext.broadcast(np.packbits(buckets))
 
-    return arrow_map(docs.select("text"), make, "word long, n long").groupBy("word").agg(F.sum("n").alias("n_term"))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        wanted = np.unpackbits(sent.value).astype(bool)
+        words, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+
+        def counted() -> pa.RecordBatch:
+            return pa.record_batch([pa.array((words ^ np.uint64(1 << 63)).view(np.int64)), pa.array(counts)], ["word", "n"])
+
+        for batch in batches:
+            found = [words]
+            for text in texts_of(batch):
+                new = np.array([xxhash.xxh64_intdigest(t) for t in terms_of(text)], np.uint64)
+                found.append(new[wanted[(new & np.uint64(BUCKETS - 1)).astype(np.int64)]])
+            every = np.concatenate(found)
+            weights = np.concatenate([counts, np.ones(len(every) - len(words), np.int64)])
+            words, place = np.unique(every, return_inverse=True)
+            counts = np.zeros(len(words), np.int64)
+            np.add.at(counts, place, weights)
+            if len(words) >= WORDS_HELD:
+                yield counted()
+                words, counts = words[:0], counts[:0]
+        if len(words):
+            yield counted()
+
+    return docs.select("text").mapInArrow(run, "word long, n long").groupBy("word").agg(F.sum("n").alias("n_term"))
 
 
 def disclosing_terms(docs: DataFrame) -> DataFrame:
     """``term``: the terms that disclose an entity, by the counts of all texts."""
     spark = docs.sparkSession
-    pairs = _pairs(docs).groupBy("term", "entity", "text_key").agg(F.count("*").alias("n"))
-    pairs = stored(pairs.groupBy("term", "entity").agg(F.sum("n").alias("n_both"), F.count("*").alias("n_texts")), "pii-pairs")
-    entities = pairs.where("term = ''").select("entity", F.col("n_both").alias("n_entity"))
-    near = pairs.where(f"term <> '' and n_texts >= {LEAST_TEXTS}").withColumn("word", _word("term"))
-    near = stored(near, "pii-candidates")
-    # at most one row for each bucket
-    some = [r.b for r in near.select((F.col("word").bitwiseAND(F.lit(BUCKETS - 1))).cast("int").alias("b")).distinct().collect()]
-    if not some:
+    entities = stored(_entities(docs), "pii-entities")
+    buckets = _buckets(entities.select("entity"))
+    if not buckets.any():
         return spark.createDataFrame([], "term string")
-    buckets = np.zeros(BUCKETS, bool)
-    buckets[some] = True
-    total = docs.count()
-    n, p, z = F.col("n_term"), F.col("n_both") / F.col("n_term"), 1.96
-    least = (p + z * z / (2 * n) - z * F.sqrt(p * (1 - p) / n + z * z / (4 * n * n))) / (1 + z * z / n)
-    bits = F.log2(p * F.lit(float(total)) / F.col("n_entity"))
-    rows = near.join(_texts_with(docs, buckets), "word").join(entities, "entity")
-    return stored(rows.where((least >= LEAST_SHARE) & (bits >= LEAST_BITS)).select("term").distinct(), "pii-terms")
+    pairs = stored(_pairs(docs, buckets), "pii-pairs")
+    # a term in too many documents with other entities can't reach the share, whatever the other documents hold
+    least = pairs.where("entity is null").select("term", F.col("n_both").alias("n_least"))
+    near = pairs.where(F.col("n_texts") >= LEAST_TEXTS).where("entity is not null").join(least, "term").where(F.col("n_both") >= LEAST_SHARE * F.col("n_least"))
+    near = stored(near.drop("n_least").withColumn("word", _word("term")), "pii-candidates")
+    buckets = _buckets(near.select("word"))
+    if not buckets.any():
+        return spark.createDataFrame([], "term string")
+    total, tried = float(docs.count()), pairs.where("entity is not null").count()
+    n, p, q = F.col("n_term"), F.col("n_both") / F.col("n_term"), F.col("n_entity") / F.lit(total)
+    told = F.log2(p / q)
+    # Chernoff: chance gives so large a share with a probability of at most 2 ** -(n * this)
+    against = p * told + F.when(p < 1, (1 - p) * F.log2((1 - p) / (1 - q))).otherwise(0.0)
+    rows = near.join(_texts_with(docs, buckets), "word").join(entities, "entity").where(F.col("n_entity") < total)
+    rows = rows.where((p >= LEAST_SHARE) & (told >= -LEAST_PART * F.log2(q)) & (n * against >= LEAST_BITS + float(np.log2(tried))))
+    return stored(rows.select("term").distinct(), "pii-terms")
 
 
 def _word(column: str):
@@ -206,8 +279,7 @@ def found(docs: DataFrame) -> DataFrame:
             for batch in batches:
                 spans = batch.column("spans").to_pylist()
                 for i, text in enumerate(texts_of(batch)):
-                    low = text.lower()
-                    if wanted.isdisjoint(_TERM.findall(low)):
+                    if wanted.isdisjoint(terms_of(text)):
                         continue
                     old = [(0, s["start"], s["end"]) for s in spans[i]]
                     spans[i] += [{"kind": "term", "start": m.start(), "end": m.end()} for m in _TERM.finditer(text) if m[0].lower() in wanted and outside(old, *m.span())]

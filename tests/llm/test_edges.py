@@ -141,6 +141,21 @@ def test_pii(spark, odd, none):
     assert pii.sanitised(docs.where("doc_id = 3 or doc_id >= 100 or doc_id < 40")).where("doc_id = 3").first().text == "number 3 of the <TERM> <EMAIL> list"
 
 
+def test_disclosure_by_whole_texts(spark):
+    # far from its entity, in three texts; of an entity in a third of the texts; in a corpus of 90; not for a word that is everywhere
+    far = " and ".join(["things"] * 60)
+    rare = [f"Li {far} number {i} asks jane@example.org" for i in range(3)]
+    hot = [f"item {i} {'quixley ' * (i % 2)}{far}\nwrite to desk@example.com" for i in range(300)]
+    rest = [f"number {i} asks and item {i} writes things to all" for i in range(600)]
+
+    def terms(texts):
+        return sorted(r.term for r in pii.disclosing_terms(spark.createDataFrame([(t,) for t in texts], "text string")).collect())
+
+    assert terms(rare + hot + rest) == ["li", "quixley", "write"]
+    assert terms(hot[:30] + rest[:60]) == ["quixley", "write"]
+    assert terms(hot[:30]) == []  # an entity that is in every text is given away by none
+
+
 def test_near_duplicates(odd, none):
     got = simhash.near_duplicates(odd).collect()
     assert len(got) == len(TEXTS)
