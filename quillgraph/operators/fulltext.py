@@ -68,11 +68,13 @@ def lookup(aliases: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     """Names to entities, best class first: 1 equal, 2 equal when squashed, 3 begins with it, 4 holds it, 5 trigrams.
 
     ``aliases``: ``alias, id, n``.  Classes 1 to 3 meet by equi-joins on the
-    name, its squash and its first three letters; 4 and 5 by trigrams.
+    name, its squash and its first letters, three or as many as the query has; 4
+    and 5 by trigrams.  A query without letters and digits begins no other name.
     """
     a = aliases.select("alias", "id", "n", norm("alias").alias("_norm")).withColumn("_sq", F.replace(F.col("_norm"), F.lit(" "), F.lit("")))
     q = queries.select("query", norm("query").alias("_q")).withColumn("_qs", F.replace(F.col("_q"), F.lit(" "), F.lit("")))
-    head = q.withColumn("_h", F.substring("_q", 1, 3)).join(a.withColumn("_h", F.substring("_norm", 1, 3)), "_h")
+    heads = F.array_distinct(F.array(*[F.substring("_norm", 1, i) for i in (1, 2, 3)]))
+    head = q.withColumn("_h", F.substring("_q", 1, 3)).join(a.withColumn("_h", F.explode(heads)), "_h")
     near = head.where("startswith(_norm, _q)").select("query", "alias", "id", "n", F.when(F.col("_norm") == F.col("_q"), 1).when(F.col("_sq") == F.col("_qs"), 2).otherwise(3).alias("match"))
     same = q.join(a, F.col("_qs") == F.col("_sq")).select("query", "alias", "id", "n", F.lit(2).alias("match"))
     grams = trigram_hits(a.select("alias").distinct(), q.select("query"), "alias", 0.6).join(a, "alias").join(q, "query")

@@ -84,3 +84,17 @@ def test_streaming_index_is_that_of_the_batch(spark, small, tmp_path):
     stream = ingest.stream_tables(spark, str(tmp_path / "in"), "doc_id long, text string")
     ingest.index_into(stream, str(tmp_path / "index"), str(tmp_path / "state")).awaitTermination(120)
     assert rows(spark.read.parquet(str(tmp_path / "index")).drop("batch")) == rows(fulltext.postings(docs))
+
+
+def test_lookup_by_one_or_two_letters(spark):
+    from quillgraph.operators import fulltext
+
+    names = ["ab", "abc", "abcde", "a", "ba", "Äbel", "xab"]
+    aliases = spark.createDataFrame([(n, i, 1) for i, n in enumerate(names)], "alias string, id long, n long")
+    queries = spark.createDataFrame([("a",), ("ab",), ("abc",)], "query string")
+    got = {}
+    for r in fulltext.lookup(aliases, queries, 10).collect():
+        got.setdefault(r.query, {})[names[r.id]] = r.match
+    assert got["a"] == {"a": 1, "ab": 3, "abc": 3, "abcde": 3, "Äbel": 3}
+    assert got["ab"] == {"ab": 1, "abc": 3, "abcde": 3, "Äbel": 3}
+    assert got["abc"] == {"abc": 1, "abcde": 3}
