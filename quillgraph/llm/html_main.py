@@ -31,8 +31,8 @@ TRAINING_PAGES, SEED = 500, 11
 BLOCKS = frozenset("html body main article section div p ul ol li dl dt dd table thead tbody tfoot tr td th caption h1 h2 h3 h4 h5 h6 header footer nav aside form fieldset blockquote pre figure figcaption address details summary dialog menu hgroup center noscript title head template iframe".split())
 VOID = frozenset("area base br col embed hr img input link meta source track wbr param".split())
 #: Their content is no text of the page.
-RAW = ("script", "style", "textarea", "xmp")
-HIDDEN = frozenset("head title noscript template iframe select option button svg math object".split())
+RAW = ("script", "style", "textarea")
+HIDDEN = frozenset("head title noscript template iframe select option button svg".split())
 #: A start tag of these ends an open p; li, dt, dd, tr, td, th and option end one of their kind.
 _ENDS_P = BLOCKS - frozenset("html head body title noscript template iframe td th tr thead tbody tfoot caption".split())
 _PEERS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
@@ -114,9 +114,14 @@ def parse(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
             if tag == "hr":
                 flush()
             continue
-        if tag in RAW:
+        if tag in RAW or tag == "xmp":
+            begin = at
             end = re.compile(rf"</{tag}\b[^>]*>", re.IGNORECASE).search(page, at)
             at = end.end() if end else len(page)
+            if tag == "xmp":  # its text stands as it is, without tags or references
+                flush()
+                add(html.escape(page[begin : end.start() if end else len(page)], quote=False))
+                flush()
             continue
         if tag in ("html", "body") and any(t == tag for t, _ in stack[1:]) or tag == "html":
             continue
@@ -138,7 +143,7 @@ def parse(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
             close(1)
         if tag in BLOCKS:
             flush()
-            words = tuple(w.lower() for m in _ATTRIBUTE.finditer(token[3]) for w in _WORD.findall(m[1] or m[2] or m[3] or ""))[:12] if token[3] else ()
+            words = tuple(w.lower() for m in _ATTRIBUTE.finditer(token[3]) for w in _WORD.findall(m[1] or m[2] or m[3] or "")) if token[3] else ()
             parent = nodes[here]
             nodes.append(Node(tag, here, parent.depth + 1, len(parent.children), words))
             parent.children.append(len(nodes) - 1)

@@ -390,5 +390,12 @@ def test_blocks(page, want):
     assert [t for _, t in blocks if nodes[_].tag != "title"][: len(want)] == want
 
 
+def test_all_attribute_words_and_texts_are_read():
+    long = " ".join(["px mt grid flex"] * 10)
+    nodes, blocks = html_main.parse(f'<article><div class="{long} comments" id="sidebar"><p>a <math><mi>x</mi></math> <object>fallback</object></p><xmp>if a<b> &amp;</xmp></div></article>')
+    assert nodes[2].words[-2:] == ("comments", "sidebar")
+    assert [t for _, t in blocks] == ["a x fallback", "if a<b> &amp;"]
+
+
 def test_checksums_of_nothing():
     assert zlib.crc32(b"") == 0
