@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -135,13 +137,13 @@ def passages_kwic(spark: SparkSession, d: str) -> DataFrame:
 
 @query()
 def span_markup(spark: SparkSession, d: str) -> DataFrame:
-    rows = table(spark, d, "documents").where(F.col("text").contains("icense")).select("doc_id", F.substring("text", 1, 400).alias("text"), F.expr("filter(sequence(1, 380), i -> substring(text, i, 4) = ' the')").alias("at"))
+    rows = table(spark, d, "documents").where(F.col("text").contains("icense")).select("doc_id", "text")
 
     @F.pandas_udf("string")
-    def mark(text: pd.Series, at: pd.Series) -> pd.Series:
-        return pd.Series([P.marked_up(t, [(int(i), int(i) + 3, "w") for i in a]) for t, a in zip(text, at, strict=True)])
+    def mark(text: pd.Series) -> pd.Series:
+        return pd.Series([P.marked_up(t, [(m.start() + 1, m.end(), "w") for m in re.finditer(" the", t)]) for t in text])
 
-    return rows.select("doc_id", mark("text", "at").alias("marked"))
+    return rows.select("doc_id", mark("text").alias("marked"))
 
 
 @query(r"""

@@ -98,3 +98,14 @@ def test_lookup_by_one_or_two_letters(spark):
     assert got["a"] == {"a": 1, "ab": 3, "abc": 3, "abcde": 3, "Äbel": 3}
     assert got["ab"] == {"ab": 1, "abc": 3, "abcde": 3, "Äbel": 3}
     assert got["abc"] == {"abc": 1, "abcde": 3}
+
+
+def test_span_markup_reads_whole_texts(spark, tmp_path):
+    from quillgraph import catalog
+    from quillgraph.operators import passages
+
+    text = "A license. " + "x " * 300 + "at the end of the text"
+    spark.createDataFrame([(1, text)], "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = catalog.queries()["span_markup"](spark, str(tmp_path)).first().marked
+    first, last = text.index("the"), text.rindex("the")
+    assert got == passages.marked_up(text, [(first, first + 3, "w"), (last, last + 3, "w")]) and len(got) > len(text)
