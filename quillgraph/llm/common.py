@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import re
 import shutil
 import tempfile
 import uuid
@@ -20,9 +21,14 @@ _local_dir: list[str] = []
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder the cluster names in ``spark.checkpoint.dir``; a local one only if none is named."""
+    """The shared folder the cluster names in ``spark.checkpoint.dir``.
+
+    Where none is named, a temporary one, on a single machine alone; a cluster must name one.
+    """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not root:
+        if not re.fullmatch(r"local(\[[^]]*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         if not _local_dir:
             _local_dir.append(tempfile.mkdtemp(prefix="quillgraph-"))
             atexit.register(shutil.rmtree, _local_dir[0], True)

@@ -1,84 +1,85 @@
 """Exact removal of repeated word passages, found by an FM-index per shard.
 
 A window is 20 consecutive words.  Each window has an anchor: the least hash
-among its five-word shingles.  Windows of equal words have equal anchors, so a
-shard that holds every text around an anchor holds every copy of its windows.
-
-1. Anchors that occur once in the corpus are put aside (a count per anchor).
-2. The texts around the others, segments of consecutive windows with one anchor
-   position, are collapsed where equal within a task, which keeps the first
-   occurrence, and dealt to shards by anchor.
+among its five-word shingles.  Windows of equal words have equal anchors at
+equal places, so what stands around one anchor holds every copy of its windows.
+Consecutive windows with one anchor place are a segment.
+
+1. Anchors are counted, with the least and greatest hash of the segments around
+   them.  An anchor that occurs once is put aside.  One that always has the same
+   segment is plain: its first occurrence stays, the others go.
+2. The segments at mixed anchors, those with unlike surroundings, are collapsed
+   where equal within a task and dealt to shards by anchor.
 3. Each shard builds an FM-index of its segments, a wavelet matrix over the
    Burrows-Wheeler transform of their words, and streams the segments' windows
    through it by backward search.  A window whose interval holds an earlier
    place is repeated.
 4. Segments that come again take the verdict of their first occurrence, and
    every document removes the words of its repeated windows.
+
+A mixed anchor in more than ``HOT`` places (a common phrase) is not dealt to one
+shard: each of its windows is a segment of its own, and plain.
+
+Segments of one anchor are told apart by 64 bits that don't depend on the
+anchor's: m unlike segments of one anchor are taken for equal with a chance of
+m^2 / 2^65.  In the shards words are compared by their bytes.
 """
 
 from __future__ import annotations
 
 import hashlib
-import itertools
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillgraph.llm.common import arrow_map, batched, carried, parts_for, restored, stored, texts_of
+from quillgraph.llm.common import arrow_map, batched, carried, parts_for, restored, stored
+from quillgraph.llm.wordbytes import Words, mix
 
 WINDOW, SHINGLE = 20, 5
 _SPAN = WINDOW - SHINGLE + 1  # shingles of a window
-#: Bits of the filter of repeated anchors that is sent to the workers: between these bounds, 16 for each anchor.
+#: Bits of the filters of anchors that are sent to the workers: between these bounds, 16 for each repeated anchor.
 FILTER_BITS = (20, 28)
 #: Bytes of segments that a task collapses before it gives them out, and that one index holds, about.
-COLLAPSE_BYTES, SHARD_BYTES = 16 << 20, 8 << 20
-_M1, _M2, _ROOT = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), 0x9E3779B97F4A7C15
-
-
-def _mix(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(30))) * _M1
-    x = (x ^ (x >> np.uint64(27))) * _M2
-    return x ^ (x >> np.uint64(31))
-
-
+COLLAPSE_BYTES, SHARD_BYTES = 12 << 20, 6 << 20
+#: Places of a mixed anchor beyond which its windows go one by one.
+HOT = 10_000
+_ROOT = 0x9E3779B97F4A7C15
 _FACTORS = np.array([pow(_ROOT, i + 1, 2**64) for i in range(SHINGLE)], np.uint64)
 
 
-def words_of(text: str) -> list[bytes]:
-    """The words as UTF-8; bytes are split at exactly the six ASCII white-space characters."""
-    return text.encode("utf-8", "surrogatepass").split()
-
-
-def word_hashes(words: list[bytes]) -> np.ndarray:
-    return np.array(list(map(xxhash.xxh64_intdigest, words)), np.uint64)
-
+def segments(hashes: np.ndarray, first: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First window, number of windows, and anchor hash of each segment of texts of words with these hashes.
 
-def segments(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """First window, number of windows, and anchor hash of each segment of a document of 20 words or more."""
-    n = len(hashes) - SHINGLE + 1
-    shingles = np.zeros(n, np.uint64)
+    ``first``: where each text begins, and the end (none: it is one text).
+    """
+    n = len(hashes)
+    if n < WINDOW:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+    first = np.array([0, n]) if first is None else first
+    shingles = np.zeros(n - SHINGLE + 1, np.uint64)
     for i in range(SHINGLE):
-        shingles += hashes[i : i + n] * _FACTORS[i]
-    shingles = _mix(shingles)
-    view = np.lib.stride_tricks.sliding_window_view(shingles, _SPAN)
-    place = np.arange(len(view)) + view.argmin(axis=1)  # the leftmost least
-    first = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
-    return first, np.diff(np.append(first, len(place))), shingles[place[first]].view(np.int64)
+        shingles += hashes[i : i + len(shingles)] * _FACTORS[i]
+    shingles = mix(shingles)
+    least, place, reach = shingles, np.arange(len(shingles), dtype=np.int32), 1
+    while reach < _SPAN:  # the leftmost least of 2, 4, 8, 16 shingles
+        later = least[reach:] < least[:-reach]
+        least, place = np.where(later, least[reach:], least[:-reach]), np.where(later, place[reach:], place[:-reach])
+        reach *= 2
+    whole = np.flatnonzero(np.arange(WINDOW, n + 1) <= np.repeat(first[1:], np.diff(first))[: n - WINDOW + 1])  # windows within one text
+    place = place[whole]
+    new = np.flatnonzero(np.concatenate([np.ones(min(1, len(place)), bool), place[1:] != place[:-1]]))
+    return whole[new], np.diff(np.append(new, len(place))), shingles[place[new]].view(np.int64)
 
 
 def segment_hashes(hashes: np.ndarray, first: np.ndarray, count: np.ndarray) -> np.ndarray:
     """A hash of the words of each segment, from sums of the words' hashes times odd powers."""
     n = len(hashes)
-    powers = np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(n, _ROOT, np.uint64)]))
-    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(hashes * powers[:n])])
-    ends = first + count + WINDOW - 1
-    # (sum from start) * root^(n - start) doesn't depend on the start, but for root^n
-    shifted = (sums[ends] - sums[first]) * powers[n - first] * np.uint64(pow(pow(_ROOT, n, 2**64), -1, 2**64))
-    return _mix(shifted + count.astype(np.uint64)).view(np.int64)
+    powers, undo = (np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(n, root, np.uint64)])) for root in (_ROOT, pow(_ROOT, -1, 2**64)))
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(hashes) * powers[:n])])
+    return mix((sums[first + count + WINDOW - 1] - sums[first]) * undo[first] + count.astype(np.uint64)).view(np.int64)
 
 
 class WaveletMatrix:
@@ -160,19 +161,18 @@ class FMIndex:
 
 
 def repeated_windows(texts: list[bytes], n_windows: np.ndarray) -> list[bytes]:
-    """For segments in corpus order: a byte for each window, 1 if its words occur at an earlier place among them."""
-    codes: dict[bytes, int] = {}
-    split = [t.split(b" ") for t in texts]
-    flat: list[int] = []
-    begin = np.zeros(len(texts), np.int64)
-    for i, words in enumerate(split):
-        begin[i] = len(flat)
-        flat.extend([codes.setdefault(w, len(codes) + 1) for w in words])
-        flat.append(0)
-    text = np.array(flat, np.int64)
-    del split, flat
+    """For segments in corpus order, words joined by a space: a byte for each window, 1 if its words occur at an earlier place."""
+    data = b" ".join([*texts, b""])
+    ends = np.flatnonzero(np.frombuffer(data, np.uint8) == 0x20) + 1
+    words = pa.Array.from_buffers(pa.large_binary(), len(ends), [None, pa.py_buffer(np.concatenate([[0], ends])), pa.py_buffer(data)])
+    codes = words.dictionary_encode()
+    n_codes, lengths = len(codes.dictionary), n_windows + WINDOW - 1
+    begin = np.cumsum(lengths + 1) - lengths - 1
+    text = np.zeros(len(words) + len(texts), np.int64)  # 0 after each segment
+    text[np.arange(len(words)) + np.repeat(np.arange(len(texts)), lengths)] = codes.indices.to_numpy() + 1
+    del words, codes, data, ends
     # words that occur once can be one symbol: no window with such a word is searched
-    times = np.bincount(text, minlength=len(codes) + 1)
+    times = np.bincount(text, minlength=n_codes + 1)
     common = times > 1
     common[0] = True
     symbol = np.where(common, np.cumsum(common) - 1, int(common.sum()))
@@ -200,86 +200,110 @@ def repeated_windows(texts: list[bytes], n_windows: np.ndarray) -> list[bytes]:
 
 def _anchors(docs: DataFrame) -> DataFrame:
     def make():
-        def one(batch: pa.RecordBatch) -> pa.RecordBatch | None:
-            found = [segments(word_hashes(w))[2] for t in texts_of(batch) if len(w := words_of(t)) >= WINDOW]
-            return pa.record_batch([pa.array(np.concatenate(found))], ["anchor"]) if found else None
+        def one(batch: pa.RecordBatch) -> pa.RecordBatch:
+            words = Words(batch.column("text"))
+            hashes = words.hashes()
+            first, count, anchors = segments(hashes, words.first)
+            return pa.record_batch([pa.array(anchors), pa.array(segment_hashes(hashes, first, count))], ["anchor", "segment"])
 
         return one
 
-    return arrow_map(docs, make, "anchor long")
+    return arrow_map(docs, make, "anchor long, segment long")
+
+
+def repeated_anchors(docs: DataFrame, hot: int) -> DataFrame:
+    """``anchor, mixed, hot`` of the anchors that occur more than once."""
+    seen = _anchors(docs).groupBy("anchor").agg(F.count("*").alias("n"), F.min("segment").alias("low"), F.max("segment").alias("high")).where("n > 1")
+    mixed = F.col("low") != F.col("high")
+    return seen.select("anchor", mixed.alias("mixed"), (mixed & (F.col("n") > hot)).alias("hot"))
+
+
+class AnchorFilter:
+    """A bit for each hash of an anchor that is repeated, mixed, hot: what isn't set is not.  The size is bounded.
+
+    A bit that is set for another anchor costs work alone: a segment that needn't be looked at.
+    """
+
+    KINDS = ("repeated", "mixed", "hot")
 
+    def __init__(self, anchors: DataFrame, n: int):
+        self.bits = min(FILTER_BITS[1], max(FILTER_BITS[0], (16 * n).bit_length()))
+        place = F.shiftrightunsigned("anchor", 64 - self.bits)
+        mask = F.expr(f"shiftleft(1L, cast(shiftrightunsigned(anchor, {64 - self.bits}) & 63 as int))")
+        none = F.lit(0).cast("long")
+        sums = [F.bit_or(mask).alias("repeated"), *[F.bit_or(F.when(F.col(k), mask).otherwise(none)).alias(k) for k in self.KINDS[1:]]]
+        table = anchors.groupBy(F.shiftright(place, 6).cast("int").alias("word")).agg(*sums).toArrow()
+        self.words = {}
+        for kind in self.KINDS:
+            self.words[kind] = np.zeros(1 << (self.bits - 6), np.uint64)
+            self.words[kind][table.column("word").to_numpy()] = table.column(kind).to_numpy().view(np.uint64)
 
-def anchor_filter(repeated: DataFrame, n: int) -> tuple[np.ndarray, int]:
-    """A bit for each hash of a repeated anchor: what isn't set is not repeated.  Its size is bounded."""
-    bits = min(FILTER_BITS[1], max(FILTER_BITS[0], (16 * n).bit_length()))
-    place = F.shiftrightunsigned("anchor", 64 - bits)
-    packed = repeated.groupBy(F.shiftright(place, 6).cast("int").alias("word")).agg(F.bit_or(F.expr(f"shiftleft(1L, cast(shiftrightunsigned(anchor, {64 - bits}) & 63 as int))")).alias("mask"))
-    table = packed.toArrow()
-    words = np.zeros(1 << (bits - 6), np.uint64)
-    words[table.column("word").to_numpy()] = table.column("mask").to_numpy().view(np.uint64)
-    return words, bits
+    def has(self, kind: str, anchors: np.ndarray) -> np.ndarray:
+        place = anchors.view(np.uint64) >> np.uint64(64 - self.bits)
+        return (self.words[kind][(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63))) & np.uint64(1) == 1
 
 
-_OCCURRENCE = "doc_id long, text_key long, start int, n_windows int, anchor long, segment long, words binary, times long"
+_OCCURRENCE = "doc_id long, text_key long, start int, n_windows int, anchor long, segment long, mixed boolean, words binary, times long"
 
 
-def _occurrences(docs: DataFrame, words_filter: np.ndarray, bits: int) -> DataFrame:
-    """A narrow row for each segment at an anchor that may be repeated; and, with its words, each distinct one of a task, at its first place."""
+def _occurrences(docs: DataFrame, known: AnchorFilter) -> DataFrame:
+    """A narrow row for each segment at an anchor that may be repeated; at mixed anchors also, with its words, each distinct one of a task, at its first place."""
     batched(docs.sparkSession)
-    sent = docs.sparkSession.sparkContext.broadcast(words_filter)
+    sent = docs.sparkSession.sparkContext.broadcast(known)
     names = [c.split()[0] for c in _OCCURRENCE.split(", ")]
-    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.int64()]
+    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.bool_(), pa.binary(), pa.int64()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        mask, shift = sent.value, np.uint64(64 - bits)
+        known = sent.value
         distinct: dict[tuple[int, int], list] = {}  # (anchor, segment) -> [order, doc, windows, words, times]
         held = 0
 
         def flush() -> Iterator[pa.RecordBatch]:
             nonlocal held
-            rows = [(v[1], v[0][2], v[0][3], v[2], a, s, v[3], v[4]) for (a, s), v in distinct.items()]
+            rows = [(v[1], v[0][2], v[0][3], v[2], a, s, True, v[3], v[4]) for (a, s), v in distinct.items()]
             for at in range(0, len(rows), 8192):
                 yield pa.record_batch([pa.array(c, k) for c, k in zip(zip(*rows[at : at + 8192], strict=True), kinds, strict=True)], names)
             distinct.clear()
             held = 0
 
         for batch in batches:
-            narrow: list[tuple[np.ndarray, ...]] = []
-            numbers: list[int] = []
-            for number, (doc, key, text) in enumerate(zip(batch.column("doc_id").to_pylist(), batch.column("text_key").to_pylist(), texts_of(batch), strict=True)):
-                words = words_of(text)
-                if len(words) < WINDOW:
-                    continue
-                hashes = word_hashes(words)
-                first, count, anchors = segments(hashes)
-                place = anchors.view(np.uint64) >> shift
-                hit = (mask[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63))) & np.uint64(1) == 1
-                if not hit.any():
-                    continue
-                first, count, anchors = first[hit], count[hit], anchors[hit]
-                passages = segment_hashes(hashes, first, count)
-                narrow.append((first, count, anchors, passages))
-                numbers.append(number)
-                known_doc = doc is not None  # nulls first, as in the corpus order
-                for start, n, anchor, passage in zip(first.tolist(), count.tolist(), anchors.tolist(), passages.tolist(), strict=True):
-                    known = distinct.get((anchor, passage))
-                    if known is None:
-                        text_part = b" ".join(words[start : start + n + WINDOW - 1])
-                        distinct[anchor, passage] = [(known_doc, doc or 0, key, start), doc, n, text_part, 1]
-                        held += len(text_part) + 400
-                    else:
-                        known[4] += 1
-                        if (where := (known_doc, doc or 0, key, start)) < known[0]:
-                            known[0], known[1] = where, doc
+            words = Words(batch.column("text"))
+            hashes = words.hashes()
+            first, count, anchors = segments(hashes, words.first)
+            hit = np.flatnonzero(known.has("repeated", anchors))
+            if not len(hit):
+                continue
+            first, count, anchors = first[hit], count[hit], anchors[hit]
+            mixed, hot = known.has("mixed", anchors), known.has("hot", anchors)
+            if hot.any():  # every window of theirs by itself
+                n = count[hot]
+                single = np.repeat(first[hot] - np.cumsum(n) + n, n) + np.arange(n.sum())
+                first, count, anchors = np.concatenate([first[~hot], single]), np.concatenate([count[~hot], np.ones(len(single), np.int64)]), np.concatenate([anchors[~hot], np.repeat(anchors[hot], n)])
+                mixed = np.concatenate([mixed[~hot], np.zeros(len(single), bool)])
+            passages = segment_hashes(hashes, first, count)
+            owner = np.searchsorted(words.first, first, side="right") - 1
+            start = first - words.first[owner]
+            docs_of, keys_of = batch.column("doc_id").take(pa.array(owner)), batch.column("text_key").take(pa.array(owner))
+            nothing = pa.nulls(len(first), pa.binary()), pa.nulls(len(first), pa.int64())
+            whole = pa.record_batch([docs_of, keys_of, pa.array(start, pa.int32()), pa.array(count, pa.int32()), pa.array(anchors), pa.array(passages), pa.array(mixed), *nothing], names)
+            for at in range(0, len(first), 8192):
+                yield whole.slice(at, 8192)
+            if not (which := np.flatnonzero(mixed)).size:
+                continue
+            raw, taken = memoryview(words.data), pa.array(which)
+            places = zip(docs_of.take(taken).to_pylist(), keys_of.take(taken).to_pylist(), start[which].tolist(), count[which].tolist(), anchors[which].tolist(), passages[which].tolist(), words.starts[first[which]].tolist(), words.ends[first[which] + count[which] + WINDOW - 2].tolist(), strict=True)
+            for doc, key, at, n, anchor, passage, begin, end in places:
+                where = (doc is not None, doc or 0, key, at)  # nulls first, as in the corpus order
+                if (had := distinct.get((anchor, passage))) is None:
+                    part = b" ".join(bytes(raw[begin:end]).split())
+                    distinct[anchor, passage] = [where, doc, n, part, 1]
+                    held += len(part) + 400
+                else:
+                    had[4] += 1
+                    if where < had[0]:
+                        had[0], had[1] = where, doc
                 if held > COLLAPSE_BYTES:
                     yield from flush()
-            if narrow:
-                owner = pa.array(np.repeat(numbers, [len(x[0]) for x in narrow]))
-                first, count, anchors, passages = (np.concatenate(x) for x in zip(*narrow, strict=True))
-                columns = [batch.column("doc_id").take(owner), batch.column("text_key").take(owner), pa.array(first, pa.int32()), pa.array(count, pa.int32()), pa.array(anchors), pa.array(passages), pa.nulls(len(first), pa.binary()), pa.array(np.ones(len(first), np.int64))]
-                whole = pa.record_batch(columns, names)
-                for at in range(0, len(first), 8192):
-                    yield whole.slice(at, 8192)
         yield from flush()
 
     return docs.mapInArrow(run, _OCCURRENCE)
@@ -317,15 +341,13 @@ def _verdicts(shards: DataFrame) -> DataFrame:
     return shards.mapInArrow(run, schema)
 
 
-def _removed(batch: pa.RecordBatch, lengths: list[int]) -> list[np.ndarray | None]:
-    """For each row of ``lengths`` words, which of them a repeated window covers; None if no window is."""
-    marks = batch.column("marks")
+def _covered(words: Words, marks: pa.Array) -> np.ndarray:
+    """For each word of a batch, whether a repeated window covers it."""
     n_marks = np.array([n or 0 for n in marks.value_lengths().to_pylist()], np.int64)
-    base = np.concatenate([[0], np.cumsum(np.array(lengths, np.int64) + 1)])
-    change = np.zeros(int(base[-1]) + 1, np.int64)
+    change = np.zeros(len(words) + 1, np.int64)
     flat = marks.flatten()
     if len(flat):
-        start = np.repeat(base[:-1], n_marks) + flat.field("start").to_numpy(zero_copy_only=False)
+        start = np.repeat(words.first[:-1], n_marks) + flat.field("start").to_numpy(zero_copy_only=False)
         windows, verdict = flat.field("n_windows").to_numpy(zero_copy_only=False), flat.field("verdict")
         whole = ~np.asarray(verdict.is_valid())
         np.add.at(change, start[whole], 1)
@@ -337,8 +359,7 @@ def _removed(batch: pa.RecordBatch, lengths: list[int]) -> list[np.ndarray | Non
             at = at[said == 1]
             np.add.at(change, at, 1)
             np.add.at(change, at + WINDOW, -1)
-    covered = np.cumsum(change) > 0
-    return [covered[b : b + n] if m else None for b, n, m in zip(base.tolist(), lengths, n_marks.tolist(), strict=False)]
+    return np.cumsum(change[:-1]) > 0
 
 
 def marked(docs: DataFrame) -> DataFrame:
@@ -347,13 +368,15 @@ def marked(docs: DataFrame) -> DataFrame:
     batched(spark)
     keyed = docs.withColumn("text_key", F.xxhash64("text"))
     narrow = keyed.select("doc_id", "text_key", "text")
-    repeated = stored(_anchors(narrow.select("text")).groupBy("anchor").count().where("count > 1").select("anchor"), "anchors")
-    mask, bits = anchor_filter(repeated, repeated.count())
-    found = stored(_occurrences(narrow, mask, bits), "segments")
-    distinct = found.where("words is not null")
+    anchors = stored(repeated_anchors(narrow.select("text"), HOT), "anchors")
+    found = stored(_occurrences(narrow, AnchorFilter(anchors, anchors.count())), "segments")
+    places, distinct = found.where("words is null").drop("words", "times"), found.where("words is not null")
     total = distinct.agg(F.sum(F.length("words"))).first()[0] or 0
     verdicts = stored(_verdicts(distinct.repartition(parts_for(spark, total, SHARD_BYTES), "anchor")), "verdicts")
-    here = found.where("words is null").drop("words", "times").join(verdicts, ["anchor", "segment"])
+    where = F.struct("doc_id", "text_key", "start")
+    plain = places.where("not mixed").groupBy("anchor", "segment").agg(F.min(where).alias("at"), F.count("*").alias("n")).where("n > 1")
+    first = plain.select("anchor", "segment", F.col("at.doc_id").alias("first_doc"), F.col("at.text_key").alias("first_key"), F.col("at.start").alias("first_start"), F.lit(None).cast("binary").alias("verdict"))
+    here = places.join(verdicts.unionByName(first), ["anchor", "segment"])
     own = F.col("doc_id").eqNullSafe(F.col("first_doc")) & (F.col("text_key") == F.col("first_key")) & (F.col("start") == F.col("first_start"))
     rows = here.select("doc_id", "text_key", "start", "n_windows", F.when(own, F.col("verdict")).alias("verdict"), own.alias("own"))
     rows = rows.where("not own or instr(hex(verdict), '01') > 0").drop("own").dropDuplicates(["doc_id", "text_key", "start"])
@@ -367,19 +390,18 @@ def removals(docs: DataFrame) -> DataFrame:
     Windows are judged on the input: the first place, by ``doc_id`` (nulls
     first) and then position, stays.  Rows with equal ``doc_id`` and equal text
     are one document; rows that share an id alone are ordered by a hash of the
-    text.  Null and short texts lose nothing; other columns are dropped.
+    text.  Null and short texts lose nothing; other columns are dropped; an
+    empty table gives no rows.
     """
 
     def make():
         def one(batch: pa.RecordBatch) -> pa.RecordBatch:
-            n_words, n_removed, digest = [], [], []
-            every = [words_of(t) for t in texts_of(batch)]
-            for words, gone in zip(every, _removed(batch, list(map(len, every))), strict=True):
-                kept = words if gone is None else list(itertools.compress(words, (~gone).tolist()))
-                n_words.append(len(words))
-                n_removed.append(len(words) - len(kept))
-                digest.append(hashlib.sha256(b" ".join(kept)).hexdigest())
-            return pa.record_batch([batch.column("doc_id"), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(digest)], ["doc_id", "n_words", "n_removed", "kept_sha256"])
+            words = Words(batch.column("text"))
+            gone = _covered(words, batch.column("marks"))
+            data, offsets = words.joined(~gone)
+            n_removed = np.diff(np.concatenate([[0], np.cumsum(gone)])[words.first])
+            digest = [hashlib.sha256(data[a : max(a, b - 1)]).hexdigest() for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
+            return pa.record_batch([batch.column("doc_id"), pa.array(words.counts(), pa.int64()), pa.array(n_removed, pa.int64()), pa.array(digest)], ["doc_id", "n_words", "n_removed", "kept_sha256"])
 
         return one
 
@@ -389,7 +411,8 @@ def removals(docs: DataFrame) -> DataFrame:
 def without_repeats(docs: DataFrame) -> DataFrame:
     """``docs`` with repeated words cut out of ``text``; the white space around what stays is kept, and all columns.
 
-    A text that loses every word becomes empty; its row stays.
+    A removed word goes with the white space before it, but line ends stay.  A
+    text that loses every word becomes empty; its row stays.  Null texts stay null.
     """
     plain = carried(docs)
     columns = plain.columns
@@ -397,17 +420,20 @@ def without_repeats(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            words = Words(batch.column("text"))
+            gone = _covered(words, batch.column("marks"))
+            lost = np.flatnonzero(np.diff(np.concatenate([[0], np.cumsum(gone)])[words.first]))
             texts = batch.column("text").to_pylist()
-            every = [words_of(t or "") for t in texts]
-            for i, gone_words in enumerate(_removed(batch, list(map(len, every)))):
-                if gone_words is not None:
-                    data = texts[i].encode("utf-8", "surrogatepass")
-                    at, out = 0, []
-                    for word, gone in zip(every[i], gone_words.tolist(), strict=True):
-                        begin = data.index(word, at)
-                        out += [data[at:begin], word] if not gone else [data[at:begin] if b"\n" in data[at:begin] else b""]
-                        at = begin + len(word)
-                    texts[i] = (b"".join(out) + data[at:]).decode("utf-8", "surrogatepass").strip(" \t\n\v\f\r")
+            for i in lost.tolist():
+                base, mine = words.offsets[i], slice(words.first[i], words.first[i + 1])
+                data, starts, ends = words.data[base : words.offsets[i + 1] - 1], words.starts[mine] - base, words.ends[mine] - base
+                before = np.concatenate([[0], ends[:-1]])
+                lines = np.concatenate([[0], np.cumsum(data == 0x0A)])
+                begin = np.where(lines[starts] > lines[before], starts, before)
+                change = np.zeros(len(data) + 1, np.int64)
+                change[begin[gone[mine]]] += 1
+                change[ends[gone[mine]]] -= 1
+                texts[i] = data[np.cumsum(change[:-1]) == 0].tobytes().decode("utf-8", "surrogatepass").strip(" \t\n\v\f\r")
             kept = [pa.array(texts, pa.string()) if c == "text" else batch.column(c) for c in columns]
             yield pa.record_batch(kept, columns)
 

@@ -7,6 +7,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 import xxhash
@@ -15,6 +16,7 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from quillgraph.llm import boosting, bpe, html_main, library_ids, packing, pii, quality, resharding, simhash, substring, token_store, topk
+from quillgraph.llm.wordbytes import Words
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 ODD = ["", " ", "a  b", "\n\nx y", "x\t\ty", "it's  don't \n a b 　c", "日本語テスト 🙂🙂 x", "a" * 300, "x\x1cy \x85z", "é a", "A ΣΑΣ İx ſ µ ª", "<|endoftext|> a<|startoftext|>", "x­y £5½ 12³", " lead", "trail "]
@@ -244,7 +246,7 @@ def test_segments_cover_every_window_once_and_equal_windows_agree():
     words = [rng.choice([b"a", b"b", b"c"]) for _ in range(400)]
     anchor_of = {}
     for part in (words, words[37:300], [b"x"] * 90):
-        hashes = substring.word_hashes(part)
+        hashes = substring.Words(pa.array([b" ".join(part)])).hashes()
         first, count, anchors = substring.segments(hashes)
         passages = substring.segment_hashes(hashes, first, count)
         assert np.repeat(first, count).tolist() == first.repeat(count).tolist() and count.sum() == len(part) - 19
@@ -255,6 +257,33 @@ def test_segments_cover_every_window_once_and_equal_windows_agree():
                 assert anchor_of.setdefault(tuple(part[i : i + 20]), a) == a
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.none() | st.text(alphabet="ab \n\t\r\x0b\x0c\x1c\x85é日", max_size=40), max_size=6), st.randoms(use_true_random=False))
+def test_words_of_a_batch(texts, rng):
+    words = Words(pa.array(texts, pa.string()))
+    want = [re.findall(r"[^\x20\x09-\x0D]+", t or "") for t in texts]
+    flat = [w.encode() for t in want for w in t]
+    assert words.counts().tolist() == [len(w) for w in want]
+    assert [words.data[a:b].tobytes() for a, b in zip(words.starts, words.ends, strict=True)] == flat
+    assert len({*zip(words.hashes().tolist(), flat, strict=True)}) == len({*flat}) == len({*words.hashes().tolist()})
+    keep = np.array([rng.random() < 0.6 for _ in flat], bool)
+    data, offsets = words.joined(keep)
+    at = 0
+    for i, t in enumerate(want):
+        assert data[offsets[i] : offsets[i + 1]].tobytes() == b"".join(w.encode() + b" " for w, k in zip(t, keep[at : at + len(t)], strict=True) if k)
+        at += len(t)
+
+
+def test_hashes_of_long_words():
+    """Words that differ in one byte, of any length, differ in their hash, wherever they stand."""
+    rng = random.Random(1)
+    plain = [bytes([97]) * n for n in (*range(1, 40), 511, 512, 513, 3000)]
+    other = [w[: (k := rng.randrange(len(w)))] + b"b" + w[k + 1 :] for w in plain]
+    together = Words(pa.array([b"  ".join(plain + other)])).hashes()
+    assert len({*together.tolist()}) == 2 * len(plain)
+    assert together.tolist() == [int(Words(pa.array([b"x", b" " + w])).hashes()[1]) for w in plain + other]
+
+
 PATTERNS = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
 
 
