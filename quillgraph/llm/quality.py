@@ -1,13 +1,21 @@
 """Quality rules with risk-controlled thresholds.
 
 A rule is a score of a text in thousandths; a text fails it above a threshold.
-Thresholds are set per stratum from labelled holdouts: a threshold is admissible
-if an exact binomial test shows, at a level corrected for every rule and
-stratum, that at most ``RISK`` of the good texts fail.  Lower thresholds fail
-more texts, so each rule's thresholds are tested from the highest down and the
-first that can't be shown safe ends the sequence, which needs no correction
-within it.  Among the admissible ones the threshold that best parts bad from
-good is taken; a rule without one fails nothing.
+Thresholds of all rules are set together for each stratum, from labelled
+holdouts, so that at most ``RISK`` of the good texts fail any of them:
+
+1. A fifth of the labelled texts, by a hash of the id, and all bad ones, design a
+   path: threshold vectors that only get stricter, rule after rule.
+2. The other good texts test it.  Each step is tested by an exact binomial test of
+   the texts that fail any rule there, at a level divided by the number of strata.
+   Steps are nested, so they are tested in turn and the first that can't be shown
+   safe ends the path; that needs no correction within it.  The last safe step
+   gives the thresholds.
+
+The good texts meant are those that the fixed base rules pass: what these reject
+no threshold changes.  With chance ``1 - CONFIDENCE_LOSS`` the bound holds in all
+strata at once.  Strata with too few good texts for any test to pass are pooled,
+and the bound holds for the pool; a stratum without labels has no thresholds.
 """
 
 from __future__ import annotations
@@ -22,8 +30,10 @@ from pyspark.sql import functions as F
 
 from quillgraph.llm.common import arrow_map, batched, stored, texts_of
 
-#: Share of good texts that a rule may fail, and the chance that any threshold breaks that.
-RISK, CONFIDENCE_LOSS = 0.01, 0.05
+#: Share of a stratum's good texts that may fail any rule, and the chance that any stratum breaks that.
+RISK, CONFIDENCE_LOSS = 0.02, 0.05
+#: One in so many labelled good texts designs the path, the others test it; steps of the path for each rule.
+DESIGN, RULE_STEPS = 5, 8
 #: What a good text that fails costs, in bad texts that fail.
 COST_OF_GOOD = 20.0
 STEPS = 1000
@@ -81,58 +91,107 @@ def at_most(failures: int, n: int, share: float) -> float:
     return min(1.0, math.exp(top) * sum(math.exp(x - top) for x in logs))
 
 
-def choose(good: np.ndarray, bad: np.ndarray, level: float, risk: float = RISK) -> int:
-    """The threshold of one rule, from counts of good and bad texts by score; STEPS if none is better than keeping all."""
-    n_good, n_bad = int(good.sum()), int(bad.sum())
-    best, best_gain = STEPS, 0.0
-    failed_good = failed_bad = 0
-    for threshold in range(STEPS - 1, -1, -1):
-        failed_good += int(good[threshold + 1])
-        failed_bad += int(bad[threshold + 1])
-        if failed_good > risk * n_good or at_most(failed_good, n_good, risk) > level:
-            break
-        gain = failed_bad / max(1, n_bad) - COST_OF_GOOD * failed_good / max(1, n_good)
-        if gain > best_gain + 1e-12:
-            best, best_gain = threshold, gain
-    return best
+def wanted(good: np.ndarray, bad: np.ndarray) -> tuple[int, float]:
+    """The threshold of one rule that parts bad from good best, and its gain, from counts by score; STEPS if none does."""
+    n_good, n_bad = max(1, int(good.sum())), max(1, int(bad.sum()))
+    failed_good, failed_bad = (np.cumsum(x[::-1])[::-1][1:] for x in (good, bad))  # above each threshold
+    gain = failed_bad / n_bad - COST_OF_GOOD * failed_good / n_good
+    best = len(gain) - 1 - int(np.argmax(gain[::-1]))  # the highest of equals
+    return (best, float(gain[best])) if gain[best] > 1e-12 else (STEPS, 0.0)
+
+
+def path(good: np.ndarray, bad: np.ndarray) -> list[list[int]]:
+    """Threshold vectors that only get stricter, from design counts ``[rule, score]``: the rule that gains most first.
+
+    A rule comes down to its wanted threshold in ``RULE_STEPS`` steps of about as many bad texts.
+    """
+    aims = [wanted(g, b) for g, b in zip(good, bad, strict=True)]
+    at, out = [STEPS] * len(aims), []
+    for rule in sorted(range(len(aims)), key=lambda r: (-aims[r][1], r)):
+        aim = aims[rule][0]
+        if aim == STEPS:
+            continue
+        above = np.cumsum(bad[rule][::-1])[::-1][1:]
+        for step in range(1, RULE_STEPS + 1):
+            enough = np.flatnonzero(above[aim:] >= step / RULE_STEPS * above[aim])
+            limit = aim + int(enough[-1]) if step < RULE_STEPS else aim
+            if limit < at[rule]:
+                at[rule] = limit
+                out.append(list(at))
+    return out
+
+
+def least_tested(level: float, risk: float = RISK) -> int:
+    """Good texts without a failure that a test at ``level`` needs."""
+    return math.ceil(math.log(level) / math.log1p(-risk))
+
+
+def safe_steps(failures: list[int], n: int, level: float, risk: float = RISK) -> int:
+    """Steps of a path that are shown safe: ``failures[k]`` of ``n`` good texts fail at step k."""
+    for k, failed in enumerate(failures):
+        if failed > risk * n or at_most(failed, n, risk) > level:
+            return k
+    return len(failures)
 
 
 def thresholds(measures: DataFrame, labels: DataFrame, risk: float = RISK, loss: float = CONFIDENCE_LOSS) -> DataFrame:
     """``stratum, limits array<int>``: the thresholds by rule, from every labelled document.
 
-    ``labels``: ``doc_id, quality`` (1: good).  A document with several labels is
-    good if all say so; null labels count for nothing.  What is gathered is a
-    count for each stratum, rule and score, whatever the input's size.
+    ``measures``: of ``features``.  ``labels``: ``doc_id, quality`` (1: good).  A
+    document with several labels is good if all say so; null labels count for
+    nothing; rows that repeat count once.  What is gathered is counts for each
+    stratum, rule and score, and for each stratum and step, whatever the input's size.
     """
-    said = labels.where("quality is not null and doc_id is not null").groupBy("doc_id").agg(F.min("quality").alias("quality"))
-    marked = measures.join(said, "doc_id").select("stratum", (F.col("quality") > 0).alias("good"), F.posexplode("scores").alias("rule", "score"))
     batched(measures.sparkSession)
-    counts = marked.groupBy("stratum", "rule", "score").agg(F.count_if("good").alias("n_good"), F.count_if(~F.col("good")).alias("n_bad"))
-    counts = stored(counts, "quality-counts")
-    level = loss / (len(RULES) * max(1, counts.select("stratum").distinct().count()))
-
-    def of_rule(rows: pd.DataFrame) -> pd.DataFrame:
-        good, bad = (np.bincount(rows.score, rows[c], STEPS + 1).astype(np.int64) for c in ("n_good", "n_bad"))
-        return pd.DataFrame({"stratum": rows.stratum.iloc[:1], "rule": rows.rule.iloc[:1], "limit": choose(good, bad, level, risk)})
-
-    chosen = counts.groupBy("stratum", "rule").applyInPandas(of_rule, "stratum string, rule int, limit int")
-    by_rule = F.array_sort(F.collect_list(F.struct("rule", "limit")))
-    return chosen.groupBy("stratum").agg(F.transform(by_rule, lambda x: x["limit"]).alias("limits"))
+    said = labels.where("quality is not null and doc_id is not null").groupBy("doc_id").agg(F.min("quality").alias("quality"))
+    role = F.when(F.col("quality") <= 0, "bad").when(F.pmod(F.xxhash64("doc_id"), F.lit(DESIGN)) == 0, "design").otherwise("test")
+    rows = measures.where(~_base_failed()).join(said, "doc_id").select("doc_id", "stratum", role.alias("role"), "scores").distinct()
+    rows = stored(rows, "quality-labelled")
+    sizes = rows.groupBy("stratum").agg(F.count_if(F.col("role") == "test").alias("n"))
+    most = max(1, sizes.count())
+    pooled = F.when(F.col("n") >= least_tested(loss / most, risk), F.col("stratum"))
+    groups = stored(sizes.select("stratum", F.struct(pooled.alias("own")).alias("group")), "quality-groups")  # a null name is the pool's
+    level = loss / max(1, groups.select("group").distinct().count())
+    rows = rows.join(groups, "stratum")
+    counts = rows.where("role <> 'test'").select("group", "role", F.posexplode("scores").alias("rule", "score")).groupBy("group", "rule", "score").agg(F.count_if(F.col("role") == "design").alias("n_good"), F.count_if(F.col("role") == "bad").alias("n_bad"))
+
+    def designed(part: pd.DataFrame) -> pd.DataFrame:
+        good, bad = np.zeros((2, len(RULES), STEPS + 1), np.int64)
+        np.add.at(good, (part.rule, part.score), part.n_good)
+        np.add.at(bad, (part.rule, part.score), part.n_bad)
+        return pd.DataFrame({"group": part.group.iloc[:1], "steps": [path(good, bad)]})
+
+    steps = stored(counts.select(F.to_json("group").alias("group"), "rule", "score", "n_good", "n_bad").groupBy("group").applyInPandas(designed, "group string, steps array<array<int>>"), "quality-paths")
+    over = lambda limits: F.exists(F.zip_with("scores", limits, lambda score, limit: score > limit), lambda x: x)
+    tested = rows.where("role = 'test'").withColumn("group", F.to_json("group")).join(steps, "group")
+    failing = tested.select("group", F.size(F.filter("steps", lambda limits: ~over(limits))).alias("step")).groupBy("group", "step").count()  # steps are nested: those it passes come first
+
+    def shown(part: pd.DataFrame) -> pd.DataFrame:
+        walk = [list(map(int, x)) for x in part.steps.iloc[0]]
+        first = np.bincount(part.step, part["count"], len(walk) + 1).astype(np.int64)
+        safe = safe_steps(np.cumsum(first)[: len(walk)].tolist(), int(first.sum()), level, risk)
+        return pd.DataFrame({"group": part.group.iloc[:1], "limits": [walk[safe - 1] if safe else [STEPS] * len(RULES)]})
+
+    limits = failing.join(steps, "group").groupBy("group").applyInPandas(shown, "group string, limits array<int>")
+    return groups.withColumn("group", F.to_json("group")).join(limits, "group").select("stratum", "limits")
+
+
+def _base_failed():
+    return (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
 
 
 def judged(docs: DataFrame, labels: DataFrame, stratum: str = "lang") -> DataFrame:
     """The base counts, ``base_failed`` and ``kept`` of every row of ``docs``.
 
     Null and empty texts have no words and fail the base rules.  A stratum
-    without labels, or with too few to show any threshold safe, is judged by the
-    base rules alone.  Rows that repeat are judged alike; other columns are
+    without labels is judged by the base rules alone, as is a pool with too few
+    good texts to show any threshold safe.  Rows that repeat are judged alike; other columns are
     dropped; an empty table gives no rows.
     """
     measures = stored(features(docs, stratum), "quality-features")
     limits = stored(thresholds(measures, labels), "quality-limits")
     over = F.exists(F.zip_with("scores", "limits", lambda score, limit: score > limit), lambda x: x)
-    base = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    rows = measures.join(limits, "stratum", "left").withColumn("base_failed", base)
+    rows = measures.join(limits, "stratum", "left").withColumn("base_failed", _base_failed())
     kept = ~F.col("base_failed") & ~F.coalesce(over, F.lit(False))
     return rows.select("doc_id", *[c.split()[0] for c in COUNTS.split(", ")], "base_failed", kept.alias("kept"))
 

@@ -62,23 +62,38 @@ def test_pages_of_the_table(spark, small):
         assert r.text == "\n".join(want)
 
 
-def brute_quality(docs, labels):
-    """Ids that stay, with thresholds from plain counts."""
-    marks = {}
-    for doc, mark in labels:
-        marks[doc] = min(mark, marks.get(doc, 1))
+def base_failed(counts):
+    return counts[0] < 50 or 100 * counts[4] > 50 * counts[0]
+
+
+def brute_quality(spark, docs, labels):
+    """Ids that stay, with thresholds from plain lists of labelled texts."""
+    ids = sorted({i for i, _ in labels})
+    hashed = {r.i: r.h for r in spark.createDataFrame([(i,) for i in ids], "i long").select("i", F.pmod(F.xxhash64("i"), F.lit(quality.DESIGN)).alias("h")).collect()}
+    marks = {i: min(m for d, m in labels if d == i) for i in ids}
     scored = {i: quality.measured(t or "") for i, t, _ in docs}
-    strata = {lang for i, _, lang in docs if i in marks}
+    of = {}
+    for i, _, lang in docs:
+        if i in marks and not base_failed(scored[i][0]):
+            role = "bad" if not marks[i] else "test" if hashed[i] else "design"
+            of.setdefault(lang, []).append((role, scored[i][1]))
+    enough = {g: sum(r == "test" for r, _ in x) >= quality.least_tested(quality.CONFIDENCE_LOSS / len(of)) for g, x in of.items()}
+    groups = {}
+    for g, x in of.items():
+        groups.setdefault(g if enough[g] else None, []).extend(x)
     limits = {}
-    for lang in strata:
-        of = [(marks[i], scored[i][1]) for i, _, x in docs if i in marks and x == lang]
-        for rule in range(len(quality.RULES)):
-            good, bad = (np.bincount([s[rule] for m, s in of if m == want], minlength=quality.STEPS + 1) for want in (1, 0))
-            limits[lang, rule] = quality.choose(good, bad, quality.CONFIDENCE_LOSS / (len(quality.RULES) * len(strata)))
+    for g, x in groups.items():
+        good, bad = (np.array([np.bincount([s[k] for r, s in x if r == role], minlength=quality.STEPS + 1) for k in range(len(quality.RULES))]) for role in ("design", "bad"))
+        test, limits[g] = [s for r, s in x if r == "test"], [quality.STEPS] * len(quality.RULES)
+        for step in quality.path(good, bad):
+            failed = sum(any(a > b for a, b in zip(s, step, strict=True)) for s in test)
+            if quality.at_most(failed, len(test), quality.RISK) > quality.CONFIDENCE_LOSS / len(groups):
+                break
+            limits[g] = step
     out = set()
     for i, _, lang in docs:
-        (n, _, _, _, repeated), scores = scored[i]
-        if n >= 50 and 100 * repeated <= 50 * n and all(s <= limits.get((lang, k), quality.STEPS) for k, s in enumerate(scores)):
+        counts, scores = scored[i]
+        if not base_failed(counts) and (lang not in of or all(a <= b for a, b in zip(scores, limits[lang if enough[lang] else None], strict=True))):
             out.add(i)
     return out
 
@@ -92,7 +107,7 @@ def test_pipeline_stages(spark, small):
 
     kept = stages["quality"](spark, docs, small).cache()
     assert kept.columns == docs.columns
-    assert {r.doc_id for r in kept.collect()} == brute_quality(rows, labels)
+    assert {r.doc_id for r in kept.collect()} == brute_quality(spark, rows, labels)
 
     fps = {r.doc_id: simhash.fingerprint(r.text) for r in kept.collect()}
     root = {i: i for i in fps}
