@@ -19,7 +19,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from quillgraph.llm.common import arrow_map, texts_of
+from quillgraph.llm.common import arrow_map, kept, texts_of
 
 #: The pattern that splits text before the merges (a fixed value of the vocabulary).
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -196,17 +196,14 @@ class TextEncoder:
         return ids
 
 
-_encoders: dict[str, tuple[TextEncoder, list[bytes]]] = {}
-
-
 def encoder_for(data: bytes) -> tuple[TextEncoder, list[bytes]]:
     """This process's encoder of a rank file, and the decimal digits of each id."""
-    key = hashlib.sha256(data).hexdigest()
-    if key not in _encoders:
-        _encoders.clear()
+
+    def made() -> tuple[TextEncoder, list[bytes]]:
         bpe = PrefixBPE.from_tiktoken(data)
-        _encoders[key] = TextEncoder(bpe), [b"%d" % i for i in range(max(bpe.token) + 1)]
-    return _encoders[key]
+        return TextEncoder(bpe), [b"%d" % i for i in range(max(bpe.token) + 1)]
+
+    return kept(("ranks", hashlib.sha256(data).hexdigest()), made)
 
 
 def tokenized(docs: DataFrame, vocabulary: str) -> DataFrame:
@@ -226,7 +223,7 @@ def tokenized(docs: DataFrame, vocabulary: str) -> DataFrame:
 
         return one
 
-    return arrow_map(docs.select("doc_id", "text"), make, "doc_id long, ids array<int>")
+    return arrow_map(docs.select("doc_id", "text"), make, "doc_id long, ids array<int>", keeps=True)
 
 
 def round_trip(docs: DataFrame, vocabulary: str) -> DataFrame:
@@ -254,4 +251,4 @@ def round_trip(docs: DataFrame, vocabulary: str) -> DataFrame:
 
         return one
 
-    return arrow_map(docs.select("doc_id", "text"), make, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return arrow_map(docs.select("doc_id", "text"), make, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string", keeps=True)

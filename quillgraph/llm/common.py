@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
+import ctypes
 import re
 import shutil
 import tempfile
@@ -18,6 +20,7 @@ from quillgraph.session import shipped
 #: Rows and bytes handed to a Python worker at once; texts are long, so the default row count is too many.
 BATCH_ROWS, BATCH_BYTES = 512, 8 << 20
 _local_dir: list[str] = []
+_kept: dict[object, object] = {}
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -55,11 +58,33 @@ def batched(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
-def arrow_map(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch | None]], schema: str) -> DataFrame:
-    """``mapInArrow`` with a per-task setup: ``make()`` runs on the executor and returns the batch function."""
+def kept(key: object, make: Callable[[], object]):
+    """What ``make`` gives, kept in this worker between tasks; a worker keeps one such object at a time."""
+    if key not in _kept:
+        let_go()
+        _kept[key] = make()
+    return _kept[key]
+
+
+def let_go() -> None:
+    """Give back the memory of what this worker keeps: it turns to an operator that keeps nothing."""
+    if _kept:
+        _kept.clear()
+        pa.default_memory_pool().release_unused()
+        with contextlib.suppress(OSError, AttributeError):  # only glibc has it
+            ctypes.CDLL(None).malloc_trim(0)
+
+
+def arrow_map(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch | None]], schema: str, keeps: bool = False) -> DataFrame:
+    """``mapInArrow`` with a per-task setup: ``make()`` runs on the executor and returns the batch function.
+
+    ``keeps``: it takes an object from ``kept``.
+    """
     batched(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if not keeps:
+            let_go()
         one = make()
         for batch in batches:
             if batch.num_rows and (out := one(batch)) is not None and out.num_rows:

@@ -15,6 +15,8 @@ from array import array
 
 from tokenizers import Tokenizer
 
+from quillgraph.llm.common import kept
+
 #: Entries of a worker's caches of words and of pieces, each emptied when full, and the longest word that is kept.
 CACHE_WORDS, CACHE_PIECES, LONGEST_KEPT = 600_000, 500_000, 64
 _BEYOND = re.compile("[^\\t\\n\\r -~¡-ÿ]")
@@ -105,13 +107,6 @@ class LibraryEncoder:
         return begin + b"".join(found)
 
 
-_encoders: dict[str, LibraryEncoder] = {}
-
-
 def encoder_for(definition: bytes) -> LibraryEncoder:
     """This process's encoder of a tokenizer definition."""
-    key = hashlib.sha256(definition).hexdigest()
-    if key not in _encoders:
-        _encoders.clear()
-        _encoders[key] = LibraryEncoder(definition)
-    return _encoders[key]
+    return kept(("library", hashlib.sha256(definition).hexdigest()), lambda: LibraryEncoder(definition))

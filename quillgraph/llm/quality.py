@@ -203,14 +203,13 @@ STRATA_PER_PASS = 10_000
 def accepted(docs: DataFrame, labels: DataFrame, stratum: str = "lang") -> DataFrame:
     """The rows of ``docs`` that ``judged`` keeps, with all their columns.
 
-    Only labelled texts are measured for the thresholds; then every row is
-    measured where it lies, and no text is shuffled but the labelled ones.
+    Every text is measured where it lies, once for the thresholds and once
+    to be judged, so no text is shuffled.
     Thresholds are sent out for a bounded number of strata at a time; strata
     beyond them are judged in further passes.
     """
     spark = docs.sparkSession
-    marked = docs.join(labels.select("doc_id").where("doc_id is not null").distinct(), "doc_id", "left_semi")
-    limits = stored(thresholds(features(marked, stratum), labels), "quality-limits").where(f"exists(limits, x -> x < {STEPS})")
+    limits = stored(thresholds(features(docs, stratum), labels), "quality-limits").where(f"exists(limits, x -> x < {STEPS})")
     columns = docs.columns
     passes = max(1, -(-limits.count() // STRATA_PER_PASS))
     rows = docs

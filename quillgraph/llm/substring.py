@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillgraph.llm.common import arrow_map, batched, carried, parts_for, restored, stored
+from quillgraph.llm.common import arrow_map, batched, carried, let_go, parts_for, restored, stored
 from quillgraph.llm.wordbytes import Words, mix
 
 WINDOW, SHINGLE = 20, 5
@@ -254,6 +254,7 @@ def _occurrences(docs: DataFrame, known: AnchorFilter) -> DataFrame:
     kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.bool_(), pa.binary(), pa.int64()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         known = sent.value
         distinct: dict[tuple[int, int], list] = {}  # (anchor, segment) -> [order, doc, windows, words, times]
         held = 0
@@ -315,6 +316,7 @@ def _verdicts(shards: DataFrame) -> DataFrame:
     names = [c.split()[0] for c in schema.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         got = [b for b in batches if b.num_rows]
         if not got:
             return
@@ -419,6 +421,7 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     rows = marked(plain)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         for batch in batches:
             words = Words(batch.column("text"))
             gone = _covered(words, batch.column("marks"))
