@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillgraph.functions.text import fold, norm
+from quillgraph.operators.lineage import cut
 
 K1, B = 1.2, 0.75
 
@@ -21,22 +22,33 @@ def doc_stats(docs: DataFrame, text: str = "text") -> DataFrame:
     return docs.select("doc_id", F.size(F.regexp_extract_all(fold(text), F.lit("([a-z0-9]+)"), 1)).alias("length"))
 
 
+#: Distinct words of all queries up to which they are tested where the texts lie.
+TERMS_IN_PLAN = 1000
+
+
 def bm25(docs: DataFrame, queries: DataFrame, text: str = "text") -> DataFrame:
     """``query, doc_id, score``: BM25 of every document with a word of the query.
 
-    ``queries``: ``query, term``.  The words of the queries reach the postings
-    by a join on the term, so documents without them are never scored; the
-    corpus size and mean length are one row.
+    ``queries``: ``query, term``.  Every text is cut into words once, to its
+    length and the words that some query has; these narrow rows are kept in a
+    table, from which corpus size, mean length, document counts and scores come.
     """
-    stats = doc_stats(docs, text)
-    whole = stats.agg(F.count("*").alias("n_docs"), F.avg("length").alias("mean_length"))
-    wanted = queries.select("term").distinct()
-    post = postings(docs, text).join(wanted, "term", "left_semi")
+    words = F.regexp_extract_all(fold(text), F.lit("([a-z0-9]+)"), 1)
+    terms = [r.term for r in queries.select("term").distinct().limit(TERMS_IN_PLAN + 1).collect()]
+    if len(terms) <= TERMS_IN_PLAN:
+        rows = docs.select("doc_id", words.alias("_w")).select("doc_id", F.size("_w").alias("length"), F.filter("_w", lambda w: w.isin(*terms)).alias("_w"))
+        rows = cut(rows)
+        found = rows.select("doc_id", "length", F.explode("_w").alias("term"))
+    else:
+        rows = docs.select("doc_id", words.alias("_w"), F.size(words).alias("length"))
+        found = rows.select("doc_id", "length", F.explode("_w").alias("term")).join(queries.select("term").distinct(), "term", "left_semi")
+    whole = rows.agg(F.count("*").alias("n_docs"), F.avg("length").alias("mean_length"))
+    post = found.groupBy("doc_id", "length", "term").agg(F.count("*").alias("tf"))
     df = post.groupBy("term").agg(F.count("*").alias("df"))
-    rows = queries.join(df, "term").join(post, "term").join(stats, "doc_id").crossJoin(F.broadcast(whole))  # one row
+    scored = queries.join(df, "term").join(post, "term").crossJoin(F.broadcast(whole))  # one row
     idf = F.log(1 + (F.col("n_docs") - F.col("df") + 0.5) / (F.col("df") + 0.5))
     part = idf * F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("length") / F.col("mean_length")))
-    return rows.groupBy("query", "doc_id").agg(F.round(F.sum(part), 6).alias("score"))
+    return scored.groupBy("query", "doc_id").agg(F.round(F.sum(part), 6).alias("score"))
 
 
 def ranked(scores: DataFrame, k: int) -> DataFrame:

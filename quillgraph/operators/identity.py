@@ -6,48 +6,48 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from quillgraph.operators.lineage import cut
 
-def components(edges: DataFrame, rounds: int = 50) -> DataFrame:
+
+def components(edges: DataFrame) -> DataFrame:
     """``node, root``: the smallest node reachable over undirected links ``a, b``.
 
-    Alternating large and small stars; each round is cut off by ``checkpoint``
-    where a shared folder is set, and it ends when a round changes nothing.
+    Alternating large and small stars; each round is cut off from those before,
+    and it ends when a round changes nothing.
     """
-    spark = edges.sparkSession
-    keep = (lambda df: df.checkpoint()) if spark.sparkContext.getCheckpointDir() else (lambda df: df.persist())
-    current = keep(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
+    current = cut(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
     nodes = edges.select(F.col("a").alias("node")).union(edges.select("b")).distinct()
-    for _ in range(rounds):
+    while True:
         both = current.union(current.select("b", "a"))
         least = both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("m"))
         large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         pairs = F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b"))))
-        following = keep(large.join(low, "a").select(pairs.alias("e")).select("e.*").where("a <> b").distinct())
+        following = cut(large.join(low, "a").select(pairs.alias("e")).select("e.*").where("a <> b").distinct())
         same = following.exceptAll(current).isEmpty() and current.exceptAll(following).isEmpty()
         current = following
         if same:
             break
-    else:
-        raise RuntimeError(f"components are not stable after {rounds} rounds")
     return nodes.join(current.toDF("node", "m"), "node", "left").select("node", F.coalesce("m", "node").alias("root"))
 
 
-def redirect_closure(redirects: DataFrame, depth: int = 32) -> DataFrame:
+def redirect_closure(redirects: DataFrame) -> DataFrame:
     """``id, canonical``: where each id's redirects (``id -> target``, one each) end.
 
-    A walk that comes back to an id it has seen ends where it began.  Paths are
-    doubled, so ``depth`` bounds the rounds, not the length of a chain.
+    Targets are doubled: a round takes every id to its target's target, so a
+    chain of n takes log2(n) rounds, and the rounds end when one brings no
+    further id to an end.  What is left then walks in a circle, and such an id
+    is its own.
     """
-    step = redirects.select("id", "target")
-    walk = step.select("id", F.array("id", "target").alias("path"), F.lit(False).alias("cycle"))
-    for _ in range(depth):
-        end = F.element_at("path", -1)
-        grown = walk.withColumn("at", end).join(step.select(F.col("id").alias("at"), F.col("target").alias("next")), "at", "left")
-        more = F.col("next").isNotNull() & ~F.col("cycle")
-        seen = F.array_contains("path", F.col("next"))
-        walk = grown.select("id", F.when(more & ~seen, F.concat("path", F.array("next"))).otherwise(F.col("path")).alias("path"), (F.col("cycle") | (more & F.coalesce(seen, F.lit(False)))).alias("cycle"))
-    return walk.select("id", F.when(F.col("cycle"), F.col("id")).otherwise(F.element_at("path", -1)).alias("canonical"))
+    walk = cut(redirects.select("id", F.col("target").alias("at")))
+    before = None
+    while True:
+        following = walk.alias("w").join(walk.select(F.col("id").alias("_id"), F.col("at").alias("_at")), F.col("w.at") == F.col("_id"), "left")
+        following = cut(following.select("id", F.coalesce("_at", "at").alias("at"), F.col("_id").isNotNull().alias("moved")))
+        moved = following.where("moved").count()
+        if moved in (0, before):
+            return following.select("id", F.when(F.col("moved"), F.col("id")).otherwise(F.col("at")).alias("canonical"))
+        walk, before = following.select("id", "at"), moved
 
 
 def minted(rows: DataFrame, order: list[str], prefix: str) -> DataFrame:
@@ -123,14 +123,19 @@ def stable_ids(previous: DataFrame, current: DataFrame, name: str, old_id: str,
 
 
 def non_overlapping(spans: DataFrame, key: str, start: str, end: str) -> DataFrame:
-    """Of each key's spans keep the earliest, the longest of those, and drop what overlaps a kept one."""
+    """Of each key's spans keep the earliest, the longest of those, and drop what overlaps a kept one.
 
-    def one(rows: pd.DataFrame) -> pd.DataFrame:
-        last, keep = -1, []
-        for i, row in rows.sort_values([start, end], ascending=[True, False]).iterrows():
-            if row[start] >= last:
-                keep.append(i)
-                last = row[end]
-        return rows.loc[keep]
-
-    return spans.groupBy(key).applyInPandas(one, spans.schema)
+    Spans that hang together by overlaps are decided together, in one fold over
+    them; equal ones are one.  Other columns take no part and are dropped.
+    """
+    order = Window.partitionBy(key).orderBy(start, F.desc(end))
+    reach = F.max(end).over(order.rowsBetween(Window.unboundedPreceding, -1))
+    rows = spans.select(key, start, end).distinct().withColumn("_new", F.coalesce((F.col(start) >= reach).cast("int"), F.lit(1)))
+    rows = rows.withColumn("_chain", F.sum("_new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    kinds = dict(spans.dtypes)
+    kept = F.aggregate(
+        F.array_sort(F.collect_list(F.struct(F.col(start).alias("s"), (-F.col(end)).alias("e")))),
+        F.struct(F.lit(None).cast(kinds[end]).alias("last"), F.array().cast(f"array<struct<s:{kinds[start]},e:{kinds[end]}>>").alias("kept")),
+        lambda acc, x: F.when(acc["last"].isNull() | (x["s"] >= acc["last"]), F.struct((-x["e"]).cast(kinds[end]).alias("last"), F.concat(acc["kept"], F.array(F.struct(x["s"].alias("s"), (-x["e"]).cast(kinds[end]).alias("e")))).alias("kept"))).otherwise(acc),
+    )
+    return rows.groupBy(key, "_chain").agg(kept["kept"].alias("_kept")).select(key, F.explode("_kept").alias("_k")).select(key, F.col("_k.s").alias(start), F.col("_k.e").alias(end))

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillgraph.functions.text import fold, slug
+from quillgraph.operators.identity import non_overlapping
 
 
 def lines(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -44,22 +45,27 @@ def ngrams(tokens: Column, n: int) -> Column:
 
 
 def mentions(docs: DataFrame, gazetteer: DataFrame, longest: int) -> DataFrame:
-    """``doc_id, pos, n_tokens, surface, entity_id``: where surfaces of the gazetteer stand, the longest first.
+    """``doc_id, pos, n_tokens, surface, entity_id``: where surfaces of the gazetteer stand.
 
-    Runs of 1 to ``longest`` words meet the gazetteer by an equi-join on the
-    run, so its size doesn't matter.  A match that lies in a longer one that
-    begins at or before it is dropped.
+    Matches are taken from the left, the longest at each place, and none begins
+    within the one before.  Each text is cut into words once; only runs whose
+    first word begins a surface are built, and they meet the gazetteer by an
+    equi-join, so its size doesn't matter.  A surface of several entities gives a
+    row for each.
     """
     words = F.regexp_extract_all(fold("text"), F.lit("([a-z0-9]+)"), 1)
-    base = docs.select("doc_id", words.alias("_w"))
-    runs = None
-    for n in range(1, longest + 1):
-        part = base.select("doc_id", F.posexplode(ngrams(F.col("_w"), n)).alias("pos", "surface")).withColumn("n_tokens", F.lit(n))
-        runs = part if runs is None else runs.union(part)
-    hits = runs.join(gazetteer, "surface")
-    before = Window.partitionBy("doc_id").orderBy("pos", F.desc("n_tokens")).rowsBetween(Window.unboundedPreceding, -1)
-    covered = F.coalesce(F.max(F.col("pos") + F.col("n_tokens")).over(before), F.lit(-1)) >= F.col("pos") + F.col("n_tokens")
-    return hits.withColumn("_c", covered).where("not _c").select("doc_id", "pos", "n_tokens", "surface", "entity_id")
+    shifted = [F.col("_w"), *[F.slice("_w", n + 1, F.greatest(F.size("_w") - n, F.lit(0))) for n in range(1, longest)]]
+    names = [f"_{n}" for n in range(longest)]
+    zipped = F.arrays_zip(*[c.alias(n) for c, n in zip(shifted, names, strict=True)])
+    rows = docs.select("doc_id", words.alias("_w")).select("doc_id", F.posexplode(zipped).alias("pos", "_z")).select("doc_id", "pos", *[F.col("_z").getField(n).alias(n) for n in names])
+    surfaces = gazetteer.select("surface").where("surface is not null").distinct()
+    heads = surfaces.select(F.split("surface", " ")[0].alias("_0")).distinct()
+    rows = rows.join(heads, "_0", "left_semi")
+    runs = F.explode(F.array(*[F.struct(F.lit(n + 1).alias("n_tokens"), F.when(F.col(names[n]).isNotNull(), F.concat_ws(" ", *names[: n + 1])).alias("surface")) for n in range(longest)]))
+    hits = rows.select("doc_id", "pos", runs.alias("_r")).select("doc_id", "pos", "_r.*").join(surfaces, "surface", "left_semi")
+    hits = hits.select("doc_id", F.col("pos").alias("_s"), (F.col("pos") + F.col("n_tokens")).alias("_e"), "surface")
+    kept = non_overlapping(hits, "doc_id", "_s", "_e")
+    return kept.join(hits, ["doc_id", "_s", "_e"]).join(gazetteer, "surface").select("doc_id", F.col("_s").alias("pos"), (F.col("_e") - F.col("_s")).alias("n_tokens"), "surface", "entity_id")
 
 
 def confidence(cue: Column, n_tokens: Column, candidates: Column, in_table: Column, region_known: Column) -> Column:

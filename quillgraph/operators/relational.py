@@ -86,9 +86,15 @@ def gaps(rows: DataFrame, key: str, year: str, more_than: int) -> DataFrame:
 
 
 def suffixed(rows: DataFrame, base: str, order: Sequence[str], name: str) -> DataFrame:
-    """Settle equal ids in order: the first keeps it, then -2, -3, ..."""
+    """Settle equal ids in order: the first keeps it, then -2, -3, ..., but for numbers that make another row's own id."""
+    bases = rows.select(base).where(F.col(base).isNotNull()).distinct()
+    numbered = bases.select(F.regexp_extract(base, r"^(.*)-([1-9][0-9]{0,8})$", 1).alias("_b"), F.regexp_extract(base, r"^(.*)-([1-9][0-9]{0,8})$", 2).try_cast("int").alias("_k"))
+    taken = numbered.where("_k >= 2").groupBy("_b").agg(F.array_sort(F.collect_set("_k")).alias("_taken"))
     n = F.row_number().over(Window.partitionBy(base).orderBy(*order))
-    return rows.withColumn(name, F.when(n == 1, F.col(base)).otherwise(F.concat(F.col(base), F.lit("-"), n.cast("string"))))
+    placed = rows.withColumn("_n", n).join(taken, F.col(base) == F.col("_b"), "left")
+    # the n-th number from 2 that is not taken: taken ones below it push it up, in order
+    number = F.aggregate(F.coalesce("_taken", F.array().cast("array<int>")), F.col("_n"), lambda at, k: F.when(k <= at, at + 1).otherwise(at))
+    return placed.withColumn(name, F.when(F.col("_n") == 1, F.col(base)).otherwise(F.concat(F.col(base), F.lit("-"), number.cast("string")))).drop("_n", "_b", "_taken")
 
 
 def top_per_key(rows: DataFrame, keys: Sequence[str], order: Sequence[Column], k: int) -> DataFrame:

@@ -36,10 +36,14 @@ def mapped_series(label: Column, year: Column, rules: Sequence[tuple], ignored:
 
 
 def observations(cells: DataFrame, entity: str, year: str, rules: Sequence[tuple], ignored: str) -> DataFrame:
-    """``entity, year, series, value`` of the cells whose label has a series and whose cell has a number."""
-    series = mapped_series(norm("label"), F.col(year), rules, ignored)
-    rows = cells.withColumn("series", series).withColumn("value", parse_value("cell"))
-    return rows.where("series is not null and series <> 'ignored' and value is not null").select(entity, year, "series", "value")
+    """``entity, year, series, value`` of the cells whose label has a series and whose cell has a number.
+
+    The rules run over the distinct labels of each year alone; cells meet them by label and year.
+    """
+    labels = cells.select("label", year).distinct()
+    named = labels.withColumn("series", mapped_series(norm("label"), F.col(year), rules, ignored)).where("series is not null and series <> 'ignored'")
+    rows = cells.select(entity, year, "label", "cell").where("cell is not null").join(named, ["label", year])
+    return rows.withColumn("value", parse_value("cell")).where("value is not null").select(entity, year, "series", "value")
 
 
 def ledger_entries(rows: DataFrame, account: str, label: str, values: str) -> DataFrame:

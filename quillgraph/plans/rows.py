@@ -118,7 +118,7 @@ def components(spark: SparkSession, d: str) -> DataFrame:
 """)
 def redirect_closure(spark: SparkSession, d: str) -> DataFrame:
     t = table(spark, d, "supplier").where("s_suppkey % 10 <> 4").selectExpr("s_suppkey as id", "case when s_suppkey % 10 = 9 then s_suppkey - 2 else s_suppkey + 1 end as target")
-    return I.redirect_closure(t, 8)
+    return I.redirect_closure(t)
 
 
 @query("SELECT lower(p_name) AS alias, p_brand AS canonical, count(*) AS n FROM part GROUP BY ALL")

@@ -86,9 +86,11 @@ _GAZ = "g AS (SELECT DISTINCT lower(regexp_extract(text, '([A-Za-z]+)', 1)) AS s
 _TOK = "w AS (SELECT doc_id, regexp_extract_all(strip_accents(lower(text)), '[a-z0-9]+') AS w FROM documents)"
 _RUNS = f"""{_TOK}, r AS (SELECT doc_id, generate_subscripts(w, 1) - 1 AS pos, unnest(w) AS surface, 1 AS n_tokens FROM w UNION ALL
     SELECT doc_id, i AS pos, w[i + 1] || ' ' || w[i + 2], 2 FROM (SELECT doc_id, w, unnest(range(0, len(w) - 1)) AS i FROM w WHERE len(w) > 1))"""
-_MENTIONS = f"""{_GAZ}, {_RUNS}, h AS (SELECT * FROM r JOIN g USING (surface)),
-    k AS (SELECT *, coalesce(max(pos + n_tokens) OVER (PARTITION BY doc_id ORDER BY pos, n_tokens DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), -1) AS covered FROM h),
-    m AS (SELECT doc_id, pos::INTEGER AS pos, n_tokens::INTEGER AS n_tokens, surface, entity_id::BIGINT AS entity_id FROM k WHERE covered < pos + n_tokens)"""
+_MENTIONS = f"""RECURSIVE {_GAZ}, {_RUNS}, h AS (SELECT doc_id, pos, max(n_tokens) AS n_tokens FROM r JOIN g USING (surface) GROUP BY doc_id, pos),
+    o AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS k FROM h),
+    f(doc_id, k, pos, n_tokens, kept, until) AS (SELECT doc_id, k, pos, n_tokens, true, pos + n_tokens FROM o WHERE k = 1
+        UNION ALL SELECT o.doc_id, o.k, o.pos, o.n_tokens, o.pos >= f.until, CASE WHEN o.pos >= f.until THEN o.pos + o.n_tokens ELSE f.until END FROM f JOIN o ON o.doc_id = f.doc_id AND o.k = f.k + 1),
+    m AS (SELECT f.doc_id, f.pos::INTEGER AS pos, f.n_tokens::INTEGER AS n_tokens, r.surface, g.entity_id::BIGINT AS entity_id FROM f JOIN r ON r.doc_id = f.doc_id AND r.pos = f.pos AND r.n_tokens = f.n_tokens JOIN g ON g.surface = r.surface WHERE f.kept)"""
 
 
 def _mentions(spark: SparkSession, d: str) -> DataFrame:

@@ -3,21 +3,73 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from quillgraph.operators.lineage import cut
+
+
+def delimited(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
+    """A CSV table with a header, or by tabs where the name ends in .tsv; without a schema every column is text."""
+    reader = spark.read.option("header", True).option("sep", "\t" if path.rstrip("/").endswith(".tsv") else ",")
+    return (reader.schema(schema) if schema else reader.option("inferSchema", False)).csv(path)
+
 
 def optional(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """A Parquet or CSV table (by suffix), or an empty one of ``schema`` if there is none."""
+    """A Parquet, CSV or TSV table (by suffix), or an empty one of ``schema`` if there is none."""
     try:
-        reader = spark.read.schema(schema)
-        return reader.option("header", True).csv(path) if path.endswith((".csv", ".tsv")) else reader.parquet(path)
+        return delimited(spark, path, schema) if path.endswith((".csv", ".tsv")) else spark.read.schema(schema).parquet(path)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], schema)
 
 
+def id_list(spark: SparkSession, path: str) -> DataFrame:
+    """``id``: the distinct words of text files."""
+    return spark.read.text(path).select(F.explode(F.split(F.trim("value"), r"\s+")).alias("id")).where("id <> ''").distinct()
+
+
+def page_manifest(spark: SparkSession, glob: str) -> DataFrame:
+    """``tag, page, file, n_chars`` of page manifests: three fields by tabs, without a header; the tag is the file's folder."""
+    rows = spark.read.option("sep", "\t").schema("page int, file string, n_chars long").csv(glob)
+    return rows.select(F.regexp_extract(F.col("_metadata.file_path"), "([^/]+)/[^/]+$", 1).alias("tag"), "page", "file", "n_chars")
+
+
+def catalogue(spark: SparkSession, url: str, driver: str, table: str, columns: str = "*") -> DataFrame:
+    """A table of a catalogue database, read through JDBC with its columns and filters pushed down."""
+    return spark.read.format("jdbc").options(url=url, driver=driver, query=f"select {columns} from {table}").load()
+
+
+def attributes(spark: SparkSession, path: str, key: str) -> DataFrame:
+    """The attribute table of a set of shapes, exported as CSV: the first row of each key, in the order of all columns."""
+    rows = delimited(spark, path)
+    order = Window.partitionBy(key).orderBy(*[c for c in rows.columns if c != key])
+    return rows.withColumn("_n", F.row_number().over(order)).where("_n = 1").drop("_n")
+
+
+def rule_list(spark: SparkSession, path: str) -> list[tuple[str, str, int, int]]:
+    """Ordered label rules of a rule file: (series, pattern, first year, last year).
+
+    The file is a small list in YAML's plain form, ``- series: x`` followed by
+    indented ``pattern``, ``from`` and ``to`` lines; years may be left out.
+    Named groups are written as Spark's regular expressions take them.
+    """
+    rules: list[dict[str, str]] = []
+    for row in spark.read.text(path, wholetext=True).collect():
+        for line in row.value.splitlines():
+            if line.strip().startswith("#") or ":" not in line:
+                continue
+            if line.lstrip().startswith("- "):
+                rules.append({})
+                line = line.lstrip()[2:]
+            if rules:
+                name, _, value = line.partition(":")
+                value = value.strip()
+                rules[-1][name.strip()] = value[1:-1] if len(value) > 1 and value[0] == value[-1] and value[0] in "'\"" else value
+    return [(r["series"], r["pattern"].replace("(?P<", "(?<"), int(r.get("from", 0)), int(r.get("to", 9999))) for r in rules if "series" in r and "pattern" in r]
+
+
 def json_lines(lines: DataFrame, column: str, schema: str) -> DataFrame:
     """The objects of JSON lines; lines that are malformed, or no object, are left out."""
     parsed = F.from_json(column, f"{schema}, _bad string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"})
@@ -26,9 +78,13 @@ def json_lines(lines: DataFrame, column: str, schema: str) -> DataFrame:
 
 
 def json_files(spark: SparkSession, glob: str, schema: str) -> DataFrame:
-    """JSON lines of many files, with the file's path, the year in it, and the order of lines within a file."""
-    raw = spark.read.text(glob).select(F.col("value"), F.col("_metadata.file_path").alias("path"), F.monotonically_increasing_id().alias("line"))
-    return json_lines(raw.withColumn("year", F.regexp_extract("path", "([0-9]{4})", 1).try_cast("int")), "value", schema)
+    """JSON lines of many files: the file's path, the year in its folder's name, and the number of each line in its file, from 0.
+
+    Files are read whole, each in one task, so that the number doesn't depend on how a file is split.
+    """
+    raw = spark.read.text(glob, wholetext=True).select("value", F.col("_metadata.file_path").alias("path"))
+    lines = raw.select("path", F.posexplode(F.split("value", "\r?\n")).alias("line", "value"))
+    return json_lines(lines.withColumn("year", F.regexp_extract("path", "([0-9]{4})[^/]*/[^/]*$", 1).try_cast("int")), "value", schema)
 
 
 def front_matter(spark: SparkSession, glob: str) -> DataFrame:
@@ -47,11 +103,40 @@ def write_partition(rows: DataFrame, path: str, column: str) -> None:
 
 
 def write_parts(rows: DataFrame, path: str, longest: int = 400_000) -> None:
-    """Gzipped JSON lines of texts, split at blank lines into parts of at most ``longest`` characters, in order."""
-    blocks = rows.select("doc_id", F.posexplode(F.split("text", r"\n\n")).alias("n", "block"))
+    """Gzipped JSON lines of texts, split at blank lines into parts of at most ``longest`` characters, in order.
+
+    A block that is longer by itself is cut at ``longest`` characters.
+    """
+    cuts = lambda b: F.transform(F.sequence(F.lit(0), F.greatest(F.length(b) - 1, F.lit(0)), F.lit(longest)), lambda i: F.substr(b, i + 1, F.lit(longest)))
+    blocks = rows.select("doc_id", F.posexplode(F.flatten(F.transform(F.split("text", r"\n\n"), cuts))).alias("n", "block"))
     folded = F.aggregate(
         F.transform(F.array_sort(F.collect_list(F.struct("n", "block"))), lambda x: x["block"]),
         F.array().cast("array<string>"),
         lambda parts, b: F.when((F.size(parts) > 0) & (F.length(F.element_at(parts, -1)) + F.length(b) < longest), F.concat(F.slice(parts, 1, F.greatest(F.size(parts) - 1, F.lit(0))), F.array(F.concat(F.element_at(parts, -1), F.lit("\n\n"), b)))).otherwise(F.concat(parts, F.array(b))),
     )
     blocks.groupBy("doc_id").agg(folded.alias("parts")).select("doc_id", F.posexplode("parts").alias("part", "text")).write.mode("overwrite").option("compression", "gzip").json(path)
+
+
+def write_review(rows: DataFrame, path: str) -> None:
+    """A crosswalk or review sheet: CSV with a header, every column as text, lists joined by bars."""
+    plain = [F.array_join(F.col(c).cast("array<string>"), "|").alias(c) if kind.startswith("array") else F.col(c).cast("string") for c, kind in rows.dtypes]
+    rows.select(*plain).write.mode("overwrite").option("header", True).csv(path)
+
+
+def append_decided(rows: DataFrame, path: str, key: str) -> int:
+    """Append to JSON lines the rows whose key isn't there yet, so that a broken run can go on; how many were added."""
+    spark = rows.sparkSession
+    done = optional_json(spark, path, f"{key} {dict(rows.dtypes)[key]}")
+    new = cut(rows.join(done.select(key).distinct(), key, "left_anti"))
+    new.write.mode("append").json(path)
+    return new.count()
+
+
+def optional_json(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """JSON lines, or an empty table of ``schema`` if there are none."""
+    try:
+        return spark.read.schema(schema).json(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
