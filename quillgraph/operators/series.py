@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from quillgraph.functions.numbers import parse_value
 from quillgraph.functions.text import norm
+from quillgraph.operators.lineage import cut
 
 
 def unpivoted(rows: DataFrame, columns: str, values: str) -> DataFrame:
@@ -38,9 +39,10 @@ def mapped_series(label: Column, year: Column, rules: Sequence[tuple], ignored:
 def observations(cells: DataFrame, entity: str, year: str, rules: Sequence[tuple], ignored: str) -> DataFrame:
     """``entity, year, series, value`` of the cells whose label has a series and whose cell has a number.
 
-    The rules run over the distinct labels of each year alone; cells meet them by label and year.
+    The rules run over the distinct labels of each year alone, which are kept in a table so that no
+    filter moves the rules to the cells; cells meet them by label and year.
     """
-    labels = cells.select("label", year).distinct()
+    labels = cut(cells.select("label", year).distinct())
     named = labels.withColumn("series", mapped_series(norm("label"), F.col(year), rules, ignored)).where("series is not null and series <> 'ignored'")
     rows = cells.select(entity, year, "label", "cell").where("cell is not null").join(named, ["label", year])
     return rows.withColumn("value", parse_value("cell")).where("value is not null").select(entity, year, "series", "value")
