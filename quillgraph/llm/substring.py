@@ -45,7 +45,7 @@ FILTER_BITS = (20, 28)
 #: Bytes of segments that a task collapses before it gives them out, and that one index holds, about.
 COLLAPSE_BYTES, SHARD_BYTES = 12 << 20, 6 << 20
 #: Places of a mixed anchor beyond which its windows go one by one.
-HOT = 10_000
+HOT = 2_000
 _ROOT = 0x9E3779B97F4A7C15
 _FACTORS = np.array([pow(_ROOT, i + 1, 2**64) for i in range(SHINGLE)], np.uint64)
 
