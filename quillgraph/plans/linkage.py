@@ -172,12 +172,12 @@ def authority_unify(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("""
-    WITH k AS (SELECT doc_id, lower(regexp_replace(substring(text, 1, 60), '[^A-Za-z]+', '', 'g')) AS chain, n_chars FROM documents)
-    SELECT chain, count(*) AS n, min(doc_id) AS first, max(n_chars) AS longest FROM k WHERE chain <> '' GROUP BY chain HAVING count(*) > 1
+    WITH k AS (SELECT doc_id, lower(regexp_replace(text, '[^A-Za-z]+', '', 'g')) AS chain, n_chars FROM documents)
+    SELECT md5(chain) AS chain, count(*) AS n, min(doc_id) AS first, max(n_chars) AS longest FROM k WHERE chain <> '' GROUP BY chain HAVING count(*) > 1
 """)
 def chain_group(spark: SparkSession, d: str) -> DataFrame:
-    chain = F.lower(F.regexp_replace(F.substring("text", 1, 60), "[^A-Za-z]+", ""))
-    k = table(spark, d, "documents").select(chain.alias("chain"), "doc_id", "n_chars").where("chain <> ''")
+    chain = F.lower(F.regexp_replace("text", "[^A-Za-z]+", ""))
+    k = table(spark, d, "documents").select(chain.alias("chain"), "doc_id", "n_chars").where("chain <> ''").withColumn("chain", F.md5("chain"))
     return k.groupBy("chain").agg(F.count("*").alias("n"), F.min("doc_id").alias("first"), F.max("n_chars").alias("longest")).where("n > 1")
 
 
@@ -194,7 +194,7 @@ def snippets(spark: SparkSession, d: str) -> DataFrame:
     return rows.withColumn("p", place.cast("int")).where("p > 0").select("doc_id", F.array_join(F.slice("w", start, F.lit(28)), " ").alias("snippet"))
 
 
-@query(f"SELECT doc_id, {retrieval._NORM.format('substring(text, 1, 80)')} AS folded, lower(substring(text, 1, 80)) <> strip_accents(lower(substring(text, 1, 80))) AS accented FROM documents")
+@query(f"SELECT doc_id, {retrieval._NORM.format('text')} AS folded, lower(text) <> strip_accents(lower(text)) AS accented FROM documents")
 def accent_fold(spark: SparkSession, d: str) -> DataFrame:
-    head = F.substring("text", 1, 80)
+    head = F.col("text")
     return table(spark, d, "documents").select("doc_id", X.norm(head).alias("folded"), (F.lower(head) != X.fold(head)).alias("accented"))

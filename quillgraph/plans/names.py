@@ -1,4 +1,4 @@
-"""Queries of name functions over fixed examples, and over the names of the tables."""
+"""Queries of names, spans, choices and replies."""
 
 from __future__ import annotations
 
@@ -8,76 +8,10 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillgraph.functions import names as M
 from quillgraph.functions import numbers as N
 from quillgraph.plans.registry import query, table
 
 
-def _sql(rows: list[tuple], columns: str) -> str:
-    cell = lambda v: "NULL" if v is None else "'" + v.replace("'", "''") + "'" if isinstance(v, str) else str(v)
-    return "SELECT * FROM (VALUES " + ", ".join("(" + ", ".join(map(cell, r)) + ")" for r in rows) + f") AS t({columns})"
-
-
-def _given(spark: SparkSession, rows: list[tuple]) -> DataFrame:
-    return spark.createDataFrame([(r[0],) for r in rows], "raw string")
-
-
-_BANDS = [("The Band of Birdtail", "birdtail"), ("Birdtail - Sioux (2)", "birdtail - sioux"), ("Beardy's Band.", "beardy"), ("Indians of Lac La Côte", "lac la cote"), ("Band", None), ("", None), (None, None)]
-_ALIASES = [("Six Nations on Grand River", "sixnationsgrandriver"), ("Six Nations on the Grand River (No. 2)", "sixnationsgrandriver"), ("Pi-a-pot", "piapot"), ("tlie Piapot Band", "piapot"), ("", "")]
-_NUMBERS = [("31H and pt. of 31G", "31H"), ("24A", "24A"), ("No. 12 B", "12B"), ("none.", "NONE"), (None, "")]
-_REGION = [("Province of Ontario", "ON"), ("North - West Territories", "MBNWT"), ("Yukon District", "YT"), ("Elsewhere", "?"), (None, "?")]
-_NAMED = [("STAR BLANKET I.R. 83D", "STAR BLANKET", "83D"), ("SIX NATIONS INDIAN RESERVE NO. 40", "SIX NATIONS", "40"), ("CHIPEWYAN 201a", "CHIPEWYAN", "201A"), ("Round Lake Reserve", "Round Lake", ""), ("40", "40", "")]
-_UNITS = [("ASSINIBOIA - FILE HILLS AGENCY", "FILE HILLS AGENCY"), ("Report of the Touchwood and Nut Lake Agency, 1899", "TOUCHWOOD - NUT LAKE AGENCY"), ("TREATY NO. 4, INDIAN HEAD AGENCY", "INDIAN HEAD AGENCY"), ("AGENCY", None), ("Letter", None)]
-_TEACHERS = [("Rev. J. Smith", "J. Smith", "rev", "m", "teacher"), ("Miss Agnes Deans Cameron", "Agnes Deans Cameron", "miss", "f", "teacher"), ("A. Jones, Farmer.", "A. Jones", "", "", "farmer"), ("Sister Mary", "Mary", "sister", "f", "teacher")]
-_LABELS = [("crop_other_roots_acres_sown", "Other roots, acres sown"), ("pop_total", "Total"), ("hay_tons", "Hay, tons")]
-_PEOPLE = [("Peter E. Jones, M.D.", "jones", "pe", "peter|e"), ("Wm. Van Abbott", "vanabbott|abbott", "w", "wm"), ("Brass A.", "brass", "a", "a"), ("Mostyn-Hoops, S.E., M.D.", "mostynhoops|hoops|mostyn", "se", "s|e"), ("O'Leary, J.", "oleary|leary", "j", "j"), ("", "", "", ""), (None, "", "", "")]
-
-
-@query(_sql(_BANDS, "raw, key"))
-def norm_band(spark: SparkSession, d: str) -> DataFrame:
-    return _given(spark, _BANDS).withColumn("key", M.band_key("raw"))
-
-
-@query(_sql(_ALIASES, "raw, key"))
-def fold_alias(spark: SparkSession, d: str) -> DataFrame:
-    return _given(spark, _ALIASES).withColumn("key", M.alias_key("raw"))
-
-
-@query(_sql(_NUMBERS, "raw, no"))
-def norm_number(spark: SparkSession, d: str) -> DataFrame:
-    return _given(spark, _NUMBERS).withColumn("no", M.first_number("raw"))
-
-
-@query(_sql(_REGION, "raw, region"))
-def province_group(spark: SparkSession, d: str) -> DataFrame:
-    return _given(spark, _REGION).withColumn("region", M.region_group("raw"))
-
-
-@query(_sql(_NAMED, "raw, name, number"))
-def split_name_no(spark: SparkSession, d: str) -> DataFrame:
-    return _given(spark, _NAMED).select("raw", M.name_and_number("raw").alias("x")).select("raw", "x.*")
-
-
-@query(_sql(_UNITS, "raw, unit"))
-def canonical_unit(spark: SparkSession, d: str) -> DataFrame:
-    return _given(spark, _UNITS).withColumn("unit", M.unit_name("raw"))
-
-
-@query(_sql(_TEACHERS, "raw, name, title, class, role"))
-def clean_teacher(spark: SparkSession, d: str) -> DataFrame:
-    return _given(spark, _TEACHERS).select("raw", M.titled("raw").alias("x")).select("raw", "x.*")
-
-
-@query(_sql(_LABELS, "raw, label"))
-def series_labels(spark: SparkSession, d: str) -> DataFrame:
-    return _given(spark, _LABELS).withColumn("label", M.series_label("raw"))
-
-
-@query(_sql(_PEOPLE, "raw, surnames, initials, given"))
-def person_parse(spark: SparkSession, d: str) -> DataFrame:
-    return _given(spark, _PEOPLE).select("raw", M.person("raw").alias("x")).select("raw", "x.*")
-
-
 @query("""
     WITH n AS (SELECT p_brand, p_name, count(*) AS n FROM part GROUP BY ALL), r AS (SELECT *, row_number() OVER (PARTITION BY p_brand ORDER BY regexp_matches(p_name, '^[A-Za-z]') DESC, n DESC, length(p_name) DESC, p_name) AS k FROM n)
     SELECT p_brand, p_name AS display FROM r WHERE k = 1

@@ -100,10 +100,10 @@ def lookup_entity(spark: SparkSession, d: str) -> DataFrame:
     return T.lookup(*_alias_frame(spark, d), 5)
 
 
-@query("SELECT ref, CASE WHEN ref LIKE 'part:%' THEN p_name ELSE NULL END AS name FROM (SELECT 'part:' || p_partkey::VARCHAR AS ref, p_name FROM part WHERE p_partkey % 9 = 0 UNION ALL SELECT 'unknown:1', NULL)")
+@query("SELECT ref, CASE WHEN ref LIKE 'part:%' THEN p_name ELSE NULL END AS name FROM (SELECT 'part:' || p_partkey::VARCHAR AS ref, p_name FROM part UNION ALL SELECT 'unknown:1', NULL)")
 def resolve_ref(spark: SparkSession, d: str) -> DataFrame:
     p = table(spark, d, "part")
-    refs = p.where("p_partkey % 9 = 0").selectExpr("'part:' || cast(p_partkey as string) as ref").union(spark.createDataFrame([("unknown:1",)], "ref string"))
+    refs = p.selectExpr("'part:' || cast(p_partkey as string) as ref").union(spark.createDataFrame([("unknown:1",)], "ref string"))
     parts = F.split("ref", ":")
     named = refs.select("ref", F.when(parts[0] == "part", parts[1].try_cast("long")).alias("p_partkey"))
     return named.join(p, "p_partkey", "left").select("ref", F.col("p_name").alias("name"))
@@ -133,9 +133,9 @@ def node_degrees(spark: SparkSession, d: str) -> DataFrame:
     return G.degrees(plans_tables.edges(spark, d))
 
 
-@query("SELECT conv_id, turn, substring(text, 1, 40) AS head, length(text)::INTEGER AS n FROM conversations WHERE role = 'user'")
+@query("SELECT conv_id, turn, split_part(text, chr(10), 1) AS head, length(text)::INTEGER AS n FROM conversations WHERE role = 'user'")
 def document_toc(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "conversations").where("role = 'user'").select("conv_id", "turn", F.substring("text", 1, 40).alias("head"), F.length("text").alias("n"))
+    return table(spark, d, "conversations").where("role = 'user'").select("conv_id", "turn", F.substring_index("text", "\n", 1).alias("head"), F.length("text").alias("n"))
 
 
 @query(f"WITH {_POST} SELECT doc_id, string_agg(term, ',' ORDER BY term) AS terms, count(*) FILTER (tf > 1) AS sure FROM p WHERE term IN ('license', 'version', 'apache', 'mit', 'gnu') GROUP BY doc_id")

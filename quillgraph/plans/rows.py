@@ -121,11 +121,6 @@ def redirect_closure(spark: SparkSession, d: str) -> DataFrame:
     return I.redirect_closure(t)
 
 
-@query("SELECT lower(p_name) AS alias, p_brand AS canonical, count(*) AS n FROM part GROUP BY ALL")
-def alias_reaggregate(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "part").groupBy(F.lower("p_name").alias("alias"), F.col("p_brand").alias("canonical")).agg(F.count("*").alias("n"))
-
-
 @query("SELECT p_partkey, CASE WHEN row_number() OVER (PARTITION BY p_name ORDER BY p_partkey) = 1 THEN p_name ELSE 'part:' || p_partkey::VARCHAR END AS uri FROM part")
 def uri_unique(spark: SparkSession, d: str) -> DataFrame:
     n = F.row_number().over(Window.partitionBy("p_name").orderBy("p_partkey"))

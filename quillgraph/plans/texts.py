@@ -25,13 +25,13 @@ def segment_lines(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(f"""
-    WITH {_LINES}, b AS (SELECT doc_id, ordinal, rtrim(substring(trim(regexp_replace(strip_accents(lower(substring(line, 1, 12))), '[^a-z0-9]+', '-', 'g'), '-'), 1, 30), '-') AS s FROM l WHERE trim(line) <> ''),
+    WITH {_LINES}, b AS (SELECT doc_id, ordinal, rtrim(substring(trim(regexp_replace(strip_accents(lower(line)), '[^a-z0-9]+', '-', 'g'), '-'), 1, 30), '-') AS s FROM l WHERE trim(line) <> ''),
     i AS (SELECT doc_id, ordinal, 'p' || lpad((doc_id % 300)::VARCHAR, 4, '0') || '-' || CASE WHEN s = '' THEN 'section' ELSE s END AS base FROM b),
     n AS (SELECT *, row_number() OVER (PARTITION BY doc_id, base ORDER BY ordinal) AS n FROM i)
     SELECT doc_id, ordinal::INTEGER AS ordinal, CASE WHEN n = 1 THEN base ELSE base || '-' || n::VARCHAR END AS segment_id FROM n
 """)
 def segment_ids(spark: SparkSession, d: str) -> DataFrame:
-    rows = P.lines(table(spark, d, "documents").select("doc_id", "text")).withColumn("page", F.col("doc_id") % 300).withColumn("heading", F.substring("line", 1, 12))
+    rows = P.lines(table(spark, d, "documents").select("doc_id", "text")).withColumn("page", F.col("doc_id") % 300).withColumn("heading", F.col("line"))
     return P.segment_ids(rows, "page", "heading").select("doc_id", "ordinal", "segment_id")
 
 
@@ -117,14 +117,17 @@ def cue_typing(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(f"""
-    WITH {_MENTIONS}, c AS (SELECT m.*, lang, n_tokens > 1 AS multi, pos % 3 = 0 AS cue, text LIKE '% | %' AS tab FROM m JOIN documents USING (doc_id)),
+    WITH {_MENTIONS}, c AS (SELECT m.*, lang, n_tokens > 1 AS multi, count(*) OVER (PARTITION BY doc_id, pos) AS candidates, regexp_matches(array_to_string(w.w[greatest(pos - 2, 1) : pos + n_tokens + 3], ' '), '\\b(is|was|are)\\b') AS cue, text LIKE '% | %' AS tab FROM m JOIN w USING (doc_id) JOIN documents USING (doc_id)),
     l AS (SELECT *, CASE WHEN cue AND multi THEN 'high' WHEN NOT cue AND tab THEN 'low' ELSE 'medium' END AS level FROM c)
-    SELECT doc_id, pos, surface, CASE WHEN lang = 'en' THEN level WHEN level = 'medium' THEN 'low' ELSE 'medium' END AS confidence FROM l
+    SELECT doc_id, pos, surface, CASE WHEN candidates > 1 THEN 'residual' WHEN lang = 'en' THEN level WHEN level = 'medium' THEN 'low' ELSE 'medium' END AS confidence FROM l
 """)
 def mention_confidence(spark: SparkSession, d: str) -> DataFrame:
-    docs = table(spark, d, "documents").select("doc_id", "lang", F.col("text").contains(" | ").alias("tab"))
-    level = P.confidence(F.col("pos") % 3 == 0, F.col("n_tokens"), F.lit(1), F.col("tab"), F.col("lang") == "en")
-    return _mentions(spark, d).join(docs, "doc_id").select("doc_id", "pos", "surface", level.alias("confidence"))
+    docs = table(spark, d, "documents").select("doc_id", "lang", F.col("text").contains(" | ").alias("tab"), X.tokens("text").alias("w"))
+    low = F.greatest(F.col("pos") - 2, F.lit(1))
+    cue = F.array_join(F.slice("w", low, F.col("pos") + F.col("n_tokens") + 3 - low + 1), " ").rlike(r"\b(is|was|are)\b")
+    found = _mentions(spark, d).withColumn("candidates", F.count("*").over(Window.partitionBy("doc_id", "pos")))
+    level = P.confidence(cue, F.col("n_tokens"), F.col("candidates"), F.col("tab"), F.col("lang") == "en")
+    return found.join(docs, "doc_id").select("doc_id", "pos", "surface", level.alias("confidence"))
 
 
 @query("""

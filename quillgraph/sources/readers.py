@@ -78,13 +78,13 @@ def json_lines(lines: DataFrame, column: str, schema: str) -> DataFrame:
 
 
 def json_files(spark: SparkSession, glob: str, schema: str) -> DataFrame:
-    """JSON lines of many files: the file's path, the year in its folder's name, and the number of each line in its file, from 0.
+    """JSON lines of many files: the file's path, the year in its folder's name, else in its own, and the number of each line in its file, from 0.
 
     Files are read whole, each in one task, so that the number doesn't depend on how a file is split.
     """
     raw = spark.read.text(glob, wholetext=True).select("value", F.col("_metadata.file_path").alias("path"))
     lines = raw.select("path", F.posexplode(F.split("value", "\r?\n")).alias("line", "value"))
-    return json_lines(lines.withColumn("year", F.regexp_extract("path", "([0-9]{4})[^/]*/[^/]*$", 1).try_cast("int")), "value", schema)
+    return json_lines(lines.withColumn("year", F.coalesce(*[F.regexp_extract("path", p, 1).try_cast("int") for p in ("([0-9]{4})[^/]*/[^/]*$", "([0-9]{4})[^/]*$")])), "value", schema)
 
 
 def front_matter(spark: SparkSession, glob: str) -> DataFrame:

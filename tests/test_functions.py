@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from quillgraph.functions import names as M
 from quillgraph.functions import numbers as N
 from quillgraph.functions import similarity as S
 from quillgraph.functions import text as X
@@ -66,3 +67,45 @@ def test_similarity(spark, function, a, b, want):
 
 def test_markup_from_the_right():
     assert marked_up("the band at the lake", [(0, 3, "x"), (12, 15, "y")]) == "[the](x) band at [the](y) lake"
+
+
+# Printed names and what is made of them.
+_BANDS = [("The Band of Birdtail", "birdtail"), ("Birdtail - Sioux (2)", "birdtail - sioux"), ("Beardy's Band.", "beardy"), ("Indians of Lac La Côte", "lac la cote"), ("Band", None), ("", None), (None, None)]
+_ALIASES = [("Six Nations on Grand River", "sixnationsgrandriver"), ("Six Nations on the Grand River (No. 2)", "sixnationsgrandriver"), ("Pi-a-pot", "piapot"), ("tlie Piapot Band", "piapot"), ("", "")]
+_NUMBERS = [("31H and pt. of 31G", "31H"), ("24A", "24A"), ("No. 12 B", "12B"), ("none.", "NONE"), (None, "")]
+_REGION = [("Province of Ontario", "ON"), ("North - West Territories", "MBNWT"), ("Yukon District", "YT"), ("Elsewhere", "?"), (None, "?")]
+_NAMED = [("STAR BLANKET I.R. 83D", "STAR BLANKET", "83D"), ("SIX NATIONS INDIAN RESERVE NO. 40", "SIX NATIONS", "40"), ("CHIPEWYAN 201a", "CHIPEWYAN", "201A"), ("Round Lake Reserve", "Round Lake", ""), ("40", "40", "")]
+_UNITS = [("ASSINIBOIA - FILE HILLS AGENCY", "FILE HILLS AGENCY"), ("Report of the Touchwood and Nut Lake Agency, 1899", "TOUCHWOOD - NUT LAKE AGENCY"), ("TREATY NO. 4, INDIAN HEAD AGENCY", "INDIAN HEAD AGENCY"), ("AGENCY", None), ("Letter", None)]
+_TEACHERS = [("Rev. J. Smith", "J. Smith", "rev", "m", "teacher"), ("Miss Agnes Deans Cameron", "Agnes Deans Cameron", "miss", "f", "teacher"), ("A. Jones, Farmer.", "A. Jones", "", "", "farmer"), ("Sister Mary", "Mary", "sister", "f", "teacher")]
+_LABELS = [("crop_other_roots_acres_sown", "Other roots, acres sown"), ("pop_total", "Total"), ("hay_tons", "Hay, tons")]
+_PEOPLE = [("Peter E. Jones, M.D.", "jones", "pe", "peter|e"), ("Wm. Van Abbott", "vanabbott|abbott", "w", "wm"), ("Brass A.", "brass", "a", "a"), ("Mostyn-Hoops, S.E., M.D.", "mostynhoops|hoops|mostyn", "se", "s|e"), ("O'Leary, J.", "oleary|leary", "j", "j"), ("", "", "", ""), (None, "", "", "")]
+
+
+@pytest.mark.parametrize(
+    ("function", "cases"),
+    [
+        (M.band_key, _BANDS), (M.alias_key, _ALIASES), (M.first_number, _NUMBERS), (M.region_group, _REGION), (M.name_and_number, _NAMED), (M.unit_name, _UNITS), (M.titled, _TEACHERS), (M.series_label, _LABELS),
+        (M.generation, [("Dreaver, J., sr.", "sr"), ("A. Junior", "jr"), ("Dreaver, John", None)]),
+        (M.registry_key, [("Nicola (Lower) Band", "nicola lower"), (None, "")]),
+        (M.province, [("PROVINCE OF ONTARIO", "Ontario"), ("Alberta Inspectorate", "Alberta"), ("QUEBEC - Con.", "Quebec"), ("North-West", "North-West Territories"), (None, None)]),
+        (M.school_key, [("2Deer Lake Day School", "deer lake"), ("(t)Alert Bay (Continued)", "alert bay"), (None, "")]),
+        (M.school_number, [("six nations no 10", "10"), ("six nations 3b", "3b"), ("six nations", "")]),
+        (M.division, [("Treaty No. 6.", "treaty", "TREATY NO. 6"), ("Kamloops-Okanagan Agency, British Columbia", "agency", "KAMLOOPS - OKANAGAN AGENCY"), ("Kent County", "county", "KENT")]),
+    ],
+)
+def test_printed_names(spark, function, cases):
+    got = values(spark, [c[0] for c in cases], function("x"))
+    assert [tuple(g) if isinstance(g, tuple) else (g,) for g in got] == [c[1:] for c in cases]
+
+
+def test_readings_of_names(spark):
+    assert values(spark, ["Nim-keesh Band"], M.registry_variants("x")) == [["nim keesh", "nimkeesh"]]
+    assert values(spark, ["Spahamin (Douglas Lake)"], M.modern_variants("x")) == [["spahamin", "douglas lake"]]
+    assert "enoch" in values(spark, ["Enoch's Band"], M.account_readings("x"))[0]
+
+
+def test_persons(spark):
+    more = [("Alice, M.S. Graham", "alice|graham", "ms", "m|s"), ("Mc Donald, J.", "mcdonald|donald", "j", "j"), ("Rev. John Smith, Jr.", "smith", "j", "john"), ("Sister", "sister", "", "")]
+    cases = _PEOPLE + more
+    rows = M.persons(spark.createDataFrame([(c[0],) for c in cases], "x string"), "x").collect()
+    assert [(r.x, r.surnames, r.initials, r.given) for r in rows] == cases
