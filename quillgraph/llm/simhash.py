@@ -90,7 +90,7 @@ def links(distinct: DataFrame, n_distinct: int) -> DataFrame:
     return distinct.select("fp").mapInArrow(variants, "variant long, fp long").repartition(n, "variant").mapInArrow(meet, "a long, b long").distinct()
 
 
-def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """``node, root``: the smallest node of each node's component, for nodes that have a link.
 
     Alternating stars: every node's larger neighbours are linked to its smallest
@@ -101,7 +101,7 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     # star(node): each neighbour b of a, itself included, to the least of them
     current = stored(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links")
-    for _ in range(rounds):
+    while True:
         both = current.unionByName(current.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("m"))
         large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
@@ -113,8 +113,6 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         current = following
         if (after.n, after.s) == (before.n, before.s):
             break
-    else:
-        raise RuntimeError(f"components are not stable after {rounds} rounds")
     roots = current.select(F.col("a").alias("node"), F.col("b").alias("root"))
     return roots.unionByName(roots.select(F.col("root").alias("node"), "root").distinct())
 

@@ -25,9 +25,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillgraph.llm.common import batched, scratch_path, stored, texts_of
+from quillgraph.llm.common import batched, parts_for, scratch_path, stored, texts_of
 from quillgraph.llm.library_ids import encoder_for
 
+#: Text of a shard, about.
+SHARD_BYTES = 64 << 20
 MAGIC, VERSION, END_ID = 0x51474944, 1, 1
 #: Bits of the first level for each key of the index; more bits, fewer levels.
 GAMMA = 2.0
@@ -96,6 +98,8 @@ class ShardWriter:
         self.lengths: list[int] = []
 
     def add(self, key: int | None, ids: np.ndarray) -> None:
+        if len(ids) and int(ids.max()) >> 8 * self.kind.itemsize:
+            raise ValueError(f"id {int(ids.max())} doesn't fit in {self.kind.itemsize} bytes")
         self.out.write(ids.astype(self.kind).tobytes())
         self.keys.append(key)
         self.lengths.append(len(ids))
@@ -167,14 +171,16 @@ class ShardReader:
         return [self.ids(i, i + 1) for i in range(int(first[0]), int(first[0] + count[0]))]
 
 
-def written(docs: DataFrame, definition: str, id_bytes: int = 2, end_id: int = END_ID) -> list[tuple[str, int, int]]:
+def written(docs: DataFrame, definition: str, id_bytes: int | None = None, end_id: int = END_ID) -> list[tuple[str, int, int]]:
     """Tokenize every whole text, end it with ``end_id``, and write shards in ascending ``doc_id`` order.
 
     Returns (path, documents, ids) of each shard, in order: a row per shuffle
     partition, not per document.  Null texts are empty; null keys come first;
     documents that share a key stand together, ordered by a hash of their texts,
     and a key with very many rows may go on into the next shard.  A task that
-    runs again writes a new file; only files of tasks that ended are listed.
+    runs again writes a new file; only files of tasks that ended are listed.  A
+    shard has about ``SHARD_BYTES`` of text.  Ids take ``id_bytes``, 2 or 4 by the
+    vocabulary if none are given; an id that doesn't fit is an error.
     """
     spark = docs.sparkSession
     spark.sparkContext.setJobDescription("token shards")
@@ -189,14 +195,15 @@ def written(docs: DataFrame, definition: str, id_bytes: int = 2, end_id: int = E
             for key, text in zip(batch.column("doc_id").to_pylist(), texts_of(batch), strict=True):
                 if out is None:
                     path = f"{folder}/{part:06d}-{uuid.uuid4().hex}.tok"
-                    out = ShardWriter(path, id_bytes)
+                    size = max(library.whole.get_vocab_size(with_added_tokens=True), end_id + 1)
+                    out = ShardWriter(path, id_bytes or (2 if size <= 1 << 16 else 4))
                 out.add(key, np.frombuffer(library.encode(text) + end, "<u4"))
         if out is not None:
             n_docs, n_ids = out.close()
             yield pa.record_batch([pa.array([x]) for x in (part, path, n_docs, n_ids)], ["part", "path", "n_docs", "n_ids"])
 
     rows = docs.select("doc_id", "text")
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = parts_for(spark, rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0, SHARD_BYTES)
     rows = rows.repartitionByRange(n, "doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id", F.xxhash64("text"))
     manifest = stored(rows.mapInArrow(run, "part long, path string, n_docs long, n_ids long"), "token-manifest")
     return [(r.path, r.n_docs, r.n_ids) for r in manifest.orderBy("part").collect()]

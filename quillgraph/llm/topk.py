@@ -105,6 +105,7 @@ class BoundedReader:
         self.ids, self.q, self.k = ids, queries, k
         self.best: list[tuple[np.ndarray, np.ndarray]] = [(np.zeros(0), np.zeros(0, np.int64))] * len(ids)
         self.bar = np.full(len(ids), -np.inf)  # the k-th best score, where there are k
+        self.entries = self.entries_read = self.resolved = 0  # of all lists and queries; candidates whose scores were resolved
 
     def read(self, keys: np.ndarray, block: np.ndarray) -> None:
         if np.abs(self.q).max(initial=0) * np.abs(block).max(initial=0) * block.shape[1] >= _EXACT:
@@ -131,6 +132,9 @@ class BoundedReader:
             able = (upper + lists.slack(q)[:, None] >= bar[:, None]) & ~mine
             if able.sum() <= FEW * able.size:
                 break
+        self.entries += q.size * len(block)
+        self.entries_read += int(depth.sum()) * len(block) // RUNS
+        self.resolved += int(able.sum())
         for i in range(len(q)):
             rows = np.flatnonzero(able[i])
             if len(rows):
@@ -165,7 +169,7 @@ def top_k(vectors: DataFrame, is_query, k: int = 5, per_pass: int = QUERIES_PER_
     Ties go to the smaller ``vec_id``.  Null vectors, those with null or
     non-finite components and empty ones take no part; a query meets only
     vectors of its own length.  Rows that share the query's ``vec_id`` are its
-    own; a repeated query counts once, repeated candidates as often as they come
+    own; a repeated query counts once, by the least of its vectors, repeated candidates as often as they come
     (a null ``vec_id`` is not a candidate).  Queries are sent out in passes of a
     bounded number; each pass is a scan with a top-k per task and query.
     """
@@ -173,7 +177,8 @@ def top_k(vectors: DataFrame, is_query, k: int = 5, per_pass: int = QUERIES_PER_
     batched(spark)
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding")).where("vec_id is not null and embedding is not null")
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BLOCK_ROWS))
-    queries = stored(rows.where(is_query).dropDuplicates(["vec_id"]), "queries")
+    whole = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+    queries = stored(rows.where(is_query).where(whole & (F.size("embedding") > 0)).groupBy("vec_id").agg(F.min("embedding").alias("embedding")), "queries")
     n_passes = max(1, -(-queries.count() // per_pass))
     schema = "query_id long, vec_id long, score long"
     found = None
