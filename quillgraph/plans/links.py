@@ -124,9 +124,9 @@ def same_name_links(spark: SparkSession, d: str) -> DataFrame:
 @query()
 def matched_records(spark: SparkSession, d: str) -> DataFrame:
     """Lines of orders against a second reading of them, with some pages, numbers and names misread."""
-    line = table(spark, d, "lineitem").where("l_linenumber <= 3")
+    line = table(spark, d, "lineitem")
     key = F.xxhash64("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_shipdate")
-    left = line.select((F.col("l_orderkey") % 500).alias("block"), key.alias("id"), (F.col("l_orderkey") % 40).alias("page"), (F.col("l_partkey") % 97).alias("number"), F.concat_ws(" ", "l_returnflag", F.col("l_suppkey").cast("string")).alias("name"), F.col("l_extendedprice").alias("amount"))
+    left = line.select(F.floor(F.col("l_orderkey") / 100).alias("block"), key.alias("id"), (F.col("l_orderkey") % 40).alias("page"), (F.col("l_partkey") % 97).alias("number"), F.concat_ws(" ", "l_returnflag", F.col("l_suppkey").cast("string")).alias("name"), F.col("l_extendedprice").alias("amount"))
     odd = F.pmod("id", F.lit(5))
     right = left.withColumn("page", F.col("page") + F.when(odd == 1, 1).otherwise(0)).withColumn("name", F.when(odd == 2, F.concat("name", F.lit(" x"))).otherwise(F.col("name"))).withColumn("number", F.when(odd == 3, F.lit(-1)).otherwise(F.col("number")))
     return K.matched_records(left, right, "block", "page", "number", "name", "amount")
@@ -141,13 +141,13 @@ def sampled_kinds(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("""
-    SELECT o_orderkey, head, row_number() OVER (ORDER BY head ASC NULLS LAST, o_custkey DESC, o_orderkey)::INTEGER AS place
-    FROM (SELECT *, CASE WHEN o_orderpriority LIKE '1%' THEN o_orderstatus END AS head FROM orders WHERE o_custkey < 100)
+    SELECT o_orderkey, head, row_number() OVER (PARTITION BY o_custkey ORDER BY head ASC NULLS LAST, o_orderdate DESC, o_orderkey)::INTEGER AS place
+    FROM (SELECT *, CASE WHEN o_orderpriority LIKE '1%' THEN o_orderstatus END AS head FROM orders)
 """)
 def nulls_last_order(spark: SparkSession, d: str) -> DataFrame:
-    """A sheet in its printed order, with rows that have no head at its end; the sheet is small, as it is numbered as a whole."""
-    rows = table(spark, d, "orders").where("o_custkey < 100").withColumn("head", F.when(F.col("o_orderpriority").startswith("1"), F.col("o_orderstatus")))
-    w = Window.orderBy(F.asc_nulls_last("head"), F.desc("o_custkey"), "o_orderkey")
+    """Each customer's sheet in its printed order, with rows that have no head at its end."""
+    rows = table(spark, d, "orders").withColumn("head", F.when(F.col("o_orderpriority").startswith("1"), F.col("o_orderstatus")))
+    w = Window.partitionBy("o_custkey").orderBy(F.asc_nulls_last("head"), F.desc("o_orderdate"), "o_orderkey")
     return rows.select("o_orderkey", "head", F.row_number().over(w).alias("place"))
 
 
@@ -245,22 +245,22 @@ def series_labels(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "part").select("p_partkey", M.series_label(raw).alias("label"))
 
 
-@query(f"SELECT p_partkey, list_sort(list_distinct([{_N}, replace({_N}, ' ', '')])) AS variants FROM part")
+@query(f"SELECT p_partkey, array_to_string(list_sort(list_distinct([{_N}, replace({_N}, ' ', '')])), '|') AS variants FROM part")
 def registry_variants(spark: SparkSession, d: str) -> DataFrame:
     raw = F.concat(F.lit("The "), F.replace("p_name", F.lit(" "), F.lit("-")), F.lit(" First Nation"))
-    return table(spark, d, "part").select("p_partkey", F.array_sort(M.registry_variants(raw)).alias("variants"))
+    return table(spark, d, "part").select("p_partkey", F.array_join(F.array_sort(M.registry_variants(raw)), "|").alias("variants"))
 
 
-@query(f"SELECT p_partkey, list_sort(list_distinct([{_N}, lower(p_type)])) AS variants FROM part")
+@query(f"SELECT p_partkey, array_to_string(list_sort(list_distinct([{_N}, lower(p_type)])), '|') AS variants FROM part")
 def modern_variants(spark: SparkSession, d: str) -> DataFrame:
     raw = F.concat("p_name", F.lit(" Indian Band No. 4 ("), "p_type", F.lit(")"))
-    return table(spark, d, "part").select("p_partkey", F.array_sort(M.modern_variants(raw)).alias("variants"))
+    return table(spark, d, "part").select("p_partkey", F.array_join(F.array_sort(M.modern_variants(raw)), "|").alias("variants"))
 
 
-@query(f"SELECT p_partkey, list_sort([{_N}, {_N} || ' treaty', 'indians of ' || {_N}, 'indians of ' || {_N} || ' treaty']) AS variants FROM part")
+@query(f"SELECT p_partkey, array_to_string(list_sort([{_N}, {_N} || ' treaty', 'indians of ' || {_N}, 'indians of ' || {_N} || ' treaty']), '|') AS variants FROM part")
 def account_readings(spark: SparkSession, d: str) -> DataFrame:
     raw = F.concat(F.lit("Indians of the "), "p_name", F.lit(" Band, Treaty No. 2"))
-    return table(spark, d, "part").select("p_partkey", F.array_sort(M.account_readings(raw)).alias("variants"))
+    return table(spark, d, "part").select("p_partkey", F.array_join(F.array_sort(M.account_readings(raw)), "|").alias("variants"))
 
 
 @query(f"SELECT p_partkey, {_N} || ' no ' || p_size::VARCHAR AS key, p_size::VARCHAR AS number FROM part")
