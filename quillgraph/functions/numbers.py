@@ -70,3 +70,24 @@ def year_ranges(years: Column) -> Column:
     ends = F.filter(distinct, lambda y: ~F.array_contains(distinct, y + 1))
     runs = F.zip_with(starts, ends, lambda a, b: F.when(a == b, a.cast("string")).otherwise(F.concat(a.cast("string"), F.lit("–"), b.cast("string"))))
     return F.array_join(runs, ", ")
+
+
+def acres_of(c: Column | str) -> Column:
+    """Acres as printed: commas out, and two digits after a space are hundredths (``57 42`` is 57.42)."""
+    return F.regexp_replace(F.replace(_c(c).cast("string"), F.lit(","), F.lit("")), r"^([0-9]+) ([0-9]{2})$", "$1.$2").try_cast("double")
+
+
+def acres_close_text(a: Column | str, b: Column | str) -> Column:
+    """Whether two printed acreages are numbers that differ by less than 0.01."""
+    return F.coalesce(close(acres_of(a), acres_of(b)), F.lit(False))
+
+
+#: Bars of a sparkline, from the lowest (fixed values).
+BARS = "▁▂▃▄▅▆▇█"
+
+
+def sparkline(values: Column) -> Column:
+    """A bar for each number of an array, by its place between the least and the greatest; the lowest if they are all equal, a space for null."""
+    low, high = F.array_min(values), F.array_max(values)
+    place = lambda v: F.when(high > low, F.floor((v - low) * (len(BARS) - 1) / (high - low)).cast("int")).otherwise(F.lit(0))
+    return F.array_join(F.transform(values, lambda v: F.when(v.isNull(), " ").otherwise(F.substr(F.lit(BARS), place(v) + 1, F.lit(1)))), "")

@@ -110,3 +110,20 @@ def jaro_winkler(a: pd.Series, b: pd.Series) -> pd.Series:
 def ratcliff(a: pd.Series, b: pd.Series) -> pd.Series:
     """Ratcliff-Obershelp: twice the characters of matching blocks over all characters."""
     return pd.Series([None if x is None or y is None else difflib.SequenceMatcher(None, x, y).ratio() for x, y in zip(a, b, strict=True)], dtype="float64")
+
+
+@F.pandas_udf(DoubleType())
+def surname_score(a: pd.Series, b: pd.Series) -> pd.Series:
+    """The best Jaro-Winkler between two lists of spellings; the first of each, its full form, gets 0.02 more, up to 1; 0 for an empty list."""
+    best = lambda x, y: max((min(1.0, _jaro_winkler(s, t) + (0.02 if i == j == 0 else 0.0)) for i, s in enumerate(x) for j, t in enumerate(y)), default=0.0)
+    return pd.Series([0.0 if x is None or y is None else best(x, y) for x, y in zip(a, b, strict=True)], dtype="float64")
+
+
+def given_conflict(a: Column, b: Column) -> Column:
+    """What two lists of given names score if their first ones are both spelled out and differ: 0, or 0.1 with one initial; else null.
+
+    A name that begins with the other is a shortening of it.
+    """
+    x, y = F.get(a, F.lit(0)), F.get(b, F.lit(0))
+    told = (F.length(x) >= 3) & (F.length(y) >= 3) & ~F.startswith(x, y) & ~F.startswith(y, x)
+    return F.when(told, F.when(F.substring(x, 1, 1) == F.substring(y, 1, 1), F.lit(0.1)).otherwise(F.lit(0.0)))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -94,3 +96,33 @@ def lookup(aliases: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     best = near.union(same).union(far).groupBy("query", "id").agg(F.min("match").alias("match"), F.max("n").alias("n"))
     w = Window.partitionBy("query").orderBy("match", F.desc("n"), "id")
     return best.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+
+
+def field_postings(docs: DataFrame, fields: Sequence[str]) -> DataFrame:
+    """``term, doc_id, field, tf, positions``: where each word stands in each field, from 0, in order."""
+    words = lambda f: F.regexp_extract_all(fold(F.coalesce(f, F.lit(""))), F.lit("([a-z0-9]+)"), 1)
+    each = docs.select("doc_id", F.explode(F.array(*[F.struct(F.lit(f).alias("field"), words(F.col(f)).alias("words")) for f in fields])).alias("_f"))
+    rows = each.select("doc_id", "_f.field", F.posexplode("_f.words").alias("pos", "term"))
+    return rows.groupBy("term", "doc_id", "field").agg(F.count("*").alias("tf"), F.array_sort(F.collect_list("pos")).alias("positions"))
+
+
+def bm25_fields(docs: DataFrame, queries: DataFrame, weights: Mapping[str, float]) -> DataFrame:
+    """``query, doc_id, score``: BM25 over several fields, a word in each counting by the field's weight.
+
+    Lengths are of all fields together; a word in more than half of the
+    documents counts next to nothing, not less (its idf is at least 1e-6).
+    ``queries``: ``query, term``.  The words of the queries are found by a join.
+    """
+    words = lambda f: F.regexp_extract_all(fold(F.coalesce(f, F.lit(""))), F.lit("([a-z0-9]+)"), 1)
+    weighed = lambda f, w: F.transform(words(F.col(f)), lambda t: F.struct(t.alias("term"), F.lit(float(w)).alias("w")))
+    cells = F.flatten(F.array(*[weighed(f, w) for f, w in weights.items()]))
+    asked = queries.select("term").distinct()
+    rows = docs.select("doc_id", cells.alias("_c")).withColumn("length", F.size("_c"))
+    whole = rows.agg(F.count("*").alias("n_docs"), F.avg("length").alias("mean_length"))
+    post = rows.select("doc_id", "length", F.explode("_c").alias("_c")).select("doc_id", "length", "_c.*").join(asked, "term", "left_semi").groupBy("doc_id", "length", "term").agg(F.sum("w").alias("f"))
+    post = cut(post)
+    df = post.groupBy("term").agg(F.count("*").alias("df"))
+    scored = queries.join(df, "term").join(post, "term").crossJoin(F.broadcast(whole))  # one row
+    idf = F.greatest(F.log((F.col("n_docs") - F.col("df") + 0.5) / (F.col("df") + 0.5)), F.lit(1e-6))
+    part = idf * F.col("f") * (K1 + 1) / (F.col("f") + K1 * (1 - B + B * F.col("length") / F.col("mean_length")))
+    return scored.groupBy("query", "doc_id").agg(F.round(F.sum(part), 6).alias("score"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -22,3 +22,16 @@ def degrees(edges: DataFrame) -> DataFrame:
     out = edges.select(F.col("src_type").alias("type"), F.col("src_id").alias("id"), "edge", F.lit("out").alias("side"))
     into = edges.select(F.col("dst_type").alias("type"), F.col("dst_id").alias("id"), "edge", F.lit("in").alias("side"))
     return out.union(into).groupBy("type", "id", "edge", "side").agg(F.count("*").alias("n"))
+
+
+def mentioned_by_year(mentions: DataFrame) -> DataFrame:
+    """``entity_type, entity_id, year, n, primary_n``: mentions of each entity in each year, and those of high or medium confidence."""
+    sure = F.col("confidence").isin("high", "medium")
+    return mentions.groupBy("entity_type", "entity_id", "year").agg(F.count("*").alias("n"), F.count_if(sure).alias("primary_n"))
+
+
+def top_segments(mentions: DataFrame, k: int) -> DataFrame:
+    """``entity_type, entity_id, segment, year, n, rank``: the segments that mention an entity most, with confidence; ties to the earlier year, then segment."""
+    counts = mentions.where(F.col("confidence").isin("high", "medium")).groupBy("entity_type", "entity_id", "segment").agg(F.min("year").alias("year"), F.count("*").alias("n"))
+    w = Window.partitionBy("entity_type", "entity_id").orderBy(F.desc("n"), "year", "segment")
+    return counts.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)

@@ -8,6 +8,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quillgraph.functions.similarity import dice
 from quillgraph.operators.identity import components
 
 
@@ -243,3 +244,40 @@ def unit_for(rows: DataFrame, raw: str, chains: DataFrame, units: DataFrame) ->
     out = rows.join(chains.select(F.col("name").alias(raw), F.col("chain").alias("_chain")).dropDuplicates([raw]), raw, "left")
     out = out.withColumn("_key", F.replace(F.lower(raw), F.lit(" "), F.lit(""))).join(single, F.col("_key") == F.col("key"), "left")
     return out.withColumn("unit", F.coalesce("_chain", "_unit")).withColumn("how", F.when(F.col("_chain").isNotNull(), "chain").when(F.col("_unit").isNotNull(), "unit")).drop("_chain", "_unit", "_key", "key")
+
+
+def settled_by_number(rows: DataFrame, key: str, number: str, target: str, name: str, score: str, weight: str, least: float) -> DataFrame:
+    """``key, target, fate``: links of accounts settled by the account number that they share.
+
+    Where the linked names of a number are unlike (the least Dice of two is under ``least``), all its rows
+    are a ``conflict`` and keep their targets.  Else the linked row of the best
+    score, then weight, then least target wins: rows without a target are
+    ``propagated``, those with another one ``settled``, the others ``linked``.  Rows
+    without a number or a linked neighbour are ``linked`` or ``unlinked`` as they are.
+    """
+    numbered = rows.where(F.col(number) != "")
+    linked = numbered.where(F.col(target).isNotNull())
+    names = linked.select(number, name).distinct()
+    pairs = names.join(names.select(number, F.col(name).alias("_other")), number).where(F.col(name) < F.col("_other"))
+    unlike = pairs.groupBy(number).agg(F.min(F.round(dice(F.col(name), F.col("_other")), 6)).alias("_like"))
+    best = linked.groupBy(number).agg(F.min(F.struct((-F.col(score)).alias("a"), (-F.col(weight)).alias("b"), F.col(target).alias("t"))).alias("_b")).select(number, F.col("_b.t").alias("_best"))
+    out = rows.join(best, number, "left").join(unlike, number, "left")
+    clash = F.coalesce(F.col("_like") < least, F.lit(False))
+    has, won = F.col(target).isNotNull(), F.col("_best").isNotNull()
+    fate = F.when(clash, "conflict").when(won & ~has, "propagated").when(won & (F.col(target) != F.col("_best")), "settled").when(has, "linked").otherwise("unlinked")
+    return out.select(key, F.when(clash | ~won, F.col(target)).otherwise(F.col("_best")).alias(target), fate.alias("fate"))
+
+
+def chosen_unit(named: DataFrame, key: str, unit: str, chain: Column, name: str) -> DataFrame:
+    """``key, unit``: which of several named units is meant, null if that is open.
+
+    The only one; else the only chain; else, of several chains, the only one
+    whose name stands in another's.
+    """
+    units = named.select(key, unit, chain.alias("_chain"), F.col(name).alias("_name")).distinct()
+    chains = units.where("_chain and _name <> ''")
+    inner = chains.alias("a").join(chains.alias("b"), key).where(f"a.{unit} <> b.{unit} and contains(b._name, a._name)").select(key, F.col(f"a.{unit}").alias("_u")).distinct()
+    inner = inner.groupBy(key).agg(F.min("_u").alias("_inner"), F.count("*").alias("_ni"))
+    every = units.groupBy(key).agg(F.count_distinct(unit).alias("_n"), F.min(unit).alias("_one"), F.count_distinct(F.when(F.col("_chain"), F.col(unit))).alias("_nc"), F.min(F.when(F.col("_chain"), F.col(unit))).alias("_chained"))
+    pick = F.when(F.col("_n") == 1, F.col("_one")).when(F.col("_nc") == 1, F.col("_chained")).when((F.col("_nc") > 1) & (F.col("_ni") == 1), F.col("_inner"))
+    return every.join(inner, key, "left").select(key, pick.alias(unit))

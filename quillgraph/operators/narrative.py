@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillgraph.operators.segmentation import volume_lines
@@ -92,3 +94,36 @@ def school_sentences(docs: DataFrame, text: str = "text") -> DataFrame:
     rows = rows.withColumn("schools", F.array_join(F.zip_with("_n", "_v", lambda a, b: F.concat(F.trim(a), F.lit(" "), F.regexp_replace(b, "[^0-9]", ""))), "; "))
     ok = (F.col("school_age") > 0) & (F.col("enrolled") <= 1.3 * F.col("school_age")) & (F.col("attendance") <= 1.2 * F.col("enrolled")) & (F.col("elsewhere") <= F.col("school_age"))
     return rows.withColumn("plausible", F.coalesce(ok, F.lit(False))).drop("_n", "_v")
+
+
+def dateline_candidates(line: Column) -> Column:
+    """What a place line may name: its pieces between commas, semicolons or wide gaps, then two and three neighbours joined."""
+    pieces = F.filter(F.transform(F.split(line, r"[,;]|\s{2,}"), lambda p: F.trim(p, F.lit(" ."))), lambda p: p != "")
+
+    def joined(n: int) -> Column:
+        runs = F.transform(F.sequence(F.lit(1), F.greatest(F.size(pieces) - n + 1, F.lit(1))), lambda i: F.when(i + n - 1 <= F.size(pieces), F.array_join(F.slice(pieces, i, F.lit(n)), ", ")))
+        return F.filter(runs, lambda x: x.isNotNull())
+
+    return F.concat(pieces, joined(2), joined(3))
+
+
+def harvested(docs: DataFrame, patterns: Sequence[tuple[str, str]], least: int = 100, text: str = "text") -> DataFrame:
+    """``doc_id, kind, units, enrolled, attendance, note``: the figures of a bank of patterns, each text's distinct ones.
+
+    ``patterns``: kind and an expression of three groups, units, enrolment and
+    attendance, of which the last may stay empty.  Enrolments under ``least`` are
+    left out.  ``note``: ``point_in_time`` where the 200 characters before (after the
+    figure before), or the figure, say "on June 30" or "on March 31"; ``retrospective`` where they speak
+    of years ago or another fiscal year.
+    """
+    number = lambda c: F.regexp_replace(c, "[^0-9]", "").try_cast("long")
+    out = None
+    for kind, pattern in patterns:
+        between = F.transform(F.split(text, pattern), lambda x: F.right(x, F.lit(200)))
+        pairs = F.zip_with(F.regexp_extract_all(text, F.lit(pattern), 0), between, lambda h, x: F.struct(h.alias("hit"), x.alias("before")))
+        hits = docs.where(F.col(text).rlike(pattern)).select("doc_id", F.explode(pairs).alias("_p")).select("doc_id", F.col("_p.hit").alias("_hit"), F.concat("_p.before", "_p.hit").alias("_said")).where("_hit is not null")
+        found = [number(F.regexp_extract("_hit", pattern, i)).alias(c) for i, c in ((1, "units"), (2, "enrolled"), (3, "attendance"))]
+        rows = hits.select("doc_id", F.lit(kind).alias("kind"), *found, "_said")
+        out = rows if out is None else out.union(rows)
+    note = F.when(F.col("_said").rlike(r"(?i)on (June|March) 3[01]"), "point_in_time").when(F.col("_said").rlike(r"(?i)(five|ten) years ago|fiscal year 19\d\d\s*-"), "retrospective").otherwise("")
+    return out.where(F.col("enrolled") >= least).select("doc_id", "kind", "units", "enrolled", "attendance", note.alias("note")).distinct()

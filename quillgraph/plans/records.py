@@ -6,11 +6,16 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillgraph.functions import names as M
+from quillgraph.functions import numbers as U
+from quillgraph.functions import similarity as S
 from quillgraph.functions.text import norm
 from quillgraph.operators import assembly as A
+from quillgraph.operators import fulltext as T
 from quillgraph.operators import gates as G
+from quillgraph.operators import graph as H
+from quillgraph.operators import linking as K
 from quillgraph.operators import narrative as N
-from quillgraph.plans import links
+from quillgraph.plans import links, retrieval
 from quillgraph.plans.registry import query, table
 
 
@@ -253,3 +258,140 @@ def title_conflicts(spark: SparkSession, d: str) -> DataFrame:
     raw = F.concat("p_name", _one_of(F.col("p_size") % 3, "", ", Jr.", " Senr."))
     kind = lambda c: _one_of(F.col(c) % 3, "", "f", "m")
     return table(spark, d, "part").select("p_partkey", F.coalesce(M.generation(raw), F.lit("")).alias("generation"), M.title_conflict(kind("p_size"), kind("p_partkey")).alias("conflict"))
+
+
+# ---- names, numbers and units against one another
+
+
+@query("SELECT p_partkey, round(greatest(least(1, jaro_winkler_similarity(a, b) + 0.02), jaro_winkler_similarity(a, d), jaro_winkler_similarity(c, b), jaro_winkler_similarity(c, d)), 6) AS score FROM (SELECT p_partkey, split_part(p_name, ' ', 1) AS a, split_part(p_name, ' ', 2) AS b, lower(p_brand) AS c, lower(p_type) AS d FROM part)")
+def surname_scores(spark: SparkSession, d: str) -> DataFrame:
+    w = F.split("p_name", " ")
+    return table(spark, d, "part").select("p_partkey", F.round(S.surname_score(F.array(w[0], F.lower("p_brand")), F.array(w[1], F.lower("p_type"))), 6).alias("score"))
+
+
+@query("""
+    WITH n AS (SELECT p_partkey, split_part(p_name, ' ', 1) AS a, CASE p_size % 3 WHEN 0 THEN split_part(p_name, ' ', 1)[1:4] WHEN 1 THEN split_part(p_name, ' ', 2) ELSE split_part(p_name, ' ', 2)[1:1] END AS b FROM part)
+    SELECT p_partkey, CASE WHEN length(a) >= 3 AND length(b) >= 3 AND NOT starts_with(a, b) AND NOT starts_with(b, a) THEN CASE WHEN a[1] = b[1] THEN 0.1 ELSE 0.0 END::DOUBLE END AS conflict FROM n
+""")
+def given_conflicts(spark: SparkSession, d: str) -> DataFrame:
+    w, way = F.split("p_name", " "), F.col("p_size") % 3
+    other = F.when(way == 0, F.substring(w[0], 1, 4)).when(way == 1, w[1]).otherwise(F.substring(w[1], 1, 1))
+    return table(spark, d, "part").select("p_partkey", S.given_conflict(F.array(w[0]), F.array(other)).alias("conflict"))
+
+
+@query("SELECT o_orderkey, o_orderkey % 3 = 0 OR (o_orderkey % 3 = 1 AND o_custkey % 100 < 10) AS close FROM orders")
+def acres_as_printed(spark: SparkSession, d: str) -> DataFrame:
+    """Acres in two readings: hundredths after a space or a point, in one of three cases without its zero, in another a word."""
+    whole, part = (F.col("o_custkey") + 1000).cast("string"), (F.col("o_custkey") % 100).cast("string")
+    a = F.concat(F.substring(whole, 1, 1), F.lit(","), F.substr(whole, F.lit(2)), F.lit(" "), F.lpad(part, 2, "0"))
+    b = F.when(F.col("o_orderkey") % 3 == 0, F.concat(whole, F.lit("."), F.lpad(part, 2, "0"))).when(F.col("o_orderkey") % 3 == 1, F.concat(whole, F.lit(".0"), part)).otherwise("unknown")
+    return table(spark, d, "orders").where("o_custkey < 8999").select("o_orderkey", U.acres_close_text(a, b).alias("close"))
+
+
+@query("""
+    WITH y AS (SELECT o_custkey, year(o_orderdate) AS y, count(*) AS n FROM orders GROUP BY ALL), g AS (SELECT o_custkey, list(n ORDER BY y) AS v, min(n) AS a, max(n) AS b FROM y GROUP BY 1)
+    SELECT o_custkey, array_to_string(list_transform(v, lambda x: '▁▂▃▄▅▆▇█'[(CASE WHEN b > a THEN (x - a) * 7 // (b - a) ELSE 0 END + 1)::INTEGER]), '') AS line FROM g
+""")
+def sparklines(spark: SparkSession, d: str) -> DataFrame:
+    y = table(spark, d, "orders").groupBy("o_custkey", F.year("o_orderdate").alias("y")).agg(F.count("*").alias("n"))
+    g = y.groupBy("o_custkey").agg(F.transform(F.array_sort(F.collect_list(F.struct("y", "n"))), lambda x: x["n"]).alias("v"))
+    return g.select("o_custkey", U.sparkline(F.col("v")).alias("line"))
+
+
+@query(f"""
+    WITH r AS (SELECT p_partkey, CASE WHEN p_size <= 25 THEN p_brand || '-' || p_size::VARCHAR ELSE '' END AS no, CASE WHEN p_partkey % 3 > 0 THEN p_type END AS target, p_name, p_size % 5 AS score, p_partkey % 7 AS weight FROM part),
+    l AS (SELECT * FROM r WHERE no <> '' AND target IS NOT NULL), n AS (SELECT DISTINCT no, p_name FROM l),
+    u AS (SELECT a.no, min(round({links._DICE.format('a.p_name', 'b.p_name')}, 6)) AS k FROM n a JOIN n b ON a.no = b.no AND a.p_name < b.p_name GROUP BY 1),
+    b AS (SELECT no, target AS best FROM l QUALIFY row_number() OVER (PARTITION BY no ORDER BY score DESC, weight DESC, target) = 1)
+    SELECT p_partkey, CASE WHEN coalesce(k < 0.3, false) OR best IS NULL THEN target ELSE best END AS target,
+        CASE WHEN coalesce(k < 0.3, false) THEN 'conflict' WHEN best IS NOT NULL AND target IS NULL THEN 'propagated' WHEN best <> target THEN 'settled' WHEN target IS NOT NULL THEN 'linked' ELSE 'unlinked' END AS fate
+    FROM r LEFT JOIN u USING (no) LEFT JOIN b USING (no)
+""")
+def settled_by_number(spark: SparkSession, d: str) -> DataFrame:
+    no = F.when(F.col("p_size") <= 25, F.concat("p_brand", F.lit("-"), F.col("p_size").cast("string"))).otherwise("")
+    rows = table(spark, d, "part").select("p_partkey", no.alias("no"), F.when(F.col("p_partkey") % 3 > 0, F.col("p_type")).alias("target"), "p_name", (F.col("p_size") % 5).alias("score"), (F.col("p_partkey") % 7).alias("weight"))
+    return K.settled_by_number(rows, "p_partkey", "no", "target", "p_name", "score", "weight", 0.3)
+
+
+@query("""
+    WITH u AS (SELECT DISTINCT o_custkey AS k, o_orderpriority || o_orderstatus AS unit, o_orderstatus <> 'F' AS chain, CASE WHEN o_orderstatus = 'P' THEN left(o_orderpriority, 1) ELSE o_orderpriority END AS name FROM orders),
+    i AS (SELECT a.k, min(a.unit) AS x, count(DISTINCT a.unit) AS n FROM u a JOIN u b ON a.k = b.k AND a.unit <> b.unit AND a.chain AND b.chain AND contains(b.name, a.name) GROUP BY 1),
+    g AS (SELECT k, count(*) AS n, min(unit) AS one, count(*) FILTER (chain) AS nc, min(unit) FILTER (chain) AS c FROM u GROUP BY k)
+    SELECT g.k, CASE WHEN g.n = 1 THEN one WHEN nc = 1 THEN c WHEN nc > 1 AND i.n = 1 THEN x END AS unit FROM g LEFT JOIN i ON i.k = g.k
+""")
+def chosen_units(spark: SparkSession, d: str) -> DataFrame:
+    p = F.col("o_orderpriority")
+    rows = table(spark, d, "orders").select(F.col("o_custkey").alias("k"), F.concat(p, "o_orderstatus").alias("unit"), "o_orderstatus", F.when(F.col("o_orderstatus") == "P", F.substring(p, 1, 1)).otherwise(p).alias("name"))
+    return K.chosen_unit(rows, "k", "unit", F.col("o_orderstatus") != "F", "name")
+
+
+# ---- mentions, search over two fields, figures in running text
+
+_MENTIONED = "m AS (SELECT 'doc' || conv_id::VARCHAR AS segment, role AS entity_type, 'P' || (length(text) % 50)::VARCHAR AS entity_id, ['high', 'low', 'medium'][(turn % 3 + 1)::INTEGER] AS confidence, (1990 + conv_id % 12)::INTEGER AS year FROM conversations WHERE text IS NOT NULL)"
+
+
+def _mentioned(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "conversations").where("text is not null").select(F.concat(F.lit("doc"), F.col("conv_id").cast("string")).alias("segment"), F.col("role").alias("entity_type"), F.concat(F.lit("P"), (F.length("text") % 50).cast("string")).alias("entity_id"), _one_of(F.col("turn") % 3, "high", "low", "medium").alias("confidence"), (F.col("conv_id") % 12 + 1990).cast("int").alias("year"))
+
+
+@query(f"WITH {_MENTIONED} SELECT entity_type, entity_id, year, count(*) AS n, count(*) FILTER (confidence <> 'low') AS primary_n FROM m GROUP BY ALL")
+def mentioned_by_year(spark: SparkSession, d: str) -> DataFrame:
+    return H.mentioned_by_year(_mentioned(spark, d))
+
+
+@query(f"""
+    WITH {_MENTIONED}, c AS (SELECT entity_type, entity_id, segment, min(year) AS year, count(*) AS n FROM m WHERE confidence <> 'low' GROUP BY ALL), r AS (SELECT *, row_number() OVER (PARTITION BY entity_type, entity_id ORDER BY n DESC, year, segment)::INTEGER AS rank FROM c)
+    SELECT * FROM r WHERE rank <= 3
+""")
+def top_segments(spark: SparkSession, d: str) -> DataFrame:
+    return H.top_segments(_mentioned(spark, d), 3)
+
+
+_WORDS_OF = "regexp_extract_all(strip_accents(lower(coalesce({0}, ''))), '[a-z0-9]+')"
+_FIELDS = "h AS (SELECT doc_id, split_part(text, chr(10), 1) AS heading, text FROM documents)"
+
+
+@query(f"""
+    WITH {_FIELDS}, f AS (SELECT doc_id, 'heading' AS field, {_WORDS_OF.format('heading')} AS w FROM h UNION ALL SELECT doc_id, 'text', {_WORDS_OF.format('text')} FROM h),
+    t AS (SELECT doc_id, field, unnest(w) AS term, unnest(range(len(w))) AS pos FROM f)
+    SELECT term, doc_id, field, count(*) AS tf, min(pos)::INTEGER AS first, max(pos)::INTEGER AS last FROM t GROUP BY ALL
+""")
+def field_postings(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents").select("doc_id", F.substring_index("text", "\n", 1).alias("heading"), "text")
+    return T.field_postings(docs, ("heading", "text")).select("term", "doc_id", "field", "tf", F.array_min("positions").alias("first"), F.array_max("positions").alias("last"))
+
+
+@query(f"""
+    WITH {retrieval._Q}, {_FIELDS}, f AS (SELECT doc_id, 2.0::DOUBLE AS w, {_WORDS_OF.format('heading')} AS ws FROM h UNION ALL SELECT doc_id, 1.0::DOUBLE, {_WORDS_OF.format('text')} FROM h),
+    s AS (SELECT doc_id, sum(len(ws)) AS length FROM f GROUP BY 1), a AS (SELECT count(*) AS n_docs, avg(length) AS mean_length FROM s), t AS (SELECT doc_id, w, unnest(ws) AS term FROM f),
+    p AS (SELECT doc_id, term, sum(w) AS x FROM t WHERE term IN (SELECT term FROM q) GROUP BY ALL), c AS (SELECT term, count(*) AS df FROM p GROUP BY 1),
+    b AS (SELECT query, doc_id, round(sum(greatest(ln((n_docs - df + 0.5::DOUBLE) / (df + 0.5::DOUBLE)), 1e-6::DOUBLE) * x * 2.2::DOUBLE / (x + 1.2::DOUBLE * (1 - 0.75::DOUBLE + 0.75::DOUBLE * length / mean_length))), 6) AS score FROM q JOIN c USING (term) JOIN p USING (term) JOIN s USING (doc_id) CROSS JOIN a GROUP BY query, doc_id)
+    SELECT query, doc_id, score FROM b
+""")
+def bm25_two_fields(spark: SparkSession, d: str) -> DataFrame:
+    """First lines as headings that count twice."""
+    docs = table(spark, d, "documents").select("doc_id", F.substring_index("text", "\n", 1).alias("heading"), "text")
+    return T.bm25_fields(docs, retrieval._asked(spark), {"heading": 2.0, "text": 1.0})
+
+
+@query("""
+    WITH t AS (SELECT doc_id, (50 + doc_id % 7)::BIGINT AS units, (90 + doc_id % 300)::BIGINT AS enrolled, doc_id % 2 = 0 AS attended, doc_id % 5 AS way FROM documents)
+    SELECT doc_id, 'day' AS kind, units, enrolled, CASE WHEN attended THEN 1080 END::BIGINT AS attendance, CASE way WHEN 1 THEN 'retrospective' WHEN 2 THEN 'point_in_time' ELSE '' END AS note FROM t WHERE enrolled >= 100
+""")
+def figures_harvested(spark: SparkSession, d: str) -> DataFrame:
+    n = F.col("doc_id")
+    said = F.concat(
+        F.lit("\n"), _one_of(n % 5, "At the ", "Five years ago, at the ", "On June 30, at the ", "At the ", "In all, at the "), (n % 7 + 50).cast("string"), F.lit(" day schools in operation an enrolment of "), (n % 300 + 90).cast("string"),
+        F.when(n % 2 == 0, " and an average attendance of 1,080.").otherwise("."),
+    )
+    docs = table(spark, d, "documents").select("doc_id", F.concat(F.coalesce("text", F.lit("")), said).alias("text"))
+    return N.harvested(docs, [("day", r"(?i)(\d+) day schools[^.]{0,80}?enroll?ment of (\d[\d,]*)(?: and an average attendance of (\d[\d,]*))?")])
+
+
+@query("""
+    SELECT p_partkey, a || '|' || b || CASE WHEN p_size % 2 = 0 THEN '|' || p_type ELSE '' END || '|' || a || ', ' || b || CASE WHEN p_size % 2 = 0 THEN '|' || b || ', ' || p_type || '|' || a || ', ' || b || ', ' || p_type ELSE '' END AS candidates
+    FROM (SELECT *, p_name AS a, p_brand AS b FROM part)
+""")
+def dateline_candidates(spark: SparkSession, d: str) -> DataFrame:
+    line = F.concat(F.lit(" "), "p_name", F.lit(",  "), "p_brand", F.when(F.col("p_size") % 2 == 0, F.concat(F.lit("; "), "p_type", F.lit("."))).otherwise("."))
+    return table(spark, d, "part").select("p_partkey", F.array_join(N.dateline_candidates(line), "|").alias("candidates"))

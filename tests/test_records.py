@@ -2,8 +2,12 @@
 
 from pyspark.sql import functions as F
 
+from quillgraph.functions import numbers as U
+from quillgraph.functions import similarity as S
 from quillgraph.operators import assembly as A
+from quillgraph.operators import fulltext as T
 from quillgraph.operators import gates as G
+from quillgraph.operators import linking as K
 from quillgraph.operators import narrative as N
 
 
@@ -127,3 +131,52 @@ def test_school_sentences(spark):
     said = "Number of children of school age, 1,020; number of pupils enrolled, 30; average attendance, 20"
     docs = spark.createDataFrame([(1, f"x\n{said}.\nnumber attending Elkhorn, 12"), (2, "none"), (3, None), (4, said.replace("1,020", "2"))], "doc_id int, text string")
     assert rows(N.school_sentences(docs), "doc_id", "school_age", "enrolled", "attendance", "elsewhere", "schools", "plausible") == [(1, 1020, 30, 20, 12, "Elkhorn 12", True), (4, 2, 30, 20, 0, "", False)]
+
+
+def test_surnames_and_given_names(spark):
+    frame = spark.createDataFrame([(["macdonald", "donald"], ["donald"]), (["smith"], ["smith"]), ([], ["x"]), (None, ["x"])], "a array<string>, b array<string>")
+    assert [r[0] for r in frame.select(S.surname_score("a", "b")).collect()] == [1.0, 1.0, 0.0, 0.0]
+    given = spark.createDataFrame([(["agnes"], ["angus"]), (["agnes"], ["mary"]), (["tom"], ["thomas"]), (["wm"], ["william"]), (["will"], ["william"]), ([], ["x"])], "a array<string>, b array<string>")
+    assert [r[0] for r in given.select(S.given_conflict(F.col("a"), F.col("b"))).collect()] == [0.1, 0.0, 0.1, None, None, None]
+
+
+def test_acres_and_bars(spark):
+    frame = spark.createDataFrame([("57 42", "57.42"), ("1,057 42", "1057.42"), ("57 4", "57.4"), (None, "1"), ("1", "2")], "a string, b string")
+    assert [r[0] for r in frame.select(U.acres_close_text("a", "b")).collect()] == [True, True, False, False, False]
+    bars = spark.createDataFrame([([1.0, None, 8.0],), ([2.0, 2.0],), ([],), (None,)], "v array<double>")
+    assert [r[0] for r in bars.select(U.sparkline(F.col("v"))).collect()] == ["▁ █", "▁▁", "", None]
+
+
+def test_accounts_settled_by_number(spark):
+    shape = "id int, no string, t string, name string, s double, w int"
+    accounts = spark.createDataFrame([(1, "7", "A", "sampson", 0.9, 3), (2, "7", "B", "samson", 0.9, 5), (3, "7", None, "x", None, None), (4, "8", "A", "enoch", 1.0, 1), (5, "8", "C", "paspaschase", 1.0, 1), (6, "8", None, "y", None, None), (7, "", "A", "z", 1.0, 1), (8, None, None, "z", 1.0, 1)], shape)
+    got = rows(K.settled_by_number(accounts, "id", "no", "t", "name", "s", "w", 0.7).fillna("-"), "id", "t", "fate")
+    assert got == [(1, "B", "settled"), (2, "B", "linked"), (3, "B", "propagated"), (4, "A", "conflict"), (5, "C", "conflict"), (6, "-", "conflict"), (7, "A", "linked"), (8, "-", "unlinked")]
+
+
+def test_chosen_units(spark):
+    named = spark.createDataFrame([(1, "u1", "x"), (2, "u1", "x"), (2, "AG-a", "y"), (3, "AG-a", "SARCEE"), (3, "AG-b", "OFFICE, SARCEE"), (4, "AG-a", "X"), (4, "AG-b", "Y"), (5, "u1", "a"), (5, "u2", "b")], "k int, unit string, name string")
+    assert rows(K.chosen_unit(named, "k", "unit", F.startswith("unit", F.lit("AG-")), "name").fillna("-"), "k", "unit") == [(1, "u1"), (2, "AG-a"), (3, "AG-a"), (4, "-"), (5, "-")]
+
+
+def test_dateline_candidates(spark):
+    frame = spark.createDataFrame([(1, "TREATY No. 4, INDIAN HEAD AGENCY.  Sask; 1890"), (2, ""), (3, "Brandon")], "i int, line string")
+    got = {r.i: r.c for r in frame.select("i", N.dateline_candidates(F.col("line")).alias("c")).collect()}
+    assert got[1][:4] == ["TREATY No. 4", "INDIAN HEAD AGENCY", "Sask", "1890"]
+    assert got[1][4] == "TREATY No. 4, INDIAN HEAD AGENCY" and got[1][-1] == "INDIAN HEAD AGENCY, Sask, 1890" and len(got[1]) == 9
+    assert got[2] == [] and got[3] == ["Brandon"]
+
+
+def test_harvested_figures(spark):
+    docs = spark.createDataFrame([(1, "5 schools: 1,200 pupils. Ten years ago 6 schools: 300 pupils, 20 present. On June 30 7 schools: 400 pupils. 8 schools: 99 pupils."), (2, None)], "doc_id int, text string")
+    got = rows(N.harvested(docs, [("day", r"(\d+) schools: (\d[\d,]*) pupils(?:, (\d+) present)?")]).fillna(-1), "units", "enrolled", "attendance", "note")
+    assert got == [(5, 1200, -1, ""), (6, 300, 20, "retrospective"), (7, 400, -1, "point_in_time")]
+
+
+def test_field_positions_and_weights(spark):
+    docs = spark.createDataFrame([(1, "Head head", "a head"), (2, None, "b"), (3, "c", None), (4, "d", "d")], "doc_id int, h string, t string")
+    got = {(r.term, r.doc_id, r.field): r.positions for r in T.field_postings(docs, ("h", "t")).collect()}
+    assert got[("head", 1, "h")] == [0, 1] and got[("head", 1, "t")] == [1] and ("b", 2, "t") in got and len(got) == 7
+    asked = spark.createDataFrame([("q", "head"), ("q", "d")], "query string, term string")
+    scores = {r.doc_id: r.score for r in T.bm25_fields(docs, asked, {"h": 2.0, "t": 1.0}).collect()}
+    assert set(scores) == {1, 4} and scores[1] > 0
