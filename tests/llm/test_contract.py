@@ -26,6 +26,9 @@ COLUMNS = {
     "op8_pii": "doc_id n_email n_ip n_card n_phone base_sha256 spans",
     "op9_simhash": "doc_id fingerprint component_id",
     "op10_top_k": "query_id rank vec_id score",
+    "op11_embedding_duplicates": "vec_id n_links component_id kept",
+    "op12_collocations": "lang rank phrase a l r n score",
+    "op13_hard_negatives": "anchor_id positive_id rank negative_id positive_score negative_score",
 }
 
 
