@@ -7,58 +7,66 @@ from pyspark.sql import functions as F
 
 from quillgraph.functions.numbers import parse_money
 
-SHAPES = ("dr_cr_5", "dr_cr_4", "split_3", "debit_2")
+#: The printed shapes (fixed values): columns, what their headers say, and where each side has its description, capital
+#: and interest; ``label`` is the row's own, a dash none.  Shapes come in the order in which headers are tried.
+SHAPES = (
+    ("ledger_dr_cr_5", 5, "capital interest cr", "label 0 1", "2 3 4"),
+    ("ledger_dr_cr_4", 4, "capital interest cr", "label 0 1", "- 2 3"),
+    ("ledger_split_3", 2, "capital interest", "label 0 -", "1 2 -"),
+    ("ledger_debit_2", 2, "debit credit trust", "label 0 -", "label 1 -"),
+)
+#: Shapes that rows of a width show, whatever their header says; three columns are a split ledger only if that was announced.
+BY_WIDTH = {5: "ledger_dr_cr_5", 4: "ledger_dr_cr_4", 3: "ledger_dr_cr_4"}
+TRUST = r"trust|return b|return c|^$|^none$"
 
 
 def shape(columns: Column, title: Column) -> Column:
-    """The shape that a table's headers announce, null for other tables.
+    """The shape of ``SHAPES`` that a table's headers announce, null for other tables.
 
-    ``dr_cr_5``: capital and interest on either side, and a description between;
-    ``dr_cr_4``: without it; ``split_3``: capital and interest in two columns;
-    ``debit_2``: debit and credit, of a trust fund return or without a title.
+    A table of debit and credit alone is a ledger only in a trust fund return, or without a title.
     """
-    c = F.transform(F.coalesce(columns, F.array().cast("array<string>")), lambda x: F.lower(F.coalesce(x, F.lit(""))))
-    joined, n, t = F.array_join(c, " | "), F.size(c), F.lower(F.coalesce(title, F.lit("")))
-    both = F.contains(joined, F.lit("capital")) & F.contains(joined, F.lit("interest"))
-    credit = F.exists(c, lambda x: F.startswith(x, F.lit("cr")))
-    debit = (F.contains(joined, F.lit("debit")) | F.contains(F.get(c, F.lit(0)), F.lit("dr"))) & (F.contains(joined, F.lit("credit")) | F.contains(F.get(c, F.lit(1)), F.lit("cr")))
-    trust = (t == "") | (t == "none") | t.rlike("trust|return b|return c")
-    return F.when((n == 5) & both & credit, "dr_cr_5").when((n == 4) & both & credit, "dr_cr_4").when((n == 2) & both, "split_3").when((n == 2) & debit & trust, "debit_2")
+    heads = F.transform(F.coalesce(columns, F.array().cast("array<string>")), lambda x: F.lower(F.coalesce(x, F.lit(""))))
+    has = lambda word: F.exists(heads, lambda x: F.contains(x, F.lit(word)))
+    at = lambda i, word: F.coalesce(F.contains(F.get(heads, F.lit(i)), F.lit(word)), F.lit(False))
+    says = {
+        "capital": has("capital"), "interest": has("interest"), "cr": F.exists(heads, lambda x: F.startswith(x, F.lit("cr"))),
+        "debit": has("debit") | at(0, "dr"), "credit": has("credit") | at(1, "cr"), "trust": F.lower(F.coalesce(title, F.lit(""))).rlike(TRUST),
+    }
+    out = F.lit(None).cast("string")
+    for name, width, words, _, _ in reversed(SHAPES):
+        fits = F.size(heads) == width
+        for word in words.split():
+            fits = fits & says[word]
+        out = F.when(fits, name).otherwise(out)
+    return out
 
 
 def effective_shape(rows: DataFrame, account: str, values: str, declared: str) -> DataFrame:
-    """Add ``shape``: what the account's widest row shows, where that is wider than its header says."""
-    widest = F.max(F.size(F.coalesce(values, F.array().cast("array<string>")))).over(Window.partitionBy(account))
-    wide = rows.withColumn("_w", widest)
-    shown = F.when(F.col("_w") >= 5, "dr_cr_5").when(F.col("_w") == 4, "dr_cr_4").when(F.col("_w") == 3, F.when(F.col(declared) == "split_3", "split_3").otherwise("dr_cr_4")).otherwise(F.col(declared))
-    return wide.withColumn("shape", shown).drop("_w")
+    """Add ``shape``: what the account's widest row shows, its total row among them, where that is wider than its header says."""
+    wide = F.max(F.size(F.coalesce(values, F.array().cast("array<string>")))).over(Window.partitionBy(account))
+    split = next(name for name, *_, credit in SHAPES if credit.startswith("1"))
+    shown = F.try_element_at(F.create_map(*[F.lit(x) for pair in BY_WIDTH.items() for x in pair]), F.least(F.col("_w"), F.lit(max(BY_WIDTH))))
+    return rows.withColumn("_w", wide).withColumn("shape", F.when((F.col("_w") == 3) & (F.col(declared) == split), split).otherwise(F.coalesce(shown, declared))).drop("_w")
 
 
-def entries(rows: DataFrame, account: str, label: str, values: str, shape: str) -> DataFrame:
+def entries(rows: DataFrame, account: str, label: str, values: str, shape: str, total: Column | None = None) -> DataFrame:
     """``account, side, description, capital, interest``: the debit and the credit of each printed row, by its shape.
 
-    A side without a figure gives no entry.
+    A side without a figure gives no entry, nor do rows of no shape and those that ``total`` holds for.
     """
-    v = lambda i: F.get(F.col(values), F.lit(i))
-    none = F.lit(None).cast("string")
-    of = {
-        "dr_cr_5": ((F.col(label), v(0), v(1)), (v(2), v(3), v(4))),
-        "dr_cr_4": ((F.col(label), v(0), v(1)), (none, v(2), v(3))),
-        "split_3": ((F.col(label), v(0), none), (v(1), v(2), none)),
-        "debit_2": ((F.col(label), v(0), none), (F.col(label), v(1), none)),
-    }
-
-    def side(name: str, at: int) -> Column:
+    cell = lambda place: F.col(label) if place == "label" else F.lit(None).cast("string") if place == "-" else F.get(F.col(values), F.lit(int(place)))
+    lines = rows if total is None else rows.where(~F.coalesce(total, F.lit(False)))
+    both = []
+    for side, column in (("Dr", 3), ("Cr", 4)):
         parts = []
-        for k in range(3):
-            cell = none
-            for s in SHAPES:
-                cell = F.when(F.col(shape) == s, of[s][at][k]).otherwise(cell)
-            parts.append(cell)
-        return F.struct(F.lit(name).alias("side"), F.trim(parts[0]).alias("description"), parts[1].alias("_c"), parts[2].alias("_i"))
-
-    both = rows.select(account, F.explode(F.array(side("Dr", 0), side("Cr", 1))).alias("_e")).select(account, "_e.*")
-    money = both.select(account, "side", "description", parse_money("_c").alias("capital"), parse_money("_i").alias("interest"))
+        for part in range(3):
+            of = F.lit(None).cast("string")
+            for row in SHAPES:
+                of = F.when(F.col(shape) == row[0], cell(row[column].split()[part])).otherwise(of)
+            parts.append(of)
+        both.append(F.struct(F.lit(side).alias("side"), F.trim(parts[0]).alias("description"), parts[1].alias("_c"), parts[2].alias("_i")))
+    found = lines.select(account, F.explode(F.array(*both)).alias("_e")).select(account, "_e.*")
+    money = found.select(account, "side", "description", parse_money("_c").alias("capital"), parse_money("_i").alias("interest"))
     return money.where("capital is not null or interest is not null")
 
 

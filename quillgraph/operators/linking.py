@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from quillgraph.functions.similarity import dice
 from quillgraph.operators.identity import components
+from quillgraph.operators.lineage import cut
 
 
 def only_in_tier(pairs: DataFrame, key: str, candidate: str, score: str, tiers: Sequence[tuple[str, Column]], near: float) -> DataFrame:
@@ -173,54 +174,47 @@ def merged_people(rows: DataFrame, node: str, name: str, region: str, kind: str)
     return components(same_name_links(rows, node, name, region, kind))
 
 
-def matched_records(left: DataFrame, right: DataFrame, block: str, page: str, number: str, name: str, amount: str, likeness: float = 0.5) -> DataFrame:
-    """Records of two extractions of one print, matched in four passes in each block: ``left_id, right_id, how``.
+def matched_records(left: DataFrame, right: DataFrame, block: str, page: str, number: str, name: str, amount: str, division: str | None = None, likeness: float = 0.5) -> DataFrame:
+    """Records of two extractions of one print, matched in each block: ``left_id, right_id, how``.
 
-    ``exact``: page, number and name agree; ``relaxed``: number and name, a page
-    apart at most; ``name``: the name alone, if it is the only one on either
-    side; ``fuzzy``: the number, a page apart at most, with equal amounts or
-    names that share half their words.  Each record is used once, in order of its
-    ``id``.  A block must fit in one task: it is a chunk of pages.
+    In this order: ``exact``, page, number, name and division agree; ``relaxed``, all but the page, which is the one before or the one
+    after; ``name``, the name alone, if it is the only one on either side; ``fuzzy``, the number, a page apart at most,
+    with amounts less than a cent apart or names that share ``likeness`` of their words.  Each record is used once.  Equal records meet in order of
+    ``id``; fuzzy pairs go by score (2 for the amount, the share of words, half the share of the divisions' words), then ids.  A null name is no name to match alone by.
     """
-
-    def shared(a, b) -> float:
-        x, y = set(str(a or "").split()), set(str(b or "").split())
-        return len(x & y) / len(x | y) if x | y else 1.0
-
-    def one(key, mine: pd.DataFrame, other: pd.DataFrame) -> pd.DataFrame:
-        mine, other = mine.sort_values("id"), other.sort_values("id")
-        free, out, left_over = dict.fromkeys(other["id"]), [], []
-        rows = {r.id: r for r in other.itertuples()}
-        by_name = other.groupby("name")["id"].agg(list).to_dict()
-        once = mine["name"].value_counts()
-        by_number: dict = {}
-        for r in other.itertuples():
-            by_number.setdefault(r.number, []).append(r.id)
-        for r in mine.itertuples():
-            near = [i for i in by_number.get(r.number, []) if i in free and rows[i].name == r.name]
-            exact, relaxed = [i for i in near if rows[i].page == r.page], [i for i in near if abs(rows[i].page - r.page) <= 1]
-            alone = [i for i in by_name.get(r.name, []) if i in free] if r.name and len(by_name.get(r.name, [])) == 1 and once.get(r.name) == 1 else []
-            how, found = next(((h, f) for h, f in (("exact", exact), ("relaxed", relaxed), ("name", alone)) if f), ("", []))
-            if found:
-                del free[found[0]]
-                out.append((r.id, found[0], how))
-            else:
-                left_over.append(r)
-        for r in left_over:
-            best, most = None, 0.0
-            for i in by_number.get(r.number, []):
-                if i not in free or abs(rows[i].page - r.page) > 1:
-                    continue
-                equal, near = pd.notna(r.amount) and pd.notna(rows[i].amount) and abs(r.amount - rows[i].amount) < 0.01, shared(r.name, rows[i].name)
-                if (equal or near >= likeness) and 2.0 * equal + near > most:
-                    best, most = i, 2.0 * equal + near
-            if best is not None:
-                del free[best]
-                out.append((r.id, best, "fuzzy"))
-        return pd.DataFrame(out, columns=["left_id", "right_id", "how"])
-
-    shaped = [x.select(F.col(block).alias("block"), F.col("id").cast("long").alias("id"), F.col(page).cast("long").alias("page"), F.col(number).cast("string").alias("number"), F.col(name).alias("name"), F.col(amount).cast("double").alias("amount")) for x in (left, right)]
-    return shaped[0].groupBy("block").cogroup(shaped[1].groupBy("block")).applyInPandas(one, "left_id long, right_id long, how string")
+    none = F.lit("")
+    sides = [x.select(F.col(block).alias("block"), F.col("id").cast("long").alias("id"), F.col(page).cast("long").alias("page"), F.coalesce(F.col(number).cast("string"), none).alias("number"), F.coalesce(F.col(name), none).alias("name"), F.col(amount).cast("double").alias("amount"), (F.coalesce(F.col(division), none) if division else none).alias("division")) for x in (left, right)]
+    sides = [cut(x) for x in sides]
+    key, found = ["block", "number", "name", "division", "page"], None
+    # each step: how, what to add to the right side's page, and whether only the names count
+    for how, step, by in (("exact", 0, key), ("relaxed", 1, key), ("relaxed", -1, key), ("name", 0, ["block", "name"])):
+        rest = [x if found is None else x.join(found.select(F.col(f"{side}_id").alias("id")), "id", "left_anti") for x, side in zip(sides, ("left", "right"), strict=True)]
+        if how == "name":
+            once = [x.where("name <> ''").groupBy("block", "name").agg(F.count("*").alias("_n")).where("_n = 1").drop("_n") for x in sides]
+            rest = [x.join(once[0], by, "left_semi").join(once[1], by, "left_semi") for x in rest]
+        moved = [rest[0], rest[1].withColumn("page", F.col("page") + step)]
+        turn = [x.select(*by, F.row_number().over(Window.partitionBy(*by).orderBy("id")).alias("_n"), F.col("id").alias(f"{side}_id")) for x, side in zip(moved, ("left", "right"), strict=True)]
+        met = turn[0].join(turn[1], [*by, "_n"]).select("left_id", "right_id", F.lit(how).alias("how"))
+        found = cut(met if found is None else found.unionByName(met))
+    rest = [x.join(found.select(F.col(f"{side}_id").alias("id")), "id", "left_anti") for x, side in zip(sides, ("left", "right"), strict=True)]
+    pairs = rest[0].alias("l").join(rest[1].alias("r"), ["block", "number"]).where(F.abs(F.col("l.page") - F.col("r.page")) <= 1)
+    equal = F.coalesce(F.abs(F.col("l.amount") - F.col("r.amount")) < 0.01, F.lit(False))
+    near = _shared_words(F.col("l.name"), F.col("r.name"))
+    score = F.when(equal, 2.0).otherwise(0.0) + near + 0.5 * _shared_words(F.col("l.division"), F.col("r.division"))
+    pairs = pairs.where(equal | (near >= likeness)).select("block", "number", (-score).alias("s"), F.col("l.id").alias("a"), F.col("r.id").alias("b"))
+    # the best pair of a number first, then the best of those whose records are free
+    taken = F.aggregate(
+        F.array_sort(F.collect_list(F.struct("s", "a", "b"))), F.array().cast("array<struct<a:bigint,b:bigint>>"),
+        lambda kept, x: F.when(F.exists(kept, lambda k: (k["a"] == x["a"]) | (k["b"] == x["b"])), kept).otherwise(F.concat(kept, F.array(F.struct(x["a"].alias("a"), x["b"].alias("b"))))),
+    )
+    fuzzy = pairs.groupBy("block", "number").agg(taken.alias("_t")).select(F.explode("_t").alias("_t")).select(F.col("_t.a").alias("left_id"), F.col("_t.b").alias("right_id"), F.lit("fuzzy").alias("how"))
+    return found.unionByName(fuzzy)
+
+
+def _shared_words(a: Column, b: Column) -> Column:
+    """The share of the words of two texts that both have; 0 if neither has any."""
+    x, y = (F.array_distinct(F.filter(F.split(F.lower(c), r"\s+"), lambda w: w != "")) for c in (a, b))
+    return F.coalesce(F.size(F.array_intersect(x, y)) / F.nullif(F.size(F.array_union(x, y)), F.lit(0)), F.lit(0.0))
 
 
 def sampled(rows: DataFrame, kind: str, key: str, n: int, seed: int) -> DataFrame:

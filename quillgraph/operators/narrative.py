@@ -14,6 +14,9 @@ SIGNER = r"^\s*([A-Z][A-Z.'’\- ]{3,40}),?\s*$"
 OFFICE = r"^\s*(?:Indian\s+)?(Agent|Acting Agent|Indian Superintendent|Superintendent|Inspector|Farmer in charge|Agent and Clerk)\.?\s*$"
 COUNTS = r"(?i)number of children of school age,?\s*(\d[\d,]*)[;.,]?\s*number of pupils enrolled(?: at day schools?)?,?\s*(\d[\d,]*)[;.,]?\s*average attendance(?: at day schools?)?,?\s*(\d[\d,]*)"
 ATTENDING = r"(?i)number attending ([^,;]{3,80}?),?\s*(\d[\d,]*)"
+#: What stands before an entry, and what ends it.
+PRINTED_UNIT = r"(?is)(?:<a [^>]*>|<b>)([^<]{3,80})</(?:a|b)>\.?\s*$"
+ENTRY = r"(?is)^(.{0,900}?)(?:The Indian agent|The agent|Indian agent|reports on the|$)"
 BAND_WORDS = r"(?i)\bband\b|people|tribe|nation"
 
 
@@ -34,7 +37,8 @@ def signed(found: DataFrame, agents: DataFrame, window: int = 2) -> DataFrame:
 
     ``agents``: ``agent, surname, initial, year``; a null year fits every year, an
     empty initial every initial.  One agent within ``window`` years is a link,
-    several are left to be decided, none mints a person from the name's letters.
+    several are left to be decided, none mints a person: names of equal letters are one,
+    by the slug of the first of them in order of document and place.
     """
     a = agents.select("agent", "surname", F.col("initial").alias("_i"), F.col("year").alias("_y"))
     hits = found.join(a, "surname").where("(_y is null or abs(_y - year) <= %d) and (initial = '' or coalesce(_i, '') = '' or initial = _i)" % window)
@@ -42,8 +46,11 @@ def signed(found: DataFrame, agents: DataFrame, window: int = 2) -> DataFrame:
     rows = found.join(who, ["doc_id", "char_start"], "left").withColumn("candidates", F.coalesce("candidates", F.array().cast("array<string>")))
     n = F.size("candidates")
     fate = F.when(n == 1, "link").when(n > 1, "residual").otherwise("mint")
-    minted = F.concat(F.lit("PERSON-"), F.regexp_replace(F.lower("name"), "[^a-z]+", ""))
-    return rows.withColumn("fate", fate).withColumn("person", F.when(n == 1, F.get("candidates", F.lit(0))).when(n == 0, minted))
+    rows = rows.withColumn("_letters", F.when(n == 0, F.regexp_replace(F.upper("name"), "[^A-Z]", "")))
+    first = rows.where("_letters is not null").groupBy("_letters").agg(F.min(F.struct("doc_id", "char_start", "name")).alias("_f"))
+    rows = rows.join(first, "_letters", "left")
+    minted = F.concat(F.lit("PERSON-"), F.trim(F.regexp_replace(F.lower("_f.name"), "[^a-z0-9]+", "-"), F.lit("-")))
+    return rows.withColumn("fate", fate).withColumn("person", F.when(n == 1, F.get("candidates", F.lit(0))).when(n == 0, minted)).drop("_letters", "_f")
 
 
 def minted_people(rows: DataFrame) -> DataFrame:
@@ -79,21 +86,26 @@ def decided(items: DataFrame, decisions: DataFrame) -> DataFrame:
 
 
 def school_sentences(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``doc_id, school_age, enrolled, attendance, elsewhere, schools, plausible``: the stock sentence of each text, and what follows it in 900 characters.
+    """``doc_id, entry, unit, school_age, enrolled, attendance, elsewhere, schools, plausible`` of every stock sentence of each text.
 
-    ``elsewhere`` adds the pupils of the schools named after it, which are
-    ``schools`` (``name number; ...``).  Texts without the sentence give no row.
-    A row is plausible if enrolment is at most 1.3 of the school age, attendance
-    1.2 of the enrolment, and pupils elsewhere the school age.
+    ``entry`` numbers a text's sentences from 0; ``unit`` is the marked-up name right before one, else empty.  An entry
+    goes on to the words that end it, the next sentence, or 900 characters: ``elsewhere`` adds
+    the pupils of the schools named there, which are ``schools`` (``name number; ...``), without markup.  Null
+    texts and those without the sentence give no row.  A row is plausible if enrolment is at most 1.3 of the school
+    age, attendance 1.2 of the enrolment, and pupils elsewhere the school age.
     """
     number = lambda c: F.regexp_replace(c, "[^0-9]", "").try_cast("long")
-    hit = docs.where(F.col(text).rlike(COUNTS))
-    tail = F.substr(F.regexp_extract(text, f"(?s){COUNTS}(.*)", 4), F.lit(1), F.lit(900))
-    rows = hit.select("doc_id", *[number(F.regexp_extract(text, COUNTS, i)).alias(c) for i, c in ((1, "school_age"), (2, "enrolled"), (3, "attendance"))], F.regexp_extract_all(tail, F.lit(ATTENDING), 1).alias("_n"), F.regexp_extract_all(tail, F.lit(ATTENDING), 2).alias("_v"))
-    rows = rows.withColumn("elsewhere", F.aggregate("_v", F.lit(0).cast("long"), lambda s, v: s + F.coalesce(F.regexp_replace(v, "[^0-9]", "").try_cast("long"), F.lit(0))))
-    rows = rows.withColumn("schools", F.array_join(F.zip_with("_n", "_v", lambda a, b: F.concat(F.trim(a), F.lit(" "), F.regexp_replace(b, "[^0-9]", ""))), "; "))
+    around = F.split(text, COUNTS)
+    hits = F.transform(F.regexp_extract_all(text, F.lit(COUNTS), 0), lambda h, i: F.struct(h.alias("said"), F.get(around, i).alias("before"), F.get(around, i + 1).alias("after")))
+    rows = docs.select("doc_id", F.posexplode(hits).alias("entry", "_e")).select("doc_id", "entry", "_e.*")
+    rest = F.regexp_extract(F.substr("after", F.lit(1), F.lit(2000)), ENTRY, 1)
+    tail = F.regexp_replace(F.when(rest == "", F.when(F.col("after").rlike(ENTRY), "").otherwise(F.substr("after", F.lit(1), F.lit(900)))).otherwise(rest), "<[^>]+>", "")
+    rows = rows.withColumn("_tail", tail).withColumn("_n", F.regexp_extract_all("_tail", F.lit(ATTENDING), 1)).withColumn("_v", F.regexp_extract_all("_tail", F.lit(ATTENDING), 2))
+    out = rows.select("doc_id", "entry", F.trim(F.regexp_extract("before", PRINTED_UNIT, 1)).alias("unit"), *[number(F.regexp_extract("said", COUNTS, i)).alias(c) for i, c in ((1, "school_age"), (2, "enrolled"), (3, "attendance"))], "_n", "_v")
+    out = out.withColumn("elsewhere", F.aggregate("_v", F.lit(0).cast("long"), lambda s, v: s + F.coalesce(number(v), F.lit(0))))
+    out = out.withColumn("schools", F.array_join(F.zip_with("_n", "_v", lambda a, b: F.concat(F.trim(a), F.lit(" "), F.regexp_replace(b, "[^0-9]", ""))), "; "))
     ok = (F.col("school_age") > 0) & (F.col("enrolled") <= 1.3 * F.col("school_age")) & (F.col("attendance") <= 1.2 * F.col("enrolled")) & (F.col("elsewhere") <= F.col("school_age"))
-    return rows.withColumn("plausible", F.coalesce(ok, F.lit(False))).drop("_n", "_v")
+    return out.withColumn("plausible", F.coalesce(ok, F.lit(False))).drop("_n", "_v")
 
 
 def dateline_candidates(line: Column) -> Column:

@@ -16,12 +16,18 @@ from quillgraph.operators.relational import suffixed
 # Fixed forms of the printed volumes.
 PAGE = r"^<!-- page ([0-9]+) -->"
 SALUTATION = r"^\s*SIR\s?, ?[-—]"
-CAPTION = r"^(TABULAR STATEMENT No\. ?[0-9]+[A-Za-z]?\.?|RETURN,? [A-Z],? ?(?:\(?[0-9]+\)?)?\.?|APPENDIX [A-Z0-9]+\.?)"
-PROVINCES = "ONTARIO|QUEBEC|NOVA SCOTIA|NEW BRUNSWICK|PRINCE EDWARD ISLAND|MANITOBA|BRITISH COLUMBIA|SASKATCHEWAN|ALBERTA|NORTH-?WEST TERRITORIES|YUKON"
+CAPTION = (
+    r"^(TABULAR STATEMENT No\. ?\d+[A-Za-z]?\.?|RETURN,? [A-Z],? ?(?:\(?\d+\)?)?\.?|STATEMENT [A-Z0-9][A-Za-z0-9 ,.()'-]{0,70}|"
+    r"SCHOOL STATEMENT[A-Za-z0-9 ,.()'-]{0,60}|APPENDIX[A-Za-z0-9 ,.()'-]{0,60})\s*$"
+)
+PROVINCES = (
+    "ONTARIO|QUEBEC|NOVA SCOTIA|NEW BRUNSWICK|PRINCE EDWARD ISLAND|MANITOBA|BRITISH COLUMBIA|SASKATCHEWAN|ALBERTA|NORTH-?WEST TERRITORIES|"
+    "NORTHWEST TERRITORIES|YUKON|MANITOBA AND (?:THE )?NORTH-?WEST(?: TERRITORIES)?"
+)
 PROVINCE = rf"^(?:PROVINCE OF )?({PROVINCES})[ .,]*$"
 HEADING = r"^[A-Z][A-Z0-9 ,.&:;()'’-]{3,70}$"
 CONTENTS = r"^(INDEX|CONTENTS)\.?\s*$"
-CLOSING = r"(?i)(obedient|humble)\s+servant|I have the hono[u]?r to be|I am, ?(Sir|&)|Yours (very )?(truly|sincerely|respectfully)"
+CLOSING = r"(?i)(obedient|humble)\s+servant|I have the hono[u]?r to be|I have, ?&|I am, ?(Sir|&)|Yours (very )?(truly|sincerely|respectfully)"
 UNIT = r"\b(AGENCY|AGENCIES|SUPERINTENDENCY|INSPECTORATE|COMMISSIONER|SURVEY|SCHOOL|OFFICE|RESERVE|BAND)\b"
 #: Salutations that make a volume one of letters; lines that a letter's head may reach back; the shortest segment.
 LETTERS, WALK, SLIVER = 10, 14, 40
@@ -44,7 +50,8 @@ def anchors(lines: DataFrame) -> DataFrame:
     A volume with ten salutations is one of letters: a letter begins at the top
     of its head, the short, blank and capital lines before the salutation, but
     after the closing formula of the letter before.  In others, headings in
-    capitals after a blank line are anchors.  Captions are anchors in both.
+    capitals after a blank line are anchors.  Captions are anchors in both.  Where
+    a letter and a caption begin on one line, it is the letter's.
     """
     trimmed = F.trim("line")
     w = Window.partitionBy("doc_id").orderBy("n")
@@ -73,10 +80,10 @@ def anchors(lines: DataFrame) -> DataFrame:
     tops = F.filter("_above", lambda x: (x["n"] >= F.col("_start")) & (x["_role"] != "blank"))
     unit = F.filter(tops, lambda x: x["_role"] == "unit")
     heading = F.coalesce(F.get(unit, F.lit(0))["_t"], F.get(tops, F.lit(0))["_t"], F.col("_t"))
-    letters = sirs.select("doc_id", F.col("_start").alias("n"), F.lit("agency_letter").alias("kind"), F.rtrim(heading, F.lit(".,")).alias("heading"), F.lit(2).alias("_p"))
+    letters = sirs.select("doc_id", F.col("_start").alias("n"), F.lit("agency_letter").alias("kind"), F.rtrim(heading, F.lit(".,")).alias("heading"), F.lit(1).alias("_p"))
     caption = F.regexp_extract("line", CAPTION, 1)
     kind = F.when(F.contains(caption, F.lit("STATEMENT")), "tabular_statement").when(F.startswith(caption, F.lit("RETURN")), "return").otherwise("appendix")
-    captions = rows.where(caption != "").select("doc_id", "n", kind.alias("kind"), F.rtrim(F.trim(caption), F.lit(".")).alias("heading"), F.lit(1).alias("_p"))
+    captions = rows.where(caption != "").select("doc_id", "n", kind.alias("kind"), F.rtrim(F.trim(caption), F.lit(".")).alias("heading"), F.lit(2).alias("_p"))
     before, after = F.lag("_t").over(w), F.lead("_t").over(w)
     n_words = F.size(F.split("_t", r"\s+"))
     plain = F.col("_t").rlike(HEADING) & ~F.col("_t").rlike(PROVINCE) & ~F.col("_t").rlike(r"^PART [IVX]+\.?\s*$") & ~F.startswith("_t", F.lit("TABLE")) & (caption == "") & n_words.between(2, 10)

@@ -293,7 +293,7 @@ def letter_kinds(spark: SparkSession, d: str) -> DataFrame:
 
 # ---- ledgers
 
-_SHAPES = "CASE l_orderkey % 4 WHEN 0 THEN 'dr_cr_5' WHEN 1 THEN 'dr_cr_4' WHEN 2 THEN 'split_3' ELSE 'debit_2' END"
+_SHAPES = "CASE l_orderkey % 4 WHEN 0 THEN 'ledger_dr_cr_5' WHEN 1 THEN 'ledger_dr_cr_4' WHEN 2 THEN 'ledger_split_3' ELSE 'ledger_debit_2' END"
 _MONEY = "l_extendedprice::DECIMAL(18,2)::VARCHAR"
 
 

@@ -200,7 +200,7 @@ def page_types(spark: SparkSession, d: str) -> DataFrame:
     a(agent, surname, i, y) AS (VALUES ('a1', 'STEVENSON', 'J', NULL), ('a2', 'GORDON', 'T', 1991), ('a3', 'GORDON', 'T', 1992), ('a4', 'GORDON', '', 1999)),
     h AS (SELECT doc_id, list(agent ORDER BY agent) AS c FROM t JOIN a ON a.surname = t.surname AND (y IS NULL OR abs(y - year) <= 2) AND (i = '' OR i = initial) GROUP BY doc_id)
     SELECT doc_id, (length(text) + 1)::BIGINT AS char_start, name, year, CASE WHEN c IS NULL THEN 'mint' WHEN len(c) = 1 THEN 'link' ELSE 'residual' END AS fate,
-        CASE WHEN c IS NULL THEN 'PERSON-' || regexp_replace(lower(name), '[^a-z]+', '', 'g') WHEN len(c) = 1 THEN c[1] END AS person, coalesce(array_to_string(c, '|'), '') AS candidates FROM t LEFT JOIN h USING (doc_id)
+        CASE WHEN c IS NULL THEN 'PERSON-' || trim(regexp_replace(lower(name), '[^a-z0-9]+', '-', 'g'), '-') WHEN len(c) = 1 THEN c[1] END AS person, coalesce(array_to_string(c, '|'), '') AS candidates FROM t LEFT JOIN h USING (doc_id)
 """)
 def signatures_signed(spark: SparkSession, d: str) -> DataFrame:
     """Documents as letters with a signature below; who signed, among four agents."""
@@ -239,16 +239,21 @@ def residual_contexts(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("""
-    WITH t AS (SELECT doc_id, 10 + doc_id % 50 AS school_age, doc_id % 70 AS enrolled, doc_id % 40 AS attendance, doc_id % 2 = 0 AS more FROM documents WHERE doc_id % 3 > 0)
-    SELECT doc_id, school_age, enrolled, attendance, (CASE WHEN more THEN 1019 ELSE 0 END)::BIGINT AS elsewhere, CASE WHEN more THEN 'Elkhorn School 1012; Red Deer 7' ELSE '' END AS schools,
+    WITH t AS (SELECT doc_id, 10 + doc_id % 50 AS school_age, doc_id % 70 AS enrolled, doc_id % 40 AS attendance, doc_id % 2 = 0 AS more, coalesce(lang, 'und') AS lang FROM documents WHERE doc_id % 3 > 0)
+    SELECT doc_id, 0 AS entry, lang || ' agency' AS unit, school_age, enrolled, attendance, (CASE WHEN more THEN 1019 ELSE 0 END)::BIGINT AS elsewhere, CASE WHEN more THEN 'Elkhorn School 1012; Red Deer 7' ELSE '' END AS schools,
         enrolled <= 1.3 * school_age AND attendance <= 1.2 * enrolled AND NOT more AS plausible FROM t
+    UNION ALL SELECT doc_id, 1, '', attendance + 1000, enrolled, school_age, enrolled, 'St. Mary''s ' || enrolled, school_age <= 1.2 * enrolled FROM t WHERE doc_id % 5 < 3
 """)
 def school_sentences(spark: SparkSession, d: str) -> DataFrame:
+    """Two stock sentences below two thirds of the documents: one under a unit, ended by its agent, and one at the end or before the rest of the text."""
     n = F.col("doc_id")
     number = lambda c: c.cast("string")
-    said = F.concat(F.lit(" Number of children of school age, "), number(n % 50 + 10), F.lit("; number of pupils enrolled at day schools, "), number(n % 70), F.lit("; average attendance, "), number(n % 40), F.when(n % 2 == 0, "; number attending Elkhorn School, 1,012; number attending Red Deer, 7.").otherwise("."))
-    docs = table(spark, d, "documents").select("doc_id", F.concat(F.coalesce("text", F.lit("")), F.when(n % 3 > 0, said).otherwise("")).alias("text"))
-    return N.school_sentences(docs)
+    said = F.concat(F.lit(" <b>"), F.coalesce("lang", F.lit("und")), F.lit(" agency</b>. Number of children of school age, "), number(n % 50 + 10), F.lit("; number of pupils enrolled at day schools, "), number(n % 70), F.lit("; average attendance, "), number(n % 40), F.when(n % 2 == 0, "; number attending Elkhorn School, 1,012; number attending <i>Red Deer</i>, 7.").otherwise("."))
+    said = F.concat(said, F.lit(" The Indian agent counts, as number attending Nowhere, 5."))
+    again = F.concat(F.lit(" NUMBER OF CHILDREN of school age 1,"), F.lpad(number(n % 40), 3, "0"), F.lit(", number of pupils enrolled "), number(n % 70), F.lit(". average attendance at day schools "), number(n % 50 + 10), F.lit("; number attending St. Mary's, "), number(n % 70))
+    body = F.coalesce("text", F.lit(""))
+    text = F.when(n % 3 == 0, body).when(n % 5 == 0, F.concat(said, again, F.lit(" reports on the "), body)).when(n % 5 < 3, F.concat(body, said, again)).otherwise(F.concat(body, said))
+    return N.school_sentences(table(spark, d, "documents").select("doc_id", text.alias("text")))
 
 
 @query("""
@@ -285,7 +290,7 @@ def acres_as_printed(spark: SparkSession, d: str) -> DataFrame:
     whole, part = (F.col("o_custkey") + 1000).cast("string"), (F.col("o_custkey") % 100).cast("string")
     a = F.concat(F.substring(whole, 1, 1), F.lit(","), F.substr(whole, F.lit(2)), F.lit(" "), F.lpad(part, 2, "0"))
     b = F.when(F.col("o_orderkey") % 3 == 0, F.concat(whole, F.lit("."), F.lpad(part, 2, "0"))).when(F.col("o_orderkey") % 3 == 1, F.concat(whole, F.lit(".0"), part)).otherwise("unknown")
-    return table(spark, d, "orders").where("o_custkey < 8999").select("o_orderkey", U.acres_close_text(a, b).alias("close"))
+    return table(spark, d, "orders").select("o_orderkey", U.acres_close_text(a, b).alias("close"))
 
 
 @query("""

@@ -93,8 +93,8 @@ def test_samples_don_t_depend_on_partitions(spark):
 
 
 def test_ledgers(spark):
-    assert [r[0] for r in spark.createDataFrame([(["Debit", "Credit"], None), (["Debit", "Credit"], "Cash account"), (["Capital", "Interest"], "x"), (None, None)], "c array<string>, t string").select(ledger.shape(F.col("c"), F.col("t"))).collect()] == ["debit_2", None, "split_3", None]
-    printed = spark.createDataFrame([("a", "To Balance, 1890", ["1", "2", "3", "4"], "debit_2"), ("a", "x", ["5"], "debit_2"), ("b", "y", ["(1.50)", "2 25"], "debit_2")], "a string, l string, v array<string>, d string")
+    assert [r[0] for r in spark.createDataFrame([(["Debit", "Credit"], None), (["Debit", "Credit"], "Cash account"), (["Capital", "Interest"], "x"), (None, None)], "c array<string>, t string").select(ledger.shape(F.col("c"), F.col("t"))).collect()] == ["ledger_debit_2", None, "ledger_split_3", None]
+    printed = spark.createDataFrame([("a", "To Balance, 1890", ["1", "2", "3", "4"], "ledger_debit_2"), ("a", "x", ["5"], "ledger_debit_2"), ("b", "y", ["(1.50)", "2 25"], "ledger_debit_2")], "a string, l string, v array<string>, d string")
     shaped = ledger.effective_shape(printed, "a", "v", "d")
     got = sorted(ledger.entries(shaped, "a", "l", "v", "shape").collect(), key=str)
     assert sorted((r.a, r.side, r.capital, r.interest) for r in got if r.a == "b") == [("b", "Cr", 2.25, None), ("b", "Dr", -1.5, None)]
@@ -169,3 +169,35 @@ def test_search_cuts_texts_once(spark):
 def test_school_headers(spark):
     frame = spark.createDataFrame([(["Number on Roll", "Grant"],), (["Name", "Salary"],), (None,)], "c array<string>")
     assert [r[0] for r in frame.select(M.is_school_header(F.col("c"))).collect()] == [True, False, False]
+
+
+def test_captions_of_volumes(spark):
+    """Statements by letter, school statements and named appendices begin segments; a letter keeps the line that it shares with a caption."""
+    fill = "figures " * 20
+    body = f"STATEMENT A Showing Lands\n{fill}\nSCHOOL STATEMENT, 1902.\n{fill}\nAPPENDIX to the Report\n{fill}\nSTATEMENT of no kind\n{fill}\nMANITOBA AND THE NORTH-WEST\n{fill}"
+    got = segmentation.segmented(spark.createDataFrame([(1, body)], "doc_id long, text string")).orderBy("char_start").collect()
+    assert [(r.kind, r.heading) for r in got] == [("tabular_statement", "STATEMENT A Showing Lands"), ("tabular_statement", "SCHOOL STATEMENT, 1902"), ("appendix", "APPENDIX to the Report")]
+    letters = volume(12).replace("UNIT 3 AGENCY,\nSome Place, June 1890.\n", "long " * 30 + "\nAPPENDIX B.")
+    kinds = {r.kind for r in segmentation.segmented(spark.createDataFrame([(1, letters)], "doc_id long, text string")).collect() if "APPENDIX" in r.heading}
+    assert kinds == {"agency_letter"}
+    lines = segmentation.volume_lines(spark.createDataFrame([(1, "MANITOBA AND THE NORTH-WEST")], "doc_id long, text string"))
+    assert lines.where(F.col("line").rlike(segmentation.PROVINCE)).count() == 1
+
+
+def test_widths_of_ledgers(spark):
+    """Total rows take part in an account's width and give no entries."""
+    printed = spark.createDataFrame([("a", "x", ["5", "6"], False), ("a", "Total", ["5", "0", "6", "0"], True)], "a string, l string, v array<string>, t boolean").withColumn("d", F.lit("ledger_debit_2"))
+    shaped = ledger.effective_shape(printed, "a", "v", "d")
+    assert {r.shape for r in shaped.collect()} == {"ledger_dr_cr_4"}
+    assert rows(ledger.entries(shaped, "a", "l", "v", "shape", F.col("t")).select("side", "capital", "interest")) == [("Dr", 5.0, 6.0)]
+    heads = [(["Dr.", "Cr."], "Return C"), (["Capital", "Interest", "Cr.", "Capital", "Interest"], ""), (["Capital", "Interest", "Other", "x"], ""), (["Debit", "Credit"], "none")]
+    got = [r[0] for r in spark.createDataFrame(heads, "c array<string>, t string").select(ledger.shape(F.col("c"), F.col("t"))).collect()]
+    assert got == ["ledger_debit_2", "ledger_dr_cr_5", None, "ledger_debit_2"]
+
+
+def test_records_by_division_and_score(spark):
+    schema = "id long, block long, page long, number string, name string, amount double, division string"
+    left = spark.createDataFrame([(1, 1, 5, "7", "lake", None, "a"), (2, 1, 5, "7", "lake", None, "b"), (3, 1, 5, "9", "long hill point", 2.0, "a"), (4, 1, 5, "9", "long hill", 9.0, "a"), (5, 1, 8, None, None, None, None), (6, 1, 3, "4", "twin", None, "a"), (7, 1, 3, "4", "twin", None, "a")], schema)
+    right = spark.createDataFrame([(11, 1, 5, "7", "lake", None, "b"), (12, 1, 5, "9", "long hill points", 9.0, "a"), (13, 1, 6, "9", "hill long", None, "a"), (14, 1, 2, "4", "twin", None, "a"), (15, 1, 4, "4", "twin", None, "a"), (16, 1, 9, None, None, None, None)], schema)
+    got = rows(linking.matched_records(left, right, "block", "page", "number", "name", "amount", "division"))
+    assert got == [(2, 11, "exact"), (3, 13, "fuzzy"), (4, 12, "fuzzy"), (5, 16, "relaxed"), (6, 14, "relaxed"), (7, 15, "relaxed")]

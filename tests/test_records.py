@@ -108,8 +108,8 @@ def test_signatures(spark):
     agents = spark.createDataFrame([("x", "STEVENSON", "J", 1893), ("y", "STEVENSON", "K", None), ("z", "STEVENSON", None, None)], "agent string, surname string, initial string, year int")
     dated = found.withColumn("year", F.lit(1890))
     assert rows(N.signed(dated, agents), "fate", "person") == [("link", "z")]
-    assert rows(N.signed(dated, agents.where("agent = 'y'")), "fate", "person") == [("mint", "PERSON-jrstevenson")]
-    assert rows(N.minted_people(N.signed(dated, agents.where("agent = 'y'"))), "person", "first_year", "n_signatures") == [("PERSON-jrstevenson", 1890, 1)]
+    assert rows(N.signed(dated, agents.where("agent = 'y'")), "fate", "person") == [("mint", "PERSON-j-r-stevenson")]
+    assert rows(N.minted_people(N.signed(dated, agents.where("agent = 'y'"))), "person", "first_year", "n_signatures") == [("PERSON-j-r-stevenson", 1890, 1)]
     two = N.signed(dated.withColumn("year", F.lit(1891)), agents).collect()[0]
     assert (two.fate, two.person, two.candidates) == ("residual", None, ["x", "z"])
 
@@ -133,6 +133,15 @@ def test_school_sentences(spark):
     assert rows(N.school_sentences(docs), "doc_id", "school_age", "enrolled", "attendance", "elsewhere", "schools", "plausible") == [(1, 1020, 30, 20, 12, "Elkhorn 12", True), (4, 2, 30, 20, 0, "", False)]
 
 
+def test_several_school_sentences_of_a_text(spark):
+    """Each entry has its own pupils: up to the words that end it, the next sentence, or 900 characters."""
+    one = "Number of children of school age, 40; number of pupils enrolled, 30; average attendance, 20"
+    text = f"<b>Fort A</b>. {one}; number attending Hilltop, 5. The Indian agent saw number attending Nowhere, 7. <a href='/x'>Fort B</a> {one}; number attending Lakeside, 999. {one}" + "; more" * 200 + "; number attending Far, 3"
+    docs = spark.createDataFrame([(1, text), (2, one + " reports on the number attending Z, 4")], "doc_id int, text string")
+    got = rows(N.school_sentences(docs), "doc_id", "entry", "unit", "school_age", "elsewhere", "schools")
+    assert got == [(1, 0, "Fort A", 40, 5, "Hilltop 5"), (1, 1, "Fort B", 40, 999, "Lakeside 999"), (1, 2, "", 40, 0, ""), (2, 0, "", 40, 0, "")]
+
+
 def test_surnames_and_given_names(spark):
     frame = spark.createDataFrame([(["macdonald", "donald"], ["donald"]), (["smith"], ["smith"]), ([], ["x"]), (None, ["x"])], "a array<string>, b array<string>")
     assert [r[0] for r in frame.select(S.surname_score("a", "b")).collect()] == [1.0, 1.0, 0.0, 0.0]
