@@ -1,11 +1,12 @@
 """Phrase collocations of each language, by dynamic itemset counting.
 
-The texts are dealt to shards, which are read in turn, over and over.  Words are
-counted from the start; a longer phrase is counted from the first shard after
-both its subphrases, without its last and without its first word, have reached
-the threshold in what was counted so far, and until the shards have gone round
-once.  Lengths are so interleaved: a phrase of five words may begin before all
-pairs are known.  The rounds end when a whole one has brought nothing new.
+The texts become rows of word numbers, dealt to shards, which are read in turn,
+over and over.  Words are counted from the start; a longer phrase is counted from
+the first shard after both its subphrases, without its last and without its
+first word, have reached the threshold in what was counted so far, and until the
+shards have gone round once.  Lengths are so interleaved: a phrase of five words may begin
+before all pairs are known.  After n rounds all phrases of n words are
+complete, so words that are in no frequent one leave the shards.
 
 Phrases are counted as 64-bit hashes, in sums for each task, so that no string is
 shuffled for the many that stay rare.  What has reached the threshold is a set of
@@ -13,7 +14,7 @@ bits of fixed size, sent to the workers; a bit set for another phrase costs a
 needless count alone.  As that set only grows, and a phrase is counted where the
 present set lets it in and the set of the shard's last turn didn't, each phrase
 is counted once in each shard.  Hashes that meet can only raise a sum: a last pass
-counts the phrases that reached the threshold by their words.
+over the texts counts the phrases that reached the threshold by their words.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quillgraph.llm.common import batched, let_go, scratch_path, stored
+from quillgraph.llm.common import batched, discarded, let_go, scratch_path, stored
 from quillgraph.llm.wordbytes import Words, mix
 
 MOST_WORDS, LEAST, SHARDS = 5, 100, 3
@@ -54,24 +55,66 @@ class Pieces:
         ends = np.cumsum(self.words.data == 0x0A)
         self.piece = (ends[self.words.starts] if len(self.words) else np.zeros(0, np.int64)) + self.owner
 
-    def phrases(self, seeds: np.ndarray, most: int, salt: int = 0) -> list[tuple[np.ndarray, np.ndarray]]:
+    def numbered(self) -> tuple[np.ndarray, np.ndarray]:
+        """A 32-bit number for each word, 0 where a piece ends, and where each text's begin, and the end."""
+        word = (self.words.hashes() >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
+        last = np.flatnonzero(np.append(self.piece[1:] != self.piece[:-1], np.ones(min(1, len(word)), bool)))
+        ends = np.searchsorted(last, self.words.first)  # pieces that end before each text
+        return np.insert(word, last + 1, 0), self.words.first + ends
+
+    def phrases(self, seeds: np.ndarray, most: int, salt: int = 0) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """For 1 to ``most`` words: the hash of the phrase from each word on, and whether it ends in its piece.
 
-        ``seeds``: a number for each text, of its language.
+        ``seeds``: a number for each text, of its language.  With a ``salt`` the hashes are those of the whole words, else of their numbers.
         """
         word = self.words.hashes()
-        word = mix(word + np.uint64(salt)) if salt else word
-        hashed, out = mix(word ^ seeds[self.owner]), []
-        for n in range(1, most + 1):
-            if n > 1:
-                hashed = mix(hashed[:-1] * _ROOT + word[n - 1 :]) if len(hashed) else hashed
-            out.append((hashed, self.piece[: len(hashed)] == self.piece[n - 1 :]))
-        return out
+        word = word + np.uint64(salt) if salt else (word >> np.uint64(32)) | np.uint64(1)
+        for n, hashed in enumerate(chained(word, seeds[self.owner], most), 1):
+            yield hashed, self.piece[: len(hashed)] == self.piece[n - 1 :]
 
     def text(self, first: int, n: int) -> str:
         return " ".join(self.words.data[a:b].tobytes().decode("utf-8", "surrogatepass") for a, b in zip(self.words.starts[first : first + n], self.words.ends[first : first + n], strict=True))
 
 
+def chained(word: np.ndarray, seeds: np.ndarray, most: int) -> Iterator[np.ndarray]:
+    """The hashes of the runs of 1, 2, ... ``most`` words from each word on."""
+    hashed = mix(mix(word) ^ seeds)
+    yield hashed
+    for n in range(1, most):
+        hashed = mix(hashed[:-1] * _ROOT + word[n:]) if len(hashed) else hashed
+        yield hashed
+
+
+class Rows:
+    """The word numbers of a batch of rows, one after the other, 0 between pieces and after each row."""
+
+    def __init__(self, batch: pa.RecordBatch):
+        words = batch.column("words").cast(pa.large_binary())
+        _, offsets, data = words.buffers()
+        offsets = np.frombuffer(offsets, np.int64)[words.offset : words.offset + len(words) + 1] // 4
+        self.word = np.frombuffer(data, "<u4")[offsets[0] : offsets[-1]].astype(np.uint64)
+        self.first = offsets - offsets[0]
+        self.seeds = np.repeat(batch.column("seed").to_numpy().view(np.uint64), np.diff(self.first))
+        self.gaps = np.concatenate([[0], np.cumsum(self.word == 0)])
+
+    def phrases(self, most: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """For 1 to ``most`` words: the hash of the phrase from each word on, and whether it ends in its piece."""
+        for n, hashed in enumerate(chained(self.word, self.seeds, most), 1):
+            yield hashed, self.gaps[n : n + len(hashed)] == self.gaps[: len(hashed)]
+
+    def trimmed(self, kept: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The numbers with words that aren't kept as gaps, gaps next to one another as one, and where each row's begin, and the end."""
+        word = np.where(kept, self.word, 0)
+        stay = (word != 0) | np.concatenate([[True], word[:-1] != 0])[: len(word)]
+        return word[stay].astype("<u4"), np.concatenate([[0], np.cumsum(stay)])[self.first]
+
+
+def _packed(batch: pa.RecordBatch, kept: list[str], numbers: np.ndarray, first: np.ndarray) -> pa.RecordBatch:
+    """Rows of word numbers with the columns that are kept; those without a word are left out."""
+    words = pa.Array.from_buffers(pa.binary(), len(first) - 1, [None, pa.py_buffer((4 * first).astype(np.int32)), pa.py_buffer(numbers.astype("<u4").tobytes())])
+    return pa.record_batch([*[batch.column(c) for c in kept], words], [*kept, "words"]).filter(pa.array(np.diff(first) > 1))
+
+
 class HashSet:
     """Bits by the leading bits of 64-bit hashes, set in Spark and bounded in size."""
 
@@ -103,31 +146,52 @@ def summed(parts: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
             yield pa.record_batch([pa.array(hashes[at : at + 65536].view(np.int64)), pa.array(n[at : at + 65536].astype(np.int64))], ["hash", "n"])
 
 
-def _counted(texts: DataFrame, words_too: bool, known: HashSet, before: HashSet, most: int) -> DataFrame:
-    """``hash, n`` in each task of the phrases that ``known`` lets in and ``before`` didn't, and of words if asked for."""
-    sent = texts.sparkSession.sparkContext.broadcast((known, before))
+def _counted(rows: DataFrame, turn: int, known: HashSet, before: HashSet, most: int) -> DataFrame:
+    """``hash, n`` in each task of the phrases of more than ``turn`` words that ``known`` lets in and ``before`` didn't; words in the first turn."""
+    sent = rows.sparkSession.sparkContext.broadcast((known, before))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         let_go()
         known, before = sent.value
         parts, held = [], 0
         for batch in batches:
-            found = Pieces(batch.column("text")).phrases(batch.column("seed").to_numpy().view(np.uint64), most)
-            for n, (hashes, whole) in enumerate(found, 1):
-                if n > 1:
-                    shorter, inside = found[n - 2]
-                    now, then = known.has(shorter) & inside, before.has(shorter) & inside
-                    whole = whole & now[:-1] & now[1:] & ~(then[:-1] & then[1:]) if len(shorter) else whole
-                elif not words_too:
-                    continue
-                parts.append(hashes[whole])
-                held += len(parts[-1])
+            shorter, inside = None, None
+            for n, (hashes, whole) in enumerate(Rows(batch).phrases(most), 1):
+                taken = whole if n == 1 and turn == 0 else None
+                if n > max(turn, 1):  # the shorter ones are complete
+                    now = known.has(shorter) & inside
+                    taken = whole & now[:-1] & now[1:]
+                    at = np.flatnonzero(taken)
+                    taken = at[~(before.has(shorter[at]) & before.has(shorter[at + 1]))]
+                if taken is not None:
+                    parts.append(hashes[taken])
+                    held += len(parts[-1])
+                shorter, inside = hashes, whole
             if held > CHUNK:
                 yield from summed(parts)
                 parts, held = [], 0
         yield from summed(parts)
 
-    return texts.mapInArrow(run, "hash long, n long")
+    return rows.mapInArrow(run, "hash long, n long")
+
+
+def _trimmed(rows: DataFrame, known: HashSet, size: int) -> DataFrame:
+    """The rows without the words that are in no known phrase of ``size`` words."""
+    sent = rows.sparkSession.sparkContext.broadcast(known)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = sent.value
+        for batch in batches:
+            found = Rows(batch)
+            for hashes, whole in found.phrases(size):
+                pass
+            change = np.zeros(len(found.word) + 1, np.int64)
+            at = np.flatnonzero(whole & known.has(hashes)) if len(hashes) else np.zeros(0, np.int64)
+            change[at] += 1
+            change[at + size] -= 1
+            yield _packed(batch, ["shard", "seed"], *found.trimmed(np.cumsum(change[:-1]) > 0))
+
+    return rows.mapInArrow(run, "shard long, seed long, words binary")
 
 
 def _within(rows: DataFrame, kept: HashSet) -> DataFrame:
@@ -167,10 +231,15 @@ def _by_words(texts: DataFrame, known: HashSet, most: int) -> DataFrame:
                 total[lang] = total.get(lang, 0) + n
             twice = zip(pieces.phrases(seeds, most), pieces.phrases(seeds, most, salt=1), strict=True)
             for n, ((hashes, whole), (other, _)) in enumerate(twice, 1):
-                at = np.flatnonzero(whole & known.has(hashes)) if len(hashes) else np.zeros(0, np.int64)
-                order = at[np.lexsort((other[at], hashes[at]))]
-                a, b = hashes[order], other[order]
-                new = np.flatnonzero(np.concatenate([np.ones(min(1, len(a)), bool), (a[1:] != a[:-1]) | (b[1:] != b[:-1])]))
+                at = np.flatnonzero(whole)
+                at = at[known.has(hashes[at])]
+                order = at[np.argsort(other[at])]
+                a, b = other[order], hashes[order]
+                new = np.flatnonzero(np.append(np.ones(min(1, len(a)), bool), a[1:] != a[:-1]))
+                if len(new) and (np.minimum.reduceat(b, new) != np.maximum.reduceat(b, new)).any():  # two phrases with one hash
+                    order = at[np.lexsort((hashes[at], other[at]))]
+                    a, b = other[order], hashes[order]
+                    new = np.flatnonzero(np.append(np.ones(1, bool), (a[1:] != a[:-1]) | (b[1:] != b[:-1])))
                 times = np.diff(np.append(new, len(a)))
                 for key, second, first, n_times in zip(a[new].tolist(), b[new].tolist(), order[new].tolist(), times.tolist(), strict=True):
                     if (had := seen.get((key, second))) is None:
@@ -193,27 +262,50 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, most: int = MOST_WORDS
     spark = docs.sparkSession
     batched(spark)
     lang = F.coalesce("lang", F.lit("und"))
-    path = scratch_path(spark, "phrase-shards")
-    shaped = docs.select("text", lang.alias("lang"), F.xxhash64(lang).alias("seed")).where("text is not null")
-    shaped.withColumn("shard", F.monotonically_increasing_id() % shards).write.option("compression", "zstd").partitionBy("shard").parquet(path)
-    texts = spark.read.schema("text string, lang string, seed long, shard long").parquet(path)
+    texts = docs.select("text", lang.alias("lang"), F.xxhash64(lang).alias("seed")).where("text is not null")
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     bits = min(FILTER_BITS[1], max(FILTER_BITS[0], (size // 10).bit_length()))
+
+    def numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
+        for batch in batches:
+            yield _packed(batch, ["seed"], *Pieces(batch.column("text")).numbered())
+
+    rows, path = _dealt(texts.select("seed", "text").mapInArrow(numbered, "seed long, words binary").withColumn("shard", F.monotonically_increasing_id() % shards))
     sets, n_reached, counts, able = [HashSet(bits)], [0], [], HashSet(bits)
-    while len(counts) < shards or n_reached[-1] != n_reached[-1 - shards]:
-        turn = len(counts)
+    for turn in range(most * shards):
+        if turn >= shards and n_reached[-1] == n_reached[-1 - shards]:
+            break  # a whole round has brought nothing
+        if turn and turn % shards == 0:
+            done = path
+            rows, path = _dealt(_trimmed(rows, sets[-1], turn // shards))
+            discarded(spark, done)
         before = sets[turn - shards] if turn >= shards else sets[0]
-        rows = _counted(texts.where(F.col("shard") == turn % shards), turn < shards, sets[turn], before, most)
-        counts.append(stored(rows.groupBy("hash").agg(F.sum("n").alias("n")), "phrase-counts"))
+        part = _counted(rows.where(F.col("shard") == turn % shards), turn // shards, sets[turn], before, most)
+        place = scratch_path(spark, "phrase-counts")
+        part.groupBy("hash").agg(F.sum("n").alias("n")).write.option("compression", "zstd").parquet(place)
+        counts.append((spark.read.schema("hash long, n long").parquet(place), place))
+        if len(counts) > shards:  # a phrase is counted in so many turns on end: what is in older counts is complete
+            discarded(spark, counts.pop(0)[1])
         # a phrase has a count for each shard it was counted in; with a sum of `least`, one of them is at least least / shards
-        heavy, touched = HashSet.of(bits, counts[-1], heavy=F.col("n") >= -(-least // shards), touched=F.lit(True))
+        heavy, touched = HashSet.of(bits, counts[-1][0], heavy=F.col("n") >= -(-least // shards), touched=F.lit(True))
         able = HashSet(bits, able.words | heavy.words)
-        sets.append(HashSet(bits, sets[-1].words | _reached(counts, least, HashSet(bits, able.words & touched.words)).words))
+        sets.append(HashSet(bits, sets[-1].words | _reached([c for c, _ in counts], least, HashSet(bits, able.words & touched.words)).words))
         n_reached.append(int(np.bitwise_count(sets[-1].words).sum()))
         if turn >= shards:
             sets[turn - shards] = sets[0]  # not asked for again
-    rows = _by_words(texts, sets[-1], most).groupBy("lang", "size", "phrase").agg(F.sum("n").alias("n"))
-    return stored(rows.where((F.col("size") == 0) | (F.col("n") >= least)), "phrases")
+    found = _by_words(texts, sets[-1], most).groupBy("lang", "size", "phrase").agg(F.sum("n").alias("n"))
+    out = stored(found.where((F.col("size") == 0) | (F.col("n") >= least)), "phrases")
+    for place in [path, *[p for _, p in counts]]:
+        discarded(spark, place)
+    return out
+
+
+def _dealt(rows: DataFrame) -> tuple[DataFrame, str]:
+    """Rows of word numbers written by shard, and where."""
+    path = scratch_path(rows.sparkSession, "phrase-shards")
+    rows.write.option("compression", "zstd").partitionBy("shard").parquet(path)
+    return rows.sparkSession.read.schema("seed long, words binary, shard long").parquet(path), path
 
 
 def _reached(counts: list[DataFrame], least: int, able: HashSet) -> HashSet:

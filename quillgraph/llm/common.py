@@ -51,6 +51,12 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discarded(spark: SparkSession, path: str) -> None:
+    """Delete a scratch table that nothing reads again."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def batched(spark: SparkSession) -> None:
     """Send the package to the workers, and keep Arrow batches small, so that a worker's memory stays bounded."""
     shipped(spark)
