@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from quillgraph.functions.numbers import year_ranges
 from quillgraph.functions.text import norm
 from quillgraph.operators import querylang as Q
+from quillgraph.operators.series import addressed, canonical_points
 
 SCHEMAS = {
     "entities": "type string, id string, name string, uri string, n_years long, n_mentions long, summary string",
@@ -192,15 +193,11 @@ class Archive:
         own = self.resolve(ref).first()
         if own is None:
             return self._error(f"unknown: {ref}")
-        ids = self.redirects.where(F.col("target") == own.id).select(F.col("id").alias("entity_id")).union(self.spark.createDataFrame([(own.id,)], "entity_id string")).distinct()
-        o = self.observations.where(F.col("entity_type") == own.type).join(ids, "entity_id", "left_semi")
+        o = canonical_points(self.observations.where(F.col("entity_type") == own.type), self.redirects, "entity_id").where(F.col("canonical") == own.id)
         if series_id is None:
             return o.groupBy("series_id", "unit").agg(F.count("*").alias("n"), F.min("year").alias("first_year"), F.max("year").alias("last_year")).orderBy("series_id").limit(limit)
-        points = o.where(F.col("series_id") == series_id)
-        held = points.join(self.segments.select("report_year", "doc_id", "segment_id", "kind", "page_start", "page_end"), (F.col("year") == F.col("report_year")) & F.col("page").between(F.col("page_start"), F.col("page_end")), "left")
-        w = Window.partitionBy("entity_id", "year", "page", "value").orderBy(F.desc(F.col("kind").eqNullSafe("tabular_statement")), F.col("page_end") - F.col("page_start"), "doc_id", "segment_id")
-        one = held.withColumn("_n", F.row_number().over(w)).where("_n = 1")
-        return one.select("series_id", "year", "value", "unit", "page", F.concat_ws(" / ", "doc_id", "segment_id").alias("address")).orderBy("year", "page").limit(limit)
+        points = addressed(o.where(F.col("series_id") == series_id), self.segments)
+        return points.select("series_id", "year", "value", "unit", "page", F.coalesce("address", F.lit("")).alias("address"), F.col("heading").alias("segment_heading")).orderBy("year", "page").limit(limit)
 
     def open_page(self, ref: str) -> DataFrame:
         """A hub of one row: the entity, its names, and how much is known of it."""

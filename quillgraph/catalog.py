@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from quillgraph.plans import linkage, links, names, records, registry, retrieval, rows, scalars, tables, texts  # noqa: F401  (importing registers)
+from quillgraph.plans import evidence, linkage, links, names, records, registry, retrieval, rows, scalars, tables, texts  # noqa: F401  (importing registers)
 
 
 def queries() -> dict[str, registry.Query]:

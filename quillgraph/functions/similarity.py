@@ -62,9 +62,8 @@ def initials_score(a: Column, b: Column) -> Column:
         .when(F.startswith(a, b) | F.startswith(b, a), F.lit(0.95))
         .when(F.array_join(F.array_sort(x), "") == F.array_join(F.array_sort(y), ""), F.lit(0.9))
         .when(first & within, F.lit(0.85))
-        .when((F.length(a) == F.length(b)) & (F.length(a) > 1) & (off == 1), F.lit(0.75))
-        .when(first & (overlap > 1), F.lit(0.6))
-        .when(first, F.lit(0.5))
+        .when(first & (F.length(a) == F.length(b)) & (off == 1), F.lit(0.75))
+        .when(first, F.lit(0.6))
         .when(overlap > 0, F.lit(0.15))
         .otherwise(F.lit(0.0))
     )
@@ -127,3 +126,15 @@ def given_conflict(a: Column, b: Column) -> Column:
     x, y = F.get(a, F.lit(0)), F.get(b, F.lit(0))
     told = (F.length(x) >= 3) & (F.length(y) >= 3) & ~F.startswith(x, y) & ~F.startswith(y, x)
     return F.when(told, F.when(F.substring(x, 1, 1) == F.substring(y, 1, 1), F.lit(0.1)).otherwise(F.lit(0.0)))
+
+
+def person_score(a_surnames: Column, b_surnames: Column, a_initials: Column, b_initials: Column, a_given: Column, b_given: Column, floor: float = 0.87) -> Column:
+    """How likely two parsed names are one person's: 0.65 of the surnames' likeness and 0.35 of the initials', 0 under ``floor`` of the first.
+
+    Given names that are spelled out and differ go before initials; the same one spelled out adds 0.01, up to 1.
+    """
+    surname = surname_score(a_surnames, b_surnames)
+    first = lambda c: F.coalesce(F.get(c, F.lit(0)), F.lit(""))
+    spelled = (first(a_given) == first(b_given)) & (F.length(first(a_given)) >= 3)
+    score = 0.65 * surname + 0.35 * F.coalesce(given_conflict(a_given, b_given), initials_score(a_initials, b_initials)) + F.when(spelled, 0.01).otherwise(0.0)
+    return F.when(surname < floor, F.lit(0.0)).otherwise(F.least(score, F.lit(1.0)))

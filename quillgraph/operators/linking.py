@@ -4,12 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillgraph.functions.similarity import dice
-from quillgraph.operators.identity import components
+from quillgraph.operators.identity import bigram_pairs, components, grouped
 from quillgraph.operators.lineage import cut
 
 
@@ -85,77 +84,43 @@ def guarded_clusters(keys: DataFrame, pool: str, key: str, least: float, number:
 
     A key joins the first cluster to whose every member it is like enough (Dice
     of bigram counts), longest keys first.  ``number``: keys whose numbers differ
-    from the cluster's first are kept apart.  ``places``: arrays of place names; two
+    are kept apart.  ``places``: arrays of place names; two
     members that have places, but no shared or near-equal one, are kept apart, and where they share one,
-    ``corroborated`` is enough.  A pool must fit in one task: block finely.
+    ``corroborated`` is enough.  Keys meet at the bigrams that they share; a pool is one array: block finely.
     """
-
-    def grams(s: str) -> dict[str, int]:
-        out: dict[str, int] = {}
-        for i in range(len(s) - 1):
-            out[s[i : i + 2]] = out.get(s[i : i + 2], 0) + 1
-        return out
-
-    def like(a: dict[str, int], b: dict[str, int]) -> float:
-        n = sum(a.values()) + sum(b.values())
-        return 2 * sum(min(v, b.get(g, 0)) for g, v in a.items()) / n if n else 0.0
-
-    def one(rows: pd.DataFrame) -> pd.DataFrame:
-        facts: dict[str, tuple[str, frozenset]] = {}
-        for r in rows.itertuples():
-            had = facts.get(r.key, ("", frozenset()))
-            facts[r.key] = (r.number or had[0], had[1] | frozenset([] if r.places is None else r.places))
-        clusters: list[list[str]] = []
-        out, of = [], {k: grams(k) for k in facts}
-
-        def fits(a: str, b: str) -> bool:
-            mine, theirs = facts[a][1], facts[b][1]
-            shared = bool(mine & theirs)
-            if mine and theirs and not shared and not any(like(grams(x), grams(y)) >= 0.9 for x in mine for y in theirs):
-                return False
-            near = like(of[a], of[b])
-            return near >= least or (corroborated is not None and shared and near >= corroborated)
-
-        for k in sorted(facts, key=lambda s: (-len(s), s)):
-            for i, members in enumerate(clusters):
-                if facts[k][0] == facts[members[0]][0] and all(fits(k, m) for m in members):
-                    members.append(k)
-                    break
-            else:
-                i = len(clusters)
-                clusters.append([k])
-            out.append((rows["pool"].iloc[0], k, i))
-        return pd.DataFrame(out, columns=["pool", "key", "cluster"])
-
     none = F.lit(None).cast("string")
-    shaped = keys.select(F.col(pool).cast("string").alias("pool"), F.col(key).alias("key"), (F.col(number) if number else none).alias("number"), (F.col(places) if places else F.array().cast("array<string>")).alias("places")).where("key is not null").distinct()
-    return shaped.groupBy("pool").applyInPandas(one, "pool string, key string, cluster long").withColumnsRenamed({"pool": pool, "key": key})
+    shaped = keys.select(F.col(pool).cast("string").alias("pool"), F.col(key).alias("key"), (F.col(number) if number else none).alias("number"), (F.col(places) if places else F.array().cast("array<string>")).alias("places")).where("key is not null")
+    facts = cut(shaped.groupBy("pool", "key").agg(F.coalesce(F.max("number"), F.lit("")).alias("number"), F.array_distinct(F.flatten(F.collect_set("places"))).alias("places")))
+    a, b = (facts.select("pool", *[F.col(c).alias(f"{side}_{c}") for c in ("key", "number", "places")]) for side in "ab")
+    near = bigram_pairs(facts, "pool", "key").where(F.col("dice") >= min(least, least if corroborated is None else corroborated) - 1e-12)
+    met = near.join(a.withColumnRenamed("a_key", "a"), ["pool", "a"]).join(b.withColumnRenamed("b_key", "b"), ["pool", "b"]).where("a_number = b_number")
+    shared = F.arrays_overlap("a_places", "b_places")
+    close = F.exists("a_places", lambda x: F.exists("b_places", lambda y: dice(x, y) >= 0.9))
+    apart = (F.size("a_places") > 0) & (F.size("b_places") > 0) & ~shared & ~close
+    enough = F.col("dice") >= least - 1e-12
+    if corroborated is not None:
+        enough = enough | (shared & (F.col("dice") >= corroborated - 1e-12))
+    pairs = met.where(~apart & enough).select("pool", "a", "b")
+    return grouped(facts.select("pool", "key", (-F.length("key")).alias("order")), pairs).withColumnsRenamed({"pool": pool, "key": key})
 
 
 def pruned(members: DataFrame, group: str, member: str, first: str, last: str, weight: str, clash: str) -> DataFrame:
     """``group, member, kept``: the members of each group that agree with its weightiest one and with one another.
 
-    Members come by weight; two agree if their years don't overlap or their
+    Members come by weight, then first year, then name; two agree if their years don't overlap or their
     ``clash`` values are equal or null.  The others go to review (``kept`` false).
-    A group is a component of name links: small, and it must fit in one task.
+    A group is a component of name links, small, and is folded as one array.
     """
+    kinds = dict(members.dtypes)
+    one = F.struct((-F.col(weight)).alias("w"), F.col(first).alias("first"), F.col(member).alias("member"), F.col(last).alias("last"), F.col(clash).alias("clash"))
+    start = F.array().cast(f"array<struct<first:{kinds[first]},last:{kinds[last]},clash:{kinds[clash]},member:{kinds[member]},kept:boolean>>")
 
-    def one(rows: pd.DataFrame) -> pd.DataFrame:
-        kept: list = []
-        out = []
-        for r in rows.sort_values(["weight", "first", "member"], ascending=[False, True, True]).itertuples():
-            apart = lambda k, r=r: r.last < k.first or k.last < r.first
-            same = lambda k, r=r: pd.isna(r.clash) or pd.isna(k.clash) or r.clash == k.clash
-            ok = all(apart(k) or same(k) for k in kept)
-            if ok:
-                kept.append(r)
-            out.append((r.group, r.member, ok))
-        return pd.DataFrame(out, columns=["group", "member", "kept"])
+    def put(seen, x):
+        fits = F.forall(seen, lambda k: ~k["kept"] | (x["last"] < k["first"]) | (k["last"] < x["first"]) | x["clash"].isNull() | k["clash"].isNull() | (x["clash"] == k["clash"]))
+        return F.concat(seen, F.array(F.struct(x["first"].alias("first"), x["last"].alias("last"), x["clash"].alias("clash"), x["member"].alias("member"), F.coalesce(fits, F.lit(False)).alias("kept"))))
 
-    kinds = dict(members.dtypes)
-    shaped = members.select(F.col(group).alias("group"), F.col(member).alias("member"), F.col(first).alias("first"), F.col(last).alias("last"), F.col(weight).alias("weight"), F.col(clash).alias("clash"))
-    out = shaped.groupBy("group").applyInPandas(one, f"`group` {kinds[group]}, member {kinds[member]}, kept boolean")
-    return out.withColumnsRenamed({"group": group, "member": member})
+    out = members.groupBy(group).agg(F.aggregate(F.array_sort(F.collect_list(one)), start, put).alias("_k"))
+    return out.select(group, F.explode("_k").alias("_k")).select(group, F.col("_k.member").alias(member), F.col("_k.kept").alias("kept"))
 
 
 def same_name_links(rows: DataFrame, node: str, name: str, region: str, kind: str) -> DataFrame:

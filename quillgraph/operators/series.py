@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillgraph.functions.numbers import parse_value
 from quillgraph.functions.text import norm
+from quillgraph.operators.identity import redirect_closure
 from quillgraph.operators.lineage import cut
 
 
@@ -57,3 +58,29 @@ def ledger_entries(rows: DataFrame, account: str, label: str, values: str) -> Da
     debit = F.struct(F.lit("Dr").alias("side"), F.col(label).alias("description"), cell(0).try_cast("double").alias("capital"), cell(1).try_cast("double").alias("interest"))
     credit = F.struct(F.lit("Cr").alias("side"), cell(2).alias("description"), cell(3).try_cast("double").alias("capital"), cell(4).try_cast("double").alias("interest"))
     return rows.select(account, F.explode(F.array(debit, credit)).alias("e")).select(account, "e.*").where("capital is not null or interest is not null")
+
+
+#: Pages of a block in which points and segments of a year meet.
+PAGE_BLOCK = 32
+
+
+def canonical_points(points: DataFrame, redirects: DataFrame, entity: str) -> DataFrame:
+    """``points`` with ``canonical``: where the redirects (``id, target``) of the observed id end; the id itself if it has none."""
+    ends = redirect_closure(redirects).select(F.col("id").alias(entity), F.col("canonical").alias("_to"))
+    return points.join(ends, entity, "left").withColumn("canonical", F.coalesce("_to", entity)).drop("_to")
+
+
+def addressed(points: DataFrame, segments: DataFrame, year: str = "year", page: str = "page") -> DataFrame:
+    """``points`` with ``doc_id, segment_id, heading, address``: the segment of the point's year whose pages hold its page.
+
+    Tables go before other segments, then the fewest pages, then document and segment.  Points
+    without a year or page, or that no segment holds, have null addresses; each point stays one row.
+    Points and segments meet in blocks of 32 pages of a year.
+    """
+    block = lambda c: F.floor(c / PAGE_BLOCK)
+    held = segments.where("report_year is not null and page_start <= page_end").select("report_year", "page_start", "page_end", "doc_id", "segment_id", "heading", (~F.col("kind").eqNullSafe("tabular_statement")).alias("_other"), F.explode(F.sequence(block(F.col("page_start")), block(F.col("page_end")))).alias("_block"))
+    at = points.select(F.col(year).alias("report_year"), F.col(page).alias("_page")).where("report_year is not null and _page is not null").distinct().withColumn("_block", block(F.col("_page")))
+    met = at.join(held, ["report_year", "_block"]).where("_page between page_start and page_end")
+    best = met.groupBy("report_year", "_page").agg(F.min(F.struct("_other", (F.col("page_end") - F.col("page_start")).alias("n"), "doc_id", "segment_id", "heading")).alias("_s"))
+    best = best.select(F.col("report_year").alias(year), F.col("_page").alias(page), "_s.doc_id", "_s.segment_id", "_s.heading", F.concat_ws(" / ", "_s.doc_id", "_s.segment_id").alias("address"))
+    return points.join(best, [year, page], "left")

@@ -225,27 +225,40 @@ def sim_ratcliff(spark: SparkSession, d: str) -> DataFrame:
     return _pairs(spark, d).withColumn("score", F.round(S.ratcliff("a", "b"), 6))
 
 
-_INITIALS = [("f", "fw"), ("wlb", "wbl"), ("fh", "fr"), ("a", ""), ("j", "k"), ("jr", "jr"), ("abc", "ax"), ("ab", "cb"), ("abd", "abc"), ("abcd", "aefg"), ("xab", "yba")]
-_INITIAL_SCORES = (0.95, 0.9, 0.75, 0.5, 0.0, 1.0, 0.5, 0.75, 0.75, 0.5, 0.15)
+_INITIAL_RULES = """CASE WHEN a = '' OR b = '' THEN 0.5 WHEN a = b THEN 1 WHEN starts_with(a, b) OR starts_with(b, a) THEN 0.95 WHEN list_sort(string_split(a, '')) = list_sort(string_split(b, '')) THEN 0.9
+    WHEN a[1] = b[1] THEN CASE WHEN list_has_all(string_split(a, ''), string_split(b, '')) OR list_has_all(string_split(b, ''), string_split(a, '')) THEN 0.85 WHEN length(a) = length(b) AND hamming(a, b) = 1 THEN 0.75 ELSE 0.6 END
+    WHEN list_has_any(string_split(a, ''), string_split(b, '')) THEN 0.15 ELSE 0 END::DOUBLE"""
 
 
-@query("SELECT * FROM (VALUES " + ", ".join(f"('{a}', '{b}', {s}::DOUBLE)" for (a, b), s in zip(_INITIALS, _INITIAL_SCORES, strict=True)) + ") AS t(a, b, score)")
+@query(f"""
+    WITH i AS (SELECT p_partkey, array_to_string(list_transform(string_split(p_name, ' '), lambda x: x[1]), '') || p_name[2:1 + p_size % 3] AS a, lower(array_to_string(list_transform(string_split(p_type, ' '), lambda x: x[1]), '')) || p_name[1:p_size % 2] AS b FROM part),
+    w AS (SELECT p_partkey, a, b FROM i UNION ALL SELECT p_partkey, a, a[2:] || a[1] FROM i UNION ALL SELECT p_partkey, a, a[1:2] || b FROM i UNION ALL SELECT p_partkey, a, a[1:length(a) - 1] || 'q' FROM i)
+    SELECT a, b, count(*) AS n, CASE WHEN length(a) = length(b) THEN {_INITIAL_RULES} ELSE {_INITIAL_RULES.replace('length(a) = length(b) AND hamming(a, b) = 1', 'false')} END AS score FROM w GROUP BY a, b
+""")
 def initials_score(spark: SparkSession, d: str) -> DataFrame:
-    return spark.createDataFrame(_INITIALS, "a string, b string").withColumn("score", S.initials_score(F.col("a"), F.col("b")))
+    """Initials from the words of parts' names and types, against one another and turned, lengthened or with one misread."""
+    heads = lambda c: F.array_join(F.transform(F.split(c, " "), lambda x: F.substring(x, 1, 1)), "")
+    a = F.concat(heads("p_name"), F.substr("p_name", F.lit(2), (F.col("p_size") % 3).cast("int")))
+    b = F.concat(F.lower(heads("p_type")), F.substr("p_name", F.lit(1), (F.col("p_size") % 2).cast("int")))
+    rows = table(spark, d, "part").select(a.alias("a"), b.alias("b"))
+    ways = F.array("b", F.concat(F.substr("a", F.lit(2)), F.substring("a", 1, 1)), F.concat(F.substring("a", 1, 2), "b"), F.concat(F.substr("a", F.lit(1), F.length("a") - 1), F.lit("q")))
+    pairs = rows.select("a", F.explode(ways).alias("b")).groupBy("a", "b").agg(F.count("*").alias("n"))
+    return pairs.withColumn("score", S.initials_score(F.col("a"), F.col("b")))
 
 
-@query("""
-    WITH p AS (SELECT c.c_custkey, s.s_suppkey, lower(c.c_name) AS a, lower(s.s_name) AS b FROM customer c JOIN supplier s ON c.c_nationkey = s.s_nationkey),
-    j AS (SELECT *, jaro_winkler_similarity(a, b) AS sur FROM p)
-    SELECT c_custkey, s_suppkey, round(CASE WHEN sur < 0.5 THEN 0.0::DOUBLE ELSE 0.65::DOUBLE * sur + 0.35::DOUBLE * CASE WHEN substring(a, 1, 1) = substring(b, 1, 1) THEN 1.0 ELSE 0.0 END END, 6) AS score FROM j
+@query(f"""
+    WITH p AS (SELECT DISTINCT nation, a, b FROM (SELECT c_nationkey AS nation, lower(c_name)[-9:] AS a FROM customer) c JOIN (SELECT s_nationkey AS nation, lower(s_name)[-9:] AS b FROM supplier) s USING (nation)),
+    n AS (SELECT nation, a AS x, b AS y, 's' || a[1:6] AS sa, 's' || b[1:6] AS sb, a[7:9] AS a, b[7:9] AS b FROM p), j AS (SELECT *, least(1, jaro_winkler_similarity(sa, sb) + 0.02) AS sur, CASE WHEN length(a) = length(b) THEN {_INITIAL_RULES} ELSE 0 END AS ini FROM n)
+    SELECT nation, x, y, round(CASE WHEN sur < 0.87 THEN 0 ELSE 0.65 * sur + 0.35 * ini END::DOUBLE, 6) AS score FROM j
 """)
 def person_score(spark: SparkSession, d: str) -> DataFrame:
-    c = table(spark, d, "customer").selectExpr("c_custkey", "c_nationkey as nation", "lower(c_name) as a")
-    s = table(spark, d, "supplier").selectExpr("s_suppkey", "s_nationkey as nation", "lower(s_name) as b")
-    pairs = c.join(s, "nation").withColumn("surname", S.jaro_winkler("a", "b"))
-    initials = S.initials_score(F.substring("a", 1, 1), F.substring("b", 1, 1))
-    score = F.when(F.col("surname") < 0.5, F.lit(0.0)).otherwise(F.lit(0.65) * F.col("surname") + F.lit(0.35) * initials)
-    return pairs.select("c_custkey", "s_suppkey", F.round(score, 6).alias("score"))
+    """Customers and suppliers of a nation as people: the digits of their numbers are surname and initials."""
+    c = table(spark, d, "customer").select(F.col("c_nationkey").alias("nation"), F.right(F.lower("c_name"), F.lit(9)).alias("x")).distinct()
+    s = table(spark, d, "supplier").select(F.col("s_nationkey").alias("nation"), F.right(F.lower("s_name"), F.lit(9)).alias("y")).distinct()
+    surname = lambda n: F.array(F.concat(F.lit("s"), F.substring(n, 1, 6)))
+    none = F.array().cast("array<string>")
+    score = S.person_score(surname("x"), surname("y"), F.substr("x", F.lit(7)), F.substr("y", F.lit(7)), none, none)
+    return c.join(s, "nation").select("nation", "x", "y", F.round(score, 6).alias("score"))
 
 
 _CANON = ("ECONOMY", "STANDARD", "PROMO", "SMALL", "MEDIUM", "LARGE")

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Sequence
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -48,26 +51,88 @@ def attributes(spark: SparkSession, path: str, key: str) -> DataFrame:
     return rows.withColumn("_n", F.row_number().over(order)).where("_n = 1").drop("_n")
 
 
+def _scalar(raw: str, where: str):
+    """A plain YAML value: quoted or bare text, a whole number, or a flat list of them; anything else is refused."""
+    raw = raw.strip()
+    if raw[:1] in ("'", '"'):
+        quote = raw[0]
+        if len(raw) < 2 or raw[-1] != quote:
+            raise ValueError(f"{where}: text that goes on in another line")
+        inner = raw[1:-1]
+        if quote == "'":
+            if re.search(r"(?<!')'(?:'')*(?!')", inner):
+                raise ValueError(f"{where}: more after a quoted text")
+            return inner.replace("''", "'")
+        if "\\" in inner or '"' in inner:
+            raise ValueError(f"{where}: escapes in double quotes")
+        return inner
+    if raw.startswith("["):
+        if not raw.endswith("]") or raw.count("[") > 1:
+            raise ValueError(f"{where}: a list that is nested or goes on in another line")
+        return [_scalar(x, where) for x in raw[1:-1].split(",") if x.strip()]
+    if raw[:1] in "|>&*!{%@`" and raw:
+        raise ValueError(f"{where}: {raw[0]!r} begins a form that isn't read")
+    raw = re.split(r"\s#", raw)[0].strip()
+    if ": " in raw:
+        raise ValueError(f"{where}: a mapping in a mapping")
+    return int(raw) if re.fullmatch(r"-?\d+", raw) else raw
+
+
+def rule_file(spark: SparkSession, path: str, keys: Sequence[str] = ("id", "label", "unit", "match", "years")) -> dict[str, object]:
+    """A rule file: its plain values, and under each list's name its rules or texts, in order.
+
+    The file is YAML of one depth: ``name: value``; ``name:`` with ``- key: value`` items of the ``keys``; or
+    ``name:`` with ``- text`` items.  Comments and blank lines are passed over.  Whatever else YAML knows, unknown or repeated keys, and
+    patterns that don't compile are refused with their line, so no rule is lost in silence.
+    """
+    (whole,) = spark.read.text(path, wholetext=True).collect()  # one file
+    out: dict[str, object] = {}
+    items: list | None = None
+    for number, line in enumerate(whole.value.splitlines(), 1):
+        where, text = f"{path}, line {number}", line.strip()
+        if not text or text.startswith("#") or text == "---":
+            continue
+        if "\t" in line[: len(line) - len(line.lstrip())]:
+            raise ValueError(f"{where}: a tab in the indent")
+        deep, item = line[0] == " ", text.startswith("- ")
+        pair = re.match(r"(?:- )?([A-Za-z_][A-Za-z_0-9]*):(?:\s+(.*))?$", text)
+        if not deep and not item:
+            if not pair or pair[1] in out:
+                raise ValueError(f"{where}: neither a new name nor an item")
+            items = None if pair[2] and not pair[2].startswith("#") else []
+            out[pair[1]] = _scalar(pair[2], where) if items is None else items
+            continue
+        if items is None:
+            raise ValueError(f"{where}: an indented line that belongs to no list")
+        if item and not pair:
+            items.append(_scalar(text[2:], where))
+            continue
+        if not pair or pair[1] not in keys or not pair[2]:
+            raise ValueError(f"{where}: not one of {', '.join(keys)} with a value")
+        if item:
+            items.append({})
+        if not items or not isinstance(items[-1], dict) or pair[1] in items[-1]:
+            raise ValueError(f"{where}: a key of no rule, or a second one")
+        items[-1][pair[1]] = _scalar(pair[2], where)
+        if pair[1] == "match":
+            try:
+                re.compile(items[-1]["match"])
+            except (re.error, TypeError) as error:
+                raise ValueError(f"{where}: no pattern: {error}") from None
+    return out
+
+
 def rule_list(spark: SparkSession, path: str) -> list[tuple[str, str, int, int]]:
     """Ordered label rules of a rule file: (series, pattern, first year, last year).
 
-    The file is a small list in YAML's plain form, ``- series: x`` followed by
-    indented ``pattern``, ``from`` and ``to`` lines; years may be left out.
-    Named groups are written as Spark's regular expressions take them.
+    The rules are the file's list ``series``, with ``id`` and ``match``, and ``years`` (two numbers) where a rule holds for
+    some years only.  Named groups are written as Spark's regular expressions take them; a rule without ``id`` or ``match`` is refused.
     """
-    rules: list[dict[str, str]] = []
-    for row in spark.read.text(path, wholetext=True).collect():
-        for line in row.value.splitlines():
-            if line.strip().startswith("#") or ":" not in line:
-                continue
-            if line.lstrip().startswith("- "):
-                rules.append({})
-                line = line.lstrip()[2:]
-            if rules:
-                name, _, value = line.partition(":")
-                value = value.strip()
-                rules[-1][name.strip()] = value[1:-1] if len(value) > 1 and value[0] == value[-1] and value[0] in "'\"" else value
-    return [(r["series"], r["pattern"].replace("(?P<", "(?<"), int(r.get("from", 0)), int(r.get("to", 9999))) for r in rules if "series" in r and "pattern" in r]
+    rules = rule_file(spark, path).get("series", [])
+    for n, rule in enumerate(rules, 1):
+        if not isinstance(rule, dict) or not {"id", "match"} <= set(rule) or len(rule.get("years", [0, 0])) != 2:
+            raise ValueError(f"{path}: rule {n} of series lacks id or match, or its years aren't two")
+    return [(str(r["id"]), r["match"].replace("(?P<", "(?<"), *r.get("years", [0, 9999])) for r in rules]
 
 
 def json_lines(lines: DataFrame, column: str, schema: str) -> DataFrame:

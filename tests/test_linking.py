@@ -141,7 +141,7 @@ def test_readers(spark, tmp_path):
     assert rows(readers.page_manifest(spark, str(tmp_path / "v*" / "*.tsv"))) == [("v1899", 1, "p1.html", 20)]
     got = readers.json_files(spark, str(tmp_path / "v*" / "*.jsonl"), "k int").select("year", "line", "k")
     assert rows(got) == [(1899, 0, 1), (1899, 2, 3)]
-    (tmp_path / "rules.yaml").write_text("# rules\n- series: crop_{x}\n  pattern: '^(?P<x>[a-z]+) acres$'\n  from: 1890\n- series: price\n  pattern: ^price$\n")
+    (tmp_path / "rules.yaml").write_text("# rules\nseries:\n  - id: crop_{x}\n    match: '^(?P<x>[a-z]+) acres$'\n    years: [1890, 9999]\n  - id: price\n    match: ^price$\n")
     assert readers.rule_list(spark, str(tmp_path / "rules.yaml")) == [("crop_{x}", "^(?<x>[a-z]+) acres$", 1890, 9999), ("price", "^price$", 0, 9999)]
     out = str(tmp_path / "decided")
     frame = spark.createDataFrame([(1, "a"), (2, "b")], "id long, x string")
