@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from quillgraph.functions.numbers import year_ranges
 from quillgraph.functions.text import norm
 from quillgraph.operators import querylang as Q
+from quillgraph.operators.fulltext import staged_lookup
 from quillgraph.operators.series import addressed, canonical_points
 
 SCHEMAS = {
@@ -71,29 +72,13 @@ class Archive:
 
         The last two classes count only where the others give fewer than ``limit``.
         """
-        q = Q.folded(name)
-        if not q:
+        if not Q.folded(name):
             return self._error("empty name")
         type = "person" if type == "agent" else type
         a = self.aliases if type is None else self.aliases.where(F.col("type") == type)
-        key = norm("alias")
-        tight, sq = F.replace(key, F.lit(" "), F.lit("")), q.replace(" ", "")
-        words = [w for w in q.split() if len(w) > 2]
-        near = F.when(key == q, 3.0).when(key.startswith(q), 2.0).when(F.contains(key, F.lit(q)), 1.5)
-        all_words: Column = F.lit(bool(words))
-        for w in words:
-            all_words = all_words & F.contains(key, F.lit(w))
-        parts = [sq] if len(sq) < 6 else [sq[i : i + 5] for i in range(0, len(sq) - 4, 2)]
-        piece: Column = F.lit(False)
-        for p in parts if len(sq) >= 3 else []:
-            piece = piece | F.contains(tight, F.lit(p))
-        scored = a.groupBy("alias", "type", "id").agg(F.sum("n").alias("n")).withColumn("base", near).withColumn("far", F.when(all_words, 1.0).when(piece, 0.5))
-        first = scored.where("base is not null")
-        enough = first.select("type", "id").distinct().limit(limit).count() >= limit
-        hits = first if enough else scored.withColumn("base", F.coalesce("base", "far")).where("base is not null")
-        best = hits.groupBy("type", "id").agg(F.max(F.col("base") + F.least("n", F.lit(50)) / 100).alias("score"), F.slice(F.array_sort(F.collect_set("alias")), 1, 5).alias("matched"))
+        best = staged_lookup(a, self.spark.createDataFrame([(name,)], "query string"), self.entities, limit).drop("query")
         rows = best.join(self.entities, ["type", "id"])
-        return rows.select("type", "id", "name", "uri", "n_years", "n_mentions", "summary", F.round("score", 2).alias("score"), "matched").orderBy(F.desc(F.round("score", 1)), F.desc_nulls_last("n_mentions"), F.desc_nulls_last("n_years"), "type", "id").limit(limit)
+        return rows.select("type", "id", "name", "uri", "n_years", "n_mentions", "summary", "score", "matched", "rank").orderBy("rank").drop("rank")
 
     def search(self, query: str, year_from: int | None = None, year_to: int | None = None, kind: str | None = None, agency: str | None = None, school: str | None = None, limit: int = 10) -> DataFrame:
         """Segments that the query fits, best first, with an address and a snippet; heading words count twice.

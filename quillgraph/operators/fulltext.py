@@ -98,6 +98,61 @@ def lookup(aliases: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     return best.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
 
+def _grams(c: Column, sizes: Sequence[int]) -> Column:
+    """The distinct runs of some numbers of characters."""
+
+    def runs(n: int) -> Column:
+        cut_ = F.transform(F.sequence(F.lit(1), F.greatest(F.length(c) - n + 1, F.lit(1))), lambda i: F.substr(c, i, F.lit(n)))
+        return F.when(F.length(c) >= n, cut_).otherwise(F.array().cast("array<string>"))
+
+    return F.array_distinct(F.concat(*[runs(n) for n in sizes]))
+
+
+def staged_lookup(aliases: DataFrame, queries: DataFrame, entities: DataFrame, limit: int = 10, most: int = 200, most_pieces: int = 40) -> DataFrame:
+    """``query, rank, type, id, score, matched``: the entities that each query may mean, best first.
+
+    ``aliases``: alias, type, id, n; ``queries``: query; ``entities``: type, id, n_mentions, n_years.  Classes, by folded names:
+    equal 3, begins with it 2, holds it 1.5; where these give fewer than ``limit``
+    entities, holds each word of three letters or more 1; where there are still
+    fewer, holds a piece of it without spaces, 0.5: all of it if it is shorter than six letters, else every second run of five.
+    An entity's score is the best of its classes' plus its mentions under all names of that class, at most 50, by 100;
+    a class takes the ``most`` best attested, the pieces the ``most_pieces`` names with most of them.  Scores count
+    to one digit, then mentions, years, type and id decide.  Entities that aren't in ``entities``, null names and queries without
+    letters give nothing.  Names and queries meet at the characters that they must share.
+    """
+    a = aliases.groupBy(norm("alias").alias("_a"), "type", "id").agg(F.sum("n").alias("n")).where("_a <> ''").join(entities.select("type", "id"), ["type", "id"], "left_semi")
+    a = cut(a.withColumn("_sq", F.replace("_a", F.lit(" "), F.lit(""))))
+    q = cut(queries.select("query").where("query is not null").distinct().withColumn("_q", norm("query")).where("_q <> ''").withColumn("_qs", F.replace("_q", F.lit(" "), F.lit(""))))
+    posted = a.select("_a", "type", "id", "n", F.explode(_grams(F.col("_a"), (1, 2, 3))).alias("_g"))
+    met = q.withColumn("_g", F.substring("_q", 1, 3)).join(posted, "_g").where("contains(_a, _q)")
+    held = F.when(F.col("_a") == F.col("_q"), F.array(F.lit(3.0), F.lit(2.0), F.lit(1.5))).when(F.startswith("_a", F.col("_q")), F.array(F.lit(2.0), F.lit(1.5))).otherwise(F.array(F.lit(1.5)))
+    first = met.select("query", "_a", "type", "id", "n", F.explode(held).alias("base"))
+
+    def summed(rows: DataFrame) -> DataFrame:
+        each = rows.groupBy("query", "base", "type", "id").agg(F.sum("n").alias("n"), F.array_sort(F.collect_set("_a")).alias("matched"))
+        best = F.row_number().over(Window.partitionBy("query", "base").orderBy(F.desc("n"), "type", "id"))
+        return each.withColumn("_r", best).where(F.col("_r") <= most).drop("_r")
+
+    def wanting(found: DataFrame) -> DataFrame:
+        enough = found.groupBy("query").agg(F.count_distinct("type", "id").alias("_n")).where(F.col("_n") >= limit)
+        return q.join(enough, "query", "left_anti")
+
+    found = cut(summed(first))
+    words = wanting(found).withColumn("_w", F.explode(F.array_distinct(F.filter(F.split("_q", " "), lambda w: F.length(w) > 2)))).withColumn("_g", F.substring("_w", 1, 3))
+    asked = words.groupBy("query").agg(F.count("*").alias("_words"))
+    every = words.join(posted, "_g").where("contains(_a, _w)").groupBy("query", "_a", "type", "id", "n").agg(F.count("*").alias("_hit")).join(asked, "query").where("_hit = _words")
+    found = cut(found.unionByName(summed(every.withColumn("base", F.lit(1.0)).select("query", "_a", "type", "id", "n", "base"))))
+    cuts = F.when(F.length("_qs") < 6, F.array("_qs")).otherwise(F.transform(F.sequence(F.lit(1), F.greatest(F.length("_qs") - 4, F.lit(1)), F.lit(2)), lambda i: F.substr("_qs", i, F.lit(5))))
+    pieces = wanting(found).where(F.length("_qs") >= 3).select("query", F.explode(F.array_distinct(cuts)).alias("_g"))
+    by_piece = pieces.join(a.select("_a", "type", "id", "n", F.explode(_grams(F.col("_sq"), (3, 4, 5))).alias("_g")), "_g").groupBy("query", "_a", "type", "id", "n").agg(F.count("*").alias("_hit"))
+    top = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("_hit"), F.desc("n"), "_a", "type", "id"))
+    last = by_piece.withColumn("_r", top).where(F.col("_r") <= most_pieces).select("query", F.lit(0.5).alias("base"), "type", "id", "n", F.array("_a").alias("matched"))
+    scored = found.unionByName(last).groupBy("query", "type", "id").agg(F.max(F.col("base") + F.least("n", F.lit(50)) / 100).alias("score"), F.slice(F.array_sort(F.array_distinct(F.flatten(F.collect_list("matched")))), 1, 5).alias("matched"))
+    ranked = scored.join(entities.select("type", "id", "n_mentions", "n_years"), ["type", "id"])
+    order = Window.partitionBy("query").orderBy(F.desc(F.round("score", 1)), F.desc(F.coalesce("n_mentions", F.lit(0))), F.desc(F.coalesce("n_years", F.lit(0))), "type", "id")
+    return ranked.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= limit).select("query", "rank", "type", "id", F.round("score", 2).alias("score"), "matched")
+
+
 def field_postings(docs: DataFrame, fields: Sequence[str]) -> DataFrame:
     """``term, doc_id, field, tf, positions``: where each word stands in each field, from 0, in order."""
     words = lambda f: F.regexp_extract_all(fold(F.coalesce(f, F.lit(""))), F.lit("([a-z0-9]+)"), 1)

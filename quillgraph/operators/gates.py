@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quillgraph.functions.similarity import dice
+from quillgraph.functions.numbers import acres_close_text
+from quillgraph.functions.text import norm
+from quillgraph.operators.editions import likeness
+from quillgraph.operators.lineage import cut
 
 # Fixed forms of the printed statements.
 UNIT_ROW = r"(?i)\b(agency|agencies|superintendency|inspectorate|district)\s*\.?\s*$"
@@ -17,6 +22,17 @@ PERSON_ROW = (
 )
 MONEY_CELL = r"^\$?\d[\d,]*\.\d{2}$"
 PRINTED_TYPES = ("day", "boarding", "industrial", "residential")
+CENSUS_ALONE = "census return|number in band|number on band|ages? and sexes"
+DENOMINATIONS = "anglican|roman catholic|presbyterian|methodist|baptist|pagan|aboriginal belief|other christian|congregationalist|united church"
+CENSUS_LABELS = (
+    "census|religio|protestant|catholic|pagan|anglican|methodist|presbyterian|baptist|aboriginal belief|other christian|number in band|population|denomination|"
+    "male|female|births|deaths|ages? and sexes"
+)
+FARM_LABELS = (
+    "acres?|bushel|cultivat|live ?stock|horses|cattle|swine|sheep|poultry|grain|root|hay|fenc|thresh|wagon|implement|plough|harrow|produce|value of|area of reserve|"
+    "broken|under crop|under wood|seed|garden"
+)
+EASTERN = ("NS", "NB", "PE", "QC")
 #: Ratios of two areas that a slip of a digit makes (fixed values).
 SLIPS = ((9, 11), (95, 105), (950, 1050))
 
@@ -64,25 +80,52 @@ def area_change(before: Column, after: Column, other_unit: Column) -> Column:
     return F.when(other_unit, fate("unit_mismatch", "high")).when(both & slip, fate("ocr_digit", "medium")).when(both & (ratio < 9), fate("real_change_candidate", "medium")).otherwise(fate("real_change_candidate", "low"))
 
 
-def leftover_fates(rows: DataFrame, matched: DataFrame, registry: DataFrame, like: float = 0.7) -> DataFrame:
+def header_class(columns: Column, title: Column) -> Column:
+    """Whether a table's column labels and title are a census's, agricultural ones, or neither: ``census``, ``agri``, ``unknown``.
+
+    A label that only a census has, or two denominations, settle it, whatever else stands there;
+    else the words of either side are counted, and agriculture takes a draw.
+    """
+    text = F.concat_ws(" ", F.array_join(F.transform(F.coalesce(columns, F.array().cast("array<string>")), lambda c: F.coalesce(c, F.lit(""))), " | "), F.coalesce(title, F.lit("")))
+    told = F.size(F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(f"({DENOMINATIONS})"), 1)))
+    c, a = (F.regexp_count(text, F.lit(f"(?i){p}")) for p in (CENSUS_LABELS, FARM_LABELS))
+    return F.when(text.rlike(f"(?i){CENSUS_ALONE}") | (told >= 2), "census").when((c == 0) & (a == 0), "unknown").when(c > a, "census").otherwise("agri")
+
+
+def leftover_fates(rows: DataFrame, matched: DataFrame, registry: DataFrame, like: Callable[[Column, Column], Column] = likeness, eastern: Sequence[str] = EASTERN) -> DataFrame:
     """``id, disposition, confidence, proposed`` of rows that no registry entry was matched to.
 
-    ``rows``: id, edition, region, page, no, name, band; ``matched``: edition, page,
-    no, name, entry; ``registry``: entry, region, no, name, band.  In this order: nothing printed
-    (``degenerate_row``), a matched row of the same number and name at most two pages off
-    (``duplicate_emission``), the only entry of number and name (``greedy_steal``),
-    the only entry of its band with a like name (``renumbered_link``), else
-    ``absence_candidate``.  Names are alike by Dice of their bigrams.
+    ``rows``: id, edition, region, page, no, name, band, acres; ``matched``: edition, page, no, name, entry; ``registry``:
+    entry, region, no, name, band, acres; acres are as printed.  Names, numbers and bands are folded.  In this order: nothing printed (``degenerate_row``);
+    a matched row of the same number at most two pages off, with a like (.7) name (``duplicate_emission``; the least entry);
+    the only entry of number and name (``greedy_steal``); the only entry of a like (.75) band with a
+    like (.6) name or the same acres (``renumbered_link``); in the east, where bands weren't
+    printed, the only entry of a like (.7) name or one that holds the other, of five letters at least (``renumbered_link``,
+    low); else ``absence_candidate``.  A row without a page is near no other.
     """
-    near = rows.alias("r").join(matched.alias("m"), (F.col("r.edition") == F.col("m.edition")) & (F.col("r.no") == F.col("m.no"))).where((F.abs(F.col("r.page") - F.col("m.page")) <= 2) & (dice(F.col("r.name"), F.col("m.name")) >= like))
-    dup = near.groupBy("r.id").agg(F.min("m.entry").alias("_dup"))
-    same = rows.select("id", "region", "no", "name").join(registry.select("region", "no", "name", "entry"), ["region", "no", "name"]).groupBy("id").agg(F.min("entry").alias("_steal"), F.count("*").alias("_ns"))
-    band = rows.select("id", "region", "band", "name").join(registry.select("region", "band", F.col("name").alias("_name"), "entry"), ["region", "band"]).where(dice(F.col("name"), F.col("_name")) >= like)
-    band = band.groupBy("id").agg(F.min("entry").alias("_renumbered"), F.count("*").alias("_nr"))
-    out = rows.join(dup, "id", "left").join(same, "id", "left").join(band, "id", "left")
+    folded = lambda *others: [F.col(c) for c in others] + [norm(F.coalesce(F.col(c), F.lit(""))).alias(c) for c in ("no", "name")]
+    r = cut(rows.select(*folded("id", "edition", "region", "page", "acres"), norm(F.coalesce("band", F.lit(""))).alias("band")))
+    m = matched.select(*folded("edition", "page", "entry"))
+    g = cut(registry.select(*folded("entry", "region", "acres"), norm(F.coalesce("band", F.lit(""))).alias("band")))
+    # pages at most two apart are in the same block of three or in neighbouring ones
+    at = r.select("id", "edition", "no", "name", "page", F.explode(F.transform(F.array(F.lit(-1), F.lit(0), F.lit(1)), lambda i: F.floor(F.col("page") / 3) + i)).alias("_b"))
+    near = at.alias("r").join(m.withColumn("_b", F.floor(F.col("page") / 3)).alias("m"), ["edition", "no", "_b"]).where(F.abs(F.col("r.page") - F.col("m.page")) <= 2)
+    near = near.where((like(F.col("r.name"), F.col("m.name")) >= 0.7) | ((F.col("r.name") != "") & (F.col("r.name") == F.col("m.name"))))
+    dup = near.groupBy("id").agg(F.min("entry").alias("_dup"))
+    same = r.where("no <> '' and name <> ''").join(g.select("region", "no", "name", "entry"), ["region", "no", "name"]).groupBy("id").agg(F.min("entry").alias("_steal"), F.count("*").alias("_ns"))
+    bands = r.select("region", "band").where("band <> ''").distinct().join(g.select("region", F.col("band").alias("_band")).distinct(), "region")
+    bands = cut(bands.where((F.col("band") == F.col("_band")) | (like(F.col("band"), F.col("_band")) >= 0.75)))
+    other = g.select("region", F.col("band").alias("_band"), F.col("name").alias("_name"), F.col("acres").alias("_acres"), "entry")
+    own = r.select("id", "region", "band", "name", "acres").join(bands, ["region", "band"]).join(other, ["region", "_band"])
+    band = own.where((like(F.col("name"), F.col("_name")) >= 0.6) | acres_close_text("acres", "_acres")).groupBy("id").agg(F.min("entry").alias("_renumbered"), F.count("*").alias("_nr"))
+    mine, theirs = F.col("name"), F.col("_name")
+    names = r.where(F.col("region").isin(*eastern) & (mine != "")).select("region", "name").distinct().join(other.select("region", "_name").distinct(), "region")
+    names = names.where((like(mine, theirs) >= 0.7) | ((F.length(mine) >= 5) & F.contains(theirs, mine)) | ((F.length(theirs) >= 5) & F.contains(mine, theirs)))
+    east = r.select("id", "region", "name").join(names, ["region", "name"]).join(other.select("region", "_name", "entry"), ["region", "_name"]).groupBy("id").agg(F.min("entry").alias("_east"), F.count("*").alias("_ne"))
+    out = r.join(dup, "id", "left").join(same, "id", "left").join(band, "id", "left").join(east, "id", "left")
     steps = [
-        (F.coalesce("no", "name", "band").isNull(), "degenerate_row", "high", F.lit(None)), (F.col("_dup").isNotNull(), "duplicate_emission", "high", F.col("_dup")),
-        (F.col("_ns") == 1, "greedy_steal", "medium", F.col("_steal")), (F.col("_nr") == 1, "renumbered_link", "medium", F.col("_renumbered")),
+        (F.concat("no", "name", "band") == "", "degenerate_row", "high", F.lit(None)), (F.col("_dup").isNotNull(), "duplicate_emission", "high", F.col("_dup")),
+        (F.col("_ns") == 1, "greedy_steal", "medium", F.col("_steal")), (F.col("_nr") == 1, "renumbered_link", "medium", F.col("_renumbered")), (F.col("_ne") == 1, "renumbered_link", "low", F.col("_east")),
     ]
     kind = dict(registry.dtypes)["entry"]
     fate = lambda d, c, e: F.struct(F.lit(d).alias("disposition"), F.lit(c).alias("confidence"), e.cast(kind).alias("proposed"))

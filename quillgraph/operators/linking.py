@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quillgraph.functions.similarity import dice
+from quillgraph.functions.similarity import dice, jaccard
+from quillgraph.functions.text import norm
 from quillgraph.operators.identity import bigram_pairs, components, grouped
 from quillgraph.operators.lineage import cut
 
@@ -123,6 +124,54 @@ def pruned(members: DataFrame, group: str, member: str, first: str, last: str, w
     return out.select(group, F.explode("_k").alias("_k")).select(group, F.col("_k.member").alias(member), F.col("_k.kept").alias("kept"))
 
 
+# Lines that are no band (fixed values).
+NO_BAND = (
+    r"(?i)^(british columbia|ontario|quebec|nova scotia|new brunswick|manitoba|saskatchewan|alberta|yukon( territory)?|prince edward island|north ?west "
+    r"territories|total|recapitulation|grand total)\b"
+)
+
+
+def compatible_overlaps(pairs: DataFrame, members: DataFrame, figures: DataFrame) -> DataFrame:
+    """``a, b, compatible, note`` of pairs of identities of one name whose years overlap.
+
+    ``members``: id, name, agency (a key, or empty), first, last; ``figures``: id, year, value.  They may be one unless either is a
+    province or total, their agencies differ and neither holds the other, or a year that both print
+    has figures one or more apart.  Pairs of an unknown id are left out; of several figures for a year the largest counts.
+    """
+    side = lambda s: members.select(F.col("id").alias(s), *[F.col(c).alias(f"{s}_{c}") for c in ("name", "agency", "first", "last")])
+    met = cut(pairs.select("a", "b").distinct().join(side("a"), "a").join(side("b"), "b"))
+    year = figures.groupBy("id", "year").agg(F.max("value").alias("value")).where("value is not null")
+    one = lambda s: year.select(F.col("id").alias(s), "year", F.col("value").alias(f"_{s}"))
+    shared = met.select("a", "b", F.greatest("a_first", "b_first").alias("_lo"), F.least("a_last", "b_last").alias("_hi")).join(one("a"), "a").join(one("b"), ["b", "year"]).where("year between _lo and _hi")
+    told = shared.groupBy("a", "b").agg(F.bool_or(F.abs(F.col("_a") - F.col("_b")) >= 1).alias("_differ"))
+    rows = met.join(told, ["a", "b"], "left")
+    x, y = (F.coalesce(F.col(c), F.lit("")) for c in ("a_agency", "b_agency"))
+    lines = F.coalesce(F.col("a_name"), F.lit("")).rlike(NO_BAND) | F.coalesce(F.col("b_name"), F.lit("")).rlike(NO_BAND)
+    other = (x != "") & (y != "") & ~F.contains(x, y) & ~F.contains(y, x)
+    note = F.when(lines, "province/recap line").when(other, "different agencies").when(F.col("_differ"), "population differs in a shared year").when(F.col("_differ").isNotNull(), "identical population in shared years").otherwise("no conflicting population")
+    return rows.select("a", "b", (~lines & ~other & ~F.coalesce("_differ", F.lit(False))).alias("compatible"), note.alias("note"))
+
+
+def field_agreements(pairs: DataFrame, left: DataFrame, right: DataFrame, texts: Sequence[str], numbers: Sequence[str] = (), like: float = 0.9) -> DataFrame:
+    """``field, n, equal, near`` over matched records (``left_id, right_id``) of two extractions, each with an ``id``.
+
+    Texts are equal by their folded words, near if they are or share ``like`` of their words; numbers are equal and near if less than 0.01 apart; two nulls agree.
+    """
+    ours = left.select(F.col("id").alias("left_id"), *[F.col(f).alias(f"_l_{f}") for f in (*texts, *numbers)])
+    other = right.select(F.col("id").alias("right_id"), *[F.col(f).alias(f"_r_{f}") for f in (*texts, *numbers)])
+    rows = pairs.select("left_id", "right_id").join(ours, "left_id").join(other, "right_id")
+    cells = []
+    for f in texts:
+        a, b = (norm(F.coalesce(F.col(f"_{s}_{f}"), F.lit(""))) for s in "lr")
+        cells.append(F.struct(F.lit(f).alias("field"), (a == b).alias("equal"), ((a == b) | (jaccard(a, b) >= like)).alias("near")))
+    for f in numbers:
+        a, b = (F.col(f"_{s}_{f}").cast("double") for s in "lr")
+        same = F.coalesce(F.abs(a - b) < 0.01, a.isNull() & b.isNull())
+        cells.append(F.struct(F.lit(f).alias("field"), same.alias("equal"), same.alias("near")))
+    each = rows.select(F.explode(F.array(*cells)).alias("_c")).select("_c.*")
+    return each.groupBy("field").agg(F.count("*").alias("n"), F.count_if("equal").alias("equal"), F.count_if("near").alias("near"))
+
+
 def same_name_links(rows: DataFrame, node: str, name: str, region: str, kind: str) -> DataFrame:
     """``a, b``: links from the first node of a name in a region to the others whose kinds don't conflict.
 

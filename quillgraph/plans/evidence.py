@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillgraph.operators import chunks, editions, identity, kinds, papers, series, staff
+from quillgraph.operators import chunks, cues, editions, fulltext, identity, kinds, linking, papers, series, staff
+from quillgraph.plans import texts
 from quillgraph.plans.registry import query, table
 
 # ---- papers: headings drawn by the part's own numbers, judged in SQL by what is printed
@@ -207,3 +208,116 @@ def series_addresses(spark: SparkSession, d: str) -> DataFrame:
     segments = table(spark, d, "documents").select("doc_id", F.concat(F.lit("s"), n.cast("string")).alias("segment_id"), (n % 12 + 1990).cast("int").alias("report_year"), (n * 7 % 400).alias("page_start"), (n * 7 % 400 + n % 90).alias("page_end"), F.when(n % 3 == 0, "tabular_statement").otherwise("letter").alias("kind"), F.col("lang").alias("heading"))
     rows = series.addressed(series.canonical_points(points, redirects, "observed"), segments)
     return rows.select("o_orderkey", "canonical", "observed", "series", "year", "page", "value", F.coalesce("address", F.lit("")).alias("address"), "heading")
+
+
+# ---- lookup by stages
+
+_FOLDED = "trim(regexp_replace(lower({0}), '[^a-z0-9]+', ' ', 'g'))"
+
+
+@query(f"""
+    WITH raw AS (SELECT p_name || ' ' || p_brand AS alias, 'band' AS type, p_partkey % 97 AS id, p_size AS n FROM part UNION ALL SELECT p_type || ' ' || p_name, 'agency', p_partkey % 31, 1 FROM part),
+    e AS (SELECT DISTINCT type, id, id % 7 AS m, id % 3 AS y FROM raw WHERE id % 13 > 0),
+    a AS (SELECT {_FOLDED.format('alias')} AS a, type, id, sum(n)::BIGINT AS n FROM raw SEMI JOIN e USING (type, id) GROUP BY ALL),
+    k AS (SELECT DISTINCT {_FOLDED.format('query')} AS q, query FROM (SELECT p_name AS query FROM part WHERE p_partkey % 5 = 0 UNION SELECT split_part(p_name, ' ', 2) || ' ' || lower(p_type) FROM part WHERE p_size < 10 UNION SELECT p_brand FROM part WHERE p_size > 45 UNION SELECT p_name[2:9] || 'q' FROM part WHERE p_size = 7 UNION SELECT p_name[1:2] FROM part UNION SELECT '!' )),
+    h AS (SELECT query, a, type, id, n, unnest(CASE WHEN a = q THEN [3, 2, 1.5] WHEN starts_with(a, q) THEN [2, 1.5] ELSE [1.5] END)::DOUBLE AS base FROM k JOIN a ON contains(a, q) WHERE q <> ''),
+    s AS (SELECT query, base, type, id, sum(n) AS n, list_sort(list(DISTINCT a)) AS matched FROM h GROUP BY query, base, type, id QUALIFY row_number() OVER (PARTITION BY query, base ORDER BY sum(n) DESC, type, id) <= 200),
+    k2 AS (SELECT * FROM k WHERE q <> '' AND query NOT IN (SELECT query FROM s GROUP BY 1 HAVING count(DISTINCT (type, id)) >= 10)),
+    w AS (SELECT query, list_distinct(list_filter(string_split(q, ' '), lambda x: length(x) > 2)) AS w FROM k2),
+    s2 AS (SELECT query, 1.0::DOUBLE AS base, type, id, sum(n) AS n, list_sort(list(DISTINCT a)) AS matched FROM w JOIN a ON len(w) > 0 AND len(list_filter(w, lambda x: contains(a, x))) = len(w) GROUP BY query, type, id QUALIFY row_number() OVER (PARTITION BY query ORDER BY sum(n) DESC, type, id) <= 200),
+    t AS (SELECT * FROM s UNION ALL SELECT * FROM s2),
+    k3 AS (SELECT query, replace(q, ' ', '') AS qs FROM k WHERE q <> '' AND query NOT IN (SELECT query FROM t GROUP BY 1 HAVING count(DISTINCT (type, id)) >= 10)),
+    c AS (SELECT query, list_distinct(CASE WHEN length(qs) < 6 THEN [qs] ELSE list_transform(range(1, length(qs) - 3, 2), lambda i: substring(qs, i, 5)) END) AS pieces FROM k3 WHERE length(qs) >= 3),
+    p AS (SELECT query, a, type, id, n, len(list_filter(pieces, lambda x: contains(replace(a, ' ', ''), x))) AS hit FROM c JOIN a ON len(list_filter(pieces, lambda x: contains(replace(a, ' ', ''), x))) > 0 QUALIFY row_number() OVER (PARTITION BY query ORDER BY hit DESC, n DESC, a, type, id) <= 40),
+    u AS (SELECT * FROM t UNION ALL SELECT query, 0.5, type, id, n, [a] FROM p),
+    g AS (SELECT query, type, id, max(base + least(n, 50) / 100) AS score, list_sort(list_distinct(flatten(list(matched))))[1:5] AS matched FROM u GROUP BY ALL)
+    SELECT query, row_number() OVER (PARTITION BY query ORDER BY round(score, 1) DESC, m DESC, y DESC, type, id)::INTEGER AS rank, type, id, round(score, 2) AS score, array_to_string(matched, ',') AS matched FROM g JOIN e USING (type, id)
+    QUALIFY row_number() OVER (PARTITION BY query ORDER BY round(score, 1) DESC, m DESC, y DESC, type, id) <= 10
+""")
+def staged_lookup(spark: SparkSession, d: str) -> DataFrame:
+    """Parts' names as aliases of bands and agencies; whole, turned, cut and misread names as queries."""
+    p = table(spark, d, "part")
+    aliases = p.select(F.concat_ws(" ", "p_name", "p_brand").alias("alias"), F.lit("band").alias("type"), (F.col("p_partkey") % 97).alias("id"), F.col("p_size").cast("long").alias("n"))
+    aliases = aliases.union(p.select(F.concat_ws(" ", "p_type", "p_name"), F.lit("agency"), F.col("p_partkey") % 31, F.lit(1).cast("long")))
+    entities = aliases.select("type", "id").distinct().where("id % 13 > 0").withColumn("n_mentions", F.col("id") % 7).withColumn("n_years", F.col("id") % 3)
+    noun = F.split("p_name", " ")[1]
+    asked = p.where("p_partkey % 5 = 0").select(F.col("p_name").alias("query")).union(p.where("p_size < 10").select(F.concat_ws(" ", noun, F.lower("p_type")))).union(p.where("p_size > 45").select("p_brand"))
+    asked = asked.union(p.where("p_size = 7").select(F.concat(F.substring("p_name", 2, 8), F.lit("q")))).union(p.select(F.substring("p_name", 1, 2))).union(spark.createDataFrame([("!",)], "query string"))
+    rows = fulltext.staged_lookup(aliases, asked, entities)
+    return rows.withColumn("matched", F.array_join("matched", ","))
+
+
+# ---- mentions by cues
+
+_TYPES = ("agency", "reserve", "band")
+_CUE_WORDS = (("is|was|isn", "agency"), ("and|or", "reserve"), (r"are|no\\.", "band"))
+
+
+@query(rf"""
+    WITH {texts._MENTIONS}, n AS (SELECT g.surface, x.t AS type, (g.entity_id % 11 + x.k)::VARCHAR AS id, CASE WHEN (g.entity_id + x.k) % 3 = 0 THEN 'src' || (g.entity_id % 4)::VARCHAR END AS context, CASE WHEN (g.entity_id + x.k) % 4 > 0 THEN ['en', 'fr', 'de'][(g.entity_id % 3 + 1)::INTEGER] END AS region
+            FROM g, (VALUES (0, 'agency'), (1, 'reserve'), (2, 'band')) AS x(k, t) WHERE (g.entity_id + x.k) % 5 > 0),
+    s AS (SELECT DISTINCT doc_id, pos, n_tokens, surface FROM m),
+    t AS (SELECT doc_id, strip_accents(lower(text)) AS t, CASE WHEN doc_id % 3 = 0 THEN 'agency_letter' WHEN doc_id % 3 = 1 THEN 'return' END AS kind, CASE WHEN doc_id % 4 > 0 THEN lang END AS region, source AS agency FROM documents),
+    p AS (SELECT s.*, t, kind, region, agency, regexp_split_to_array(t, '[a-z0-9]+') AS gp, regexp_extract_all(t, '[a-z0-9]+') AS w FROM s JOIN t USING (doc_id)),
+    q AS (SELECT *, length(array_to_string(gp[1:pos + 1], '')) + length(array_to_string(w[1:pos], '')) AS a, length(array_to_string(gp[1:pos + n_tokens], '')) + length(array_to_string(w[1:pos + n_tokens], '')) AS b FROM p),
+    c AS (SELECT *, ' ' || substring(t, greatest(a - CASE WHEN n_tokens = 1 THEN 12 ELSE 40 END, 0) + 1, b - greatest(a - CASE WHEN n_tokens = 1 THEN 12 ELSE 40 END, 0) + CASE WHEN n_tokens = 1 THEN 25 ELSE 40 END) AS around FROM q WHERE (a = 0 OR t[a] <> '-') AND t[b + 1] IS DISTINCT FROM '-'),
+    u AS (SELECT *, regexp_extract(around, '[^a-z0-9_](is|was|isn|and|or|are|no\.)(?:[^a-z0-9_]|$)', 1) AS cue FROM c),
+    v AS (SELECT u.*, list_sort(list(DISTINCT {{'type': n.type, 'id': n.id, 'context': n.context, 'region': n.region}})) AS c FROM u JOIN n USING (surface) WHERE n_tokens > 1 OR cue <> '' GROUP BY ALL),
+    nr AS (SELECT *, list_filter(c, lambda x: x.type = 'agency' OR x.region IS NULL OR x.region = region) AS near FROM v),
+    i AS (SELECT *, region IS NOT NULL AND len(near) = 0 AS odd, region IS NOT NULL AND len(near) = 0 AND kind IS NOT DISTINCT FROM 'agency_letter' AS open, CASE WHEN region IS NULL OR len(near) = 0 THEN c ELSE near END AS c1, CASE WHEN cue IN ('is', 'was', 'isn') THEN 'agency' WHEN cue IN ('and', 'or') THEN 'reserve' WHEN cue <> '' THEN 'band' END AS wanted FROM nr),
+    j AS (SELECT *, CASE WHEN open OR wanted IS NULL OR len(list_filter(c1, lambda x: x.type = wanted)) = 0 THEN c1 ELSE list_filter(c1, lambda x: x.type = wanted) END AS c2 FROM i),
+    k AS (SELECT *, list_sort(list_distinct(list_transform(CASE WHEN open OR agency IS NULL OR len(c2) < 2 OR len(list_filter(c2, lambda x: coalesce(x.context = agency, false))) = 0 THEN c2 ELSE list_filter(c2, lambda x: coalesce(x.context = agency, false)) END, lambda x: {{'type': x.type, 'id': x.id}}))) AS c3 FROM j),
+    l AS (SELECT *, len(c3) = 1 AND NOT open AS one, c3[1].type AS ty, CASE WHEN cue <> '' AND n_tokens > 1 THEN 'high' WHEN cue = '' AND kind IS NOT DISTINCT FROM 'return' THEN 'low' ELSE 'medium' END AS l1 FROM k)
+    SELECT doc_id, a::INTEGER AS char_start, b::INTEGER AS char_end, surface, CASE WHEN one THEN ty END AS entity_type, CASE WHEN one THEN c3[1].id END AS entity_id,
+        CASE WHEN NOT one THEN 'residual' WHEN odd AND ty <> 'agency' THEN 'low' WHEN region IS NULL AND ty <> 'agency' THEN CASE WHEN l1 = 'medium' THEN 'low' ELSE 'medium' END ELSE l1 END AS confidence,
+        array_to_string(list_transform(c3, lambda x: x.type || ':' || x.id), '|') AS candidates, CASE WHEN odd AND (open OR ty <> 'agency') THEN 'region mismatch: ' || region ELSE '' END AS note FROM l
+""")
+def cued_mentions(spark: SparkSession, d: str) -> DataFrame:
+    """Mentions of the gazetteer in whole documents, typed by the words around them, the documents' languages as regions and sources as agencies."""
+    docs = table(spark, d, "documents")
+    n = F.col("doc_id")
+    segments = docs.select("doc_id", "text", F.when(n % 3 == 0, "agency_letter").when(n % 3 == 1, "return").alias("kind"), F.when(n % 4 > 0, F.col("lang")).alias("region"), F.col("source").alias("agency"))
+    surfaces = texts.surfaces(spark, d)
+    e, k = F.col("entity_id"), F.col("k")
+    region = F.element_at(F.array(*map(F.lit, ("en", "fr", "de"))), (e % 3 + 1).cast("int"))
+    names = surfaces.select("surface", "entity_id", F.posexplode(F.array(*map(F.lit, _TYPES))).alias("k", "type")).where((e + k) % 5 > 0)
+    names = names.select("surface", "type", (e % 11 + k).alias("id"), F.when((e + k) % 3 == 0, F.concat(F.lit("src"), (e % 4).cast("string"))).alias("context"), F.when((e + k) % 4 > 0, region).alias("region")).withColumnRenamed("id", "entity_id")
+    return cues.decided_mentions(segments, texts._mentions(spark, d).select("doc_id", "pos", "n_tokens", "surface").distinct(), names, _CUE_WORDS)
+
+
+# ---- names that may be one
+
+
+@query("""
+    WITH y AS (SELECT o_custkey AS id, year(o_orderdate) AS year, count(*) AS value FROM orders GROUP BY ALL), s AS (SELECT id, min(year) AS first, max(year) AS last FROM y GROUP BY id),
+    m AS (SELECT c_custkey AS id, CASE WHEN c_custkey % 17 = 0 THEN 'Recapitulation of ' || c_name ELSE c_name END AS name, CASE c_custkey % 6 WHEN 0 THEN '' WHEN 1 THEN lower(c_mktsegment) || ' north' ELSE lower(c_mktsegment) END AS agency, first, last FROM customer JOIN s ON id = c_custkey),
+    p AS (SELECT a.c_custkey AS a, b.c_custkey AS b FROM customer a JOIN customer b ON a.c_nationkey = b.c_nationkey AND b.c_custkey > a.c_custkey AND b.c_custkey <= a.c_custkey + 40),
+    f AS (SELECT p.a, p.b, bool_or(abs(v.value - w.value) >= 1) AS differ FROM p JOIN m x ON x.id = p.a JOIN m z ON z.id = p.b JOIN y v ON v.id = p.a JOIN y w ON w.id = p.b AND w.year = v.year AND v.year BETWEEN greatest(x.first, z.first) AND least(x.last, z.last) GROUP BY ALL),
+    r AS (SELECT p.a, p.b, regexp_matches(x.name, '^Recap') OR regexp_matches(z.name, '^Recap') AS line, x.agency <> '' AND z.agency <> '' AND NOT contains(x.agency, z.agency) AND NOT contains(z.agency, x.agency) AS other, differ FROM p JOIN m x ON x.id = p.a JOIN m z ON z.id = p.b LEFT JOIN f ON f.a = p.a AND f.b = p.b)
+    SELECT a, b, NOT line AND NOT other AND NOT coalesce(differ, false) AS compatible, CASE WHEN line THEN 'province/recap line' WHEN other THEN 'different agencies' WHEN differ THEN 'population differs in a shared year' WHEN differ IS NOT NULL THEN 'identical population in shared years' ELSE 'no conflicting population' END AS note FROM r
+""")
+def overlap_tests(spark: SparkSession, d: str) -> DataFrame:
+    """Customers of a nation with near numbers as identities of one name; their orders of a year are the figures."""
+    c, k = table(spark, d, "customer"), F.col("c_custkey")
+    figures = table(spark, d, "orders").groupBy(F.col("o_custkey").alias("id"), F.year("o_orderdate").alias("year")).agg(F.count("*").alias("value"))
+    spans = figures.groupBy("id").agg(F.min("year").alias("first"), F.max("year").alias("last"))
+    agency = F.when(k % 6 == 0, "").when(k % 6 == 1, F.concat(F.lower("c_mktsegment"), F.lit(" north"))).otherwise(F.lower("c_mktsegment"))
+    members = c.select(k.alias("id"), F.when(k % 17 == 0, F.concat(F.lit("Recapitulation of "), "c_name")).otherwise(F.col("c_name")).alias("name"), agency.alias("agency")).join(spans, "id")
+    a, b = (c.select("c_nationkey", k.alias(x), F.explode(F.array(*[F.floor(k / 40) + i for i in steps])).alias("_block")) for x, steps in (("a", (0, 1)), ("b", (0,))))
+    pairs = a.join(b, ["c_nationkey", "_block"]).where("b > a and b <= a + 40").select("a", "b")
+    return linking.compatible_overlaps(pairs, members, figures)
+
+
+@query("""
+    WITH l AS (SELECT doc_id, lang, source, text, n_chars, doc_id // 2 AS k FROM documents), p AS (SELECT a.lang AS a1, b.lang AS b1, a.source AS a2, b.source AS b2, trim(regexp_replace(lower(strip_accents(coalesce(a.text, '')[1:60])), '[^a-z0-9]+', ' ', 'g')) AS a3, trim(regexp_replace(lower(strip_accents(coalesce(b.text, '')[1:60])), '[^a-z0-9]+', ' ', 'g')) AS b3, a.n_chars AS a4, b.n_chars AS b4 FROM l a JOIN l b ON a.k = b.k AND a.doc_id < b.doc_id),
+    j AS (SELECT *, list_filter(string_split(a3, ' '), lambda x: x <> '') AS x, list_filter(string_split(b3, ' '), lambda x: x <> '') AS y FROM p)
+    SELECT 'lang' AS field, count(*) AS n, count(*) FILTER (a1 = b1) AS equal, count(*) FILTER (a1 = b1) AS near FROM p UNION ALL SELECT 'source', count(*), count(*) FILTER (a2 = b2), count(*) FILTER (a2 = b2) FROM p
+    UNION ALL SELECT 'head', count(*), count(*) FILTER (a3 = b3), count(*) FILTER (a3 = b3 OR (len(x) + len(y) > 0 AND len(list_intersect(x, y))::DOUBLE / len(list_distinct(list_concat(x, y))) >= 0.9)) FROM j
+    UNION ALL SELECT 'n_chars', count(*), count(*) FILTER (a4 = b4), count(*) FILTER (a4 = b4) FROM p
+""")
+def field_agreement_near(spark: SparkSession, d: str) -> DataFrame:
+    """Documents of neighbouring numbers as two extractions of one record: which fields agree, exactly and nearly."""
+    docs = table(spark, d, "documents").select(F.col("doc_id").alias("id"), "lang", "source", F.substring(F.coalesce("text", F.lit("")), 1, 60).alias("head"), "n_chars")
+    key = docs.select("id", F.floor(F.col("id") / 2).alias("k"))
+    pairs = key.select(F.col("id").alias("left_id"), "k").join(key.select(F.col("id").alias("right_id"), "k"), "k").where("left_id < right_id")
+    return linking.field_agreements(pairs, docs, docs, ["lang", "source", "head"], ["n_chars"])

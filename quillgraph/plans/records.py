@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from quillgraph.functions import names as M
 from quillgraph.functions import numbers as U
 from quillgraph.functions import similarity as S
+from quillgraph.functions.similarity import dice
 from quillgraph.functions.text import norm
 from quillgraph.operators import assembly as A
 from quillgraph.operators import fulltext as T
@@ -164,23 +165,27 @@ def area_changes(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(f"""
-    WITH r AS (SELECT p_partkey AS id, p_partkey % 2 AS edition, p_brand AS region, p_partkey % 100 AS page, CASE WHEN p_partkey % 11 > 0 THEN p_size END AS no, CASE WHEN p_partkey % 11 > 0 THEN p_name END AS name, CASE WHEN p_partkey % 11 > 0 THEN p_type END AS band FROM part WHERE p_size > 15),
-    m AS (SELECT p_partkey % 2 AS edition, p_partkey % 100 + p_size % 2 * 10 AS page, p_size AS no, p_name AS name, p_partkey AS entry FROM part WHERE p_size BETWEEN 10 AND 30),
-    g AS (SELECT p_partkey AS entry, p_brand AS region, p_size AS no, p_name AS name, p_type AS band FROM part WHERE p_size <= 40),
-    d AS (SELECT r.id, min(entry) AS e FROM r JOIN m ON r.edition = m.edition AND r.no = m.no AND abs(r.page - m.page) <= 2 WHERE {links._DICE.format('r.name', 'm.name')} >= 0.7 GROUP BY 1),
-    s AS (SELECT r.id, min(entry) AS e, count(*) AS n FROM r JOIN g ON r.region = g.region AND r.no = g.no AND r.name = g.name GROUP BY 1),
-    b AS (SELECT r.id, min(entry) AS e, count(*) AS n FROM r JOIN g ON r.region = g.region AND r.band = g.band WHERE {links._DICE.format('r.name', 'g.name')} >= 0.7 GROUP BY 1),
-    f AS (SELECT r.id, CASE WHEN no IS NULL THEN 0 WHEN d.e IS NOT NULL THEN 1 WHEN s.n = 1 THEN 2 WHEN b.n = 1 THEN 3 ELSE 4 END AS f, d.e AS e1, s.e AS e2, b.e AS e3 FROM r LEFT JOIN d ON d.id = r.id LEFT JOIN s ON s.id = r.id LEFT JOIN b ON b.id = r.id)
-    SELECT id, ['degenerate_row', 'duplicate_emission', 'greedy_steal', 'renumbered_link', 'absence_candidate'][f + 1] AS disposition, ['high', 'high', 'medium', 'medium', 'low'][f + 1] AS confidence, CASE f WHEN 1 THEN e1 WHEN 2 THEN e2 WHEN 3 THEN e3 END AS proposed FROM f
+    WITH r AS (SELECT p_partkey AS id, p_partkey % 2 AS edition, CASE WHEN p_partkey % 3 = 0 THEN 'QC' ELSE p_brand END AS region, p_partkey % 100 AS page, CASE WHEN p_partkey % 11 > 0 THEN p_size::VARCHAR ELSE '' END AS no, CASE WHEN p_partkey % 11 > 0 THEN lower(p_name) ELSE '' END AS name, CASE WHEN p_partkey % 11 > 0 AND p_partkey % 4 > 0 THEN lower(p_type) ELSE '' END AS band, floor(p_retailprice)::VARCHAR AS acres FROM part),
+    m AS (SELECT p_partkey % 2 AS edition, p_partkey % 100 + p_size % 2 * 10 AS page, p_size::VARCHAR AS no, lower(p_name) AS name, p_partkey AS entry FROM part WHERE p_size BETWEEN 10 AND 30),
+    g AS (SELECT p_partkey AS entry, CASE WHEN p_partkey % 5 = 0 THEN 'QC' ELSE p_brand END AS region, (p_size + 1)::VARCHAR AS no, lower(p_name) || CASE WHEN p_partkey % 7 = 0 THEN ' river' ELSE '' END AS name, lower(p_type) AS band, floor(p_retailprice)::VARCHAR AS acres FROM part WHERE p_size <= 40),
+    d AS (SELECT r.id, min(entry) AS e FROM r JOIN m ON r.edition = m.edition AND r.no = m.no AND abs(r.page - m.page) <= 2 WHERE {links._DICE.format('r.name', 'm.name')} >= 0.7 OR (r.name <> '' AND r.name = m.name) GROUP BY 1),
+    s AS (SELECT r.id, min(entry) AS e, count(*) AS n FROM r JOIN g ON r.region = g.region AND r.no = g.no AND r.name = g.name WHERE r.no <> '' AND r.name <> '' GROUP BY 1),
+    b AS (SELECT r.id, min(entry) AS e, count(*) AS n FROM r JOIN g ON r.region = g.region AND r.band <> '' AND (r.band = g.band OR {links._DICE.format('r.band', 'g.band')} >= 0.75) WHERE {links._DICE.format('r.name', 'g.name')} >= 0.6 OR r.acres = g.acres GROUP BY 1),
+    w AS (SELECT r.id, min(entry) AS e, count(*) AS n FROM r JOIN g ON r.region = g.region AND r.region = 'QC' AND r.name <> '' WHERE {links._DICE.format('r.name', 'g.name')} >= 0.7 OR (length(r.name) >= 5 AND contains(g.name, r.name)) OR (length(g.name) >= 5 AND contains(r.name, g.name)) GROUP BY 1),
+    f AS (SELECT r.id, CASE WHEN no || name || band = '' THEN 0 WHEN d.e IS NOT NULL THEN 1 WHEN s.n = 1 THEN 2 WHEN b.n = 1 THEN 3 WHEN w.n = 1 THEN 4 ELSE 5 END AS f, d.e AS e1, s.e AS e2, b.e AS e3, w.e AS e4 FROM r LEFT JOIN d ON d.id = r.id LEFT JOIN s ON s.id = r.id LEFT JOIN b ON b.id = r.id LEFT JOIN w ON w.id = r.id)
+    SELECT id, ['degenerate_row', 'duplicate_emission', 'greedy_steal', 'renumbered_link', 'renumbered_link', 'absence_candidate'][f + 1] AS disposition, ['high', 'high', 'medium', 'medium', 'low', 'low'][f + 1] AS confidence, CASE f WHEN 1 THEN e1 WHEN 2 THEN e2 WHEN 3 THEN e3 WHEN 4 THEN e4 END AS proposed FROM f
 """)
 def leftover_fates(spark: SparkSession, d: str) -> DataFrame:
+    """All parts as rows left over, against matched rows and a registry whose numbers and names drifted; likeness is Dice, which SQL has."""
     p = table(spark, d, "part")
-    known = lambda c: F.when(F.col("p_partkey") % 11 > 0, F.col(c))
-    edition, page = (F.col("p_partkey") % 2).alias("edition"), F.col("p_partkey") % 100
-    rows = p.where("p_size > 15").select(F.col("p_partkey").alias("id"), edition, F.col("p_brand").alias("region"), page.alias("page"), known("p_size").cast("string").alias("no"), known("p_name").alias("name"), known("p_type").alias("band"))
-    matched = p.where("p_size between 10 and 30").select(edition, (page + F.col("p_size") % 2 * 10).alias("page"), F.col("p_size").cast("string").alias("no"), F.col("p_name").alias("name"), F.col("p_partkey").alias("entry"))
-    registry = p.where("p_size <= 40").select(F.col("p_partkey").alias("entry"), F.col("p_brand").alias("region"), F.col("p_size").cast("string").alias("no"), F.col("p_name").alias("name"), F.col("p_type").alias("band"))
-    return G.leftover_fates(rows, matched, registry)
+    k = F.col("p_partkey")
+    known = lambda c, when=k % 11 > 0: F.when(when, F.col(c))
+    edition, page, acres = (k % 2).alias("edition"), k % 100, F.floor("p_retailprice").cast("string").alias("acres")
+    region = lambda n: F.when(k % n == 0, "QC").otherwise(F.col("p_brand")).alias("region")
+    rows = p.select(k.alias("id"), edition, region(3), page.alias("page"), known("p_size").cast("string").alias("no"), known("p_name").alias("name"), known("p_type", (k % 11 > 0) & (k % 4 > 0)).alias("band"), acres)
+    matched = p.where("p_size between 10 and 30").select(edition, (page + F.col("p_size") % 2 * 10).alias("page"), F.col("p_size").cast("string").alias("no"), F.col("p_name").alias("name"), k.alias("entry"))
+    registry = p.where("p_size <= 40").select(k.alias("entry"), region(5), (F.col("p_size") + 1).cast("string").alias("no"), F.concat("p_name", F.when(k % 7 == 0, " river").otherwise("")).alias("name"), F.col("p_type").alias("band"), acres)
+    return G.leftover_fates(rows, matched, registry, like=dice)
 
 
 @query()

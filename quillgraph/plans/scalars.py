@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from quillgraph.functions import numbers as N
 from quillgraph.functions import similarity as S
 from quillgraph.functions import text as X
-from quillgraph.operators import classify
+from quillgraph.operators import classify, gates
 from quillgraph.plans.registry import query, table
 
 _NORM = "trim(regexp_replace(strip_accents(lower({0})), '[^a-z0-9]+', ' ', 'g'))"
@@ -291,13 +291,19 @@ def contains_rules(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "documents").select("doc_id", F.array_join(classify.every_rule(F.lower("text"), _RULES), ",").alias("kinds"))
 
 
-@query(r"""
-    WITH h AS (SELECT page_id, lower(html) AS h FROM pages),
-    n AS (SELECT page_id, len(regexp_extract_all(h, 'the|and|of'))::INTEGER AS c, len(regexp_extract_all(h, 'que|les|des'))::INTEGER AS a, h FROM h)
-    SELECT page_id, CASE WHEN regexp_matches(h, 'lang="en"') THEN 'census' WHEN c > a THEN 'census' WHEN a > c THEN 'agri' ELSE 'unknown' END AS class FROM n
-""")
+_LABELS = ("Number in Band", "Anglican", "Roman Catholic", "Methodist", "Acres sown", "Bushels of Wheat harvested", "Male", "Female", "Live Stock", "Houses", "Name", "Pagan", "Hay", "Births and Deaths", "Under crop", "Remarks", "Census Return.", "Value of Produce")
+
+
+@query(f"""
+    WITH l AS (SELECT p_partkey, list_transform(range(0, 1 + p_size % 5), lambda i: {_LABELS!r}[(p_partkey // 3 * (i + 1) + p_size * i) % {len(_LABELS)} + 1]) AS c, CASE WHEN p_size % 9 = 0 THEN 'Agricultural and Industrial Statistics, acres' WHEN p_size % 9 = 1 THEN 'CENSUS' ELSE p_name END AS t FROM part),
+    x AS (SELECT p_partkey, array_to_string(c, ' | ') || ' ' || t AS h FROM l),
+    n AS (SELECT p_partkey, h, len(list_distinct(regexp_extract_all(lower(h), '{gates.DENOMINATIONS}'))) AS d, len(regexp_extract_all(lower(h), '{gates.CENSUS_LABELS}')) AS c, len(regexp_extract_all(lower(h), '{gates.FARM_LABELS}')) AS a FROM x)
+    SELECT p_partkey, CASE WHEN regexp_matches(lower(h), '{gates.CENSUS_ALONE}') OR d >= 2 THEN 'census' WHEN c = 0 AND a = 0 THEN 'unknown' WHEN c > a THEN 'census' ELSE 'agri' END AS class FROM n
+""".replace(repr(_LABELS), "[" + ", ".join(f"'{x}'" for x in _LABELS) + "]"))
 def header_classify(spark: SparkSession, d: str) -> DataFrame:
-    h = F.lower("html")
-    c, a = F.regexp_count(h, F.lit("the|and|of")), F.regexp_count(h, F.lit("que|les|des"))
-    kind = F.when(h.rlike('lang="en"'), "census").when(c > a, "census").when(a > c, "agri").otherwise("unknown")
-    return table(spark, d, "pages").select("page_id", kind.alias("class"))
+    """Headers of one to five labels and a title, drawn by the part's numbers."""
+    k, size = F.col("p_partkey"), F.col("p_size")
+    labels = F.array(*map(F.lit, _LABELS))
+    columns = F.transform(F.sequence(F.lit(0), size % 5), lambda i: F.element_at(labels, (F.pmod(F.floor(k / 3) * (i + 1) + size * i, F.lit(len(_LABELS))) + 1).cast("int")))
+    title = F.when(size % 9 == 0, "Agricultural and Industrial Statistics, acres").when(size % 9 == 1, "CENSUS").otherwise(F.col("p_name"))
+    return table(spark, d, "part").select("p_partkey", gates.header_class(columns, title).alias("class"))

@@ -93,9 +93,13 @@ _MENTIONS = f"""RECURSIVE {_GAZ}, {_RUNS}, h AS (SELECT doc_id, pos, max(n_token
     m AS (SELECT f.doc_id, f.pos::INTEGER AS pos, f.n_tokens::INTEGER AS n_tokens, r.surface, g.entity_id::BIGINT AS entity_id FROM f JOIN r ON r.doc_id = f.doc_id AND r.pos = f.pos AND r.n_tokens = f.n_tokens JOIN g ON g.surface = r.surface WHERE f.kept)"""
 
 
-def _mentions(spark: SparkSession, d: str) -> DataFrame:
+def surfaces(spark: SparkSession, d: str) -> DataFrame:
     gaz = table(spark, d, "benchmark").groupBy(F.lower(F.regexp_extract("text", "([A-Za-z]+)", 1)).alias("surface")).agg(F.min("item_id").alias("entity_id"))
-    gaz = gaz.union(spark.createDataFrame([("of the", 9001), ("to the", 9002)], "surface string, entity_id long"))
+    return gaz.union(spark.createDataFrame([("of the", 9001), ("to the", 9002)], "surface string, entity_id long"))
+
+
+def _mentions(spark: SparkSession, d: str) -> DataFrame:
+    gaz = surfaces(spark, d)
     return P.mentions(table(spark, d, "documents").select("doc_id", "text"), gaz, 2)
 
 
