@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillgraph.operators import chunks, cues, editions, fulltext, identity, kinds, linking, papers, series, staff
+from quillgraph.operators import chunks, cues, editions, fulltext, hubs, identity, kinds, linking, papers, series, staff
 from quillgraph.plans import texts
 from quillgraph.plans.registry import query, table
 
@@ -321,3 +321,49 @@ def field_agreement_near(spark: SparkSession, d: str) -> DataFrame:
     key = docs.select("id", F.floor(F.col("id") / 2).alias("k"))
     pairs = key.select(F.col("id").alias("left_id"), "k").join(key.select(F.col("id").alias("right_id"), "k"), "k").where("left_id < right_id")
     return linking.field_agreements(pairs, docs, docs, ["lang", "source", "head"], ["n_chars"])
+
+
+# ---- pages of entities
+
+_CONFIDENCE = ("high", "low", "medium")
+
+
+def _hub_tables(spark: SparkSession, d: str) -> dict[str, DataFrame]:
+    o, c = table(spark, d, "orders"), table(spark, d, "customer")
+    year, who = F.year("o_orderdate"), F.col("o_custkey")
+    kind = F.lit("customer")
+    level = F.element_at(F.array(*map(F.lit, _CONFIDENCE)), (F.col("o_orderkey") % 3 + 1).cast("int"))
+    return {
+        "entities": c.where("c_custkey % 4 > 0").select(kind.alias("type"), F.col("c_custkey").alias("id"), F.col("c_name").alias("name"), F.when(F.col("c_custkey") % 2 == 0, F.col("c_mktsegment")).alias("summary")),
+        "aliases": o.select(F.concat(F.lit("name "), (F.col("o_orderkey") % 40).cast("string")).alias("alias"), kind.alias("type"), who.alias("id"), F.lit(1).alias("n")),
+        "edges": o.select(kind.alias("src_type"), who.alias("src_id"), F.col("o_orderstatus").alias("edge"), kind.alias("dst_type"), ((who * 7 + F.col("o_orderkey") % 5) % 50).alias("dst_id"), F.when(F.col("o_orderkey") % 6 > 0, year).alias("year")),
+        "observations": o.select(kind.alias("entity_type"), who.alias("entity_id"), F.col("o_orderpriority").alias("series_id"), year.alias("year")),
+        "mentions": o.select((F.col("o_orderkey") % 30).cast("string").alias("doc_id"), F.concat(F.lit("s"), (F.col("o_orderkey") % 3).cast("string")).alias("segment_id"), year.alias("report_year"), kind.alias("entity_type"), who.alias("entity_id"), level.alias("confidence")),
+    }
+
+
+@query("""
+    WITH e AS (SELECT c_custkey AS id FROM customer WHERE c_custkey % 4 > 0), x AS (SELECT *, year(o_orderdate) AS y, 'customer:' || ((o_custkey * 7 + o_orderkey % 5) % 50)::VARCHAR AS target FROM orders),
+    a AS (SELECT o_custkey AS id, 'names' AS section, 'name ' || (o_orderkey % 40)::VARCHAR AS item, count(*) AS n, '' AS k, '' AS years, 0 AS y FROM x GROUP BY ALL),
+    b AS (SELECT o_custkey AS id, 'relations' AS section, o_orderstatus || ' ' || target AS item, count(DISTINCT CASE WHEN o_orderkey % 6 > 0 THEN y END) AS n, o_orderstatus AS k, list_sort(list(DISTINCT CASE WHEN o_orderkey % 6 > 0 THEN y END) FILTER (o_orderkey % 6 > 0)) AS ys FROM x GROUP BY ALL),
+    c AS (SELECT (o_custkey * 7 + o_orderkey % 5) % 50 AS id, 'referenced' AS section, o_orderstatus || ' customer:' || o_custkey::VARCHAR AS item, count(DISTINCT CASE WHEN o_orderkey % 6 > 0 THEN y END) AS n, o_orderstatus AS k, list_sort(list(DISTINCT CASE WHEN o_orderkey % 6 > 0 THEN y END) FILTER (o_orderkey % 6 > 0)) AS ys FROM x GROUP BY ALL),
+    r AS (SELECT id, section, item, n, k, unnest(ys) AS y FROM (SELECT * FROM b UNION ALL SELECT * FROM c)),
+    g AS (SELECT *, y - row_number() OVER (PARTITION BY id, section, item ORDER BY y) AS island FROM r), i AS (SELECT id, section, item, min(y) AS lo, max(y) AS hi FROM g GROUP BY id, section, item, island),
+    t AS (SELECT id, section, item, string_agg(CASE WHEN lo = hi THEN lo::VARCHAR ELSE lo::VARCHAR || '–' || hi::VARCHAR END, ', ' ORDER BY lo) AS years FROM i GROUP BY ALL),
+    bc AS (SELECT u.id, u.section, u.item, u.n, u.k, coalesce(t.years, '') AS years, 0 AS y FROM (SELECT * FROM b UNION ALL SELECT * FROM c) u LEFT JOIN t USING (id, section, item)),
+    s AS (SELECT o_custkey AS id, 'series' AS section, o_orderpriority AS item, count(*) AS n, '' AS k, min(y)::VARCHAR || '–' || max(y)::VARCHAR AS years, 0 AS y FROM x GROUP BY ALL),
+    m AS (SELECT * FROM x WHERE o_orderkey % 3 <> 1), v AS (SELECT o_custkey AS id, 'years' AS section, y::VARCHAR AS item, count(*) AS n, '' AS k, '' AS years, 0 AS z FROM m GROUP BY o_custkey, y),
+    w AS (SELECT o_custkey AS id, 'segments' AS section, (o_orderkey % 30)::VARCHAR || ' / s' || (o_orderkey % 3)::VARCHAR AS item, count(*) AS n, '' AS k, min(y)::VARCHAR AS years, min(y) AS y FROM m GROUP BY o_custkey, o_orderkey % 30, o_orderkey % 3),
+    z AS (SELECT * FROM a UNION ALL SELECT * FROM bc UNION ALL SELECT * FROM s UNION ALL SELECT * FROM v UNION ALL SELECT * FROM w),
+    q AS (SELECT 'customer' AS type, id, section, row_number() OVER (PARTITION BY id, section ORDER BY k, CASE WHEN section IN ('series', 'years') THEN 0 ELSE -n END, y, item)::INTEGER AS rank, item, n, years FROM z SEMI JOIN e USING (id))
+    SELECT * FROM q WHERE rank <= CASE section WHEN 'names' THEN 25 WHEN 'segments' THEN 15 WHEN 'relations' THEN 200 WHEN 'referenced' THEN 200 ELSE 1000 END
+""")
+def entity_pages(spark: SparkSession, d: str) -> DataFrame:
+    """The page of every customer: names, relations both ways, series and mentions, from their orders."""
+    return hubs.hub_sections(**_hub_tables(spark, d))
+
+
+@query()
+def entity_page_texts(spark: SparkSession, d: str) -> DataFrame:
+    tables = _hub_tables(spark, d)
+    return hubs.hub_texts(tables["entities"], hubs.hub_sections(**tables))
