@@ -179,20 +179,24 @@ def stable_ids(previous: DataFrame, current: DataFrame, name: str, old_id: str,
     return out.join(fresh, new_key, "left").select(new_key, F.coalesce(old_id, "_fresh").alias(old_id), "votes")
 
 
-def non_overlapping(spans: DataFrame, key: str, start: str, end: str) -> DataFrame:
+def non_overlapping(spans: DataFrame, key: str, start: str, end: str, carried: str | None = None) -> DataFrame:
     """Of each key's spans keep the earliest, the longest of those, and drop what overlaps a kept one.
 
     Spans that hang together by overlaps are decided together, in one fold over
-    them; equal ones are one.  Other columns take no part and are dropped.
+    them; equal ones are one.  ``carried`` names a column that stays; of equal spans the least value of it.
+    Other columns take no part and are dropped.
     """
     order = Window.partitionBy(key).orderBy(start, F.desc(end))
     reach = F.max(end).over(order.rowsBetween(Window.unboundedPreceding, -1))
-    rows = spans.select(key, start, end).distinct().withColumn("_new", F.coalesce((F.col(start) >= reach).cast("int"), F.lit(1)))
+    value = F.col(carried) if carried else F.lit(None).cast("string")
+    rows = spans.groupBy(key, start, end).agg(F.min(value).alias("_x")).withColumn("_new", F.coalesce((F.col(start) >= reach).cast("int"), F.lit(1)))
     rows = rows.withColumn("_chain", F.sum("_new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    kinds = dict(spans.dtypes)
+    kinds = dict(rows.dtypes)
+    one = lambda x: F.struct(x["s"].alias("s"), (-x["e"]).cast(kinds[end]).alias("e"), x["x"].alias("x"))
     kept = F.aggregate(
-        F.array_sort(F.collect_list(F.struct(F.col(start).alias("s"), (-F.col(end)).alias("e")))),
-        F.struct(F.lit(None).cast(kinds[end]).alias("last"), F.array().cast(f"array<struct<s:{kinds[start]},e:{kinds[end]}>>").alias("kept")),
-        lambda acc, x: F.when(acc["last"].isNull() | (x["s"] >= acc["last"]), F.struct((-x["e"]).cast(kinds[end]).alias("last"), F.concat(acc["kept"], F.array(F.struct(x["s"].alias("s"), (-x["e"]).cast(kinds[end]).alias("e")))).alias("kept"))).otherwise(acc),
+        F.array_sort(F.collect_list(F.struct(F.col(start).alias("s"), (-F.col(end)).alias("e"), F.col("_x").alias("x")))),
+        F.struct(F.lit(None).cast(kinds[end]).alias("last"), F.array().cast(f"array<struct<s:{kinds[start]},e:{kinds[end]},x:{kinds['_x']}>>").alias("kept")),
+        lambda acc, x: F.when(acc["last"].isNull() | (x["s"] >= acc["last"]), F.struct((-x["e"]).cast(kinds[end]).alias("last"), F.concat(acc["kept"], F.array(one(x))).alias("kept"))).otherwise(acc),
     )
-    return rows.groupBy(key, "_chain").agg(kept["kept"].alias("_kept")).select(key, F.explode("_kept").alias("_k")).select(key, F.col("_k.s").alias(start), F.col("_k.e").alias(end))
+    out = rows.groupBy(key, "_chain").agg(kept["kept"].alias("_kept")).select(key, F.explode("_kept").alias("_k"))
+    return out.select(key, F.col("_k.s").alias(start), F.col("_k.e").alias(end), *([F.col("_k.x").alias(carried)] if carried else []))

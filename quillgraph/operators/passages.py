@@ -64,8 +64,8 @@ def mentions(docs: DataFrame, gazetteer: DataFrame, longest: int) -> DataFrame:
     runs = F.explode(F.array(*[F.struct(F.lit(n + 1).alias("n_tokens"), F.when(F.col(names[n]).isNotNull(), F.concat_ws(" ", *names[: n + 1])).alias("surface")) for n in range(longest)]))
     hits = rows.select("doc_id", "pos", runs.alias("_r")).select("doc_id", "pos", "_r.*").join(surfaces, "surface", "left_semi")
     hits = hits.select("doc_id", F.col("pos").alias("_s"), (F.col("pos") + F.col("n_tokens")).alias("_e"), "surface")
-    kept = non_overlapping(hits, "doc_id", "_s", "_e")
-    return kept.join(hits, ["doc_id", "_s", "_e"]).join(gazetteer, "surface").select("doc_id", F.col("_s").alias("pos"), (F.col("_e") - F.col("_s")).alias("n_tokens"), "surface", "entity_id")
+    kept = non_overlapping(hits, "doc_id", "_s", "_e", "surface")
+    return kept.join(gazetteer, "surface").select("doc_id", F.col("_s").alias("pos"), (F.col("_e") - F.col("_s")).alias("n_tokens"), "surface", "entity_id")
 
 
 def confidence(cue: Column, n_tokens: Column, candidates: Column, in_table: Column, region_known: Column) -> Column:

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quillgraph.functions.names import dateline_region
 from quillgraph.functions.numbers import parse_value
 from quillgraph.functions.text import norm
 from quillgraph.operators.identity import redirect_closure
@@ -60,6 +61,25 @@ def ledger_entries(rows: DataFrame, account: str, label: str, values: str) -> Da
     return rows.select(account, F.explode(F.array(debit, credit)).alias("e")).select(account, "e.*").where("capital is not null or interest is not null")
 
 
+def emitted(observed: DataFrame, entity: str, kind: str, units: DataFrame, papers: DataFrame) -> DataFrame:
+    """``observed`` with ``entity_type`` and ``paper_id``.
+
+    The type is ``kind``, or ``unit`` where the entity is flagged in ``units`` (a column of its name); the paper is that of
+    the observation's ``year`` in ``papers`` (report_year, paper_id), the last by name if a year has several, and empty if it has none.
+    """
+    flagged = units.select(F.col(entity)).where(F.col(entity).isNotNull()).distinct().withColumn("_unit", F.lit(True))
+    printed = papers.where("report_year is not null").groupBy(F.col("report_year").cast("int").alias("year")).agg(F.max("paper_id").alias("paper_id"))
+    rows = observed.join(flagged, entity, "left").join(printed, "year", "left")
+    return rows.withColumn("entity_type", F.when(F.col("_unit"), "unit").otherwise(kind)).withColumn("paper_id", F.coalesce("paper_id", F.lit(""))).drop("_unit")
+
+
+def chain_regions(letters: DataFrame, chain: str, text: str) -> DataFrame:
+    """``chain, region, votes``: the region that most of a chain's letters are dated from; ties to the first by name. Chains without a known one are left out."""
+    votes = letters.select(F.col(chain).alias("chain"), dateline_region(text).alias("region")).where("chain is not null and region is not null").groupBy("chain", "region").agg(F.count("*").alias("votes"))
+    best = votes.groupBy("chain").agg(F.min(F.struct((-F.col("votes")).alias("n"), "region")).alias("_b"))
+    return best.select("chain", "_b.region", (-F.col("_b.n")).alias("votes"))
+
+
 #: Pages of a block in which points and segments of a year meet.
 PAGE_BLOCK = 32
 

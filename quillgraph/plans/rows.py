@@ -220,6 +220,40 @@ def observations(spark: SparkSession, d: str) -> DataFrame:
     return O.observations(O.unpivoted(_printed(spark, d), "columns", "values"), "l_suppkey", "year", _RULES, "^note$")
 
 
+@query(f"""
+    WITH {_CELLS}, s AS (SELECT *, {_SERIES} AS series FROM c), o AS (SELECT l_suppkey, year, series, replace(cell, ',', '')::DOUBLE AS value FROM s WHERE series <> 'ignored' AND cell IS NOT NULL),
+    u AS (SELECT s_suppkey FROM supplier WHERE s_nationkey % 3 = 0), p AS (SELECT year(o_orderdate) AS year, max('paper ' || (o_custkey % 30)::VARCHAR) AS paper_id FROM orders WHERE o_orderkey % 5 = 0 AND year(o_orderdate) % 4 > 0 GROUP BY 1)
+    SELECT l_suppkey, o.year, series, value, CASE WHEN s_suppkey IS NULL THEN 'band' ELSE 'unit' END AS entity_type, coalesce(paper_id, '') AS paper_id FROM o LEFT JOIN u ON s_suppkey = l_suppkey LEFT JOIN p ON p.year = o.year
+""")
+def emitted_observations(spark: SparkSession, d: str) -> DataFrame:
+    """Observations with the type of their entity, suppliers of some nations being units, and the paper of their year."""
+    found = O.observations(O.unpivoted(_printed(spark, d), "columns", "values"), "l_suppkey", "year", _RULES, "^note$")
+    units = table(spark, d, "supplier").where("s_nationkey % 3 = 0").select(F.col("s_suppkey").alias("l_suppkey"))
+    year = F.year("o_orderdate")
+    papers = table(spark, d, "orders").where((F.col("o_orderkey") % 5 == 0) & (year % 4 > 0)).select(year.alias("report_year"), F.concat(F.lit("paper "), (F.col("o_custkey") % 30).cast("string")).alias("paper_id"))
+    return O.emitted(found, "l_suppkey", "band", units, papers).select("l_suppkey", "year", "series", "value", "entity_type", "paper_id")
+
+
+_DATES = ("Sarnia, Ont., 3rd July", "P.Q. office", "Truro, N.S.", "St. John, N. B.", "Souris, P.E.I.", "Winnipeg, Manitoba", "Regina, N.W.T", "Hope, B.C.", "Y.T", "no place", "Battleford, Sask. and Ontario")
+
+
+@query(r"""
+    WITH t AS (SELECT doc_id, source, [{dates}][(doc_id * 7 + n_chars) % {n} + 1] || ' ' || coalesce(text, '') AS text FROM documents),
+    w AS (SELECT doc_id, source, unnest(regexp_extract_all(upper(text[1:500]), '(?:^|[^A-Z0-9_])(ONT|ONTARIO|QUE|QUEBEC|P\.? ?Q|N\.? ?S|NOVA SCOTIA|N\.? ?B|NEW BRUNSWICK|P\.? ?E\.? ?I|MAN|MANITOBA|N\.? ?-? ?W\.? ?T|NORTH-?WEST TERRITOR(?:Y|IES)|B\.? ?C|BRITISH COLUMBIA|ALTA|ALBERTA|SASK|SASKATCHEWAN|ASSA|ASSINIBOIA|YUKON|Y\.? ?T)(?:\b)', 1)) AS w, generate_subscripts(regexp_extract_all(upper(text[1:500]), '(?:^|[^A-Z0-9_])(ONT|ONTARIO|QUE|QUEBEC|P\.? ?Q|N\.? ?S|NOVA SCOTIA|N\.? ?B|NEW BRUNSWICK|P\.? ?E\.? ?I|MAN|MANITOBA|N\.? ?-? ?W\.? ?T|NORTH-?WEST TERRITOR(?:Y|IES)|B\.? ?C|BRITISH COLUMBIA|ALTA|ALBERTA|SASK|SASKATCHEWAN|ASSA|ASSINIBOIA|YUKON|Y\.? ?T)(?:\b)', 1), 1) AS k FROM t),
+    r AS (SELECT doc_id, source, k, trim(regexp_replace(w, '[^A-Z ]', '', 'g')) AS w FROM w),
+    m AS (SELECT doc_id, source, k, CASE WHEN w LIKE 'ONT%' THEN 'ON' WHEN regexp_matches(w, '^QUE|^P ?Q') THEN 'QC' WHEN regexp_matches(w, '^N ?S|^NOVA') THEN 'NS' WHEN regexp_matches(w, '^N ?B|^NEW') THEN 'NB' WHEN regexp_matches(w, '^P ?E') THEN 'PE' WHEN regexp_matches(w, '^MAN|^N ?W ?T|^NORTH|^ALTA|^ALBERTA|^SASK|^ASSA') THEN 'PR' WHEN regexp_matches(w, '^B ?C|^BRITISH') THEN 'BC' WHEN w LIKE 'Y%' THEN 'YT' END AS region FROM r),
+    f AS (SELECT doc_id, any_value(source) AS source, arg_min(region, k) AS region FROM m WHERE region IS NOT NULL GROUP BY doc_id),
+    v AS (SELECT source AS chain, region, count(*) AS votes FROM f WHERE source IS NOT NULL GROUP BY ALL)
+    SELECT chain, region, votes FROM v QUALIFY row_number() OVER (PARTITION BY chain ORDER BY votes DESC, region) = 1
+""".replace("{dates}", ", ".join(f"'{x}'" for x in _DATES)).replace("{n}", str(len(_DATES))))
+def chain_regions(spark: SparkSession, d: str) -> DataFrame:
+    """The region that most documents of a source are dated from; the dates stand before their texts."""
+    dates = F.array(*map(F.lit, _DATES))
+    date = F.element_at(dates, (F.pmod(F.col("doc_id") * 7 + F.col("n_chars"), F.lit(len(_DATES))) + 1).cast("int"))
+    letters = table(spark, d, "documents").select("source", F.concat(date, F.lit(" "), F.coalesce("text", F.lit(""))).alias("text"))
+    return O.chain_regions(letters, "source", "text")
+
+
 @query(f"WITH {_CELLS}, s AS (SELECT *, {_SERIES} AS series FROM c) SELECT label, count(*) AS n, min(year) AS first_year, max(year) AS last_year FROM s WHERE series IS NULL GROUP BY label")
 def unmapped_labels(spark: SparkSession, d: str) -> DataFrame:
     rows = O.unpivoted(_printed(spark, d), "columns", "values")

@@ -5,7 +5,8 @@ from difflib import SequenceMatcher
 import pytest
 from pyspark.sql import functions as F
 
-from quillgraph.operators import cues, fulltext, linking, passages
+from quillgraph.functions import names as M
+from quillgraph.operators import cues, fulltext, hubs, linking, passages, series
 from quillgraph.operators import gates as G
 
 
@@ -120,3 +121,39 @@ def test_overlaps_and_agreements(spark):
     other = spark.createDataFrame([(11, "A b-c d e f g h i j!", 1.001), (12, "", None), (13, "y", None)], "id int, t string, v double")
     matched = spark.createDataFrame([(1, 11), (2, 12), (3, 13)], "left_id int, right_id int")
     assert rows(linking.field_agreements(matched, ours, other, ["t"], ["v"])) == [("t", 3, 2, 2), ("v", 3, 2, 2)]
+
+
+@pytest.mark.parametrize(
+    ("text", "region"),
+    [("PARRY SOUND, ONT., 14th September", "ON"), ("Fort, N.-W.T., and B.C.", "PR"), ("Montreal, P.Q.", "QC"), ("Hope, British Columbia", "BC"), ("Montane and Ontology", None), ("x" * 498 + " Ont.", None), ("x " * 200 + "Alta", "PR"), ("", None), (None, None)],
+)
+def test_regions_of_datelines(spark, text, region):
+    assert spark.createDataFrame([(text,)], "t string").select(M.dateline_region("t").alias("r")).first().r == region
+
+
+def test_regions_of_chains(spark):
+    letters = spark.createDataFrame([("c", "Ont."), ("c", "Que."), ("c", "Quebec"), ("d", "N.B."), ("d", "Ont."), ("e", "none"), (None, "Ont."), ("f", None)], "c string, t string")
+    assert rows(series.chain_regions(letters, "c", "t")) == [("c", "QC", 2), ("d", "NB", 1)]
+
+
+def test_emitted_observations(spark):
+    seen = spark.createDataFrame([("b1", 1890, 1.0), ("b2", 1891, 2.0), (None, None, 3.0)], "id string, year int, value double")
+    units = spark.createDataFrame([("b2",), ("b2",), (None,)], "id string")
+    papers = spark.createDataFrame([(1890.0, "p18"), (1890.0, "p19"), (None, "p20")], "report_year double, paper_id string")
+    assert rows(series.emitted(seen, "id", "band", units, papers), "id", "value", "entity_type", "paper_id") == [("b1", 1.0, "band", "p19"), ("b2", 2.0, "unit", ""), (None, 3.0, "band", "")]
+
+
+def test_pages_of_entities(spark):
+    """Sections in order, ties by name, runs of years, at most 25 names; unknown entities have no lines."""
+    one = "type string, id string"
+    entities = spark.createDataFrame([("band", "b", "Piapot", "a band"), ("band", "c", None, " ")], f"{one}, name string, summary string")
+    aliases = spark.createDataFrame([(f"n{i:02d}", "band", "b", 1) for i in range(30)] + [("big", "band", "b", 9), (None, "band", "b", 99), ("x", "band", "zz", 1)], f"alias string, {one}, n int")
+    edges = spark.createDataFrame([("band", "b", "IN", "agency", "a", y) for y in (1890, 1891, 1894, None)] + [("agency", "a", "HAS", "band", "b", None)], "src_type string, src_id string, edge string, dst_type string, dst_id string, year int")
+    observed = spark.createDataFrame([("band", "b", "pop", 1890), ("band", "b", "pop", 1899)], "entity_type string, entity_id string, series_id string, year int")
+    seen = spark.createDataFrame([("d", "s1", 1890, "band", "b", "high"), ("d", "s2", 1890, "band", "b", "medium"), ("d", "s2", 1890, "band", "b", "medium"), ("d", "s3", 1890, "band", "b", "low")], "doc_id string, segment_id string, report_year int, entity_type string, entity_id string, confidence string")
+    got = hubs.hub_sections(entities, aliases, edges, observed, seen)
+    assert got.where("section = 'names'").count() == 25
+    kept = rows(got.where("section <> 'names' or rank <= 2"), "section", "rank", "item", "n", "years")
+    assert kept == sorted([("names", 1, "big", 9, ""), ("names", 2, "n00", 1, ""), ("relations", 1, "IN agency:a", 3, "1890–1891, 1894"), ("referenced", 1, "HAS agency:a", 0, ""), ("series", 1, "pop", 2, "1890–1899"), ("years", 1, "1890", 3, ""), ("segments", 1, "d / s2", 2, "1890"), ("segments", 2, "d / s1", 1, "1890")], key=str)
+    pages = {r.id: r.text for r in hubs.hub_texts(entities, got.where("section <> 'names'")).collect()}
+    assert pages["c"] == "# c" and pages["b"].startswith("# Piapot\n\na band\n\n## relations\n- IN agency:a (3; 1890–1891, 1894)\n\n## referenced")
