@@ -34,6 +34,8 @@ MOST_WORDS, LEAST, SHARDS = 5, 100, 3
 FILTER_BITS = (20, 28)
 #: Phrases that a task gathers before it sums and gives them out.
 CHUNK = 2_000_000
+#: Bytes of text that a task of the last pass reads, about: each gives a row for every frequent phrase that it meets.
+TASK_BYTES = 64 << 20
 #: First parts of the ranking of a language, so that no language is sorted in one task.
 RANK_PARTS = 64
 _ROOT = np.uint64(0x9E3779B97F4A7C15)
@@ -246,7 +248,7 @@ def _by_words(texts: DataFrame, known: HashSet, most: int) -> DataFrame:
                         seen[key, second] = [langs[pieces.owner[first]], n, pieces.text(first, n), n_times]
                     else:
                         had[3] += n_times
-            if len(seen) > CHUNK // 10:
+            if len(seen) > CHUNK // 5:
                 yield from flush()
         yield from flush()
 
@@ -294,7 +296,8 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, most: int = MOST_WORDS
         n_reached.append(int(np.bitwise_count(sets[-1].words).sum()))
         if turn >= shards:
             sets[turn - shards] = sets[0]  # not asked for again
-    found = _by_words(texts, sets[-1], most).groupBy("lang", "size", "phrase").agg(F.sum("n").alias("n"))
+    tasks = max(spark.sparkContext.defaultParallelism, -(-size // TASK_BYTES))
+    found = _by_words(texts.coalesce(tasks), sets[-1], most).groupBy("lang", "size", "phrase").agg(F.sum("n").alias("n"))
     out = stored(found.where((F.col("size") == 0) | (F.col("n") >= least)), "phrases")
     for place in [path, *[p for _, p in counts]]:
         discarded(spark, place)
