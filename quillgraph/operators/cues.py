@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import itertools
+import re
 from collections.abc import Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
 from quillgraph.functions.text import fold
 from quillgraph.operators.lineage import cut
@@ -36,24 +40,31 @@ def placed(docs: DataFrame, spans: DataFrame, text: str = "text") -> DataFrame:
     ``spans``: doc_id, pos (of the first word), n_tokens, surface, as ``mentions`` gives them.  ``left`` and ``right`` are the
     characters next to a span, ``window`` the folded text around it, narrower for one word.  A text is cut into words once for all its spans.
     """
-    word = "[a-z0-9]+"
     listed = spans.groupBy("doc_id").agg(F.collect_set(F.struct("pos", "n_tokens", "surface")).alias("_s"))
-    rows = docs.select("doc_id", fold(text).alias("_t")).join(listed, "doc_id").withColumn("_w", F.regexp_extract_all("_t", F.lit(f"({word})"), 1)).withColumn("_g", F.split("_t", word))
-    size = lambda items, n: F.length(F.array_join(F.slice(items, 1, n), ""))
-    start = lambda s: size(F.col("_g"), s["pos"] + 1) + size(F.col("_w"), s["pos"])
-    end = lambda s: size(F.col("_g"), s["pos"] + s["n_tokens"]) + size(F.col("_w"), s["pos"] + s["n_tokens"])
-    found = F.transform("_s", lambda s: F.struct(s["pos"].alias("pos"), s["n_tokens"].alias("n_tokens"), s["surface"].alias("surface"), start(s).alias("char_start"), end(s).alias("char_end")))
-    rows = rows.select("doc_id", F.explode(F.transform(found, lambda s: F.struct(s.alias("s"), _around(s).alias("a")))).alias("_f"))
-    return rows.select("doc_id", "_f.s.*", "_f.a.*")
-
-
-def _around(s: Column) -> Column:
-    one = s["n_tokens"] == 1
-    before, after = (F.when(one, F.lit(a)).otherwise(F.lit(b)) for a, b in zip(NEAR, FAR, strict=True))
-    low = F.greatest(s["char_start"] - before, F.lit(0))
-    piece = lambda at, n: F.substr("_t", at + 1, n)
-    left = F.when(s["char_start"] > 0, piece(s["char_start"] - 1, F.lit(1))).otherwise("")
-    return F.struct(left.alias("left"), piece(s["char_end"], F.lit(1)).alias("right"), piece(low, s["char_end"] - low + after).alias("window"))
+    rows = docs.select("doc_id", fold(text).alias("_t")).join(listed, "doc_id")
+    rows = rows.select("doc_id", "_s", _surroundings("_t", F.transform("_s", lambda s: s["pos"].cast("int")), F.transform("_s", lambda s: s["n_tokens"].cast("int"))).alias("_p"))
+    return rows.select("doc_id", F.explode(F.arrays_zip("_s", "_p")).alias("_f")).select("doc_id", "_f._s.*", "_f._p.*")
+
+
+_WORD = re.compile("[a-z0-9]+")
+_PLACE = StructType([StructField(n, t) for n, t in (("char_start", IntegerType()), ("char_end", IntegerType()), ("left", StringType()), ("right", StringType()), ("window", StringType()))])
+
+
+@F.pandas_udf(ArrayType(_PLACE))
+def _surroundings(text: pd.Series, first: pd.Series, count: pd.Series) -> pd.Series:
+    """Where runs of words stand in folded texts, and what is around them; Spark has no expression for the places of matches."""
+
+    def one(t: str, pos, n) -> list[dict[str, object]]:
+        last = max(p + k for p, k in zip(pos, n, strict=True))
+        at = [m.span() for m in itertools.islice(_WORD.finditer(t), int(last))]
+        out = []
+        for p, k in zip(pos, n, strict=True):
+            a, b = at[p][0], at[p + k - 1][1]
+            before, after = NEAR if k == 1 else FAR
+            out.append({"char_start": a, "char_end": b, "left": t[a - 1 : a] if a else "", "right": t[b : b + 1], "window": t[max(0, a - before) : b + after]})
+        return out
+
+    return pd.Series([one(t, p, n) for t, p, n in zip(text, first, count, strict=True)])
 
 
 def decided_mentions(docs: DataFrame, spans: DataFrame, names: DataFrame, cues: Sequence[tuple[str, str]] = CUES, text: str = "text") -> DataFrame:

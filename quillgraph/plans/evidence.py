@@ -250,7 +250,7 @@ def staged_lookup(spark: SparkSession, d: str) -> DataFrame:
 # ---- mentions by cues
 
 _TYPES = ("agency", "reserve", "band")
-_CUE_WORDS = (("is|was|isn", "agency"), ("and|or", "reserve"), (r"are|no\\.", "band"))
+_CUE_WORDS = (("is|was|isn", "agency"), ("and|or", "reserve"), (r"are|no\.", "band"))
 
 
 @query(rf"""

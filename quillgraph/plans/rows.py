@@ -239,7 +239,7 @@ _DATES = ("Sarnia, Ont., 3rd July", "P.Q. office", "Truro, N.S.", "St. John, N.
 
 @query(r"""
     WITH t AS (SELECT doc_id, source, [{dates}][(doc_id * 7 + n_chars) % {n} + 1] || ' ' || coalesce(text, '') AS text FROM documents),
-    w AS (SELECT doc_id, source, unnest(regexp_extract_all(upper(text[1:500]), '(?:^|[^A-Z0-9_])(ONT|ONTARIO|QUE|QUEBEC|P\.? ?Q|N\.? ?S|NOVA SCOTIA|N\.? ?B|NEW BRUNSWICK|P\.? ?E\.? ?I|MAN|MANITOBA|N\.? ?-? ?W\.? ?T|NORTH-?WEST TERRITOR(?:Y|IES)|B\.? ?C|BRITISH COLUMBIA|ALTA|ALBERTA|SASK|SASKATCHEWAN|ASSA|ASSINIBOIA|YUKON|Y\.? ?T)(?:\b)', 1)) AS w, generate_subscripts(regexp_extract_all(upper(text[1:500]), '(?:^|[^A-Z0-9_])(ONT|ONTARIO|QUE|QUEBEC|P\.? ?Q|N\.? ?S|NOVA SCOTIA|N\.? ?B|NEW BRUNSWICK|P\.? ?E\.? ?I|MAN|MANITOBA|N\.? ?-? ?W\.? ?T|NORTH-?WEST TERRITOR(?:Y|IES)|B\.? ?C|BRITISH COLUMBIA|ALTA|ALBERTA|SASK|SASKATCHEWAN|ASSA|ASSINIBOIA|YUKON|Y\.? ?T)(?:\b)', 1), 1) AS k FROM t),
+    w AS (SELECT doc_id, source, unnest(regexp_extract_all(upper(text[1:500]), '(?:^|[^\p{L}\p{N}_])(ONT|ONTARIO|QUE|QUEBEC|P\.? ?Q|N\.? ?S|NOVA SCOTIA|N\.? ?B|NEW BRUNSWICK|P\.? ?E\.? ?I|MAN|MANITOBA|N\.? ?-? ?W\.? ?T|NORTH-?WEST TERRITOR(?:Y|IES)|B\.? ?C|BRITISH COLUMBIA|ALTA|ALBERTA|SASK|SASKATCHEWAN|ASSA|ASSINIBOIA|YUKON|Y\.? ?T)(?:[^\p{L}\p{N}_]|$)', 1)) AS w, generate_subscripts(regexp_extract_all(upper(text[1:500]), '(?:^|[^\p{L}\p{N}_])(ONT|ONTARIO|QUE|QUEBEC|P\.? ?Q|N\.? ?S|NOVA SCOTIA|N\.? ?B|NEW BRUNSWICK|P\.? ?E\.? ?I|MAN|MANITOBA|N\.? ?-? ?W\.? ?T|NORTH-?WEST TERRITOR(?:Y|IES)|B\.? ?C|BRITISH COLUMBIA|ALTA|ALBERTA|SASK|SASKATCHEWAN|ASSA|ASSINIBOIA|YUKON|Y\.? ?T)(?:[^\p{L}\p{N}_]|$)', 1), 1) AS k FROM t),
     r AS (SELECT doc_id, source, k, trim(regexp_replace(w, '[^A-Z ]', '', 'g')) AS w FROM w),
     m AS (SELECT doc_id, source, k, CASE WHEN w LIKE 'ONT%' THEN 'ON' WHEN regexp_matches(w, '^QUE|^P ?Q') THEN 'QC' WHEN regexp_matches(w, '^N ?S|^NOVA') THEN 'NS' WHEN regexp_matches(w, '^N ?B|^NEW') THEN 'NB' WHEN regexp_matches(w, '^P ?E') THEN 'PE' WHEN regexp_matches(w, '^MAN|^N ?W ?T|^NORTH|^ALTA|^ALBERTA|^SASK|^ASSA') THEN 'PR' WHEN regexp_matches(w, '^B ?C|^BRITISH') THEN 'BC' WHEN w LIKE 'Y%' THEN 'YT' END AS region FROM r),
     f AS (SELECT doc_id, any_value(source) AS source, arg_min(region, k) AS region FROM m WHERE region IS NOT NULL GROUP BY doc_id),
