@@ -231,3 +231,21 @@ def test_pages(spark):
 
 def test_fingerprint_seed():
     assert simhash.fingerprint("x") == xxhash.xxh64_intdigest(b"x", 42)
+
+
+def test_pipeline_of_odd_tables(spark, tmp_path):
+    """The whole of run() over null and empty texts and ids, repeated rows, a very long text and extra columns; and over empty tables."""
+    import corpus_pipeline
+
+    words = lambda seed, n: " ".join(f"w{(seed * 7919 + i * i * 31 + i) % 1000003}" for i in range(n))
+    said = [(1, words(1, 80), "en"), (1, words(1, 80), "en"), (None, words(2, 90), None), (3, None, "en"), (4, "", None), (5, words(5, 30_000), "fr"), (6, words(6, 70) + " mail a.b@c.org", "fr"), (7, words(1, 80) + " x", "en"), (8, " \t\n", "en"), (6, words(9, 75), "de")]
+    docs = spark.createDataFrame([(i, t, x, "s", None, "more", 1) for i, t, x in said], "doc_id long, text string, lang string, source string, n_chars long, fp string, root int")
+    labels = spark.createDataFrame([(1, 1, 0), (5, 1, 0), (99, 0, 1), (None, 1, 0)], "doc_id long, quality int, toxic int")
+    for name, d, x in (("odd", docs, labels), ("none", docs.limit(0), labels.limit(0))):
+        d.write.parquet(str(tmp_path / name / "documents.parquet"))
+        x.write.parquet(str(tmp_path / name / "labels.parquet"))
+    got = corpus_pipeline.run(spark, str(tmp_path / "odd")).collect()
+    kept = {r.doc_id for r in got}
+    assert kept <= {1, None, 5, 6, 7} and {None, 5, 6} <= kept  # empty and wordless texts fall; one of the near copies stays
+    assert len({1, 7} & kept) == 1 and all(r.length > 0 for r in got)
+    assert corpus_pipeline.run(spark, str(tmp_path / "none")).count() == 0
