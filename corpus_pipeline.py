@@ -3,6 +3,10 @@
 Each stage takes (spark, docs, sf_dir), works on every document that the one
 before kept, and returns a DataFrame, which is written as Parquet and read again
 for the next.  All but the last return the columns of documents.
+
+In every stage a null text counts as one without words, a null ``doc_id`` is an id
+like any other but never the smallest, extra columns are dropped, repeated rows
+are rows of their own, and an empty table gives an empty one with the same columns.
 """
 
 from __future__ import annotations
@@ -17,27 +21,42 @@ DOCUMENTS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the base rules and the calibrated ones keep."""
+    """Documents that the base rules and the calibrated ones keep.
+
+    Null and empty texts fall by the base rules; ties at a threshold stay.
+    """
     return quality.accepted(docs.select(DOCUMENTS), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of near duplicates: that of the smallest ``doc_id``."""
+    """One document of each component of near duplicates: that of the smallest ``doc_id``.
+
+    Ids that several texts share are told apart by a hash of the text; texts without words are one component.
+    """
     return simhash.representatives(docs.select(DOCUMENTS))
 
 
 def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the words of repeated passages; ``n_chars`` follows."""
+    """Texts without the words of repeated passages; ``n_chars`` follows.
+
+    The first place by ``doc_id`` (nulls first) and then position stays; a text that loses every word becomes empty, and its row stays.
+    """
     return recounted(substring.without_repeats(docs.select(DOCUMENTS)))
 
 
 def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts with personal data and disclosing terms generalised; ``n_chars`` follows."""
+    """Texts with personal data and disclosing terms generalised; ``n_chars`` follows.
+
+    No row goes, and null texts stay null.
+    """
     return recounted(pii.sanitised(docs.select(DOCUMENTS)))
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """A row for each piece of a sequence, with its token ids."""
+    """A row for each piece of a sequence, with its token ids.
+
+    Every row gives one piece at least, as a text without words still has the end id.
+    """
     return packing.packed(docs, public_tokenizers.path("byte_bpe_50k.json"), with_ids=True)
 
 
