@@ -19,8 +19,8 @@ NAMES = [
     ("pete", "band", "B2", None, None), ("stony", "band", "B3", None, "AB"), ("stony", "band", "B4", "Hobbema", "AB"),
 ]
 SEGMENTS = [
-    (1, "Alexander reserve and then the farmer Alexander Logan.", "agency_letter", "AB", None),  # the second has no cue close by
-    (2, "Pete-qua-quay band, but Pete's band.", "agency_letter", "SK", None),  # inside a hyphenated name, and right after a letter's apostrophe
+    (1, "Alexander reserve and then the farmer Alexander Moss.", "agency_letter", "AB", None),  # the second has no cue close by
+    (2, "Pete-mok-anak band, but Pete's band.", "agency_letter", "SK", None),  # inside a hyphenated name, and right after a letter's apostrophe
     (3, "The Alexander band went.", "agency_letter", "SK", None),  # from another region, in a letter
     (4, "The Alexander band went.", "return", "SK", None),  # the same in a table
     (5, "at Duck Lake we met", "tabular_statement", "SK", None), (6, "at Duck Lake agency we met", "letter", None, None), (7, "Duck Lake, reserve", "letter", None, None),
@@ -99,10 +99,10 @@ def test_leftover_rows(spark):
     import random
 
     rng = random.Random(2)
-    one = lambda: {"region": rng.choice(["NS", "BC", "QC"]), "no": rng.choice(["1", "2", "3", "4", None]), "name": rng.choice(["medway", "port medway river", "oak", "oak hill", "hill oak", "ash", None]), "band": rng.choice(["cree", "crees", "micmac", None]), "acres": rng.choice(["10", "10 00", "57.42", None])}
+    one = lambda: {"region": rng.choice(["NS", "BC", "QC"]), "no": rng.choice(["1", "2", "3", "4", None]), "name": rng.choice(["orwell", "port orwell river", "oak", "oak hill", "hill oak", "ash", None]), "band": rng.choice(["cree", "crees", "micmac", None]), "acres": rng.choice(["10", "10 00", "57.42", None])}
     left = [{"id": i, "edition": rng.choice([1, 2]), "page": rng.choice([1, 2, 5, 9, None]), **one()} for i in range(150)]
     left.append({"id": 150, "edition": 1, "page": 1, **one(), "no": None, "name": None, "band": None})
-    matched = [{"edition": rng.choice([1, 2]), "page": rng.randrange(12), "no": rng.choice(["1", "2", "7", None]), "name": rng.choice(["oak", "oak hill", "medway", None]), "entry": 100 + i} for i in range(12)]
+    matched = [{"edition": rng.choice([1, 2]), "page": rng.randrange(12), "no": rng.choice(["1", "2", "7", None]), "name": rng.choice(["oak", "oak hill", "orwell", None]), "entry": 100 + i} for i in range(12)]
     registry = [{"entry": i, **one()} for i in range(14)]
     frames = [spark.createDataFrame(x, s) for x, s in ((left, "id long, edition int, page int, region string, no string, name string, band string, acres string"), (matched, "edition int, page int, no string, name string, entry long"), (registry, "entry long, region string, no string, name string, band string, acres string"))]
     want = plain_fates(left, matched, registry)
