@@ -372,3 +372,21 @@ def test_addresses(spark):
     assert got == [("a", "d / table"), ("a", "d / table"), ("b", "d / table"), ("c", None), ("d", None), ("e", None), ("f", None)]
     redirects = spark.createDataFrame([("b", "a"), ("c", "b"), ("x", "y"), ("y", "x")], "id string, target string")
     assert rows(series.canonical_points(points.select("id").distinct(), redirects, "id"), "id", "canonical") == [("a", "a"), ("b", "a"), ("c", "a"), ("d", "d"), ("e", "e"), ("f", "f")]
+
+
+# ---- queries that SQL can't express, row by row
+
+
+def test_ratcliff_of_all_pairs(spark, small):
+    from quillgraph import catalog
+
+    got = catalog.queries()["sim_ratcliff"](spark, small).select("a", "b", "score").distinct().collect()
+    assert len(got) > 100 and all(r.score == round(SequenceMatcher(None, r.a, r.b).ratio(), 6) for r in got)
+
+
+def test_objects_of_cut_replies(spark, small):
+    """Two whole objects in every reply, the cut third one left out."""
+    from quillgraph import catalog
+
+    got = catalog.queries()["salvage_json"](spark, small).collect()
+    assert {r.n for r in got} == {2} and len(got) == spark.read.parquet(f"{small}/events.parquet").count()
