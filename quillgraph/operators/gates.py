@@ -7,7 +7,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quillgraph.functions.numbers import acres_close_text
+from quillgraph.functions.numbers import acres_close_text, acres_of
 from quillgraph.functions.text import norm
 from quillgraph.operators.editions import likeness
 from quillgraph.operators.lineage import cut
@@ -107,22 +107,35 @@ def leftover_fates(rows: DataFrame, matched: DataFrame, registry: DataFrame, lik
     r = cut(rows.select(*folded("id", "edition", "region", "page", "acres"), norm(F.coalesce("band", F.lit(""))).alias("band")))
     m = matched.select(*folded("edition", "page", "entry"))
     g = cut(registry.select(*folded("entry", "region", "acres"), norm(F.coalesce("band", F.lit(""))).alias("band")))
+    # what rows and entries print alike is compared once, and counted for all that print it
+    entries = lambda *by: g.groupBy(*by).agg(F.min("entry").alias("_e"), F.count("*").alias("_c"))
+    found = lambda t, by, entry, n: t.groupBy(*by).agg(F.min("_e").alias(entry), F.sum("_c").alias(n))
     # pages at most two apart are in the same block of three or in neighbouring ones
-    at = r.select("id", "edition", "no", "name", "page", F.explode(F.transform(F.array(F.lit(-1), F.lit(0), F.lit(1)), lambda i: F.floor(F.col("page") / 3) + i)).alias("_b"))
-    near = at.alias("r").join(m.withColumn("_b", F.floor(F.col("page") / 3)).alias("m"), ["edition", "no", "_b"]).where(F.abs(F.col("r.page") - F.col("m.page")) <= 2)
+    line = ["edition", "no", "name", "page"]
+    at = r.select(*line).distinct().withColumn("_b", F.explode(F.transform(F.array(F.lit(-1), F.lit(0), F.lit(1)), lambda i: F.floor(F.col("page") / 3) + i)))
+    m = m.groupBy(*line).agg(F.min("entry").alias("entry")).withColumn("_b", F.floor(F.col("page") / 3))
+    near = at.alias("r").join(m.alias("m"), ["edition", "no", "_b"]).where(F.abs(F.col("r.page") - F.col("m.page")) <= 2)
     near = near.where((like(F.col("r.name"), F.col("m.name")) >= 0.7) | ((F.col("r.name") != "") & (F.col("r.name") == F.col("m.name"))))
-    dup = near.groupBy("id").agg(F.min("entry").alias("_dup"))
-    same = r.where("no <> '' and name <> ''").join(g.select("region", "no", "name", "entry"), ["region", "no", "name"]).groupBy("id").agg(F.min("entry").alias("_steal"), F.count("*").alias("_ns"))
+    dup = near.groupBy("edition", "no", "r.name", "r.page").agg(F.min("entry").alias("_dup"))
+    same = entries("region", "no", "name").where("no <> '' and name <> ''").withColumnsRenamed({"_e": "_steal", "_c": "_ns"})
     bands = r.select("region", "band").where("band <> ''").distinct().join(g.select("region", F.col("band").alias("_band")).distinct(), "region")
     bands = cut(bands.where((F.col("band") == F.col("_band")) | (like(F.col("band"), F.col("_band")) >= 0.75)))
-    other = g.select("region", F.col("band").alias("_band"), F.col("name").alias("_name"), F.col("acres").alias("_acres"), "entry")
-    own = r.select("id", "region", "band", "name", "acres").join(bands, ["region", "band"]).join(other, ["region", "_band"])
-    band = own.where((like(F.col("name"), F.col("_name")) >= 0.6) | acres_close_text("acres", "_acres")).groupBy("id").agg(F.min("entry").alias("_renumbered"), F.count("*").alias("_nr"))
     mine, theirs = F.col("name"), F.col("_name")
-    names = r.where(F.col("region").isin(*eastern) & (mine != "")).select("region", "name").distinct().join(other.select("region", "_name").distinct(), "region")
-    names = names.where((like(mine, theirs) >= 0.7) | ((F.length(mine) >= 5) & F.contains(theirs, mine)) | ((F.length(theirs) >= 5) & F.contains(mine, theirs)))
-    east = r.select("id", "region", "name").join(names, ["region", "name"]).join(other.select("region", "_name", "entry"), ["region", "_name"]).groupBy("id").agg(F.min("entry").alias("_east"), F.count("*").alias("_ne"))
-    out = r.join(dup, "id", "left").join(same, "id", "left").join(band, "id", "left").join(east, "id", "left")
+    names = r.select("region", "name").distinct().join(g.select("region", F.col("name").alias("_name")).distinct(), "region").withColumn("_like", like(mine, theirs))
+    held = ((F.length(mine) >= 5) & F.contains(theirs, mine)) | ((F.length(theirs) >= 5) & F.contains(mine, theirs))
+    names = cut(names.withColumn("_east", F.col("region").isin(*eastern) & (mine != "") & ((F.col("_like") >= 0.7) | held)).where("_east or _like >= 0.6"))
+    alike = names.where("_like >= 0.6").select("region", "name", "_name")
+    # like names of a like band, and then those of unlike names whose acres are the same
+    own = r.select("region", "band", "name").distinct().join(bands, ["region", "band"]).join(alike, ["region", "name"])
+    by_name = found(own.join(entries("region", "band", "name").withColumnsRenamed({"band": "_band", "name": "_name"}), ["region", "_band", "_name"]), ["region", "band", "name"], "_e1", "_n1")
+    hundredth = lambda c: F.floor(acres_of(c) * 100)
+    printed = entries("region", "band", "name", "acres").withColumnsRenamed({"band": "_band", "name": "_name", "acres": "_acres"}).withColumn("_h", hundredth("_acres"))
+    own = r.where("acres is not null").select("region", "band", "name", "acres").distinct().join(bands, ["region", "band"]).withColumn("_h", F.explode(F.transform(F.array(F.lit(-1), F.lit(0), F.lit(1)), lambda i: hundredth("acres") + i)))
+    own = own.join(printed, ["region", "_band", "_h"]).where(acres_close_text("acres", "_acres")).join(alike, ["region", "name", "_name"], "left_anti")
+    by_acres = found(own, ["region", "band", "name", "acres"], "_e2", "_n2")
+    east = found(names.where("_east").join(entries("region", "name").withColumnRenamed("name", "_name"), ["region", "_name"]), ["region", "name"], "_east", "_ne")
+    out = r.join(dup, line, "left").join(same, ["region", "no", "name"], "left").join(by_name, ["region", "band", "name"], "left").join(by_acres, ["region", "band", "name", "acres"], "left").join(east, ["region", "name"], "left")
+    out = out.withColumn("_renumbered", F.least("_e1", "_e2")).withColumn("_nr", F.coalesce("_n1", F.lit(0)) + F.coalesce("_n2", F.lit(0)))
     steps = [
         (F.concat("no", "name", "band") == "", "degenerate_row", "high", F.lit(None)), (F.col("_dup").isNotNull(), "duplicate_emission", "high", F.col("_dup")),
         (F.col("_ns") == 1, "greedy_steal", "medium", F.col("_steal")), (F.col("_nr") == 1, "renumbered_link", "medium", F.col("_renumbered")), (F.col("_ne") == 1, "renumbered_link", "low", F.col("_east")),

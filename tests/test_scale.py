@@ -96,3 +96,40 @@ def test_ranked_queries_make_no_pairs_of_a_nation(spark, small, monkeypatch):
     monkeypatch.setattr(tables, "_candidates", refuse)
     for name in ("blocked_score_rank", "margin_gate", "conflict_demote", "tier_match", "evidence_score", "alias_then_tier"):
         assert catalog.queries()[name](spark, small).count(), name
+
+
+def test_leftover_fates_compare_a_name_once_for_all_copies(spark):
+    from quillgraph.operators import gates
+
+    calls = spark.sparkContext.accumulator(0)
+
+    def counted(a, b):
+        calls.add(1)
+        return 1.0 if a[:2] == b[:2] else 0.0
+
+    like = F.udf(counted, "double")
+    copies = 30
+    left = [(c * 10 + i, 1, "QC" if i == 3 else "N", 4, "7", n, b, "12") for c in range(copies) for i, (n, b) in enumerate([("moose", "aa"), ("xx", "aa"), ("zz", None), ("elk lake", None)])]
+    known = [(c * 10 + i, r, "9", n, "aa", a) for c in range(copies) for i, (r, n, a) in enumerate([("N", "moose", "99"), ("N", "yy", "12"), ("QC", "elk", "99")])]
+    rows_ = spark.createDataFrame(left, "id long, edition long, region string, page long, no string, name string, band string, acres string")
+    registry = spark.createDataFrame(known, "entry long, region string, no string, name string, band string, acres string")
+    matched = spark.createDataFrame([(1, 6, "7", "zz top", 5), (1, 5, "7", "zz", 8)], "edition long, page long, no string, name string, entry long")
+    one = known[:3]
+    for registry_, fate in ((registry, "absence_candidate"), (spark.createDataFrame(one, registry.schema), "renumbered_link")):
+        before = calls.value
+        got = gates.leftover_fates(rows_, matched, registry_, like=lambda a, b: like(a, b)).collect()
+        assert calls.value - before < 100
+        told = {(r.id % 10, r.disposition, r.proposed) for r in got}
+        # two entries of the like band reach the first row, by name and by acres; one reaches the second, by acres
+        want = {(0, "absence_candidate", None), (1, fate, 1 if fate == "renumbered_link" else None), (2, "duplicate_emission", 5), (3, fate, 2 if fate == "renumbered_link" else None)}
+        assert len(got) == len(left) and told == want
+
+
+def test_person_score_of_known_surnames(spark):
+    from quillgraph.functions import similarity as S
+
+    made = spark.createDataFrame([("smith", "smyth", "j", "jh"), ("bell", "cole", "a", "a")], "a string, b string, i string, k string")
+    none = F.array().cast("array<string>")
+    x, y = F.array("a"), F.array("b")
+    both = made.withColumn("s", S.surname_score(x, y)).select(S.person_score(x, y, F.col("i"), F.col("k"), none, none), S.person_score_of(F.col("s"), F.col("i"), F.col("k"), none, none))
+    assert all(p == q for p, q in both.collect())
