@@ -110,18 +110,23 @@ def pruned(members: DataFrame, group: str, member: str, first: str, last: str, w
 
     Members come by weight, then first year, then name; two agree if their years don't overlap or their
     ``clash`` values are equal or null.  The others go to review (``kept`` false).
-    A group is a component of name links, small, and is folded as one array.
+    Members of the same years and ``clash`` agree, and share the fate of the first of them: one array of a group's
+    different years and values is folded, not of its members.
     """
     kinds = dict(members.dtypes)
-    one = F.struct((-F.col(weight)).alias("w"), F.col(first).alias("first"), F.col(member).alias("member"), F.col(last).alias("last"), F.col(clash).alias("clash"))
-    start = F.array().cast(f"array<struct<first:{kinds[first]},last:{kinds[last]},clash:{kinds[clash]},member:{kinds[member]},kept:boolean>>")
+    alike = [F.col(group).alias("_g"), F.col(first).alias("_f"), F.col(last).alias("_l"), F.col(clash).alias("_c")]
+    one = F.min(F.struct((-F.col(weight)).alias("w"), F.col(first).alias("first"), F.col(member).alias("member"), F.col(last).alias("last"), F.col(clash).alias("clash")))
+    firsts = members.groupBy(*alike).agg(one.alias("_x"))
+    start = F.array().cast(f"array<struct<first:{kinds[first]},last:{kinds[last]},clash:{kinds[clash]},kept:boolean>>")
 
     def put(seen, x):
         fits = F.forall(seen, lambda k: ~k["kept"] | (x["last"] < k["first"]) | (k["last"] < x["first"]) | x["clash"].isNull() | k["clash"].isNull() | (x["clash"] == k["clash"]))
-        return F.concat(seen, F.array(F.struct(x["first"].alias("first"), x["last"].alias("last"), x["clash"].alias("clash"), x["member"].alias("member"), F.coalesce(fits, F.lit(False)).alias("kept"))))
+        return F.concat(seen, F.array(F.struct(x["first"].alias("first"), x["last"].alias("last"), x["clash"].alias("clash"), F.coalesce(fits, F.lit(False)).alias("kept"))))
 
-    out = members.groupBy(group).agg(F.aggregate(F.array_sort(F.collect_list(one)), start, put).alias("_k"))
-    return out.select(group, F.explode("_k").alias("_k")).select(group, F.col("_k.member").alias(member), F.col("_k.kept").alias("kept"))
+    told = firsts.groupBy("_g").agg(F.aggregate(F.array_sort(F.collect_list("_x")), start, put).alias("_k")).select("_g", F.explode("_k").alias("_k"))
+    told = told.select("_g", F.col("_k.first").alias("_f"), F.col("_k.last").alias("_l"), F.col("_k.clash").alias("_c"), F.col("_k.kept").alias("kept"))
+    on = F.col(group).eqNullSafe(F.col("_g")) & F.col(first).eqNullSafe(F.col("_f")) & F.col(last).eqNullSafe(F.col("_l")) & F.col(clash).eqNullSafe(F.col("_c"))
+    return members.join(told, on).select(group, member, "kept")
 
 
 # Lines that are no band (fixed values).

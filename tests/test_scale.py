@@ -172,3 +172,21 @@ def test_editions_compare_two_texts_once(spark, monkeypatch):
     printed = spark.createDataFrame([(i, 1, "N", "4", "moose", "cree", "d", float(i % 7)) for i in range(60)], f"id long, edition long, {side}")
     assert editions.edition_links(printed, registry).where("tier = 'ambiguous'").count() == 60
     assert calls.value < 60
+
+
+def test_pruned_as_member_by_member_and_folds_no_members(spark):
+    from quillgraph.operators import linking
+
+    rng = random.Random(2)
+    made = [(g, f"m{i}", f := rng.randrange(1990, 1996), f + rng.randrange(3), rng.randrange(4), rng.choice(["a", "b", None])) for g in "xy" for i in range(80)]
+    frame = linking.pruned(spark.createDataFrame(made, "g string, m string, f long, l long, w long, c string"), "g", "m", "f", "l", "w", "c")
+    want = set()
+    for g in "xy":
+        kept = []
+        for _, m, f, last, w, c in sorted((r for r in made if r[0] == g), key=lambda r: (-r[4], r[2], r[1])):
+            fits = all(last < a or b < f or c is None or d is None or c == d for a, b, d in kept)
+            kept += [(f, last, c)] if fits else []
+            want.add((g, m, fits))
+    assert {tuple(r) for r in frame.collect()} == want and len({w[2] for w in want}) == 2
+    plan = frame._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" in plan[: plan.index("aggregate(")]
