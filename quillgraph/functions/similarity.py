@@ -133,7 +133,11 @@ def person_score(a_surnames: Column, b_surnames: Column, a_initials: Column, b_i
 
     Given names that are spelled out and differ go before initials; the same one spelled out adds 0.01, up to 1.
     """
-    surname = surname_score(a_surnames, b_surnames)
+    return person_score_of(surname_score(a_surnames, b_surnames), a_initials, b_initials, a_given, b_given, floor)
+
+
+def person_score_of(surname: Column, a_initials: Column, b_initials: Column, a_given: Column, b_given: Column, floor: float = 0.87) -> Column:
+    """``person_score`` where the likeness of the surnames is known, as it is for all people of two surnames."""
     first = lambda c: F.coalesce(F.get(c, F.lit(0)), F.lit(""))
     spelled = (first(a_given) == first(b_given)) & (F.length(first(a_given)) >= 3)
     score = 0.65 * surname + 0.35 * F.coalesce(given_conflict(a_given, b_given), initials_score(a_initials, b_initials)) + F.when(spelled, 0.01).otherwise(0.0)

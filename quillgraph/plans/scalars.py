@@ -9,6 +9,7 @@ from quillgraph.functions import numbers as N
 from quillgraph.functions import similarity as S
 from quillgraph.functions import text as X
 from quillgraph.operators import classify, gates
+from quillgraph.operators import relational as R
 from quillgraph.plans.registry import query, table
 
 _NORM = "trim(regexp_replace(strip_accents(lower({0})), '[^a-z0-9]+', ' ', 'g'))"
@@ -253,12 +254,17 @@ def initials_score(spark: SparkSession, d: str) -> DataFrame:
 """)
 def person_score(spark: SparkSession, d: str) -> DataFrame:
     """Customers and suppliers of a nation as people: the digits of their numbers are surname and initials."""
-    c = table(spark, d, "customer").select(F.col("c_nationkey").alias("nation"), F.right(F.lower("c_name"), F.lit(9)).alias("x")).distinct()
-    s = table(spark, d, "supplier").select(F.col("s_nationkey").alias("nation"), F.right(F.lower("s_name"), F.lit(9)).alias("y")).distinct()
-    surname = lambda n: F.array(F.concat(F.lit("s"), F.substring(n, 1, 6)))
+    surname = lambda n: F.concat(F.lit("s"), F.substring(n, 1, 6))
+
+    def people(t: str, name: str, nation: str, n: str) -> DataFrame:
+        """The names of each surname, which is scored once for all of them."""
+        return table(spark, d, t).select(F.col(nation).alias("nation"), F.right(F.lower(name), F.lit(9)).alias(n)).groupBy("nation", surname(F.col(n)).alias(f"_{n}")).agg(F.collect_set(F.struct(n)).alias(f"{n}s"))  # a struct, as a set leaves out nulls
+
+    met = R.dealt_join(people("customer", "c_name", "c_nationkey", "x"), people("supplier", "s_name", "s_nationkey", "y"), ["nation"], "_x").withColumn("_surname", S.surname_score(F.array("_x"), F.array("_y")))
+    rows = met.select("nation", "_surname", F.explode("xs").alias("_x"), "ys").select("nation", "_surname", "_x.x", F.explode("ys").alias("_y")).select("nation", "_surname", "x", "_y.y")
     none = F.array().cast("array<string>")
-    score = S.person_score(surname("x"), surname("y"), F.substr("x", F.lit(7)), F.substr("y", F.lit(7)), none, none)
-    return c.join(s, "nation").select("nation", "x", "y", F.round(score, 6).alias("score"))
+    score = S.person_score_of(F.col("_surname"), F.substr("x", F.lit(7)), F.substr("y", F.lit(7)), none, none)
+    return rows.select("nation", "x", "y", F.round(score, 6).alias("score"))
 
 
 _CANON = ("ECONOMY", "STANDARD", "PROMO", "SMALL", "MEDIUM", "LARGE")
