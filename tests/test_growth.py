@@ -34,3 +34,8 @@ def test_texts_of_pages_are_made_in_many_tasks(spark):
     assert f", {hubs.PARTS}" in plan(got)
 
 
+def test_longest_span_goes_through_a_nation_once(spark, small):
+    got = entry.queries()["longest_span"](spark, small)
+    assert "unboundedfollowing" not in plan(got)
+
+
