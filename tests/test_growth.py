@@ -39,3 +39,10 @@ def test_longest_span_goes_through_a_nation_once(spark, small):
     assert "unboundedfollowing" not in plan(got)
 
 
+def test_readings_of_accounts_are_made_in_many_tasks(spark, small):
+    assert tasks(entry.queries()["account_readings"](spark, small)) > 8
+    x = "Enoch's-Band (Stony-Plain) 135, Treaty No. 6"
+    got = spark.createDataFrame([(x,)], "x string").select(names.account_readings("x").alias("v"), names.modern_variants("x").alias("m")).first()
+    assert len(got.v) == len(set(got.v)) and got.m[1:3] == ["enochs 135 treaty", "stony plain"] or len(got.m) == len(set(got.m))
+
+
