@@ -29,8 +29,7 @@ def parse_money(c: Column | str) -> Column:
     x = F.trim(_c(c))
     sign = F.when(F.startswith(x, F.lit("(")), F.lit(-1.0)).otherwise(F.lit(1.0))
     body = F.replace(F.regexp_replace(x, r"[()$]", ""), F.lit(","), F.lit(""))
-    spaced = F.concat(F.regexp_extract(body, r"^([0-9]+) ([0-9]{2})$", 1), F.lit("."), F.regexp_extract(body, r"^([0-9]+) ([0-9]{2})$", 2))
-    text = F.when(body.rlike(r"^[0-9]+ [0-9]{2}$"), spaced).when(body.rlike(r"^[0-9]+(\.[0-9]+)?$"), body)
+    text = F.regexp_extract(F.regexp_replace(body, r"^([0-9]+) ([0-9]{2})$", "$1.$2"), r"^[0-9]+(\.[0-9]+)?$", 0)
     return sign * text.try_cast("double")
 
 

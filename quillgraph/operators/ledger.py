@@ -26,7 +26,8 @@ def shape(columns: Column, title: Column) -> Column:
     A table of debit and credit alone is a ledger only in a trust fund return, or without a title.
     """
     heads = F.transform(F.coalesce(columns, F.array().cast("array<string>")), lambda x: F.lower(F.coalesce(x, F.lit(""))))
-    has = lambda word: F.exists(heads, lambda x: F.contains(x, F.lit(word)))
+    joined = F.lower(F.array_join(F.coalesce(columns, F.array().cast("array<string>")), "\n"))
+    has = lambda word: F.contains(joined, F.lit(word))
     at = lambda i, word: F.coalesce(F.contains(F.get(heads, F.lit(i)), F.lit(word)), F.lit(False))
     says = {
         "capital": has("capital"), "interest": has("interest"), "cr": F.exists(heads, lambda x: F.startswith(x, F.lit("cr"))),
@@ -56,7 +57,7 @@ def entries(rows: DataFrame, account: str, label: str, values: str, shape: str,
     """
     cell = lambda place: F.col(label) if place == "label" else F.lit(None).cast("string") if place == "-" else F.get(F.col(values), F.lit(int(place)))
     lines = rows if total is None else rows.where(~F.coalesce(total, F.lit(False)))
-    both = []
+    both = {}
     for side, column in (("Dr", 3), ("Cr", 4)):
         parts = []
         for part in range(3):
@@ -64,10 +65,10 @@ def entries(rows: DataFrame, account: str, label: str, values: str, shape: str,
             for row in SHAPES:
                 of = F.when(F.col(shape) == row[0], cell(row[column].split()[part])).otherwise(of)
             parts.append(of)
-        both.append(F.struct(F.lit(side).alias("side"), F.trim(parts[0]).alias("description"), parts[1].alias("_c"), parts[2].alias("_i")))
-    found = lines.select(account, F.explode(F.array(*both)).alias("_e")).select(account, "_e.*")
-    money = found.select(account, "side", "description", parse_money("_c").alias("capital"), parse_money("_i").alias("interest"))
-    return money.where("capital is not null or interest is not null")
+        both[f"_{side}"] = F.struct(F.lit(side).alias("side"), F.trim(parts[0]).alias("description"), parse_money(parts[1]).alias("capital"), parse_money(parts[2]).alias("interest"))
+    # figures are read before the sides are told apart: a condition on them can't sink below that, to be worked out twice
+    sides = lines.select(account, *[x.alias(name) for name, x in both.items()])
+    return sides.select(account, F.explode(F.array(*both)).alias("_e")).select(account, "_e.*").where("capital is not null or interest is not null")
 
 
 def balances(entries: DataFrame, account: str) -> DataFrame:

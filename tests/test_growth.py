@@ -46,3 +46,14 @@ def test_readings_of_accounts_are_made_in_many_tasks(spark, small):
     assert len(got.v) == len(set(got.v)) and got.m[1:3] == ["enochs 135 treaty", "stony plain"] or len(got.m) == len(set(got.m))
 
 
+def test_figures_of_a_ledger_are_read_once(spark):
+    rows = spark.createDataFrame([(1, "To Balance, 1890", ["5 25", "(3.50)", "By Balance, 1889", None, "x"], "ledger_dr_cr_5")], "a int, label string, values array<string>, s string")
+    got = ledger.entries(rows, "a", "label", "values", "s")
+    assert [tuple(r) for r in got.collect()] == [(1, "Dr", "To Balance, 1890", 5.25, -3.5)]
+    text = plan(got)
+    assert all("regexp" not in line for line in text.split("\n") if "Filter" in line)
+    cells = ["1,234.5", "12 34", "(12 34)", "$7", "1 234", "", None, "12 3", "4.", " 5 "]
+    got = spark.createDataFrame([(c,) for c in cells], "c string").select(numbers.parse_money("c").alias("v")).collect()
+    assert [r.v for r in got] == [1234.5, 12.34, -12.34, 7.0, None, None, None, None, None, 5.0]
+
+
