@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from quillgraph.operators.relational import spread
+
 
 def neighbours(edges: DataFrame, side: str, year: int | None = None) -> DataFrame:
     """Each node's edges by kind and other end, with their years.
@@ -14,7 +16,7 @@ def neighbours(edges: DataFrame, side: str, year: int | None = None) -> DataFram
     own, other = ("src", "dst") if side == "out" else ("dst", "src")
     rows = edges if year is None else edges.where(F.col("year").isNull() | (F.col("year") == year))
     named = rows.select(F.col(f"{own}_type").alias("type"), F.col(f"{own}_id").alias("id"), "edge", F.col(f"{other}_type").alias("other_type"), F.col(f"{other}_id").alias("other_id"), "year")
-    return named.groupBy("type", "id", "edge", "other_type", "other_id").agg(F.count_distinct("year").alias("n_years"), F.min("year").alias("first_year"), F.max("year").alias("last_year"))
+    return spread(named, "id", "other_id").groupBy("type", "id", "edge", "other_type", "other_id").agg(F.count_distinct("year").alias("n_years"), F.min("year").alias("first_year"), F.max("year").alias("last_year"))
 
 
 def degrees(edges: DataFrame) -> DataFrame:

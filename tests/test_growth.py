@@ -57,3 +57,8 @@ def test_figures_of_a_ledger_are_read_once(spark):
     assert [r.v for r in got] == [1234.5, 12.34, -12.34, 7.0, None, None, None, None, None, 5.0]
 
 
+def test_neighbours_are_grouped_in_many_tasks(spark):
+    edges = spark.createDataFrame([("c", 1, "e", "p", 2, 1990), ("c", 1, "e", "p", 2, 1991), ("c", 1, "e", "p", 2, None)], "src_type string, src_id long, edge string, dst_type string, dst_id long, year int")
+    got = graph.neighbours(edges, "in")
+    assert [tuple(r) for r in got.collect()] == [("p", 2, "e", "c", 1, 2, 1990, 1991)]
+    assert "RepartitionByExpression" in plan(got)
