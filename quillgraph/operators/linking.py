@@ -11,6 +11,7 @@ from quillgraph.functions.similarity import dice, jaccard
 from quillgraph.functions.text import norm
 from quillgraph.operators.identity import bigram_pairs, components, grouped
 from quillgraph.operators.lineage import cut
+from quillgraph.operators.relational import spread
 
 
 def only_in_tier(pairs: DataFrame, key: str, candidate: str, score: str, tiers: Sequence[tuple[str, Column]], near: float) -> DataFrame:
@@ -203,19 +204,28 @@ def matched_records(left: DataFrame, right: DataFrame, block: str, page: str, nu
     """
     none = F.lit("")
     sides = [x.select(F.col(block).alias("block"), F.col("id").cast("long").alias("id"), F.col(page).cast("long").alias("page"), F.coalesce(F.col(number).cast("string"), none).alias("number"), F.coalesce(F.col(name), none).alias("name"), F.col(amount).cast("double").alias("amount"), (F.coalesce(F.col(division), none) if division else none).alias("division")) for x in (left, right)]
-    sides = [cut(x) for x in sides]
-    key, found = ["block", "number", "name", "division", "page"], None
-    # each step: how, what to add to the right side's page, and whether only the names count
-    for how, step, by in (("exact", 0, key), ("relaxed", 1, key), ("relaxed", -1, key), ("name", 0, ["block", "name"])):
-        rest = [x if found is None else x.join(found.select(F.col(f"{side}_id").alias("id")), "id", "left_anti") for x, side in zip(sides, ("left", "right"), strict=True)]
-        if how == "name":
-            once = [x.where("name <> ''").groupBy("block", "name").agg(F.count("*").alias("_n")).where("_n = 1").drop("_n") for x in sides]
-            rest = [x.join(once[0], by, "left_semi").join(once[1], by, "left_semi") for x in rest]
-        moved = [rest[0], rest[1].withColumn("page", F.col("page") + step)]
-        turn = [x.select(*by, F.row_number().over(Window.partitionBy(*by).orderBy("id")).alias("_n"), F.col("id").alias(f"{side}_id")) for x, side in zip(moved, ("left", "right"), strict=True)]
-        met = turn[0].join(turn[1], [*by, "_n"]).select("left_id", "right_id", F.lit(how).alias("how"))
-        found = cut(met if found is None else found.unionByName(met))
-    rest = [x.join(found.select(F.col(f"{side}_id").alias("id")), "id", "left_anti") for x, side in zip(sides, ("left", "right"), strict=True)]
+    # rows of both sides lie together by block and name from here on: no later step but the fuzzy one moves them again
+    rows = spread(sides[0].withColumn("side", F.lit(0)).unionByName(sides[1].withColumn("side", F.lit(1))), "block", "name", parts=192)
+    rows = rows.withColumn("how", F.lit(None).cast("string")).withColumn("mate", F.lit(None).cast("long"))
+    mate = lambda test, w: F.when(F.col("side") == 0, F.max(F.when(test & (F.col("side") == 1), F.col("id"))).over(w))
+    # each step: how, and what to add to the right side's page
+    for how, step in (("exact", 0), ("relaxed", 1), ("relaxed", -1)):
+        free = F.col("how").isNull() & F.col("block").isNotNull() & F.col("page").isNotNull() & F.col("id").isNotNull()
+        rows = rows.withColumn("_free", free).withColumn("_page", F.col("page") + F.col("side") * step)
+        alike = ["block", "name", "number", "division", "_page", "_free"]
+        rows = rows.withColumn("_n", F.row_number().over(Window.partitionBy(*alike, "side").orderBy("id")))
+        met = Window.partitionBy(*alike, "_n")
+        rows = rows.withColumn("_met", F.col("_free") & (F.count("*").over(met) == 2)).withColumn("_mate", mate(F.lit(True), met))
+        rows = rows.withColumn("how", F.when(F.col("_met"), how).otherwise(F.col("how"))).withColumn("mate", F.when(F.col("_met"), F.col("_mate")).otherwise(F.col("mate")))
+    free, named = F.col("how").isNull() & F.col("block").isNotNull() & (F.col("name") != "") & F.col("id").isNotNull(), Window.partitionBy("block", "name")
+    once = [(F.count_if(F.col("side") == i).over(named) == 1) & (F.count_if(F.col("_free") & (F.col("side") == i)).over(named) == 1) for i in (0, 1)]
+    rows = rows.withColumn("_free", free).withColumn("_met", F.col("_free") & once[0] & once[1]).withColumn("_mate", mate(F.col("_free"), named))
+    rows = rows.withColumn("how", F.when(F.col("_met"), "name").otherwise(F.col("how"))).withColumn("mate", F.when(F.col("_met"), F.col("_mate")).otherwise(F.col("mate")))
+    # kept once: matched rows by their ids alone, the others whole
+    texts = [F.when(F.col("how").isNull(), F.col(c)).alias(c) for c in ("number", "name", "division")]
+    rows = cut(rows.where("how is null or side = 0").select("block", "id", "page", *texts, "amount", "side", "how", "mate"))
+    found = rows.where("how is not null").select(F.col("id").alias("left_id"), F.col("mate").alias("right_id"), "how")
+    rest = [rows.where((F.col("side") == i) & F.col("how").isNull()) for i in (0, 1)]
     pairs = rest[0].alias("l").join(rest[1].alias("r"), ["block", "number"]).where(F.abs(F.col("l.page") - F.col("r.page")) <= 1)
     equal = F.coalesce(F.abs(F.col("l.amount") - F.col("r.amount")) < 0.01, F.lit(False))
     near = _shared_words(F.col("l.name"), F.col("r.name"))

@@ -4,7 +4,8 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from quillgraph.functions import names, numbers
-from quillgraph.operators import graph, hubs, ledger
+from quillgraph.operators import cues, fulltext, graph, hubs, ledger, linking
+from quillgraph.plans import evidence
 
 
 def plan(frame):
@@ -62,3 +63,17 @@ def test_neighbours_are_grouped_in_many_tasks(spark):
     got = graph.neighbours(edges, "in")
     assert [tuple(r) for r in got.collect()] == [("p", 2, "e", "c", 1, 2, 1990, 1991)]
     assert "RepartitionByExpression" in plan(got)
+
+
+def test_records_are_moved_once_before_the_fuzzy_pass(spark, monkeypatch):
+    cuts = []
+    monkeypatch.setattr(linking, "cut", lambda x: cuts.append(x) or x)
+    schema = "block long, id long, page long, number string, name string, amount double"
+    left = [(1, 1, 5, "7", "a", 1.0), (1, 2, 5, "7", "b", 2.0), (1, 3, 5, "8", "c", 3.0), (1, 4, 5, "9", "e f", 4.0), (None, 5, 5, "1", "g", 5.0), (1, 6, 6, "7", "c", 3.0)]
+    right = [(1, 11, 5, "7", "a", 1.0), (1, 12, 6, "7", "b", 2.0), (1, 13, 9, "4", "c", 3.0), (1, 14, 5, "9", "f g e", 8.0), (None, 15, 5, "1", "g", 5.0)]
+    got = linking.matched_records(spark.createDataFrame(left, schema), spark.createDataFrame(right, schema), "block", "page", "number", "name", "amount")
+    assert sorted(tuple(r) for r in got.collect()) == [(1, 11, "exact"), (2, 12, "relaxed"), (4, 14, "fuzzy")]  # the name c stands twice on one side
+    assert len(cuts) == 2 - 1
+    assert "Join" not in plan(cuts[0])
+
+
