@@ -66,11 +66,11 @@ def page_chunks(docs: DataFrame, spans: DataFrame, pages: int = 8, context: int
     rows = starts.join(at("a", "_lo"), ["doc_id", "a"], "left").withColumn("_next", F.col("b") + 1).join(at("_next", "_hi"), ["doc_id", "_next"], "left")
     lo, hi = F.coalesce("_lo", "char_start"), F.coalesce("_hi", "char_end")
     rows = rows.withColumn("lo", lo).withColumn("hi", F.when(F.col("b") == F.col("page_to"), F.least(hi, F.col("char_end"))).otherwise(hi))
-    rows = rows.join(docs.select("doc_id", F.col(text).alias("_t")), "doc_id")
+    # all windows of a text meet it at once, and are cut from it before they are rows
+    listed = rows.groupBy("doc_id").agg(F.collect_list(F.struct("a", "b", "lo", "hi", "page_from", "char_start")).alias("_w")).join(docs.select("doc_id", F.col(text).alias("_t")), "doc_id")
     piece = lambda s, e: F.substr("_t", s + 1, F.greatest(e - s, F.lit(0)))
-    body = piece(F.col("lo"), F.col("hi"))
-    rows = rows.withColumn("body", body).where(F.length(F.regexp_replace("body", r"^\s+|\s+$", "")) >= least)
-    ctx = F.when(F.col("a") > F.col("page_from"), piece(F.greatest("char_start", F.col("lo") - context), F.col("lo"))).otherwise("")
-    rows = rows.withColumn("context", ctx).withColumn("header", piece(F.col("char_start"), F.col("char_start") + header)).drop("_t")
+    ctx = lambda w: F.when(w["a"] > w["page_from"], piece(F.greatest(w["char_start"], w["lo"] - context), w["lo"])).otherwise("")
+    cuts = F.transform("_w", lambda w: F.struct(*[w[k].alias(k) for k in ("a", "b", "lo", "hi")], piece(w["lo"], w["hi"]).alias("body"), ctx(w).alias("context"), piece(w["char_start"], w["char_start"] + header).alias("header")))
+    rows = listed.select("doc_id", F.explode(cuts).alias("_c")).select("doc_id", "_c.*").where(F.length(F.regexp_replace("body", r"^\s+|\s+$", "")) >= least)
     n = F.row_number().over(Window.partitionBy("doc_id").orderBy("a")) - 1
     return cut(rows.withColumn("n", n)).select("doc_id", "n", F.col("a").alias("page_from"), F.col("b").alias("page_to"), F.col("lo").alias("char_start"), F.col("hi").alias("char_end"), "header", "context", "body")

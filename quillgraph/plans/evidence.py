@@ -173,7 +173,8 @@ def rebuilt_ids(spark: SparkSession, d: str) -> DataFrame:
 def _volumes(spark: SparkSession, d: str) -> DataFrame:
     """Documents as volumes: a page mark before every 400 characters, from page 10 on; a table begins where a page's first word is short."""
     docs = table(spark, d, "documents").where("text is not null").select("doc_id", F.regexp_replace("text", "<!--", "<--").alias("text"))
-    pages = F.transform(F.sequence(F.lit(0), F.floor(F.length("text") / 400).cast("int")), lambda i: F.substr("text", i * 400 + 1, F.lit(400)))
+    # cut in one pass; a text of whole pages, or none, ends with an empty one
+    pages = F.concat(F.regexp_extract_all("text", F.lit("(?s).{1,400}"), F.lit(0)), F.when(F.length("text") % 400 == 0, F.array(F.lit(""))).otherwise(F.array().cast("array<string>")))
     begins = lambda p: F.length(F.regexp_extract(p, r"^\s*(\S+)", 1)) <= 2
     shaped = F.transform(pages, lambda p, i: F.concat(F.lit("<!-- page "), (i + 10).cast("string"), F.lit(" -->\n"), F.when(begins(p), "CENSUS OF INDIANS.\n").when(i % 7 == 6, "SCHOOL STATEMENT.\n").otherwise(""), p, F.lit("\n")))
     return docs.select("doc_id", F.array_join(shaped, "").alias("text"))

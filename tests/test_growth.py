@@ -77,3 +77,12 @@ def test_records_are_moved_once_before_the_fuzzy_pass(spark, monkeypatch):
     assert "Join" not in plan(cuts[0])
 
 
+def test_pages_of_a_volume_are_cut_in_one_pass(spark, tmp_path):
+    texts = ["", "x" * 400, "ab " * 300, "é\n" * 401]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    docs = evidence._volumes(spark, str(tmp_path))
+    got = {r.doc_id: r.text.count("<!-- page") for r in docs.collect()}
+    assert got == {i: len(t) // 400 + 1 for i, t in enumerate(texts)}
+    assert "substr" not in plan(docs)
+
+
