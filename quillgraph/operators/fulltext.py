@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from quillgraph.functions.text import fold, norm
 from quillgraph.operators.lineage import cut
+from quillgraph.operators.relational import spread
 
 K1, B = 1.2, 0.75
 
@@ -156,7 +157,9 @@ def staged_lookup(aliases: DataFrame, queries: DataFrame, entities: DataFrame, l
 def field_postings(docs: DataFrame, fields: Sequence[str]) -> DataFrame:
     """``term, doc_id, field, tf, positions``: where each word stands in each field, from 0, in order."""
     words = lambda f: F.regexp_extract_all(fold(F.coalesce(f, F.lit(""))), F.lit("([a-z0-9]+)"), 1)
-    each = docs.select("doc_id", F.explode(F.array(*[F.struct(F.lit(f).alias("field"), words(F.col(f)).alias("words")) for f in fields])).alias("_f"))
+    # texts are moved, not their words one by one: a document's words are then grouped where it lies
+    whole = spread(docs.select("doc_id", *fields), "doc_id", parts=192)
+    each = whole.select("doc_id", F.explode(F.array(*[F.struct(F.lit(f).alias("field"), words(F.col(f)).alias("words")) for f in fields])).alias("_f"))
     rows = each.select("doc_id", "_f.field", F.posexplode("_f.words").alias("pos", "term"))
     return rows.groupBy("term", "doc_id", "field").agg(F.count("*").alias("tf"), F.array_sort(F.collect_list("pos")).alias("positions"))
 

@@ -86,3 +86,11 @@ def test_pages_of_a_volume_are_cut_in_one_pass(spark, tmp_path):
     assert "substr" not in plan(docs)
 
 
+def test_words_of_a_document_are_grouped_where_it_lies(spark):
+    docs = spark.createDataFrame([(1, "a b a"), (2, None)], "doc_id long, t string")
+    got = fulltext.field_postings(docs, ["t"])
+    assert sorted((r.term, r.tf, r.positions) for r in got.collect()) == [("a", 2, [0, 2]), ("b", 1, [1])]
+    text = got._jdf.queryExecution().sparkPlan().toString()
+    assert text.index("Generate") < text.index("Exchange" if "Exchange" in text else "RepartitionByExpression")
+
+
