@@ -4,9 +4,9 @@ from __future__ import annotations
 
 import itertools
 import re
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
@@ -50,11 +50,18 @@ _WORD = re.compile("[a-z0-9]+")
 _PLACE = StructType([StructField(n, t) for n, t in (("char_start", IntegerType()), ("char_end", IntegerType()), ("left", StringType()), ("right", StringType()), ("window", StringType()))])
 
 
-@F.pandas_udf(ArrayType(_PLACE))
-def _surroundings(text: pd.Series, first: pd.Series, count: pd.Series) -> pd.Series:
-    """Where runs of words stand in folded texts, and what is around them; Spark has no expression for the places of matches."""
+#: Texts whose places a worker holds at once.
+SLICE = 64
 
-    def one(t: str, pos, n) -> list[dict[str, object]]:
+
+@F.arrow_udf(ArrayType(_PLACE))
+def _surroundings(batches: Iterator[tuple[pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+    """Where runs of words stand in folded texts, and what is around them; Spark has no expression for the places of matches.
+
+    A batch is gone through a few texts at a time, so a worker holds the places of these alone.
+    """
+
+    def one(t: str, pos: list[int], n: list[int]) -> list[dict[str, object]]:
         last = max(p + k for p, k in zip(pos, n, strict=True))
         at = [m.span() for m in itertools.islice(_WORD.finditer(t), int(last))]
         out = []
@@ -64,7 +71,11 @@ def _surroundings(text: pd.Series, first: pd.Series, count: pd.Series) -> pd.Ser
             out.append({"char_start": a, "char_end": b, "left": t[a - 1 : a] if a else "", "right": t[b : b + 1], "window": t[max(0, a - before) : b + after]})
         return out
 
-    return pd.Series([one(t, p, n) for t, p, n in zip(text, first, count, strict=True)])
+    place = pa.struct([(f.name, pa.int32() if isinstance(f.dataType, IntegerType) else pa.string()) for f in _PLACE])
+    for batch in batches:
+        for at in range(0, len(batch[0]), SLICE):
+            few = [c.slice(at, SLICE).to_pylist() for c in batch]
+            yield pa.array([one(t, p, n) for t, p, n in zip(*few, strict=True)], pa.list_(place))
 
 
 def decided_mentions(docs: DataFrame, spans: DataFrame, names: DataFrame, cues: Sequence[tuple[str, str]] = CUES, text: str = "text") -> DataFrame:

@@ -94,3 +94,9 @@ def test_words_of_a_document_are_grouped_where_it_lies(spark):
     assert text.index("Generate") < text.index("Exchange" if "Exchange" in text else "RepartitionByExpression")
 
 
+def test_places_are_made_for_a_few_texts_at_a_time(spark):
+    n = 3 * cues.SLICE + 5
+    docs = spark.range(n).select(F.col("id").alias("doc_id"), F.concat(F.lit("Aa, the bb "), F.col("id").cast("string")).alias("text"))
+    spans = docs.select("doc_id", F.lit(2).alias("pos"), F.lit(2).alias("n_tokens"), F.concat(F.lit("bb "), F.col("doc_id").cast("string")).alias("surface"))
+    got = {r.doc_id: (r.char_start, r.char_end, r.left, r.right) for r in cues.placed(docs, spans).collect()}
+    assert got == {i: (8, 11 + len(str(i)), " ", "") for i in range(n)}
