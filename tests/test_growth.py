@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from quillgraph.functions import names, numbers
-from quillgraph.operators import cues, fulltext, graph, hubs, ledger, linking
+from quillgraph.operators import cues, fulltext, graph, hubs, ledger, linking, relational
 from quillgraph.plans import evidence
 
 
@@ -100,3 +100,21 @@ def test_places_are_made_for_a_few_texts_at_a_time(spark):
     spans = docs.select("doc_id", F.lit(2).alias("pos"), F.lit(2).alias("n_tokens"), F.concat(F.lit("bb "), F.col("doc_id").cast("string")).alias("surface"))
     got = {r.doc_id: (r.char_start, r.char_end, r.left, r.right) for r in cues.placed(docs, spans).collect()}
     assert got == {i: (8, 11 + len(str(i)), " ", "") for i in range(n)}
+
+
+def test_pairs_of_a_key_are_dealt_by_their_number(spark):
+    a = spark.range(300).select("id", F.when(F.col("id") < 250, 0).when(F.col("id") < 299, F.col("id")).alias("b"))
+    b = spark.range(90).select((F.col("id") + 250).alias("other"), F.when(F.col("id") < 40, 0).when(F.col("id") < 89, F.col("id") + 250).alias("b"))
+    few, many = (relational.dealt_join(a, b, ["b"], "id", pairs) for pairs in (10_000, 100))
+    want = sorted([(i, j + 250) for i in range(250) for j in range(40)] + [(i, i) for i in range(290, 299)])
+    for got in (few, many):
+        assert sorted((r.id, r.other) for r in got.collect()) == want
+    assert ", 17" in plan(few) and f", {(len(want)) // 100 + 16}" in plan(many)  # tasks grow with the pairs
+    assert "_part" not in plan(few) and "_part" in plan(many)
+    assert relational.dealt_join(a.limit(0), b, ["b"], "id").count() == 0
+
+
+def test_tasks_of_parts_paired_follow_their_pairs(spark, small):
+    for name in ("pairs_self", "blocked_pairs"):
+        text = plan(entry.queries()[name](spark, small))
+        assert text.count(", 16") == 2 and "explode" not in text  # few pairs, so no copies of rows
