@@ -4,7 +4,8 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from quillgraph.functions import names, numbers
-from quillgraph.operators import cues, fulltext, graph, hubs, ledger, linking, relational
+from quillgraph.operators import cues, fulltext, graph, hubs, ledger, linking, relational, segmentation
+from quillgraph.operators.lineage import cut
 from quillgraph.plans import evidence
 
 
@@ -118,3 +119,19 @@ def test_tasks_of_parts_paired_follow_their_pairs(spark, small):
     for name in ("pairs_self", "blocked_pairs"):
         text = plan(entry.queries()[name](spark, small))
         assert text.count(", 16") == 2 and "explode" not in text  # few pairs, so no copies of rows
+
+
+def test_lines_of_volumes_are_made_once(spark, monkeypatch):
+    made = []
+    monkeypatch.setattr(segmentation, "cut", lambda x: made.append(cut(x)) or made[-1])
+    letter = "<!-- page 4 -->\n\nCHIPPEWA AGENCY,\nSARNIA, 1 July, 1899.\n\nSIR, - I have the honour to report.\n" + "x " * 30 + "\nI am, Sir,\nYour obedient servant\n"
+    docs = spark.createDataFrame([(1, letter * 10), (2, "\nTHE ISLANDS\n\n" + "y " * 40)], "doc_id long, text string")
+    got = segmentation.segmented(docs).orderBy("doc_id", "char_start")
+    assert [(r.doc_id, r.kind) for r in got.select("doc_id", "kind").collect()] == [(1, "agency_letter")] * 10 + [(2, "thematic_section")]
+    assert len(made) == 2 and "split" not in plan(got)
+
+
+def test_roles_are_told_in_volumes_of_letters_alone(spark):
+    lines = segmentation.volume_lines(spark.createDataFrame([(1, "a")], "doc_id long, text string"))
+    text = plan(segmentation.anchors(lines))
+    assert ">= 10)" in text[text.index("collect_list") :].split("Filter", 1)[1].split("\n")[0]
