@@ -44,14 +44,26 @@ def ngrams(tokens: Column, n: int) -> Column:
     return F.when(last < 0, F.array().cast("array<string>")).otherwise(F.transform(F.sequence(F.lit(0), F.greatest(last, F.lit(0))), lambda i: F.array_join(F.slice(tokens, i + 1, F.lit(n)), " ")))
 
 
+#: Numbers that strings are hashed to before they are moved; as many rows at most are sent out.
+SLOTS = 1 << 18
+
+
+def _likely(rows: DataFrame, names: DataFrame, column: str) -> DataFrame:
+    """``rows`` without those whose ``column`` hashes to no name's number: all that are names stay, and few others."""
+    slot = F.pmod(F.xxhash64(column), F.lit(SLOTS))
+    held = F.broadcast(names.select(slot.alias("_slot")).distinct())
+    return rows.withColumn("_slot", slot).join(held, "_slot", "left_semi").drop("_slot")
+
+
 def mentions(docs: DataFrame, gazetteer: DataFrame, longest: int) -> DataFrame:
     """``doc_id, pos, n_tokens, surface, entity_id``: where surfaces of the gazetteer stand.
 
     Matches are taken from the left, the longest at each place, and none begins
     within the one before.  Each text is cut into words once; only runs whose
     first word begins a surface are built, and they meet the gazetteer by an
-    equi-join, so its size doesn't matter.  A surface of several entities gives a
-    row for each.
+    equi-join, so its size doesn't matter.  Before that, words and runs whose hash
+    is none of a surface's leave where they lie, so that only what is likely a
+    surface is moved.  A surface of several entities gives a row for each.
     """
     words = F.regexp_extract_all(fold("text"), F.lit("([a-z0-9]+)"), 1)
     shifted = [F.col("_w"), *[F.slice("_w", n + 1, F.greatest(F.size("_w") - n, F.lit(0))) for n in range(1, longest)]]
@@ -60,9 +72,10 @@ def mentions(docs: DataFrame, gazetteer: DataFrame, longest: int) -> DataFrame:
     rows = docs.select("doc_id", words.alias("_w")).select("doc_id", F.posexplode(zipped).alias("pos", "_z")).select("doc_id", "pos", *[F.col("_z").getField(n).alias(n) for n in names])
     surfaces = gazetteer.select("surface").where("surface is not null").distinct()
     heads = surfaces.select(F.split("surface", " ")[0].alias("_0")).distinct()
-    rows = rows.join(heads, "_0", "left_semi")
+    rows = _likely(rows, heads, "_0").join(heads, "_0", "left_semi")
     runs = F.explode(F.array(*[F.struct(F.lit(n + 1).alias("n_tokens"), F.when(F.col(names[n]).isNotNull(), F.concat_ws(" ", *names[: n + 1])).alias("surface")) for n in range(longest)]))
-    hits = rows.select("doc_id", "pos", runs.alias("_r")).select("doc_id", "pos", "_r.*").join(surfaces, "surface", "left_semi")
+    hits = rows.select("doc_id", "pos", runs.alias("_r")).select("doc_id", "pos", "_r.*")
+    hits = _likely(hits, surfaces, "surface").join(surfaces, "surface", "left_semi")
     hits = hits.select("doc_id", F.col("pos").alias("_s"), (F.col("pos") + F.col("n_tokens")).alias("_e"), "surface")
     kept = non_overlapping(hits, "doc_id", "_s", "_e", "surface")
     return kept.join(gazetteer, "surface").select("doc_id", F.col("_s").alias("pos"), (F.col("_e") - F.col("_s")).alias("n_tokens"), "surface", "entity_id")

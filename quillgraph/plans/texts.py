@@ -115,8 +115,9 @@ def gazetteer_ngram(spark: SparkSession, d: str) -> DataFrame:
 def cue_typing(spark: SparkSession, d: str) -> DataFrame:
     words = table(spark, d, "documents").select("doc_id", X.tokens("text").alias("w"))
     low = F.greatest(F.col("pos") - 2, F.lit(1))
-    around = F.array_join(F.slice("w", low, F.col("pos") + F.col("n_tokens") + 3 - low + 1), " ")
-    cue = F.when(around.rlike(r"\b(is|was|are)\b"), "verb").when(around.rlike(r"\b(and|or)\b"), "list").otherwise("none")
+    around = F.slice("w", low, F.col("pos") + F.col("n_tokens") + 3 - low + 1)
+    said = lambda *cues: F.arrays_overlap(around, F.array(*map(F.lit, cues)))
+    cue = F.when(said("is", "was", "are"), "verb").when(said("and", "or"), "list").otherwise("none")
     return _mentions(spark, d).join(words, "doc_id").select("doc_id", "pos", "surface", cue.alias("cue"))
 
 

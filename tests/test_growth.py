@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from quillgraph.functions import names, numbers
-from quillgraph.operators import cues, fulltext, graph, hubs, ledger, linking, relational, segmentation
+from quillgraph.operators import cues, fulltext, graph, hubs, ledger, linking, passages, relational, segmentation
 from quillgraph.operators.lineage import cut
 from quillgraph.plans import evidence
 
@@ -135,3 +135,15 @@ def test_roles_are_told_in_volumes_of_letters_alone(spark):
     lines = segmentation.volume_lines(spark.createDataFrame([(1, "a")], "doc_id long, text string"))
     text = plan(segmentation.anchors(lines))
     assert ">= 10)" in text[text.index("collect_list") :].split("Filter", 1)[1].split("\n")[0]
+
+
+def test_words_that_are_no_surface_are_not_moved(spark, monkeypatch):
+    docs = spark.createDataFrame([(1, "the six nations of the grand river"), (2, None), (3, "six grand nations")], "doc_id long, text string")
+    names = spark.createDataFrame([("six", 8), ("six nations", 7), ("grand river", 9), (None, 1)], "surface string, entity_id long")
+    want = [(1, 1, 2, "six nations", 7), (1, 5, 2, "grand river", 9), (3, 0, 1, "six", 8)]
+    for slots in (1, passages.SLOTS):  # with one number for all, the exact joins decide alone
+        monkeypatch.setattr(passages, "SLOTS", slots)
+        got = passages.mentions(docs, names, 2)
+        assert sorted(tuple(r) for r in got.collect()) == want
+    text = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "_slot" in text and text.count("LeftSemi") == 4
