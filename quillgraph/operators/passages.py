@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -55,8 +57,8 @@ def _likely(rows: DataFrame, names: DataFrame, column: str) -> DataFrame:
     return rows.withColumn("_slot", slot).join(held, "_slot", "left_semi").drop("_slot")
 
 
-def mentions(docs: DataFrame, gazetteer: DataFrame, longest: int) -> DataFrame:
-    """``doc_id, pos, n_tokens, surface, entity_id``: where surfaces of the gazetteer stand.
+def mentions(docs: DataFrame, gazetteer: DataFrame, longest: int, also: Sequence[str] = ()) -> DataFrame:
+    """``doc_id, pos, n_tokens, surface, entity_id``: where surfaces of the gazetteer stand, and columns ``also`` of their documents.
 
     Matches are taken from the left, the longest at each place, and none begins
     within the one before.  Each text is cut into words once; only runs whose
@@ -69,16 +71,17 @@ def mentions(docs: DataFrame, gazetteer: DataFrame, longest: int) -> DataFrame:
     shifted = [F.col("_w"), *[F.slice("_w", n + 1, F.greatest(F.size("_w") - n, F.lit(0))) for n in range(1, longest)]]
     names = [f"_{n}" for n in range(longest)]
     zipped = F.arrays_zip(*[c.alias(n) for c, n in zip(shifted, names, strict=True)])
-    rows = docs.select("doc_id", words.alias("_w")).select("doc_id", F.posexplode(zipped).alias("pos", "_z")).select("doc_id", "pos", *[F.col("_z").getField(n).alias(n) for n in names])
+    rows = docs.select("doc_id", *also, words.alias("_w")).select("doc_id", *also, F.posexplode(zipped).alias("pos", "_z")).select("doc_id", *also, "pos", *[F.col("_z").getField(n).alias(n) for n in names])
     surfaces = gazetteer.select("surface").where("surface is not null").distinct()
     heads = surfaces.select(F.split("surface", " ")[0].alias("_0")).distinct()
     rows = _likely(rows, heads, "_0").join(heads, "_0", "left_semi")
     runs = F.explode(F.array(*[F.struct(F.lit(n + 1).alias("n_tokens"), F.when(F.col(names[n]).isNotNull(), F.concat_ws(" ", *names[: n + 1])).alias("surface")) for n in range(longest)]))
-    hits = rows.select("doc_id", "pos", runs.alias("_r")).select("doc_id", "pos", "_r.*")
+    hits = rows.select("doc_id", *also, "pos", runs.alias("_r")).select("doc_id", *also, "pos", "_r.*")
     hits = _likely(hits, surfaces, "surface").join(surfaces, "surface", "left_semi")
-    hits = hits.select("doc_id", F.col("pos").alias("_s"), (F.col("pos") + F.col("n_tokens")).alias("_e"), "surface")
-    kept = non_overlapping(hits, "doc_id", "_s", "_e", "surface")
-    return kept.join(gazetteer, "surface").select("doc_id", F.col("_s").alias("pos"), (F.col("_e") - F.col("_s")).alias("n_tokens"), "surface", "entity_id")
+    carried = F.struct("surface", *also).alias("_x")
+    hits = hits.select("doc_id", F.col("pos").alias("_s"), (F.col("pos") + F.col("n_tokens")).alias("_e"), carried)
+    kept = non_overlapping(hits, "doc_id", "_s", "_e", "_x").select("doc_id", "_s", "_e", "_x.*")
+    return kept.join(gazetteer, "surface").select("doc_id", F.col("_s").alias("pos"), (F.col("_e") - F.col("_s")).alias("n_tokens"), "surface", "entity_id", *also)
 
 
 def confidence(cue: Column, n_tokens: Column, candidates: Column, in_table: Column, region_known: Column) -> Column:

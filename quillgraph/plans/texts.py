@@ -98,9 +98,9 @@ def surfaces(spark: SparkSession, d: str) -> DataFrame:
     return gaz.union(spark.createDataFrame([("of the", 9001), ("to the", 9002)], "surface string, entity_id long"))
 
 
-def _mentions(spark: SparkSession, d: str) -> DataFrame:
+def _mentions(spark: SparkSession, d: str, *also: str) -> DataFrame:
     gaz = surfaces(spark, d)
-    return P.mentions(table(spark, d, "documents").select("doc_id", "text"), gaz, 2)
+    return P.mentions(table(spark, d, "documents").select("doc_id", "text", *also), gaz, 2, also)
 
 
 @query(f"WITH {_MENTIONS} SELECT * FROM m")

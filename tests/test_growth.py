@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from quillgraph.functions import names, numbers
-from quillgraph.operators import cues, fulltext, graph, hubs, ledger, linking, passages, relational, segmentation
+from quillgraph.operators import cues, fulltext, graph, hubs, identity, ledger, linking, passages, relational, segmentation
 from quillgraph.operators.lineage import cut
 from quillgraph.plans import evidence
 
@@ -147,3 +147,26 @@ def test_words_that_are_no_surface_are_not_moved(spark, monkeypatch):
         assert sorted(tuple(r) for r in got.collect()) == want
     text = got._jdf.queryExecution().optimizedPlan().toString()
     assert "_slot" in text and text.count("LeftSemi") == 4
+
+
+def test_overlaps_are_settled_in_one_sorted_pass(spark, small):
+    spans = [(None, 0, 3, "x"), (None, 2, 4, "y"), ("a", 0, 0, "z"), ("a", 0, 0, None), ("a", 0, 5, "n"), ("a", 0, 5, "m"), ("a", 4, 9, "o"), ("a", 5, 5, "p"), ("a", 5, 5, "q"), ("b", 1, 2, None)]
+    got = identity.non_overlapping(spark.createDataFrame(spans, "k string, s int, e int, x string"), "k", "s", "e", "x")
+    want = {(None, 0, 3, "x"), ("a", 0, 5, "m"), ("a", 5, 5, "p"), ("b", 1, 2, None)}
+    batch = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    try:
+        for rows in ("1", batch):  # what came before is known from batch to batch
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
+            found = [tuple(r) for r in got.collect()]
+            assert set(found) == want and len(found) == 4
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+    text = plan(entry.queries()["region_guard"](spark, small))
+    assert "collect_list" not in text and "Window" not in text and text.count("Join Inner") == 1  # no second reading of the documents
+
+
+def test_mentions_bring_columns_of_their_document(spark):
+    docs = spark.createDataFrame([(1, "L'École d'été", "fr"), (2, "ecole", None)], "doc_id long, text string, lang string")
+    names = spark.createDataFrame([("ecole", 5), ("d ete", 6)], "surface string, entity_id long")
+    got = passages.mentions(docs, names, 2, ["lang"])
+    assert sorted(map(tuple, got.collect())) == [(1, 1, 1, "ecole", 5, "fr"), (1, 2, 2, "d ete", 6, "fr"), (2, 0, 1, "ecole", 5, None)]
