@@ -138,7 +138,48 @@ def person_score(a_surnames: Column, b_surnames: Column, a_initials: Column, b_i
 
 def person_score_of(surname: Column, a_initials: Column, b_initials: Column, a_given: Column, b_given: Column, floor: float = 0.87) -> Column:
     """``person_score`` where the likeness of the surnames is known, as it is for all people of two surnames."""
+    return person_score_at(surname, initials_score(a_initials, b_initials), a_given, b_given, floor)
+
+
+def person_score_at(surname: Column, initials: Column, a_given: Column, b_given: Column, floor: float = 0.87) -> Column:
+    """``person_score`` where the likeness of the initials is known too."""
     first = lambda c: F.coalesce(F.get(c, F.lit(0)), F.lit(""))
     spelled = (first(a_given) == first(b_given)) & (F.length(first(a_given)) >= 3)
-    score = 0.65 * surname + 0.35 * F.coalesce(given_conflict(a_given, b_given), initials_score(a_initials, b_initials)) + F.when(spelled, 0.01).otherwise(0.0)
+    score = 0.65 * surname + 0.35 * F.coalesce(given_conflict(a_given, b_given), initials) + F.when(spelled, 0.01).otherwise(0.0)
     return F.when(surname < floor, F.lit(0.0)).otherwise(F.least(score, F.lit(1.0)))
+
+
+#: What ``initials_score`` may be, by its rules in turn; initials short and plain enough to be compared as numbers.
+INITIALS = (0.5, 1.0, 0.95, 0.9, 0.85, 0.75, 0.6, 0.15, 0.0)
+_PLACES = 6
+PLAIN = rf"^[0-9a-z]{{0,{_PLACES}}}\z"
+
+
+def initials_code(c: Column) -> list[Column]:
+    """``at, upto, kinds, bag``: plain initials as numbers: letters by place, the places that they fill, which letters there are, and letters in order; for ``initials_rule``.  Others have nulls."""
+    c = F.when(c.rlike(PLAIN), c)
+    codes = F.transform(F.filter(F.split(c, ""), lambda x: x != ""), lambda x: F.when(F.ascii(x) < 58, F.ascii(x) - 47).otherwise(F.ascii(x) - 86))
+    packed = lambda xs: F.aggregate(F.reverse(xs), F.lit(0).cast("long"), lambda n, x: n * 64 + x)
+    power = lambda base, n: F.pow(F.lit(base), n).cast("long")
+    kinds = F.aggregate(codes, F.lit(0).cast("long"), lambda n, x: n.bitwiseOR(power(2.0, x)))
+    return [packed(codes).alias("at"), (power(64.0, F.length(c)) - 1).alias("upto"), kinds.alias("kinds"), packed(F.array_sort(codes)).alias("bag")]
+
+
+def initials_rule(a: Column, b: Column) -> Column:
+    """The place in ``INITIALS`` of the score of two ``initials_code``, by a few operations on numbers."""
+    both, off = a["kinds"].bitwiseAND(b["kinds"]), a["at"].bitwiseXOR(b["at"])
+    one = F.lit(False)
+    for i in range(_PLACES):
+        one = one | (off.bitwiseAND(F.lit(63 * 64**i).cast("long")) == off)
+    first = off.bitwiseAND(F.lit(63).cast("long")) == 0
+    return (
+        F.when((a["at"] == 0) | (b["at"] == 0), 0)
+        .when(off == 0, 1)
+        .when((a["at"].bitwiseAND(b["upto"]) == b["at"]) | (b["at"].bitwiseAND(a["upto"]) == a["at"]), 2)
+        .when(a["bag"] == b["bag"], 3)
+        .when(first & ((both == a["kinds"]) | (both == b["kinds"])), 4)
+        .when(first & (a["upto"] == b["upto"]) & one, 5)
+        .when(first, 6)
+        .when(both != 0, 7)
+        .otherwise(8)
+    )

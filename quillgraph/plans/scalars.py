@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillgraph.functions import numbers as N
@@ -254,17 +256,29 @@ def initials_score(spark: SparkSession, d: str) -> DataFrame:
 """)
 def person_score(spark: SparkSession, d: str) -> DataFrame:
     """Customers and suppliers of a nation as people: the digits of their numbers are surname and initials."""
-    surname = lambda n: F.concat(F.lit("s"), F.substring(n, 1, 6))
+    surname, initials = lambda n: F.concat(F.lit("s"), F.substring(n, 1, 6)), lambda n: F.substr(n, F.lit(7))
+    none = F.array().cast("array<string>")
 
     def people(t: str, name: str, nation: str, n: str) -> DataFrame:
-        """The names of each surname, which is scored once for all of them."""
-        return table(spark, d, t).select(F.col(nation).alias("nation"), F.right(F.lower(name), F.lit(9)).alias(n)).groupBy("nation", surname(F.col(n)).alias(f"_{n}")).agg(F.collect_set(F.struct(n)).alias(f"{n}s"))  # a struct, as a set leaves out nulls
-
-    met = R.dealt_join(people("customer", "c_name", "c_nationkey", "x"), people("supplier", "s_name", "s_nationkey", "y"), ["nation"], "_x").withColumn("_surname", S.surname_score(F.array("_x"), F.array("_y")))
-    rows = met.select("nation", "_surname", F.explode("xs").alias("_x"), "ys").select("nation", "_surname", "_x.x", F.explode("ys").alias("_y")).select("nation", "_surname", "x", "_y.y")
-    none = F.array().cast("array<string>")
-    score = S.person_score_of(F.col("_surname"), F.substr("x", F.lit(7)), F.substr("y", F.lit(7)), none, none)
-    return rows.select("nation", "x", "y", F.round(score, 6).alias("score"))
+        """The names of each surname, which is scored once for all of them, by whether their initials are plain."""
+        rows = table(spark, d, t).select(F.col(nation).alias("nation"), F.right(F.lower(name), F.lit(9)).alias(n)).distinct().withColumn(f"{n}_plain", F.coalesce(initials(F.col(n)).rlike(S.PLAIN), F.lit(False)))
+        rows = rows.withColumn("_c", F.struct(n, *S.initials_code(initials(F.col(n)))))
+        return rows.groupBy("nation", surname(F.col(n)).alias(f"_{n}"), f"{n}_plain").agg(F.collect_list("_c").alias(f"{n}s"), F.count("*").alias(f"{n}_n"))
+
+    def scored(xs: DataFrame, ys: DataFrame, score: Callable[[Column, Column], Column]) -> DataFrame:
+        met = R.dealt_join(xs, ys, ["nation"], "_x", weights=("x_n", "y_n")).withColumn("_surname", S.surname_score(F.array("_x"), F.array("_y")))
+        known = F.transform(F.array(*map(F.lit, S.INITIALS)), lambda i: F.round(S.person_score_at(F.col("_surname"), i, none, none), 6))
+        met = met.withColumn("_known", known)  # all that the names of two surnames may score
+        rows = met.select("nation", "_surname", "_known", F.explode("xs").alias("_x"), "ys").select("nation", "_surname", "_known", "_x", F.explode("ys").alias("_y"))
+        return rows.select("nation", "_x.x", "_y.y", score(F.col("_x"), F.col("_y")).alias("score"))
+
+    x, y = people("customer", "c_name", "c_nationkey", "x"), people("supplier", "s_name", "s_nationkey", "y")
+    out = scored(x.where("x_plain"), y.where("y_plain"), lambda a, b: F.get("_known", S.initials_rule(a, b)))
+    plainly = lambda a, b: F.round(S.person_score_of(F.col("_surname"), initials(a["x"]), initials(b["y"]), none, none), 6)
+    for a, b, odd in ((x.where("not x_plain"), y, "not x_plain"), (x.where("x_plain"), y.where("not y_plain"), "not y_plain")):
+        if not (a if odd == "not x_plain" else b).isEmpty():
+            out = out.unionByName(scored(a, b, plainly))
+    return out
 
 
 _CANON = ("ECONOMY", "STANDARD", "PROMO", "SMALL", "MEDIUM", "LARGE")

@@ -230,3 +230,39 @@ def test_editions_compare_few_texts(spark):
     editions._like.cache_clear()
     assert [e for e, *_ in editions._in_turn(made, made)] == list(range(n))
     assert editions._like.cache_info().misses < 3 * n
+
+
+def test_initials_as_numbers_score_as_texts(spark):
+    from quillgraph.functions import similarity as S
+
+    rng = random.Random(9)
+    words = ["", "0", "9z", "z9", "abcdef", "fedcba", "abcdeg", "aab", "abb", "ba", "z", *("".join(rng.choice("019abz") for _ in range(rng.randrange(7))) for _ in range(150))]
+    side = lambda c: spark.createDataFrame([(w,) for w in dict.fromkeys(words)], f"{c} string").withColumn(f"{c}_", F.struct(*S.initials_code(F.col(c))))
+    pairs = side("a").crossJoin(side("b"))
+    got = pairs.select(F.get(F.array(*map(F.lit, S.INITIALS)), S.initials_rule(F.col("a_"), F.col("b_"))).alias("got"), S.initials_score(F.col("a"), F.col("b")).alias("want")).groupBy("want").agg(F.count_if(F.col("got") != F.col("want")), F.count("got"))
+    assert {r[0]: r[1] for r in got.collect()} == dict.fromkeys(S.INITIALS, 0)
+    other = spark.createDataFrame([("abcdefg",), ("A",), ("é",), ("a b",), ("a\n",), (None,)], "a string").select(*S.initials_code(F.col("a")))
+    assert {tuple(r) for r in other.collect()} == {(None,) * 4}
+
+
+def test_person_score_of_odd_names_and_of_many_of_a_surname(spark, tmp_path):
+    from quillgraph import catalog
+    from quillgraph.functions import similarity as S
+
+    names = ["Customer#000012345", "x#000012543", "#000012435", "#00001234é", "#000012A45", "#000012", None, "ab", "#00001234\n", "#000912345"]
+    spark.createDataFrame([(i, n, i % 2, 0.0, "M") for i, n in enumerate(names + names[:4])], "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string").write.parquet(f"{tmp_path}/customer.parquet")
+    spark.createDataFrame([(i, n, k, 0.0) for i, n in enumerate(names) for k in (0, 1)], "s_suppkey long, s_name string, s_nationkey int, s_acctbal double").write.parquet(f"{tmp_path}/supplier.parquet")
+    frame = catalog.queries()["person_score"](spark, str(tmp_path))
+    got = [tuple(r) for r in frame.collect()]
+    last = lambda t, c, n: spark.read.parquet(f"{tmp_path}/{t}.parquet").select(F.col(n).alias("nation"), F.right(F.lower(c), F.lit(9)).alias(t[0])).distinct()
+    none, part = F.array().cast("array<string>"), lambda c: F.array(F.concat(F.lit("s"), F.substring(c, 1, 6)))
+    pairs = last("customer", "c_name", "c_nationkey").join(last("supplier", "s_name", "s_nationkey"), "nation")
+    want = pairs.select("nation", "c", "s", F.round(S.person_score_of(S.surname_score(part("c"), part("s")), F.substr("c", F.lit(7)), F.substr("s", F.lit(7)), none, none), 6))
+    assert sorted(got, key=repr) == sorted((tuple(r) for r in want.collect()), key=repr) and len({r[3] for r in got}) > 4
+
+
+def test_pairs_are_counted_by_what_rows_stand_for(spark):
+    a = spark.range(20).select("id", F.lit(1).alias("b"), F.lit(50).alias("n"))
+    b = spark.range(4).select(F.col("id").alias("other"), F.lit(1).alias("b"), F.lit(50).alias("m"))
+    got = relational.dealt_join(a, b, ["b"], "id", 10_000, ("n", "m"))
+    assert got.count() == 80 and ", 36" in got._jdf.queryExecution().optimizedPlan().toString()  # 200,000 pairs
