@@ -266,3 +266,28 @@ def test_pairs_are_counted_by_what_rows_stand_for(spark):
     b = spark.range(4).select(F.col("id").alias("other"), F.lit(1).alias("b"), F.lit(50).alias("m"))
     got = relational.dealt_join(a, b, ["b"], "id", 10_000, ("n", "m"))
     assert got.count() == 80 and ", 36" in got._jdf.queryExecution().optimizedPlan().toString()  # 200,000 pairs
+
+
+def test_pairs_of_like_values_lie_together(spark, monkeypatch):
+    monkeypatch.setattr(relational, "AGAIN", 10)
+    rng = random.Random(7)
+    left = [(i, None if i == 5 else i // 80, rng.choice([None, *map(float, range(30))])) for i in range(160)]
+    right = [(i, i % 2, rng.choice([None, 1.0, 2.0])) for i in range(12)]
+    a, b = spark.createDataFrame(left, "id long, b long, x double"), spark.createDataFrame(right, "other long, b long, y double")
+    parts = relational.dealt_join(a, b, ["b"], "id", 200, near=("x", "y")).select("id", "other", "b", "x", "y").rdd.glom().collect()
+    got = [tuple(r) for part in parts for r in part]
+    assert sorted(got, key=repr) == sorted(((i, j, k, x, y) for i, k, x in left for j, m, y in right if k == m), key=repr)
+    low = lambda v: -1.0 if v is None else v
+    runs, met = 0, {}
+    for part in parts:
+        last = None
+        for i, j, _, x, _ in part:
+            runs += j != last
+            met.setdefault((runs, j), []).append((i, low(x)))
+            last = j
+    assert runs <= 2 * 6 * 8  # one run of a right row for each part of its key, of ten rows on the left at most
+    assert all(len(v) <= 10 and [x for _, x in v] == sorted(x for _, x in v) for v in met.values())
+    # a part's values are neighbours: no other value of the key lies between them but those of its own
+    for v in {frozenset(v) for v in met.values()}:
+        k, low_, high = left[next(iter(v))[0]][1], min(x for _, x in v), max(x for _, x in v)
+        assert {(i, low(x)) for i, m, x in left if m == k and low_ < low(x) < high} <= v
